@@ -85,6 +85,9 @@ def register_series_aggregate(spark: SparkSession, name: str,
                               return_type: T.DataType = T.DoubleType()):
     """Register a series -> scalar pandas UDF for SQL (``SELECT name(x) ...
     GROUP BY``).  No partial aggregation: only for bounded groups."""
-    udf = F.pandas_udf(fn, return_type)
+    def series_to_scalar(values: pd.Series) -> float:
+        return fn(values)
+
+    udf = F.pandas_udf(series_to_scalar, return_type)
     spark.udf.register(name, udf)
     return udf

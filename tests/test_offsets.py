@@ -1,0 +1,33 @@
+"""A1: end offsets per partition (the reference's mocked-consumer test as data)."""
+
+from conftest import plan_text
+from sluice.operators.offsets import end_offset_map, end_offsets
+from sluice.sources.records import RECORD_COLUMNS
+
+
+def _log(spark, rows):
+    return spark.createDataFrame(
+        [(None, None, t, p, o, None, 0) for t, p, o in rows],
+        "key binary, value binary, topic string, partition int, offset bigint, "
+        "timestamp timestamp, timestampType int").select(*RECORD_COLUMNS)
+
+
+def test_end_offsets_fixture(spark):
+    # FIXTURES A.2: 100 records in partition 0, 200 in partition 1 -> {0: 100, 1: 200}
+    rows = [("test-topic", 0, o) for o in range(100)] + [("test-topic", 1, o) for o in range(200)]
+    rows += [("other-topic", 0, o) for o in range(500)]
+    ends = end_offsets(_log(spark, rows), "test-topic")
+    assert end_offset_map(ends) == {0: 100, 1: 200}
+
+
+def test_listed_partition_without_records_is_zero(spark):
+    rows = [("test-topic", 0, o) for o in range(100)]
+    ends = end_offsets(_log(spark, rows), "test-topic",
+                       [("test-topic", 0), ("test-topic", 1), ("other", 5)])
+    assert end_offset_map(ends) == {0: 100, 1: 0}
+
+
+def test_end_offsets_use_partial_aggregation(spark):
+    rows = [("t", 0, o) for o in range(10)]
+    plan = plan_text(end_offsets(_log(spark, rows)))
+    assert "partial_max" in plan

@@ -1,0 +1,110 @@
+"""Record logs: dense offsets, offset-range reads (S1), previews (K2, K3)."""
+
+import json
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_text
+from sluice.sources import records as R
+
+
+def _log(spark, rows):
+    """rows: (topic, partition, offset, key, value)"""
+    return spark.createDataFrame(
+        [(k.encode() if k is not None else None, v.encode() if v is not None else None,
+          t, p, o, None, 0) for t, p, o, k, v in rows],
+        "key binary, value binary, topic string, partition int, offset bigint, "
+        "timestamp timestamp, timestampType int")
+
+
+def test_assign_offsets_matches_row_number_with_hot_partition(spark):
+    rnd = random.Random(3)
+    ids = rnd.sample(range(100000), 3000)
+    # partition 0 holds about a third of the rows, bucket width forces many buckets
+    rows = [(i, 0 if rnd.random() < 0.34 else rnd.randrange(1, 5)) for i in ids]
+    df = spark.createDataFrame(rows, "id long, p int")
+    got = R.assign_offsets(df, "p", "id", bucket_width=97).toPandas()
+    pdf = pd.DataFrame(rows, columns=["id", "p"]).sort_values(["p", "id"])
+    pdf["offset"] = pdf.groupby("p").cumcount()
+    merged = got.merge(pdf, on=["id", "p"], suffixes=("", "_exp"))
+    assert len(merged) == len(rows)
+    assert (merged["offset"] == merged["offset_exp"]).all()
+
+
+def test_assign_offsets_negative_keys(spark):
+    rows = [(i, 1) for i in range(-50, 50)]
+    got = R.assign_offsets(spark.createDataFrame(rows, "id long, p int"), "p", "id",
+                           bucket_width=7).orderBy("id").toPandas()
+    assert list(got["offset"]) == list(range(100))
+
+
+def test_offset_range_fixture(spark):
+    # FIXTURES A.3: partition 0, [0, 100) -> offsets 0..99, nothing of partition 1
+    log = _log(spark, [("your_topic_name", p, o, str(o), "v") for p in (0, 1) for o in range(150)])
+    got = R.read_offset_ranges(log, [("your_topic_name", 0, 0, 100)])
+    offs = sorted(r["offset"] for r in got.select("offset", "partition").collect())
+    assert offs == list(range(100))
+    assert got.where("partition = 1").count() == 0
+
+
+def _expected(log_rows, ranges):
+    out = []
+    for t, p, a, b in ranges:
+        out += [(t2, p2, o) for t2, p2, o, _, _ in log_rows if (t2, p2) == (t, p) and a <= o < b]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("mode", ["pushed", "broadcast", "bucketed"])
+def test_offset_range_paths_agree_with_brute_force(spark, monkeypatch, mode):
+    log_rows = [(t, p, o, str(o), "v") for t in ("a", "b") for p in range(3) for o in range(60)]
+    ranges = [("a", 0, 5, 25), ("a", 0, 20, 30), ("b", 2, 0, 60), ("a", 1, 59, 60),
+              ("b", 1, 10, 10)]
+    if mode == "pushed":
+        ranges = [("a", 0, 5, 25), ("b", 2, 0, 60)]
+    if mode == "bucketed":
+        monkeypatch.setattr(R, "MAX_BROADCAST_RANGES", 0)
+    if mode == "broadcast":
+        monkeypatch.setattr(R, "MAX_PUSHED_RANGES", 0)
+    log = _log(spark, log_rows)
+    got = R.read_offset_ranges(log, ranges, bucket_width=8)
+    rows = sorted(tuple(r) for r in got.select("topic", "partition", "offset").collect())
+    assert rows == _expected(log_rows, ranges)
+
+
+def test_bad_ranges_rejected(spark):
+    log = _log(spark, [("t", 0, 0, "k", "v")])
+    with pytest.raises(ValueError):
+        R.read_offset_ranges(log, [("t", 0, 10, 5)])
+    assert R.read_offset_ranges(log, []).count() == 0
+
+
+def test_kafka_options_layers():
+    layers = R.kafka_range_options([("t", 0, 0, 100), ("t", 1, 5, 9), ("t", 0, 200, 300)])
+    assert len(layers) == 2
+    first = layers[0]
+    assert json.loads(first["assign"]) == {"t": [0, 1]}
+    assert json.loads(first["startingOffsets"]) == {"t": {"0": 0, "1": 5}}
+    assert json.loads(first["endingOffsets"]) == {"t": {"0": 100, "1": 9}}
+    assert json.loads(layers[1]["startingOffsets"]) == {"t": {"0": 200}}
+
+
+def test_preview_and_inspect(spark):
+    log = _log(spark, [("t", p, o, f"k{o}", f"v{o}") for p in (1, 0) for o in range(30)])
+    head = R.inspect_records(log, 5).collect()
+    assert [(r["partition"], r["offset"]) for r in head] == [(0, o) for o in range(5)]
+    assert head[0]["key"] == "k0" and head[0]["value"] == "v0"
+    plan = plan_text(R.preview(log, ["partition", "offset"], 3))
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_records_from_table_layout(spark):
+    df = spark.createDataFrame([(i, i % 2, f'{{"k": {i}}}') for i in range(10)],
+                               "id long, grp long, doc string")
+    rec = R.records_from_table(df, "topic1", F.col("grp"), "id",
+                               F.col("id").cast("string"), F.col("doc"))
+    assert rec.columns == R.RECORD_COLUMNS
+    got = {(r["partition"], r["offset"]): r["key"].decode() for r in rec.collect()}
+    assert got[(0, 0)] == "0" and got[(1, 0)] == "1" and got[(1, 4)] == "9"

@@ -1,0 +1,88 @@
+"""Token lists and token replacement (FIXTURES A.5)."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sluice.functions import text as X
+
+REFERENCE_TOKENS = ",|#|#|*|\\|$"
+REFERENCE_INPUT = "Hello, World! Welcome to Scala #1 with *special* characters\\$"
+REFERENCE_OUTPUT = "Hello@ World! Welcome to Scala @1 with @special@ characters@@"
+
+
+def _apply(spark, texts, tokens, repl="@"):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = df.select("i", X.replace_tokens("t", tokens, repl).alias("o")).orderBy("i")
+    return [r["o"] for r in out.collect()]
+
+
+def test_parse_token_list_java_semantics():
+    assert X.parse_token_list(REFERENCE_TOKENS) == [",", "#", "#", "*", "\\", "$"]
+    assert X.parse_token_list("a|b||") == ["a", "b"]
+    assert X.parse_token_list("|||") == []
+    assert X.parse_token_list("") == [""]
+    assert X.parse_token_list("|a") == ["", "a"]
+
+
+def test_split_tokens_column_matches_driver_rule(spark):
+    texts = ["a|b||", "|||", "", "|a", "no pipes", "x|y", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["s"] for r in df.select("i", X.split_tokens("t").alias("s")).orderBy("i").collect()]
+    assert got[:-1] == [X.parse_token_list(t) for t in texts[:-1]]
+    assert got[-1] is None
+
+
+@pytest.mark.parametrize("tokens, text, expected", [
+    (REFERENCE_TOKENS, REFERENCE_INPUT, REFERENCE_OUTPUT),
+    (REFERENCE_TOKENS, "", ""),
+    (["a", "", "b"], "xab", "x@@"),
+    (["a", "ab"], "ab", "@b"),
+    (["ab", "a"], "ab", "@"),
+    (["a"], "xa", "x@"),
+    (["\\E", "."], "a\\E.b", "a@@b"),
+])
+def test_replace_fixture(spark, tokens, text, expected):
+    assert _apply(spark, [text], tokens) == [expected]
+
+
+def test_replacement_taken_literally(spark):
+    assert _apply(spark, ["xa"], ["a"], "$") == ["x$"]
+    assert _apply(spark, ["xab"], ["ab"], "\\$1") == ["x\\$1"]
+
+
+def test_null_stays_null(spark):
+    assert _apply(spark, [None], REFERENCE_TOKENS) == [None]
+
+
+def test_translate_and_regex_forms_agree(spark):
+    df = spark.createDataFrame([(REFERENCE_INPUT,)], "t string")
+    chars = X.parse_token_list(REFERENCE_TOKENS)
+    pattern = "|".join(X.java_regex_literal(c) for c in chars)
+    row = df.select(X.replace_tokens("t", chars).alias("a"),
+                    F.regexp_replace("t", pattern, "@").alias("b")).collect()[0]
+    assert row["a"] == row["b"] == REFERENCE_OUTPUT
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.text(alphabet="ab,#*$\\|xyz", min_size=1, max_size=3), min_size=1, max_size=4),
+       st.text(alphabet="ab,#*$\\|xyz ", max_size=30))
+def test_no_token_left(spark, tokens, text):
+    tokens = [t for t in tokens if "@" not in t]
+    out = _apply(spark, [text], tokens)[0]
+    for t in tokens:
+        if t:
+            assert t not in out.replace("@", "\0") or t not in text
+    # a Python reference: leftmost match, first listed token wins
+    expected, i = [], 0
+    live = [t for t in dict.fromkeys(tokens) if t]
+    while i < len(text):
+        hit = next((t for t in live if text.startswith(t, i)), None)
+        if hit:
+            expected.append("@")
+            i += len(hit)
+        else:
+            expected.append(text[i])
+            i += 1
+    assert out == "".join(expected)
