@@ -403,15 +403,23 @@ def label_index(spark, sf_dir):
 def ingest_summary(spark, sf_dir):
     """Records -> decode under an Avro-declared schema -> bad-record split
     (null key or null field) with the bad rows quarantined -> per partition
-    record count, bad count and end offset."""
+    record count, bad count and end offset.
+
+    The decoded log is written once as a table in the shared checkpoint
+    folder; quarantine and summary both read it.  The expensive part (offset
+    numbering and decoding) runs once, and the table cuts the lineage, so a
+    lost executor never sends the job back to the raw input.
+    """
     rec = events_records(spark, sf_dir,
                          key=F.when(F.col("event_type") != "error", F.col("event_type")))
     decoded = decode.decode_json(rec, PROPS_AVRO_SCHEMA,
                                  keep=("topic", "partition", "offset", "key"))
-    flagged = decoded.withColumn("is_bad", quality.null_any(["key", "k"]))
-    quality.write_bad_records(decoded.select("partition", "offset", "k"),
-                              scratch_dir(spark, "quarantine"),
-                              F.col("k").isNull())
+    staged = scratch_dir(spark, "decoded")
+    decoded.withColumn("is_bad", quality.null_any(["key", "k"])).write.parquet(staged)
+    flagged = spark.read.parquet(staged)
+    # default rule (Q3): a null in any column -- here a null key or field
+    quality.write_bad_records(flagged.select("partition", "offset", "key", "k"),
+                              scratch_dir(spark, "quarantine"))
     return flagged.groupBy("partition").agg(
         F.count(F.lit(1)).alias("n_records"),
         F.sum(F.col("is_bad").cast("long")).alias("n_bad"),

@@ -31,8 +31,9 @@ RANGE_SCHEMA = T.StructType([
 ])
 
 # Above this many ranges the ranges table is no longer broadcast; the exact
-# bucketed shuffle join takes over (see read_offset_ranges).
-MAX_BROADCAST_RANGES = 1_000_000
+# bucketed shuffle join takes over (see read_offset_ranges).  A range row is
+# about 50 bytes, so the broadcast stays under ~10 MB.
+MAX_BROADCAST_RANGES = 200_000
 # Up to this many ranges the whole selection is also pushed to the scan as a
 # disjunction, which lets parquet skip row groups by min/max statistics.
 MAX_PUSHED_RANGES = 64
