@@ -108,3 +108,27 @@ def test_records_from_table_layout(spark):
     assert rec.columns == R.RECORD_COLUMNS
     got = {(r["partition"], r["offset"]): r["key"].decode() for r in rec.collect()}
     assert got[(0, 0)] == "0" and got[(1, 0)] == "1" and got[(1, 4)] == "9"
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(-10**6, 10**6)), max_size=60,
+                unique_by=lambda t: t[1]),
+       st.sampled_from([1, 3, 64, 1 << 20]))
+def test_offsets_are_dense_and_ordered(spark, rows, width):
+    from sluice.operators.offsets import end_offsets
+    df = spark.createDataFrame(rows, "p int, id long")
+    numbered = R.assign_offsets(df, "p", "id", bucket_width=width)
+    got = sorted((r["p"], r["id"], r["offset"]) for r in numbered.collect())
+    by_p = {}
+    for p, i in sorted(rows):
+        by_p.setdefault(p, []).append(i)
+    exp = sorted((p, i, n) for p, ids in by_p.items() for n, i in enumerate(ids))
+    assert got == exp
+    # A1 on a dense log: end offset = number of records of the partition
+    log = numbered.selectExpr("'t' AS topic", "p AS partition", "offset")
+    ends = {r["partition"]: r["end_offset"] for r in end_offsets(log).collect()}
+    assert ends == {p: len(ids) for p, ids in by_p.items()}
