@@ -57,7 +57,8 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus""",
 
     "json_round_trip": f"""
 WITH {_GAPS}
-SELECT to_json({{'event_id': event_id, 'user_id': user_id, 'event_type': event_type}}) AS "value"
+SELECT CAST(to_json({{'event_id': event_id, 'user_id': user_id, 'event_type': event_type}})
+            AS VARCHAR) AS "value"
 FROM gaps WHERE event_id IS NULL OR user_id IS NULL OR event_type IS NULL""",
 
     "preview": f"""
@@ -136,17 +137,19 @@ FROM lineitem GROUP BY l_returnflag""",
     "builtin_aggs": """
 SELECT o_orderpriority, count(*) AS n_orders,
        CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS total_cents,
-       round(avg(o_totalprice), 2) AS avg_price, count(o_custkey) AS n_with_customer
+       CAST(round(avg(o_totalprice) * 100) AS BIGINT) AS avg_cents,
+       count(o_custkey) AS n_with_customer
 FROM orders GROUP BY o_orderpriority""",
 
     "user_agg": """
-SELECT event_type, round(sqrt(sum(value * value)), 4) AS rss FROM events GROUP BY event_type""",
+SELECT event_type, CAST(round(sqrt(sum(value * value)) * 10000) AS BIGINT) AS rss_e4
+FROM events GROUP BY event_type""",
 
     "split_tokens": """
 SELECT doc_id,
-       CASE WHEN strpos(text, '|') = 0 THEN 1
-            WHEN rtrim(text, '|') = '' THEN 0
-            ELSE len(string_split(rtrim(text, '|'), '|')) END AS n_tokens
+       CAST(CASE WHEN strpos(text, '|') = 0 THEN 1
+                 WHEN rtrim(text, '|') = '' THEN 0
+                 ELSE len(string_split(rtrim(text, '|'), '|')) END AS INTEGER) AS n_tokens
 FROM documents""",
 
     "replace_chars": r"""
@@ -159,7 +162,8 @@ SELECT p_partkey, ~p_size AS not_size, p_size << 3 AS shl_size, (-p_size) >> 1 A
 FROM part""",
 
     "degrees_radians": """
-SELECT s_suppkey, round(degrees(s_acctbal), 6) AS deg, round(radians(s_acctbal), 9) AS rad
+SELECT s_suppkey, CAST(round(degrees(s_acctbal) * 1e6) AS BIGINT) AS deg_e6,
+       CAST(round(radians(s_acctbal) * 1e9) AS BIGINT) AS rad_e9
 FROM supplier""",
 
     "row_ids": """
