@@ -66,19 +66,20 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_bad_records(df: DataFrame, target: str, condition: str | Column | None = None,
-                      level: StorageLevel = QUARANTINE_LEVEL) -> bool:
+                      level: StorageLevel = QUARANTINE_LEVEL, mode: str = "append") -> bool:
     """Q1: append the bad rows of ``df`` to ``target`` as JSON lines.
 
     Returns True when something was written.  With no bad row nothing is
     written and ``target`` is not created (Q4).  The bad rows are cached for
     the emptiness probe and the write (Q5) and released in every case.
+    ``mode="overwrite"`` makes the write idempotent (stream micro-batches).
     """
     bad = df.filter(bad_condition(df, condition)).persist(level)
     try:
         if bad.isEmpty():
             log.info("no bad records found")
             return False
-        write_json_lines(bad, target, "append")
+        write_json_lines(bad, target, mode)
         log.info("bad records written to %s", target)
         return True
     finally:

@@ -37,6 +37,29 @@ def latest_schemas(registry: DataFrame, subject: str = "subject", version: str =
                     .select(subject, version, *[F.col(f"_latest.{c}").alias(c) for c in payload]))
 
 
+# Up to this many subjects the latest-schema table is broadcast to the records.
+MAX_BROADCAST_SUBJECTS = 100_000
+
+
+def attach_latest_schema(records: DataFrame, registry: DataFrame,
+                         topic_col: str = "topic") -> DataFrame:
+    """Adds ``schema_version``, ``schema_id`` and ``schema_json``: the latest
+    registry version of each record's value subject (``<topic>-value``).
+
+    All records of a topic share one join key, so a shuffle join would put
+    the whole topic in one task.  The latest-schema table (one row per
+    subject) is counted first and broadcast when within
+    ``MAX_BROADCAST_SUBJECTS``; beyond that the plain join is left to AQE's
+    skew-join splitting.
+    """
+    latest = latest_schemas(registry).select(
+        F.col("subject").alias("_subject"), F.col("version").alias("schema_version"),
+        F.col("id").alias("schema_id"), "schema_json")
+    keyed = records.withColumn("_subject", F.concat(F.col(topic_col), F.lit(VALUE_SUFFIX)))
+    side = F.broadcast(latest) if latest.count() <= MAX_BROADCAST_SUBJECTS else latest
+    return keyed.join(side, "_subject", "left").drop("_subject")
+
+
 def latest_schema_text(registry: DataFrame, subject_name: str, subject: str = "subject",
                        version: str = "version", schema_col: str = "schema_json") -> str:
     """Schema text of the latest version of one subject (a single row)."""

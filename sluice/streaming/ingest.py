@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.quality import bad_condition, write_json_lines
+from sluice.operators.quality import write_bad_records
 
 
 def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str,
@@ -39,12 +39,11 @@ def quarantine_stream(stream: DataFrame, target: str, checkpoint: str,
 
     Each batch overwrites its own folder, so a retried batch replaces its
     earlier attempt instead of appending twice; batches without bad rows
-    write nothing.
+    write nothing.  The batch path's cache scope and emptiness gate apply, so
+    a micro-batch is read once for probe and write.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        bad = batch.filter(bad_condition(batch, condition))
-        if not bad.isEmpty():
-            write_json_lines(bad, f"{target}/batch_id={batch_id}", "overwrite")
+        write_bad_records(batch, f"{target}/batch_id={batch_id}", condition, mode="overwrite")
 
     writer = (stream.writeStream.foreachBatch(per_batch)
                     .option("checkpointLocation", checkpoint))

@@ -79,3 +79,17 @@ def test_root_must_be_record_and_no_recursion():
     with pytest.raises(TypeError):
         G.avro_to_spark({"type": "record", "name": "N", "fields": [
             {"name": "next", "type": ["null", "N"]}]})
+
+
+def test_attach_latest_schema(spark, monkeypatch):
+    reg = spark.createDataFrame(
+        [("a-value", 1, 10, "s1"), ("a-value", 3, 12, "s3"), ("b-value", 1, 20, "t1")],
+        "subject string, version int, id int, schema_json string")
+    recs = spark.createDataFrame([("a", 0), ("a", 1), ("b", 0), ("c", 0)],
+                                 "topic string, offset long")
+    for limit in (G.MAX_BROADCAST_SUBJECTS, 0):
+        monkeypatch.setattr(G, "MAX_BROADCAST_SUBJECTS", limit)
+        out = G.attach_latest_schema(recs, reg)
+        got = sorted((r["topic"], r["offset"], r["schema_version"], r["schema_id"])
+                     for r in out.collect())
+        assert got == [("a", 0, 3, 12), ("a", 1, 3, 12), ("b", 0, 1, 20), ("c", 0, None, None)]
