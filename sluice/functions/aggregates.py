@@ -3,7 +3,8 @@
 Spark's typed ``Aggregator`` splits an aggregate into reduce (rows -> buffer),
 merge (buffer + buffer) and finish (buffer -> result).  :class:`UserAggregate`
 keeps that split in PySpark: ``reduce`` runs vectorised in pandas on each
-Arrow batch inside ``mapInPandas`` (map side, bounded by the batch size),
+Arrow batch inside ``mapInPandas`` (map side, bounded by the batch size; one
+pandas group-by per batch, not a Python call per group),
 ``merge`` is a built-in aggregate per buffer field (JVM, partial + final), and
 ``finish`` is a Column expression on the merged buffer.  A key holding a third
 of all rows therefore never meets a single task as a whole.
@@ -29,12 +30,13 @@ _MERGES = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.sum}
 
 @dataclass(frozen=True)
 class UserAggregate:
-    """reduce: pandas DataFrame of input columns -> dict buffer-name -> value;
+    """reduce: (batch with key and input columns, key names) -> one row per
+    key present in the batch, with the key columns and every buffer field;
     buffer: buffer field name -> (Spark type, merge op);
     finish: merged buffer columns (by name) -> result Column."""
     name: str
     inputs: Sequence[str]
-    reduce: Callable[[pd.DataFrame], dict]
+    reduce: Callable[[pd.DataFrame, list[str]], pd.DataFrame]
     buffer: dict[str, tuple[T.DataType, str]]
     finish: Callable[[dict[str, Column]], Column]
 
@@ -51,14 +53,8 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], agg: UserAggregate) -> Data
 
     def partials(batches):
         for pdf in batches:
-            if pdf.empty:
-                continue
-            rows = []
-            for key, part in pdf.groupby(key_list, dropna=False, sort=False):
-                key = key if isinstance(key, tuple) else (key,)
-                buf = reduce(part)
-                rows.append((*key, *[buf[n] for n in names]))
-            yield pd.DataFrame(rows, columns=[*key_list, *names])
+            if not pdf.empty:
+                yield reduce(pdf, key_list)[[*key_list, *names]]
 
     part = df.select(*keys, *agg.inputs).mapInPandas(partials, out_schema)
     merged = part.groupBy(*keys).agg(
@@ -68,9 +64,11 @@ def aggregate_by(df: DataFrame, keys: Sequence[str], agg: UserAggregate) -> Data
 
 def root_sum_squares(value_col: str, name: str = "rss") -> UserAggregate:
     """sqrt(sum(x^2)) over non-null x -- the example aggregate of the tests."""
-    def reduce(pdf: pd.DataFrame) -> dict:
-        x = pdf[value_col].dropna().astype("float64")
-        return {"ssq": float((x * x).sum()), "n": int(x.size)}
+    def reduce(pdf: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+        x = pdf[value_col].astype("float64")
+        present = x.notna()
+        parts = pdf[keys].assign(ssq=(x * x).where(present, 0.0), n=present.astype("int64"))
+        return parts.groupby(keys, dropna=False, sort=False, as_index=False).sum()
 
     def finish(b: dict[str, Column]) -> Column:
         return F.when(b["n"] > 0, F.sqrt(b["ssq"]))

@@ -44,31 +44,46 @@ MAX_PUSHED_RANGES = 64
 # --------------------------------------------------------------------------
 
 def assign_offsets(df: DataFrame, partition_col: str, order_col: str,
-                   out_col: str = "offset", bucket_width: int = 1 << 20) -> DataFrame:
+                   out_col: str = "offset", bucket_width: int = 1 << 20,
+                   buckets_per_group: int = 1 << 20) -> DataFrame:
     """Number the rows of each ``partition_col`` value 0, 1, 2, ... in
     ``order_col`` order -- ``row_number() OVER (PARTITION BY p ORDER BY o) - 1``
     -- without sending one log partition to one task.
 
     ``order_col`` is an integral column, unique within a partition value.
 
-    Rows are cut into buckets ``o div bucket_width``; a bucket therefore holds
-    at most ``bucket_width`` rows of one partition, however hot the partition.
-    The offset is the number of rows in earlier buckets of the same partition
-    (a running sum over the small per-bucket count table) plus the row number
-    inside the bucket.  Every step is deterministic -- no sampling and no
-    dependence on task ids -- so recomputation after an executor loss gives
-    the same offsets.  The numbered side is hash-partitioned on
-    ``(p, bucket)`` by its window and is joined on exactly those keys, so
-    only the count table moves for the join.
+    Rows are cut into buckets ``o div bucket_width``, so a bucket holds at
+    most ``bucket_width`` rows of one partition, however hot the partition.
+    The offset is (rows in earlier buckets of the partition) + (row number in
+    the bucket).  The first term is a prefix sum over the per-bucket count
+    table, done in two levels -- inside groups of ``buckets_per_group``
+    consecutive buckets, then over the group totals -- so no window task ever
+    holds more than ``buckets_per_group`` buckets, or 2^63 / (bucket_width *
+    buckets_per_group) groups, even for very sparse keys.
+
+    Every step is deterministic -- no sampling and no dependence on task ids
+    -- so recomputation after an executor loss gives the same offsets.  The
+    numbered side is hash-partitioned on ``(p, bucket)`` by its window and
+    joins on exactly those keys, so only the small count tables move; whether
+    they are broadcast is decided by AQE from their measured size.
     """
-    w = int(bucket_width)
+    w, g = int(bucket_width), int(buckets_per_group)
     # integral ``div`` (truncating, still monotone in the key): exact for any long
     staged = df.withColumn("_bucket", F.expr(f"cast(`{order_col}` as long) div {w}"))
-    counts = staged.groupBy(partition_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (Window.partitionBy(partition_col).orderBy("_bucket")
-                     .rowsBetween(Window.unboundedPreceding, -1))
-    bases = counts.select(partition_col, "_bucket",
-                          F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    counts = (staged.groupBy(partition_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+                    .withColumn("_group", F.expr(f"_bucket div {g}")))
+    before = Window.unboundedPreceding
+    in_group = (Window.partitionBy(partition_col, "_group").orderBy("_bucket")
+                      .rowsBetween(before, -1))
+    group_bases = (counts.groupBy(partition_col, "_group").agg(F.sum("_n").alias("_gn"))
+                         .select(partition_col, "_group", F.coalesce(F.sum("_gn").over(
+                             Window.partitionBy(partition_col).orderBy("_group")
+                                   .rowsBetween(before, -1)), F.lit(0)).alias("_gbase")))
+    bases = (counts.select(partition_col, "_bucket", "_group",
+                           F.coalesce(F.sum("_n").over(in_group), F.lit(0)).alias("_inner"))
+                   .join(group_bases, [partition_col, "_group"])
+                   .select(partition_col, "_bucket",
+                           (F.col("_gbase") + F.col("_inner")).alias("_base")))
     inside = Window.partitionBy(partition_col, "_bucket").orderBy(order_col)
     numbered = staged.withColumn("_local", F.row_number().over(inside) - 1)
     return (numbered.join(bases, [partition_col, "_bucket"])

@@ -38,10 +38,13 @@ def test_user_aggregate_merges_in_jvm(spark):
 
 
 def test_user_aggregate_custom_min_max(spark):
-    agg = UserAggregate("span", ["v"],
-                        lambda p: {"lo": float(p["v"].min()), "hi": float(p["v"].max())},
-                        {"lo": (__import__("pyspark.sql.types").sql.types.DoubleType(), "min"),
-                         "hi": (__import__("pyspark.sql.types").sql.types.DoubleType(), "max")},
+    from pyspark.sql import types as T
+
+    def reduce(pdf, keys):
+        return pdf.groupby(keys, as_index=False).agg(lo=("v", "min"), hi=("v", "max"))
+
+    agg = UserAggregate("span", ["v"], reduce,
+                        {"lo": (T.DoubleType(), "min"), "hi": (T.DoubleType(), "max")},
                         lambda b: b["hi"] - b["lo"])
     df = spark.createDataFrame([("a", float(i)) for i in range(100)], "k string, v double")
     assert aggregate_by(df.repartition(5), ["k"], agg).collect()[0]["span"] == 99.0

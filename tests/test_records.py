@@ -34,6 +34,16 @@ def test_assign_offsets_matches_row_number_with_hot_partition(spark):
     assert (merged["offset"] == merged["offset_exp"]).all()
 
 
+def test_assign_offsets_two_level_prefix(spark):
+    # sparse keys: every row its own bucket, groups of 3 buckets
+    rows = [(i * 1000 + (i % 7), i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, p int")
+    got = R.assign_offsets(df, "p", "id", bucket_width=10, buckets_per_group=3).toPandas()
+    for p in (0, 1):
+        part = got[got["p"] == p].sort_values("id")
+        assert list(part["offset"]) == list(range(len(part)))
+
+
 def test_assign_offsets_negative_keys(spark):
     rows = [(i, 1) for i in range(-50, 50)]
     got = R.assign_offsets(spark.createDataFrame(rows, "id long, p int"), "p", "id",
@@ -117,11 +127,11 @@ from hypothesis import strategies as st  # noqa: E402
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(-10**6, 10**6)), max_size=60,
                 unique_by=lambda t: t[1]),
-       st.sampled_from([1, 3, 64, 1 << 20]))
-def test_offsets_are_dense_and_ordered(spark, rows, width):
+       st.sampled_from([1, 3, 64, 1 << 20]), st.sampled_from([1, 2, 5, 1 << 20]))
+def test_offsets_are_dense_and_ordered(spark, rows, width, per_group):
     from sluice.operators.offsets import end_offsets
     df = spark.createDataFrame(rows, "p int, id long")
-    numbered = R.assign_offsets(df, "p", "id", bucket_width=width)
+    numbered = R.assign_offsets(df, "p", "id", bucket_width=width, buckets_per_group=per_group)
     got = sorted((r["p"], r["id"], r["offset"]) for r in numbered.collect())
     by_p = {}
     for p, i in sorted(rows):
