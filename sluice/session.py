@@ -57,6 +57,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            # executors cannot share a machine-local folder
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a shared folder (HDFS, object store)")
         # local runs / tests only: nothing names a shared folder
         root = tempfile.mkdtemp(prefix="sluice-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
