@@ -65,6 +65,20 @@ def decode_avro(records: DataFrame, writer_schema: str, reader_schema: str | Non
     return staged.select(*keep, *[F.col(f"_rec.{f.name}").alias(f.name) for f in struct.fields])
 
 
+def writer_schemas(framed: DataFrame, registry: DataFrame) -> dict[int, str]:
+    """``{schema id: schema text}`` for the writer schema ids present in
+    wire-format records (output of :func:`wire_split`).
+
+    The distinct ids are found by an aggregate (a topic carries few of them)
+    and joined to the registry on the executors; only the matching registry
+    rows -- one per id -- reach the driver.
+    """
+    ids = framed.where("wire_ok").select("schema_id").distinct()
+    found = ids.join(registry.select(F.col("id").alias("schema_id"), "schema_json"),
+                     "schema_id").distinct()
+    return {r["schema_id"]: r["schema_json"] for r in found.collect()}
+
+
 def decode_avro_by_schema_id(records: DataFrame, schemas: dict[int, str], reader_schema: str,
                              keep: Sequence[str] = META_COLUMNS) -> DataFrame:
     """Topics written with several schema versions: one ``from_avro`` per

@@ -36,7 +36,6 @@ NEVER_TRUE = "value < 0"
 RSD = 0.05
 
 
-
 def record_text():
     """Record columns with key and value as text."""
     return ["topic", "partition", "offset",

@@ -65,3 +65,14 @@ def test_decode_is_not_python(spark):
     from conftest import plan_text, python_nodes
     out = D.decode_json(_values(spark, ['{"field1": "a", "field2": 1}']), TEST_RECORD)
     assert python_nodes(out) == [] and "from_json" in plan_text(out)
+
+
+def test_writer_schemas_found_by_id(spark):
+    recs = spark.createDataFrame([(i, f'{{"k": {i}}}', 7 if i % 2 else 9) for i in range(20)],
+                                 "offset long, doc string, sid int")
+    framed = D.wire_split(recs.select("offset", D.frame_value(F.col("doc"), F.col("sid"))
+                                      .alias("value")))
+    reg = spark.createDataFrame([("t-value", 1, 7, "s7"), ("t-value", 2, 9, "s9"),
+                                 ("t-value", 3, 11, "s11")],
+                                "subject string, version int, id int, schema_json string")
+    assert D.writer_schemas(framed, reg) == {7: "s7", 9: "s9"}

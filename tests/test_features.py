@@ -23,3 +23,14 @@ def test_label_index_order(spark):
     got = {r["c"]: r["c_idx"] for r in indexed.distinct().collect()}
     assert got == {"a": 0.0, "b": 1.0, "c": 2.0, "d": 3.0}
     assert indexed.where(F.col("c_idx").isNull()).count() == 0
+
+
+def test_chi_squared_selection(spark):
+    from pyspark.ml.linalg import Vectors
+    # feature 1 determines the label, features 0 and 2 are noise
+    rows = [(Vectors.dense([float(i % 3), float(i % 2), float((i // 2) % 2)]), float(i % 2))
+            for i in range(60)]
+    df = spark.createDataFrame(rows, ["features", "label"])
+    _, picked = M.select_features(df, "features", "label", 1,
+                                  feature_type="categorical", label_type="categorical")
+    assert picked == [1]
