@@ -63,7 +63,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         # local runs / tests only: nothing names a shared folder
         root = tempfile.mkdtemp(prefix="sluice-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
-    spark.sparkContext.setCheckpointDir(root)
+    if spark.sparkContext.getCheckpointDir() is None:
+        # so that DataFrame.checkpoint() cuts lineage into the same folder
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
