@@ -67,8 +67,11 @@ def assign_offsets(df: DataFrame, partition_col: str, order_col: str,
     of a partition) is cached: both prefix-sum levels read the one cached
     copy, so the input is scanned twice in all -- once for counts, once for
     numbering.  The cache is filled inside the query's own execution; a lost
-    block is recomputed from lineage.  Every step is deterministic -- no sampling and no dependence on task ids
-    -- so recomputation after an executor loss gives the same offsets.  The
+    block is recomputed from lineage.  Every step is deterministic -- no
+    sampling and no dependence on task ids -- so recomputation after an
+    executor loss gives the same offsets.  A null partition is a partition of
+    its own and null order keys come first, as in ``ORDER BY o``; no row is
+    dropped.  The
     numbered side is hash-partitioned on ``(p, bucket)`` by its window and
     joins on exactly those keys, so only the small count tables move; whether
     they are broadcast is decided from their measured size.
@@ -86,16 +89,24 @@ def assign_offsets(df: DataFrame, partition_col: str, order_col: str,
                          .select(partition_col, "_group", F.coalesce(F.sum("_gn").over(
                              Window.partitionBy(partition_col).orderBy("_group")
                                    .rowsBetween(before, -1)), F.lit(0)).alias("_gbase")))
-    bases = (counts.select(partition_col, "_bucket", "_group",
-                           F.coalesce(F.sum("_n").over(in_group), F.lit(0)).alias("_inner"))
-                   .join(group_bases, [partition_col, "_group"])
-                   .select(partition_col, "_bucket",
-                           (F.col("_gbase") + F.col("_inner")).alias("_base")))
+    inner = counts.select(partition_col, "_bucket", "_group",
+                          F.coalesce(F.sum("_n").over(in_group), F.lit(0)).alias("_inner"))
+    bases = (inner.join(group_bases.withColumnRenamed(partition_col, "_gp")
+                                   .withColumnRenamed("_group", "_gg"),
+                        _same(inner[partition_col], "_gp") & _same(inner["_group"], "_gg"))
+                  .select(F.col(partition_col).alias("_bp"), F.col("_bucket").alias("_bb"),
+                          (F.col("_gbase") + F.col("_inner")).alias("_base")))
     inside = Window.partitionBy(partition_col, "_bucket").orderBy(order_col)
     numbered = staged.withColumn("_local", F.row_number().over(inside) - 1)
-    return (numbered.join(bases, [partition_col, "_bucket"])
+    # null-safe keys: a null partition or order key is numbered, never dropped
+    return (numbered.join(bases, _same(numbered[partition_col], "_bp")
+                          & _same(numbered["_bucket"], "_bb"))
                     .withColumn(out_col, (F.col("_base") + F.col("_local")).cast("long"))
-                    .drop("_bucket", "_local", "_base"))
+                    .drop("_bucket", "_local", "_base", "_bp", "_bb"))
+
+
+def _same(left: Column, right: str) -> Column:
+    return left.eqNullSafe(F.col(right))
 
 
 def records_from_table(df: DataFrame, topic: str | Column, partition: Column,

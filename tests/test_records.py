@@ -142,3 +142,11 @@ def test_offsets_are_dense_and_ordered(spark, rows, width, per_group):
     log = numbered.selectExpr("'t' AS topic", "p AS partition", "offset")
     ends = {r["partition"]: r["end_offset"] for r in end_offsets(log).collect()}
     assert ends == {p: len(ids) for p, ids in by_p.items()}
+
+
+def test_assign_offsets_keeps_null_keys(spark):
+    rows = [(1, 0), (2, 0), (None, 0), (5, None), (6, None), (3, 0)]
+    df = spark.createDataFrame(rows, "id long, p int")
+    got = sorted(((r["p"] if r["p"] is not None else -1), r["id"] if r["id"] is not None else -1,
+                  r["offset"]) for r in R.assign_offsets(df, "p", "id", bucket_width=2).collect())
+    assert got == [(-1, 5, 0), (-1, 6, 1), (0, -1, 0), (0, 1, 1), (0, 2, 2), (0, 3, 3)]
