@@ -1,5 +1,6 @@
 """DuckDB SQL with the same result as each registered query (the correctness
-oracle).  Queries without an entry (ML fits) get a rows-only check."""
+oracle).  Only the clustering fit (iterative) has no entry and gets a rows-only
+check."""
 
 from __future__ import annotations
 
@@ -186,6 +187,27 @@ SELECT o_orderkey, 'total' AS kind, o_totalprice AS amount FROM orders
 UNION ALL
 SELECT o_orderkey, 'customer' AS kind, CAST(o_custkey AS DOUBLE) AS amount FROM orders""",
 
+    # ANOVA F per embedding dimension; all dimensions share the degrees of
+    # freedom, so the 8 largest F are the 8 smallest p-values
+    "feature_select": """
+WITH cells AS (
+  SELECT e.vec_id, e.label, u.i AS dim, CAST(e.embedding[u.i] AS DOUBLE) AS x
+  FROM embeddings e, (SELECT unnest(range(1, 65)) AS i) u),
+overall AS (SELECT dim, avg(x) AS mu, count(*) AS n FROM cells GROUP BY dim),
+by_label AS (SELECT dim, label, avg(x) AS mu_l, count(*) AS n_l FROM cells GROUP BY dim, label),
+k AS (SELECT count(DISTINCT label) AS k FROM embeddings),
+ssb AS (SELECT b.dim, sum(b.n_l * (b.mu_l - o.mu) * (b.mu_l - o.mu)) AS ssb
+        FROM by_label b JOIN overall o USING (dim) GROUP BY b.dim),
+ssw AS (SELECT c.dim, sum((c.x - b.mu_l) * (c.x - b.mu_l)) AS ssw
+        FROM cells c JOIN by_label b ON c.dim = b.dim AND c.label = b.label GROUP BY c.dim),
+f AS (SELECT s.dim, (s.ssb / (k.k - 1)) / (w.ssw / (o.n - k.k)) AS f
+      FROM ssb s JOIN ssw w USING (dim) JOIN overall o USING (dim), k),
+top AS (SELECT dim FROM f ORDER BY f DESC LIMIT 8)
+SELECT vec_id, label,
+       list(x ORDER BY dim) AS selected
+FROM cells WHERE dim IN (SELECT dim FROM top)
+GROUP BY vec_id, label""",
+
     "label_index": """
 WITH counted AS (
   SELECT 'event_type' AS "column", event_type AS label, count(*) AS n FROM events GROUP BY 2
