@@ -202,15 +202,15 @@ def read_offset_ranges(records: DataFrame, ranges: Iterable,
                 & (F.col("k.partition") == F.col("r.partition")) & inside)
         return k.join(r, cond, "inner").select("k.*")
     w = int(bucket_width)
-    rb = rdf.withColumn("bucket", F.explode(F.sequence(
-        F.floor(F.col("from_offset") / w).cast("long"),
-        F.floor((F.col("until_offset") - 1) / w).cast("long")))).alias("r")
-    kb = scoped.withColumn("bucket", F.floor(F.col("offset") / w).cast("long")).alias("k")
+    rb = (rdf.where(F.col("until_offset") > F.col("from_offset"))
+             .withColumn("bucket", F.explode(F.sequence(F.expr(f"from_offset div {w}"),
+                                                        F.expr(f"(until_offset - 1) div {w}"))))
+             .alias("r"))
+    kb = scoped.withColumn("bucket", F.expr(f"offset div {w}")).alias("k")
     cond = ((F.col("k.topic") == F.col("r.topic"))
             & (F.col("k.partition") == F.col("r.partition"))
             & (F.col("k.bucket") == F.col("r.bucket")) & inside)
-    return kb.join(rb.where(F.col("until_offset") > F.col("from_offset")), cond, "inner") \
-             .select(*[F.col(f"k.{c}") for c in records.columns])
+    return kb.join(rb, cond, "inner").select(*[F.col(f"k.{c}") for c in records.columns])
 
 
 def _disjoint(rs: list[tuple[str, int, int, int]]) -> bool:
