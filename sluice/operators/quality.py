@@ -38,12 +38,14 @@ def null_any(columns: Sequence[str]) -> Column:
 
 
 def bad_condition(df: DataFrame, condition: str | Column | None = None) -> Column:
-    """The condition as a Column: a SQL string (Q2), a Column, or Q3."""
+    """The bad-record test as a Column: a SQL string (Q2), a Column, or Q3 by
+    default.  As with ``df.filter(condition)``, a row is bad only when the
+    condition is true; a null (undecidable) condition leaves it good, so the
+    good and the bad side always add up to the input."""
     if condition is None:
         return null_any(df.columns)
-    if isinstance(condition, str):
-        return F.expr(condition)
-    return condition
+    cond = F.expr(condition) if isinstance(condition, str) else condition
+    return F.coalesce(cond, F.lit(False))
 
 
 def filter_sql(df: DataFrame, condition: str) -> DataFrame:
@@ -54,9 +56,9 @@ def filter_sql(df: DataFrame, condition: str) -> DataFrame:
 
 def split_good_bad(df: DataFrame, condition: str | Column | None = None
                    ) -> tuple[DataFrame, DataFrame]:
-    """Two views of one input: rows that pass and rows that are bad.  A null
-    condition counts as bad, so every row lands in exactly one side."""
-    cond = F.coalesce(bad_condition(df, condition), F.lit(True))
+    """Two views of one input: rows that pass and rows that are bad; every row
+    lands in exactly one side."""
+    cond = bad_condition(df, condition)
     return df.where(~cond), df.where(cond)
 
 

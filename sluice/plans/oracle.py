@@ -114,7 +114,7 @@ WHERE value > 40.0 AND event_type IN ('click', 'view')""",
 
     "null_any": f"WITH {_GAPS} SELECT event_id, ({_GAPS_BAD}) AS is_bad FROM gaps",
 
-    "quarantine_empty": "SELECT event_id, value FROM events WHERE NOT (value < 0)",
+    "quarantine_empty": "SELECT event_id, value FROM events WHERE NOT coalesce(value < 0, false)",
 
     "stream_quarantine": f"WITH {_GAPS} SELECT * FROM gaps WHERE {_GAPS_BAD}",
 

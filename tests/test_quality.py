@@ -115,3 +115,14 @@ def test_quarantine_keeps_microseconds(spark):
     from sluice.sources.files import read_json
     back = read_json(spark, target, schema=df.schema).collect()[0]
     assert back["ts"].microsecond == 179575
+
+
+def test_undecidable_rows_stay_good(spark):
+    # as with df.filter(condition): only a true condition marks a bad row
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (5, "c")], SCHEMA)
+    good, bad = Q.split_good_bad(df, "id > 2")
+    assert sorted(r["name"] for r in good.collect()) == ["a", "b"]
+    assert sorted(r["name"] for r in bad.collect()) == ["c"]
+    target = scratch_dir(spark, "bad")
+    Q.write_bad_records(df, target, "id > 2")
+    assert _lines(spark, target) == ['{"id":5,"name":"c"}']
