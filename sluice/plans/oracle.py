@@ -191,8 +191,9 @@ SELECT o_orderkey, 'customer' AS kind, CAST(o_custkey AS DOUBLE) AS amount FROM
     # freedom, so the 8 largest F are the 8 smallest p-values
     "feature_select": """
 WITH cells AS (
-  SELECT e.vec_id, e.label, u.i AS dim, CAST(e.embedding[u.i] AS DOUBLE) AS x
-  FROM embeddings e, (SELECT unnest(range(1, 65)) AS i) u),
+  SELECT vec_id, label, generate_subscripts(embedding, 1) AS dim,
+         CAST(unnest(embedding) AS DOUBLE) AS x
+  FROM embeddings),
 overall AS (SELECT dim, avg(x) AS mu, count(*) AS n FROM cells GROUP BY dim),
 by_label AS (SELECT dim, label, avg(x) AS mu_l, count(*) AS n_l FROM cells GROUP BY dim, label),
 k AS (SELECT count(DISTINCT label) AS k FROM embeddings),
@@ -202,11 +203,10 @@ ssw AS (SELECT c.dim, sum((c.x - b.mu_l) * (c.x - b.mu_l)) AS ssw
         FROM cells c JOIN by_label b ON c.dim = b.dim AND c.label = b.label GROUP BY c.dim),
 f AS (SELECT s.dim, (s.ssb / (k.k - 1)) / (w.ssw / (o.n - k.k)) AS f
       FROM ssb s JOIN ssw w USING (dim) JOIN overall o USING (dim), k),
-top AS (SELECT dim FROM f ORDER BY f DESC LIMIT 8)
-SELECT vec_id, label,
-       list(x ORDER BY dim) AS selected
-FROM cells WHERE dim IN (SELECT dim FROM top)
-GROUP BY vec_id, label""",
+top AS (SELECT dim, CAST(row_number() OVER (ORDER BY dim) - 1 AS INTEGER) AS slot
+        FROM (SELECT dim FROM f ORDER BY f DESC LIMIT 8))
+SELECT c.vec_id, c.label, t.slot, CAST(c.dim - 1 AS INTEGER) AS dim, c.x AS "value"
+FROM cells c JOIN top t USING (dim)""",
 
     "label_index": """
 WITH counted AS (

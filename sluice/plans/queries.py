@@ -375,8 +375,13 @@ def explode_rows_q(spark, sf_dir):
 def feature_select(spark, sf_dir):
     """M1: the 8 embedding dimensions that best separate the labels."""
     emb = features.as_vectors(table(spark, sf_dir, "embeddings"), "embedding")
-    out, _ = features.select_features(emb, "features", "label", 8)
-    return out.select("vec_id", "label", vector_to_array("selected").alias("selected"))
+    out, picked = features.select_features(emb, "features", "label", 8)
+    # one row per selected feature: slot in the output vector, source dimension, value
+    dims = F.array(*[F.lit(d) for d in sorted(picked)])
+    slots = out.select("vec_id", "label",
+                       F.posexplode(vector_to_array("selected")).alias("slot", "value"))
+    return slots.select("vec_id", "label", "slot",
+                        F.element_at(dims, F.col("slot") + 1).alias("dim"), "value")
 
 
 def cluster_quality(spark, sf_dir):
