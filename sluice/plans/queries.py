@@ -60,8 +60,9 @@ def kafka_offset_range_overlap(spark, sf_dir):
 def kafka_available_now(spark, sf_dir):
     """The log as a stream, everything available read once, then stop."""
     staged = scratch_dir(spark, "log")
-    events_records(spark, sf_dir).write.parquet(staged)
-    schema = spark.read.parquet(staged).schema
+    log = events_records(spark, sf_dir)
+    log.write.parquet(staged)
+    schema = log.schema
     # bounded micro-batches: progress is committed batch by batch
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1000").parquet(staged)
     sink = scratch_dir(spark, "sink")
