@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Up to this many listed partitions the list is broadcast.
+MAX_BROADCAST_PARTITIONS = 1_000_000
+
 PARTITION_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType(), False),
     T.StructField("partition", T.IntegerType(), False),
@@ -29,17 +32,21 @@ def end_offsets(records: DataFrame, topic: str | None = None,
                   .agg((F.max("offset") + 1).cast("long").alias("end_offset")))
     if partitions is None:
         return ends
+    spark = records.sparkSession
     if not isinstance(partitions, DataFrame):
-        partitions = records.sparkSession.createDataFrame(
+        partitions = spark.createDataFrame(
             [(str(t), int(p)) for t, p in partitions], PARTITION_SCHEMA)
+    listed = partitions.select("topic", "partition")
     if topic is not None:
-        partitions = partitions.where(F.col("topic") == topic)
-    # both sides hold one row per partition: the join is between two small,
-    # already aggregated tables
-    return (partitions.select("topic", "partition").distinct()
-                      .join(ends, ["topic", "partition"], "left")
-                      .select("topic", "partition",
-                              F.coalesce("end_offset", F.lit(0).cast("long")).alias("end_offset")))
+        listed = listed.where(F.col("topic") == topic)
+    # The partition list is broadcast into a semi join (its size is counted
+    # first); listed partitions without records come in as 0 through a union,
+    # and one max per partition merges both.  No outer join, no sort-merge.
+    keep = F.broadcast(listed) if listed.count() <= MAX_BROADCAST_PARTITIONS else listed
+    found = ends.join(keep, ["topic", "partition"], "left_semi")
+    zeros = listed.withColumn("end_offset", F.lit(0).cast("long"))
+    return (found.unionByName(zeros).groupBy("topic", "partition")
+                 .agg(F.max("end_offset").alias("end_offset")))
 
 
 def end_offset_map(ends: DataFrame) -> dict[int, int]:
