@@ -1,0 +1,54 @@
+"""Run in its own process by test_recovery.py: a session whose tasks may be
+retried (local[4,4]); the input fails on the first attempt of some tasks."""
+
+import os
+import sys
+import tempfile
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+import pandas as pd  # noqa: E402
+from pyspark import TaskContext  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from sluice.operators.quality import write_bad_records  # noqa: E402
+from sluice.session import build_session, scratch_dir  # noqa: E402
+from sluice.sources.files import read_json  # noqa: E402
+from sluice.sources.records import assign_offsets  # noqa: E402
+
+
+@F.pandas_udf(T.LongType())
+def flaky(ids: pd.Series) -> pd.Series:
+    ctx = TaskContext.get()
+    if ctx.attemptNumber() == 0 and ctx.partitionId() % 2 == 0:
+        raise RuntimeError("simulated lost task")
+    return ids
+
+
+def main() -> None:
+    spark = build_session("local[4,4]", app="sluice-retry", shuffle_partitions=6,
+                          extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="retry-")})
+    base = spark.range(0, 3000, numPartitions=6).select(
+        flaky("id").alias("id"), (F.col("id") % 3).cast("int").alias("p"))
+    got = {(r["p"], r["id"]): r["offset"]
+           for r in assign_offsets(base, "p", "id", bucket_width=50,
+                                   buckets_per_group=4).collect()}
+    expected = {}
+    for p in range(3):
+        for n, i in enumerate(i for i in range(3000) if i % 3 == p):
+            expected[(p, i)] = n
+    assert got == expected, "offsets differ after retries"
+
+    rows = base.select("id", F.when(F.col("id") % 7 == 0, F.lit(None))
+                       .otherwise(F.lit("x")).alias("name"))
+    target = scratch_dir(spark, "bad")
+    write_bad_records(rows, target)
+    back = read_json(spark, target, schema=rows.schema)
+    assert sorted(r["id"] for r in back.collect()) == list(range(0, 3000, 7)), "quarantine"
+    print("RETRY-OK")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
