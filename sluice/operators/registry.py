@@ -37,6 +37,43 @@ def latest_schemas(registry: DataFrame, subject: str = "subject", version: str =
                     .select(subject, version, *[F.col(f"_latest.{c}").alias(c) for c in payload]))
 
 
+# Key and value layout of a registry's storage log (public format).
+_LOG_KEY = T.StructType([T.StructField("keytype", T.StringType()),
+                         T.StructField("subject", T.StringType()),
+                         T.StructField("version", T.IntegerType())])
+_LOG_VALUE = T.StructType([T.StructField("subject", T.StringType()),
+                           T.StructField("version", T.IntegerType()),
+                           T.StructField("id", T.IntegerType()),
+                           T.StructField("schema", T.StringType()),
+                           T.StructField("deleted", T.BooleanType())])
+
+
+def registry_from_log(records: DataFrame) -> DataFrame:
+    """The registry table ``(subject, version, id, schema_json)`` rebuilt from
+    the registry's own storage log (a compacted topic in record layout).
+
+    Compaction semantics: per key the record with the highest offset wins;
+    a tombstone (null value) or ``deleted: true`` removes the entry.  Keys
+    of other types (config, mode, ...) are ignored.  ``max_by`` reduces map
+    side, so a subject with many re-registrations is not gathered in one task.
+    """
+    k = F.from_json(F.col("key").cast("string"), _LOG_KEY)
+    v = F.from_json(F.col("value").cast("string"), _LOG_VALUE)
+    entries = (records.select(k.alias("k"), v.alias("v"), "offset")
+                      .where(F.col("k.keytype") == "SCHEMA"))
+    latest = (entries.groupBy(F.col("k.subject").alias("subject"),
+                              F.col("k.version").alias("version"))
+                     .agg(F.max_by(F.struct(F.col("v").isNull().alias("tombstone"),
+                                            F.col("v.id").alias("id"),
+                                            F.col("v.schema").alias("schema_json"),
+                                            F.col("v.deleted").alias("deleted")),
+                                   F.col("offset")).alias("last")))
+    return (latest.where(~F.col("last.tombstone")
+                         & ~F.coalesce(F.col("last.deleted"), F.lit(False)))
+                  .select("subject", "version", F.col("last.id").alias("id"),
+                          F.col("last.schema_json").alias("schema_json")))
+
+
 # Up to this many subjects the latest-schema table is broadcast to the records.
 MAX_BROADCAST_SUBJECTS = 100_000
 

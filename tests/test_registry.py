@@ -93,3 +93,33 @@ def test_attach_latest_schema(spark, monkeypatch):
         got = sorted((r["topic"], r["offset"], r["schema_version"], r["schema_id"])
                      for r in out.collect())
         assert got == [("a", 0, 3, 12), ("a", 1, 3, 12), ("b", 0, 1, 20), ("c", 0, None, None)]
+
+
+def test_registry_from_storage_log(spark):
+    def key(subject, version, keytype="SCHEMA"):
+        return json.dumps({"keytype": keytype, "subject": subject, "version": version,
+                           "magic": 1}).encode()
+
+    def value(subject, version, sid, schema, deleted=False):
+        return json.dumps({"subject": subject, "version": version, "id": sid,
+                           "schema": schema, "deleted": deleted}).encode()
+
+    log = [
+        (key("t-value", 1), value("t-value", 1, 1, "s1")),
+        (key("t-value", 2), value("t-value", 2, 2, "s2")),
+        (key("u-value", 1), value("u-value", 1, 3, "u1")),
+        (key("u-value", 1), None),                                   # tombstone
+        (key("v-value", 1), value("v-value", 1, 4, "v1")),
+        (key("v-value", 1), value("v-value", 1, 4, "v1", True)),    # soft delete
+        (key("w-value", 1), value("w-value", 1, 5, "w0")),
+        (key("w-value", 1), value("w-value", 1, 5, "w1")),          # rewritten
+        (json.dumps({"keytype": "CONFIG", "subject": None, "magic": 0}).encode(),
+         b'{"compatibilityLevel": "BACKWARD"}'),
+    ]
+    records = spark.createDataFrame([(k, v, "_schemas", 0, i) for i, (k, v) in enumerate(log)],
+                                    "key binary, value binary, topic string, partition int, "
+                                    "offset long")
+    reg = G.registry_from_log(records)
+    rows = sorted(tuple(r) for r in reg.collect())
+    assert rows == [("t-value", 1, 1, "s1"), ("t-value", 2, 2, "s2"), ("w-value", 1, 5, "w1")]
+    assert G.latest_schema_text(reg, G.value_subject("t")) == "s2"
