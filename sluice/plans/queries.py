@@ -16,7 +16,8 @@ from sluice.functions.aggregates import aggregate_by, root_sum_squares
 from sluice.functions.udfs import (call, count_ascii_upper, explode_column, explode_rows,
                                    leading_digit, register_udf)
 from sluice.operators import decode, features, offsets, quality, registry
-from sluice.plans.tables import EVENTS_TOPIC, events_records, events_with_gaps, table
+from sluice.plans.tables import (EVENTS_TOPIC, events_log, events_records, events_with_gaps,
+                                 table)
 from sluice.session import scratch_dir
 from sluice.sources import catalog, files, records
 from sluice.streaming import ingest
@@ -47,20 +48,20 @@ def record_text():
 
 def kafka_offset_range(spark, sf_dir):
     """Records of partition 0 [0, 100) and partition 1 [50, 150)."""
-    rec = events_records(spark, sf_dir)
+    rec = events_log(spark, sf_dir)
     return records.read_offset_ranges(rec, OFFSET_RANGES).select(*record_text())
 
 
 def kafka_offset_range_overlap(spark, sf_dir):
     """S1 with overlapping ranges: broadcast range join, one row per range."""
-    rec = events_records(spark, sf_dir)
+    rec = events_log(spark, sf_dir)
     return records.read_offset_ranges(rec, OVERLAPPING_RANGES).select(*record_text())
 
 
 def kafka_available_now(spark, sf_dir):
     """The log as a stream, everything available read once, then stop."""
     staged = scratch_dir(spark, "log")
-    log = events_records(spark, sf_dir)
+    log = events_log(spark, sf_dir)
     log.write.parquet(staged)
     schema = log.schema
     # bounded micro-batches: progress is committed batch by batch
@@ -123,7 +124,7 @@ def json_round_trip(spark, sf_dir):
 
 def preview(spark, sf_dir):
     """K2: the first 20 records in log order."""
-    rec = events_records(spark, sf_dir)
+    rec = events_log(spark, sf_dir)
     return records.preview(rec.select("topic", "partition", "offset",
                                       F.col("key").cast("string").alias("key")),
                            ["topic", "partition", "offset"], 20)
@@ -131,7 +132,7 @@ def preview(spark, sf_dir):
 
 def record_inspect(spark, sf_dir):
     """K3: key and value text of the first 20 records."""
-    return records.inspect_records(events_records(spark, sf_dir), 20)
+    return records.inspect_records(events_log(spark, sf_dir), 20)
 
 
 def external_table(spark, sf_dir):
@@ -166,7 +167,7 @@ def latest_schema(spark, sf_dir):
 
 def decode_dynamic(spark, sf_dir):
     """D2 + D4: values decoded under a Spark schema converted from Avro."""
-    rec = events_records(spark, sf_dir)
+    rec = events_log(spark, sf_dir)
     return decode.decode_json(rec, PROPS_AVRO_SCHEMA)
 
 
@@ -176,14 +177,14 @@ def schema_round_trip(spark, sf_dir):
     again = registry.schema_from_json(registry.schema_to_json(schema))
     if again != schema:
         raise AssertionError("schema changed in its JSON round trip")
-    rec = events_records(spark, sf_dir)
+    rec = events_log(spark, sf_dir)
     return decode.decode_json(rec, again, keep=("topic", "partition", "offset", "key")) \
                  .withColumn("key", F.col("key").cast("string"))
 
 
 def decode_fixed(spark, sf_dir):
     """Two named fields, the first as text, the second try-cast to int."""
-    rec = events_records(spark, sf_dir)
+    rec = events_log(spark, sf_dir)
     loose = decode.decode_json(rec, T.StructType([T.StructField("k", T.StringType())]),
                                keep=("partition", "offset", "key"))
     return decode.typed_projection(loose, [("key", "field1", "string"), ("k", "field2", "int")],
@@ -192,7 +193,7 @@ def decode_fixed(spark, sf_dir):
 
 def key_to_string(spark, sf_dir):
     """Record keys as strings."""
-    return decode.key_as_string(events_records(spark, sf_dir))
+    return decode.key_as_string(events_log(spark, sf_dir))
 
 
 def wire_split(spark, sf_dir):
@@ -252,7 +253,7 @@ def stream_quarantine(spark, sf_dir):
 def end_offsets(spark, sf_dir):
     """A1: next offset per log partition; listed partitions without records
     report 0."""
-    rec = events_records(spark, sf_dir)
+    rec = events_log(spark, sf_dir)
     listed = [(EVENTS_TOPIC, p) for p in range(LISTED_PARTITIONS)]
     return offsets.end_offsets(rec, EVENTS_TOPIC, listed)
 

@@ -4,10 +4,14 @@
 
 from __future__ import annotations
 
+import os
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.sources.records import records_from_table
+from sluice.session import scratch_dir
+from sluice.sources.records import RECORD_COLUMNS, records_from_table
 
 EVENTS_TOPIC = "events"
 LOG_PARTITIONS = 4
@@ -28,6 +32,33 @@ def events_records(spark: SparkSession, sf_dir: str, value=None, key=None) -> Da
         timestamp=F.col("ts"))
 
 
+_LOGS: dict[tuple[str, str], tuple[str, object]] = {}
+_LOGS_LOCK = threading.Lock()
+
+
+def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`events_records`, materialised once per application as a table
+    in the shared checkpoint folder -- the way a record log exists before
+    anyone reads it.
+
+    The table is partitioned by ``(topic, partition)`` and sorted by offset
+    inside each file, so offset-range predicates prune directories and skip
+    row groups by their min/max statistics.  Reading it also cuts the lineage
+    back to ``events``.
+    """
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOGS_LOCK:
+        if key not in _LOGS:
+            path = scratch_dir(spark, "events-log")
+            log = events_records(spark, sf_dir)
+            (log.sortWithinPartitions("topic", "partition", "offset")
+                .write.partitionBy("topic", "partition").parquet(path))
+            _LOGS[key] = (path, log.schema)
+        path, schema = _LOGS[key]
+    # the schema is given, so the partition columns keep their types
+    return spark.read.schema(schema).parquet(path).select(*RECORD_COLUMNS)
+
+
 def events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with ``event_type`` nulled where it says ``error``: the bad
     rows of the quality queries."""
