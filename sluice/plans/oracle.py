@@ -102,7 +102,7 @@ FROM rec""",
 
     "wire_split": f"""
 WITH {_REC}
-SELECT "partition", "offset", 0 AS magic, CAST(1 + user_id % 3 AS INTEGER) AS schema_id,
+SELECT "partition", "offset", 0 AS magic, CAST(1 + "offset" % 3 AS INTEGER) AS schema_id,
        props AS payload, true AS wire_ok
 FROM rec""",
 

@@ -198,9 +198,10 @@ def key_to_string(spark, sf_dir):
 
 def wire_split(spark, sf_dir):
     """Magic byte, schema id and payload of wire-format values."""
-    value = decode.frame_value(F.col("props"), 1 + F.col("user_id") % 3)
-    rec = events_records(spark, sf_dir, value=value)
-    return (decode.wire_split(rec)
+    # the log's values in wire format, writer schema ids rotating 1, 2, 3
+    rec = events_log(spark, sf_dir)
+    framed = rec.withColumn("value", decode.frame_value(F.col("value"), 1 + F.col("offset") % 3))
+    return (decode.wire_split(framed)
                   .select("partition", "offset", "magic", "schema_id",
                           F.col("payload").cast("string").alias("payload"), "wire_ok"))
 
