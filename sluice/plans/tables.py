@@ -48,6 +48,9 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _LOGS_LOCK:
+        known = _LOGS.get(key)
+        if known is not None and "://" not in known[0] and not os.path.isdir(known[0]):
+            del _LOGS[key]  # local scratch folder cleared meanwhile: rebuild
         if key not in _LOGS:
             path = scratch_dir(spark, "events-log")
             log = events_records(spark, sf_dir)

@@ -77,3 +77,15 @@ def test_filter_and_projection_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in text
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double,o_orderdate" in text
     assert not math.isnan(0.0)
+
+
+def test_events_log_built_once_and_rebuilt_if_gone(spark):
+    import shutil
+
+    from sluice.plans import tables
+    first = tables.events_log(spark, SF_SMALL)
+    path = tables._LOGS[(spark.sparkContext.applicationId,
+                         __import__("os").path.abspath(SF_SMALL))][0]
+    assert tables.events_log(spark, SF_SMALL).count() == first.count() == 1000
+    shutil.rmtree(path)
+    assert tables.events_log(spark, SF_SMALL).count() == 1000
