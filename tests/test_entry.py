@@ -79,13 +79,16 @@ def test_filter_and_projection_reach_the_scan(spark):
     assert not math.isnan(0.0)
 
 
-def test_events_log_built_once_and_rebuilt_if_gone(spark):
-    import shutil
+def test_events_log_built_once_and_rebuilt_if_gone(spark, tmp_path):
+    import os
 
     from sluice.plans import tables
     first = tables.events_log(spark, SF_SMALL)
-    path = tables._LOGS[(spark.sparkContext.applicationId,
-                         __import__("os").path.abspath(SF_SMALL))][0]
+    key = (spark.sparkContext.applicationId, os.path.abspath(SF_SMALL))
+    path, schema = tables._LOGS[key]
     assert tables.events_log(spark, SF_SMALL).count() == first.count() == 1000
-    shutil.rmtree(path)
+    assert tables._LOGS[key][0] == path  # reused, not rebuilt
+    # a memo entry whose folder is gone is rebuilt
+    tables._LOGS[key] = (str(tmp_path / "missing"), schema)
     assert tables.events_log(spark, SF_SMALL).count() == 1000
+    assert tables._LOGS[key][0] not in (path, str(tmp_path / "missing"))
