@@ -35,7 +35,9 @@ def select_features(df: DataFrame, features: str, label: str, k: int,
 def cluster_quality(df: DataFrame, features: str, k: int, seed: int = 7
                     ) -> tuple[DataFrame, float, float]:
     """M2: bisecting k-means, then its training cost (from the summary) and
-    the silhouette of the assignment (ClusteringEvaluator)."""
+    the silhouette of the assignment (ClusteringEvaluator).  The estimator
+    persists its own vectors while iterating when the input is not cached,
+    so no cache is added here (measured: an extra one only costs time)."""
     model = BisectingKMeans(featuresCol=features, k=k, seed=seed).fit(df)
     assigned = model.transform(df)
     silhouette = ClusteringEvaluator(featuresCol=features,
