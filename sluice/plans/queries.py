@@ -16,10 +16,11 @@ from sluice.functions.aggregates import aggregate_by, root_sum_squares
 from sluice.functions.udfs import (call, count_ascii_upper, explode_column, explode_rows,
                                    leading_digit, register_udf)
 from sluice.operators import decode, features, offsets, quality, registry
-from sluice.plans.tables import (EVENTS_TOPIC, events_log, events_records, events_with_gaps,
-                                 table)
+from sluice.plans.tables import (EVENTS_TOPIC, events_log, events_log_table, events_records,
+                                 events_with_gaps, table, with_gaps)
 from sluice.session import scratch_dir
 from sluice.sources import catalog, files, records
+from sluice.sources.records import RECORD_COLUMNS
 from sluice.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,16 +60,13 @@ def kafka_offset_range_overlap(spark, sf_dir):
 
 
 def kafka_available_now(spark, sf_dir):
-    """The log as a stream, everything available read once, then stop."""
-    staged = scratch_dir(spark, "log")
-    log = events_log(spark, sf_dir)
-    log.write.parquet(staged)
-    schema = log.schema
+    """The log read as a stream -- everything available once, then stop."""
+    path, schema = events_log_table(spark, sf_dir)
     # bounded micro-batches: progress is committed batch by batch
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1000").parquet(staged)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1000").parquet(path)
     sink = scratch_dir(spark, "sink")
-    ingest.run_available_now(stream, sink, scratch_dir(spark, "ckpt"))
-    return spark.read.schema(schema).parquet(sink).select(*record_text())
+    ingest.run_available_now(stream.select(*RECORD_COLUMNS), sink, scratch_dir(spark, "ckpt"))
+    return spark.read.parquet(sink).select(*record_text())
 
 
 def records_with_schema(spark, sf_dir):
@@ -240,10 +238,13 @@ def quarantine_empty(spark, sf_dir):
 
 def stream_quarantine(spark, sf_dir):
     """Q1 on a stream: bad rows per micro-batch, folders per batch id."""
-    ev = events_with_gaps(spark, sf_dir)
-    staged = scratch_dir(spark, "in")
-    ev.write.parquet(staged)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "2").parquet(staged)
+    source = table(spark, sf_dir, "events")
+    # the events files themselves are the stream's input, in bounded batches
+    stream = with_gaps(spark.readStream.schema(source.schema)
+                       .option("maxFilesPerTrigger", "1000")
+                       .option("pathGlobFilter", "events.parquet")
+                       .parquet(sf_dir))
+    ev = with_gaps(source)
     target = scratch_dir(spark, "quarantine")
     ingest.quarantine_stream(stream, target, scratch_dir(spark, "ckpt"))
     return files.read_json(spark, target, schema=ev.schema).select(*ev.columns)

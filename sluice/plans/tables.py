@@ -37,9 +37,15 @@ _LOGS_LOCK = threading.Lock()
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """:func:`events_records`, materialised once per application as a table
-    in the shared checkpoint folder -- the way a record log exists before
-    anyone reads it.
+    path, schema = events_log_table(spark, sf_dir)
+    # the schema is given, so the partition columns keep their types
+    return spark.read.schema(schema).parquet(path).select(*RECORD_COLUMNS)
+
+
+def events_log_table(spark: SparkSession, sf_dir: str):
+    """``(path, schema)`` of :func:`events_records`, materialised once per
+    application as a table in the shared checkpoint folder -- the way a
+    record log exists before anyone reads it (see :func:`events_log`).
 
     The table is partitioned by ``(topic, partition)`` and sorted by offset
     inside each file, so offset-range predicates prune directories and skip
@@ -57,16 +63,17 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             (log.sortWithinPartitions("topic", "partition", "offset")
                 .write.partitionBy("topic", "partition").parquet(path))
             _LOGS[key] = (path, log.schema)
-        path, schema = _LOGS[key]
-    # the schema is given, so the partition columns keep their types
-    return spark.read.schema(schema).parquet(path).select(*RECORD_COLUMNS)
+        return _LOGS[key]
 
 
-def events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with ``event_type`` nulled where it says ``error``: the bad
-    rows of the quality queries."""
-    ev = table(spark, sf_dir, "events")
+def with_gaps(ev: DataFrame) -> DataFrame:
+    """``event_type`` nulled where it says ``error``: the bad rows of the
+    quality queries (works on a batch or a streaming frame)."""
     return ev.select("event_id", "ts", "user_id",
                      F.when(F.col("event_type") != "error", F.col("event_type"))
                       .alias("event_type"),
                      "value", "props")
+
+
+def events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_gaps(table(spark, sf_dir, "events"))
