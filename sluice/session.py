@@ -9,6 +9,7 @@ private temporary folder and register it.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -51,6 +52,28 @@ def build_session(master: str | None = None, app: str = "sluice",
     return spark
 
 
+def sized_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20,
+               min_partitions: int = 200) -> dict[str, str]:
+    """Settings that keep every task's share of the largest shuffle near
+    ``partition_bytes``, so partitions fit executor memory without spilling
+    at the target scale.
+
+    ``spark.sql.shuffle.partitions`` is the ceiling AQE starts from (it then
+    coalesces small partitions to the advisory size); scan splits use the
+    same size; a partition beyond twice the size (and 5x the median) is a
+    skewed one and gets split in joins.  For example, a 10 TB shuffle gives
+    40,960 partitions of 256 MB.
+    """
+    parts = max(min_partitions, math.ceil(largest_shuffle_bytes / partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; created privately only when unset."""
     root = spark.conf.get(_CHECKPOINT_KEY, None)
