@@ -150,3 +150,26 @@ def test_assign_offsets_keeps_null_keys(spark):
     got = sorted(((r["p"] if r["p"] is not None else -1), r["id"] if r["id"] is not None else -1,
                   r["offset"]) for r in R.assign_offsets(df, "p", "id", bucket_width=2).collect())
     assert got == [(-1, 5, 0), (-1, 6, 1), (0, -1, 0), (0, 1, 1), (0, 2, 2), (0, 3, 3)]
+
+
+_LOG_ROWS = [(t, p, o, str(o), "v") for t in ("a", "b") for p in range(2) for o in range(40)]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 2),
+                          st.integers(0, 45), st.integers(0, 20)), min_size=1, max_size=6),
+       st.sampled_from(["pushed", "broadcast", "bucketed"]), st.sampled_from([1, 7, 64]))
+def test_offset_ranges_property(spark, raw, mode, width):
+    import pytest as _pytest
+    ranges = [(t, p, a, a + n) for t, p, a, n in raw]
+    mp = _pytest.MonkeyPatch()
+    try:
+        if mode == "bucketed":
+            mp.setattr(R, "MAX_BROADCAST_RANGES", 0)
+        if mode == "broadcast":
+            mp.setattr(R, "MAX_PUSHED_RANGES", 0)
+        got = R.read_offset_ranges(_log(spark, _LOG_ROWS), ranges, bucket_width=width)
+        rows = sorted(tuple(r) for r in got.select("topic", "partition", "offset").collect())
+    finally:
+        mp.undo()
+    assert rows == _expected(_LOG_ROWS, ranges)
