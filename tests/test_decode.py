@@ -76,3 +76,19 @@ def test_writer_schemas_found_by_id(spark):
                                  ("t-value", 3, 11, "s11")],
                                 "subject string, version int, id int, schema_json string")
     assert D.writer_schemas(framed, reg) == {7: "s7", 9: "s9"}
+
+
+def test_decode_nested_avro_declared_schema(spark):
+    import json
+    schema = json.dumps({"type": "record", "name": "Outer", "fields": [
+        {"name": "id", "type": "long"},
+        {"name": "tags", "type": {"type": "array", "items": "string"}},
+        {"name": "attrs", "type": {"type": "map", "values": "int"}},
+        {"name": "inner", "type": ["null", {"type": "record", "name": "Inner",
+                                            "fields": [{"name": "x", "type": "double"}]}]}]})
+    docs = ['{"id": 1, "tags": ["a", "b"], "attrs": {"k": 2}, "inner": {"x": 1.5}}',
+            '{"id": 2, "tags": [], "attrs": {}, "inner": null}']
+    out = D.decode_json(_values(spark, docs), schema).orderBy("offset").collect()
+    assert (out[0]["id"], out[0]["tags"], out[0]["attrs"], out[0]["inner"]["x"]) == \
+        (1, ["a", "b"], {"k": 2}, 1.5)
+    assert (out[1]["tags"], out[1]["attrs"], out[1]["inner"]) == ([], {}, None)

@@ -86,3 +86,13 @@ def test_no_token_left(spark, tokens, text):
             expected.append(text[i])
             i += 1
     assert out == "".join(expected)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="ab|,", max_size=8), min_size=1, max_size=5),
+       st.sampled_from(["|", ",", "||", "a|"]))
+def test_split_tokens_property(spark, texts, delimiter):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r["s"] for r in df.select("i", X.split_tokens("t", delimiter).alias("s"))
+                              .orderBy("i").collect()]
+    assert got == [X.parse_token_list(t, delimiter) for t in texts]
