@@ -16,11 +16,12 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.session import scratch_dir
+
 
 RECORD_COLUMNS = ["key", "value", "topic", "partition", "offset",
                   "timestamp", "timestampType"]
@@ -64,24 +65,27 @@ def assign_offsets(df: DataFrame, partition_col: str, order_col: str,
     buckets_per_group) groups, even for very sparse keys.
 
     The per-bucket count table (about one row per ``bucket_width`` offsets
-    of a partition) is cached: both prefix-sum levels read the one cached
-    copy, so the input is scanned twice in all -- once for counts, once for
-    numbering.  The cache is filled inside the query's own execution; a lost
-    block is recomputed from lineage.  Every step is deterministic -- no
-    sampling and no dependence on task ids -- so recomputation after an
-    executor loss gives the same offsets.  A null partition is a partition of
-    its own and null order keys come first, as in ``ORDER BY o``; no row is
-    dropped.  The
-    numbered side is hash-partitioned on ``(p, bucket)`` by its window and
-    joins on exactly those keys, so only the small count tables move; whether
-    they are broadcast is decided from their measured size.
+    of a partition) is written once as a table in the shared checkpoint
+    folder: both prefix-sum levels read it, so the input is scanned twice in
+    all -- once for counts, once for numbering -- nothing stays cached after
+    the call, and the table survives executor loss.
+
+    Every step is deterministic -- no sampling and no dependence on task ids
+    -- so recomputation after an executor loss gives the same offsets.  A
+    null partition is a partition of its own and null order keys come first,
+    as in ``ORDER BY o``; no row is dropped.  The numbered side is
+    hash-partitioned on ``(p, bucket)`` by its window and joins on exactly
+    those keys, so only the small count tables move; whether they are
+    broadcast is decided from their measured size.
     """
     w, g = int(bucket_width), int(buckets_per_group)
     # integral ``div`` (truncating, still monotone in the key): exact for any long
     staged = df.withColumn("_bucket", F.expr(f"cast(`{order_col}` as long) div {w}"))
-    counts = (staged.groupBy(partition_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-                    .persist(StorageLevel.MEMORY_AND_DISK)
-                    .withColumn("_group", F.expr(f"_bucket div {g}")))
+    counts_path = scratch_dir(df.sparkSession, "offset-counts")
+    (staged.groupBy(partition_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+           .write.parquet(counts_path))
+    counts = (df.sparkSession.read.parquet(counts_path)
+                .withColumn("_group", F.expr(f"_bucket div {g}")))
     before = Window.unboundedPreceding
     in_group = (Window.partitionBy(partition_col, "_group").orderBy("_bucket")
                       .rowsBetween(before, -1))
