@@ -80,8 +80,8 @@ MAX_BROADCAST_SUBJECTS = 100_000
 
 def attach_latest_schema(records: DataFrame, registry: DataFrame,
                          topic_col: str = "topic") -> DataFrame:
-    """Adds ``schema_version``, ``schema_id`` and ``schema_json``: the latest
-    registry version of each record's value subject (``<topic>-value``).
+    """Adds ``latest_version``, ``latest_id`` and ``latest_schema_json``: the
+    latest registry version of each record's value subject (``<topic>-value``).
 
     All records of a topic share one join key, so a shuffle join would put
     the whole topic in one task.  The latest-schema table (one row per
@@ -90,8 +90,8 @@ def attach_latest_schema(records: DataFrame, registry: DataFrame,
     skew-join splitting.
     """
     latest = latest_schemas(registry).select(
-        F.col("subject").alias("_subject"), F.col("version").alias("schema_version"),
-        F.col("id").alias("schema_id"), "schema_json")
+        F.col("subject").alias("_subject"), F.col("version").alias("latest_version"),
+        F.col("id").alias("latest_id"), F.col("schema_json").alias("latest_schema_json"))
     keyed = records.withColumn("_subject", F.concat(F.col(topic_col), F.lit(VALUE_SUFFIX)))
     side = F.broadcast(latest) if latest.count() <= MAX_BROADCAST_SUBJECTS else latest
     return keyed.join(side, "_subject", "left").drop("_subject")

@@ -92,6 +92,13 @@ SELECT topic, "partition", "offset", "key",
        TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
 FROM rec""",
 
+    "registry_decode": f"""
+WITH {_REC}
+SELECT topic, "partition", "offset", CAST(1 + "offset" % 3 AS INTEGER) AS schema_id,
+       3 AS latest_version, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       CAST(NULL AS VARCHAR) AS note
+FROM rec""",
+
     "decode_fixed": f"""
 WITH {_REC}
 SELECT "partition", "offset", "key" AS field1,

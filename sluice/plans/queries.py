@@ -180,6 +180,32 @@ def schema_round_trip(spark, sf_dir):
                  .withColumn("key", F.col("key").cast("string"))
 
 
+# Three registry versions of the events value schema; version 3
+# adds an optional field.
+EVENTS_VALUE_VERSIONS = [
+    (1, '{"type": "record", "name": "Props", "fields": [{"name": "k", "type": "int"}]}'),
+    (2, '{"type": "record", "name": "Props", "fields": [{"name": "k", "type": ["null", "int"]}]}'),
+    (3, '{"type": "record", "name": "Props", "fields": [{"name": "k", "type": ["null", "int"]}, '
+        '{"name": "note", "type": ["null", "string"], "default": null}]}'),
+]
+
+
+def registry_decode(spark, sf_dir):
+    """D1 + D7 + D4 together, as the reference reads a topic: wire-format
+    values written with schema ids 1-3, the latest registry schema of the
+    topic's value subject attached to each record, payloads decoded by name
+    under it (fields missing from older writers are null)."""
+    reg = spark.createDataFrame(
+        [(registry.value_subject(EVENTS_TOPIC), v, v, text) for v, text in EVENTS_VALUE_VERSIONS],
+        "subject string, version int, id int, schema_json string")
+    rec = events_log(spark, sf_dir)
+    framed = rec.withColumn("value", decode.frame_value(F.col("value"), 1 + F.col("offset") % 3))
+    split = registry.attach_latest_schema(decode.wire_split(framed), reg)
+    latest = registry.latest_schema_text(reg, registry.value_subject(EVENTS_TOPIC))
+    return decode.decode_json(split, latest, value_col="payload",
+                              keep=("topic", "partition", "offset", "schema_id", "latest_version"))
+
+
 def decode_fixed(spark, sf_dir):
     """Two named fields, the first as text, the second try-cast to int."""
     rec = events_log(spark, sf_dir)
@@ -454,6 +480,7 @@ QUERIES: dict[str, Query] = {
     "latest_schema": latest_schema,
     "decode_dynamic": decode_dynamic,
     "schema_round_trip": schema_round_trip,
+    "registry_decode": registry_decode,
     "decode_fixed": decode_fixed,
     "key_to_string": key_to_string,
     "wire_split": wire_split,

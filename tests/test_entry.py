@@ -63,7 +63,8 @@ def test_query_matches_oracle(spark, duck, name):
 # queries whose plan must stay in the JVM (no Python execution node)
 JVM_ONLY = ["kafka_offset_range", "kafka_offset_range_overlap", "latest_schema", "wire_split",
             "sql_filter", "null_any", "end_offsets", "approx_distinct", "sum_distinct",
-            "builtin_aggs", "decode_dynamic", "replace_chars", "split_tokens", "bit_ops"]
+            "builtin_aggs", "decode_dynamic", "replace_chars", "split_tokens", "bit_ops",
+            "registry_decode"]
 
 
 @pytest.mark.parametrize("name", JVM_ONLY)

@@ -90,7 +90,7 @@ def test_attach_latest_schema(spark, monkeypatch):
     for limit in (G.MAX_BROADCAST_SUBJECTS, 0):
         monkeypatch.setattr(G, "MAX_BROADCAST_SUBJECTS", limit)
         out = G.attach_latest_schema(recs, reg)
-        got = sorted((r["topic"], r["offset"], r["schema_version"], r["schema_id"])
+        got = sorted((r["topic"], r["offset"], r["latest_version"], r["latest_id"])
                      for r in out.collect())
         assert got == [("a", 0, 3, 12), ("a", 1, 3, 12), ("b", 0, 1, 20), ("c", 0, None, None)]
 
