@@ -173,10 +173,13 @@ def _range_envelope(ranges: list[tuple[str, int, int, int]]) -> Column:
     return F.col("topic").isin(topics) & (F.col("offset") >= lo) & (F.col("offset") < hi)
 
 
-def read_offset_ranges(records: DataFrame, ranges: Iterable,
+def read_offset_ranges(records: DataFrame, ranges: Iterable | DataFrame,
                        bucket_width: int = 1 << 20) -> DataFrame:
     """Exactly the records in each ``(topic, partition, [from, until))``.
 
+    ``ranges`` is a list of tuples / dicts, or a DataFrame with the columns of
+    ``RANGE_SCHEMA`` (then counted first, and its bounds pushed to the scan).
+
     As with one RDD partition per offset range, a record inside two
     overlapping ranges is returned once per range.  Disjoint ranges (the
     usual case) return each record once.
@@ -190,17 +193,29 @@ def read_offset_ranges(records: DataFrame, ranges: Iterable,
       spread over many join keys.
     """
     spark = records.sparkSession
-    rs = _normalise_ranges(ranges)
-    if not rs:
-        return records.limit(0)
-    scoped = records.where(_range_envelope(rs))
-    if len(rs) <= MAX_PUSHED_RANGES and _disjoint(rs):
-        return scoped
-    rdf = spark.createDataFrame(rs, RANGE_SCHEMA)
+    if isinstance(ranges, DataFrame):
+        # ranges kept in a table: counted and bounded by one small aggregate,
+        # never brought to the driver row by row
+        rdf = ranges.select(*[F.col(f.name).cast(f.dataType) for f in RANGE_SCHEMA.fields])
+        stats = rdf.agg(F.count(F.lit(1)).alias("n"), F.min("from_offset").alias("lo"),
+                        F.max("until_offset").alias("hi")).first()
+        n = stats["n"]
+        if n == 0:
+            return records.limit(0)
+        scoped = records.where((F.col("offset") >= stats["lo"]) & (F.col("offset") < stats["hi"]))
+    else:
+        rs = _normalise_ranges(ranges)
+        if not rs:
+            return records.limit(0)
+        n = len(rs)
+        scoped = records.where(_range_envelope(rs))
+        if n <= MAX_PUSHED_RANGES and _disjoint(rs):
+            return scoped
+        rdf = spark.createDataFrame(rs, RANGE_SCHEMA)
     inside = ((F.col("r.from_offset") <= F.col("k.offset"))
               & (F.col("k.offset") < F.col("r.until_offset")))
     k = scoped.alias("k")
-    if len(rs) <= MAX_BROADCAST_RANGES:
+    if n <= MAX_BROADCAST_RANGES:
         r = F.broadcast(rdf).alias("r")
         cond = ((F.col("k.topic") == F.col("r.topic"))
                 & (F.col("k.partition") == F.col("r.partition")) & inside)

@@ -173,3 +173,16 @@ def test_offset_ranges_property(spark, raw, mode, width):
     finally:
         mp.undo()
     assert rows == _expected(_LOG_ROWS, ranges)
+
+
+@pytest.mark.parametrize("limit", [R.MAX_BROADCAST_RANGES, 0])
+def test_offset_ranges_from_a_table(spark, monkeypatch, limit):
+    monkeypatch.setattr(R, "MAX_BROADCAST_RANGES", limit)
+    ranges = [("a", 0, 5, 25), ("a", 0, 20, 30), ("b", 1, 0, 40)]
+    table = spark.createDataFrame(ranges, "topic string, partition long, from_offset int, "
+                                          "until_offset long")
+    got = R.read_offset_ranges(_log(spark, _LOG_ROWS), table, bucket_width=8)
+    rows = sorted(tuple(r) for r in got.select("topic", "partition", "offset").collect())
+    assert rows == _expected(_LOG_ROWS, ranges)
+    empty = spark.createDataFrame([], R.RANGE_SCHEMA)
+    assert R.read_offset_ranges(_log(spark, _LOG_ROWS), empty).count() == 0
