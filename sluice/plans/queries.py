@@ -47,19 +47,19 @@ def record_text():
 
 # -- sources ---------------------------------------------------------------
 
-def kafka_offset_range(spark, sf_dir):
+def kafka_offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of partition 0 [0, 100) and partition 1 [50, 150)."""
     rec = events_log(spark, sf_dir)
     return records.read_offset_ranges(rec, OFFSET_RANGES).select(*record_text())
 
 
-def kafka_offset_range_overlap(spark, sf_dir):
+def kafka_offset_range_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 with overlapping ranges: broadcast range join, one row per range."""
     rec = events_log(spark, sf_dir)
     return records.read_offset_ranges(rec, OVERLAPPING_RANGES).select(*record_text())
 
 
-def kafka_available_now(spark, sf_dir):
+def kafka_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log read as a stream -- everything available once, then stop."""
     path, schema = events_log_table(spark, sf_dir)
     # bounded micro-batches: progress is committed batch by batch
@@ -69,7 +69,7 @@ def kafka_available_now(spark, sf_dir):
     return spark.read.parquet(sink).select(*record_text())
 
 
-def records_with_schema(spark, sf_dir):
+def records_with_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: an RDD of tuples plus a StructType -> DataFrame (by position)."""
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     schema = T.StructType([T.StructField("s_suppkey", T.LongType()),
@@ -79,7 +79,7 @@ def records_with_schema(spark, sf_dir):
     return files.rows_to_frame(spark, rdd, schema)
 
 
-def json_file_read(spark, sf_dir):
+def json_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines written from supplier, read back with a schema."""
     sup = table(spark, sf_dir, "supplier")
     path = scratch_dir(spark, "json")
@@ -87,21 +87,21 @@ def json_file_read(spark, sf_dir):
     return files.read_json(spark, path, schema=sup.schema, sampling_ratio=0.5)
 
 
-def json_strings(spark, sf_dir):
+def json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON documents in a string column, parsed under a schema."""
     ev = table(spark, sf_dir, "events")
     schema = T.StructType([T.StructField("k", T.IntegerType())])
     return files.parse_json_strings(spark, ev, "props", schema, keep=("event_id",))
 
 
-def parquet_read(spark, sf_dir):
+def parquet_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parquet read with a pushed filter and a two-column projection."""
     orders = files.read_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
     return (orders.where(F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
                   .select("o_orderkey", "o_totalprice"))
 
 
-def generic_load(spark, sf_dir):
+def generic_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Format + schema + options load, then an aggregate."""
     schema = ("l_returnflag string, l_linestatus string, l_quantity double, "
               "l_orderkey bigint")
@@ -112,7 +112,7 @@ def generic_load(spark, sf_dir):
                    F.sum("l_quantity").cast("long").alias("sum_qty")))
 
 
-def json_round_trip(spark, sf_dir):
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 + K1: bad rows written as JSON lines, read back as raw text."""
     ev = events_with_gaps(spark, sf_dir).select("event_id", "user_id", "event_type")
     target = scratch_dir(spark, "bad")
@@ -120,7 +120,7 @@ def json_round_trip(spark, sf_dir):
     return files.read_json_lines_text(spark, target)
 
 
-def preview(spark, sf_dir):
+def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: the first 20 records in log order."""
     rec = events_log(spark, sf_dir)
     return records.preview(rec.select("topic", "partition", "offset",
@@ -128,12 +128,12 @@ def preview(spark, sf_dir):
                            ["topic", "partition", "offset"], 20)
 
 
-def record_inspect(spark, sf_dir):
+def record_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: key and value text of the first 20 records."""
     return records.inspect_records(events_log(spark, sf_dir), 20)
 
 
-def external_table(spark, sf_dir):
+def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: an external catalog table over the nation parquet files."""
     path = os.path.abspath(f"{sf_dir.rstrip('/')}/nation.parquet") \
         if "://" not in sf_dir else f"{sf_dir.rstrip('/')}/nation.parquet"
@@ -141,7 +141,7 @@ def external_table(spark, sf_dir):
     return spark.table("sluice_nation_ext").select("n_nationkey", "n_name", "n_regionkey")
 
 
-def temp_view(spark, sf_dir):
+def temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: a temp view queried with SQL."""
     name = catalog.temp_view(table(spark, sf_dir, "orders"), "sluice_orders_v")
     return spark.sql(f"SELECT o_orderstatus, count(*) AS n_orders FROM {name} "
@@ -150,7 +150,7 @@ def temp_view(spark, sf_dir):
 
 # -- schema and decoding ---------------------------------------------------
 
-def _registry(spark, sf_dir):
+def _registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations")
     return conv.select(F.col("conv_id").cast("string").alias("subject"),
                        F.col("turn").alias("version"),
@@ -158,18 +158,18 @@ def _registry(spark, sf_dir):
                        F.col("text").alias("schema_json"))
 
 
-def latest_schema(spark, sf_dir):
+def latest_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per subject the highest version and its id and text."""
     return registry.latest_schemas(_registry(spark, sf_dir))
 
 
-def decode_dynamic(spark, sf_dir):
+def decode_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D2 + D4: values decoded under a Spark schema converted from Avro."""
     rec = events_log(spark, sf_dir)
     return decode.decode_json(rec, PROPS_AVRO_SCHEMA)
 
 
-def schema_round_trip(spark, sf_dir):
+def schema_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D3: decode under the schema re-read from its own JSON form."""
     schema = registry.avro_to_spark(PROPS_AVRO_SCHEMA)
     again = registry.schema_from_json(registry.schema_to_json(schema))
@@ -190,7 +190,7 @@ EVENTS_VALUE_VERSIONS = [
 ]
 
 
-def registry_decode(spark, sf_dir):
+def registry_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1 + D7 + D4 together, as the reference reads a topic: wire-format
     values written with schema ids 1-3, the latest registry schema of the
     topic's value subject attached to each record, payloads decoded by name
@@ -206,7 +206,7 @@ def registry_decode(spark, sf_dir):
                               keep=("topic", "partition", "offset", "schema_id", "latest_version"))
 
 
-def decode_fixed(spark, sf_dir):
+def decode_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two named fields, the first as text, the second try-cast to int."""
     rec = events_log(spark, sf_dir)
     loose = decode.decode_json(rec, T.StructType([T.StructField("k", T.StringType())]),
@@ -215,12 +215,12 @@ def decode_fixed(spark, sf_dir):
                                    keep=("partition", "offset"))
 
 
-def key_to_string(spark, sf_dir):
+def key_to_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Record keys as strings."""
     return decode.key_as_string(events_log(spark, sf_dir))
 
 
-def wire_split(spark, sf_dir):
+def wire_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Magic byte, schema id and payload of wire-format values."""
     # the log's values in wire format, writer schema ids rotating 1, 2, 3
     rec = events_log(spark, sf_dir)
@@ -232,7 +232,7 @@ def wire_split(spark, sf_dir):
 
 # -- quality ---------------------------------------------------------------
 
-def quarantine(spark, sf_dir):
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 + Q3 + Q5 + K1: bad rows appended as JSON, read back typed."""
     ev = events_with_gaps(spark, sf_dir)
     target = scratch_dir(spark, "quarantine")
@@ -240,19 +240,19 @@ def quarantine(spark, sf_dir):
     return files.read_json(spark, target, schema=ev.schema)
 
 
-def sql_filter(spark, sf_dir):
+def sql_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2: rows matching a SQL predicate string."""
     ev = table(spark, sf_dir, "events")
     return quality.filter_sql(ev, SQL_CONDITION).select("event_id", "event_type", "value")
 
 
-def null_any(spark, sf_dir):
+def null_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q3: each row with its bad-record flag."""
     ev = events_with_gaps(spark, sf_dir)
     return ev.select("event_id", quality.null_any(ev.columns).alias("is_bad"))
 
 
-def quarantine_empty(spark, sf_dir):
+def quarantine_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q4: nothing bad -> nothing written; the rows pass unchanged."""
     ev = table(spark, sf_dir, "events").select("event_id", "value")
     target = scratch_dir(spark, "quarantine")
@@ -262,7 +262,7 @@ def quarantine_empty(spark, sf_dir):
     return good
 
 
-def stream_quarantine(spark, sf_dir):
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q1 on a stream: bad rows per micro-batch, folders per batch id."""
     source = table(spark, sf_dir, "events")
     # the events files themselves are the stream's input, in bounded batches
@@ -278,7 +278,7 @@ def stream_quarantine(spark, sf_dir):
 
 # -- aggregates ------------------------------------------------------------
 
-def end_offsets(spark, sf_dir):
+def end_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A1: next offset per log partition; listed partitions without records
     report 0."""
     rec = events_log(spark, sf_dir)
@@ -286,7 +286,7 @@ def end_offsets(spark, sf_dir):
     return offsets.end_offsets(rec, EVENTS_TOPIC, listed)
 
 
-def approx_distinct(spark, sf_dir):
+def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: approximate distinct customers per status, checked against the
     exact count (3 standard errors)."""
     orders = table(spark, sf_dir, "orders")
@@ -298,7 +298,7 @@ def approx_distinct(spark, sf_dir):
                        <= 3 * RSD * F.col("n_customers")).alias("within_bound"))
 
 
-def sum_distinct(spark, sf_dir):
+def sum_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: sums of distinct values."""
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy("l_returnflag").agg(
@@ -306,7 +306,7 @@ def sum_distinct(spark, sf_dir):
         F.sum_distinct("l_linenumber").cast("long").alias("sum_distinct_line"))
 
 
-def builtin_aggs(spark, sf_dir):
+def builtin_aggs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A4: untyped built-in aggregates."""
     orders = table(spark, sf_dir, "orders")
     return orders.groupBy("o_orderpriority").agg(
@@ -316,7 +316,7 @@ def builtin_aggs(spark, sf_dir):
         F.count("o_custkey").alias("n_with_customer"))
 
 
-def user_agg(spark, sf_dir):
+def user_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: a user-defined aggregate (root of sum of squares) with map-side
     partial buffers."""
     ev = table(spark, sf_dir, "events")
@@ -327,19 +327,19 @@ def user_agg(spark, sf_dir):
 
 # -- scalar functions --------------------------------------------------------
 
-def split_tokens(spark, sf_dir):
+def split_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pipe-delimited tokens with Java split semantics."""
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.size(txt.split_tokens("text", "|")).alias("n_tokens"))
 
 
-def replace_chars(spark, sf_dir):
+def replace_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The special characters of the token list replaced by '@'."""
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", txt.replace_tokens("text", SPECIAL_CHARS, "@").alias("text"))
 
 
-def bit_ops(spark, sf_dir):
+def bit_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bitwise not and the three shifts."""
     part = table(spark, sf_dir, "part")
     neg = -F.col("p_size")
@@ -350,7 +350,7 @@ def bit_ops(spark, sf_dir):
                        F.shiftrightunsigned(neg, 1).alias("shru_neg"))
 
 
-def degrees_radians(spark, sf_dir):
+def degrees_radians(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Angle conversions."""
     sup = table(spark, sf_dir, "supplier")
     # scaled to integers so the check does not hinge on the last float digit
@@ -359,7 +359,7 @@ def degrees_radians(spark, sf_dir):
                       F.round(F.radians("s_acctbal") * 1e9).cast("long").alias("rad_e9"))
 
 
-def row_ids(spark, sf_dir):
+def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monotonically increasing ids are unique and non-negative."""
     li = table(spark, sf_dir, "lineitem").select(F.monotonically_increasing_id().alias("rid"))
     return li.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -369,13 +369,13 @@ def row_ids(spark, sf_dir):
 
 # -- UDFs and generators -----------------------------------------------------
 
-def scalar_udf(spark, sf_dir):
+def scalar_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An Arrow-batched scalar UDF."""
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", count_ascii_upper("text").alias("n_upper"))
 
 
-def call_udf(spark, sf_dir):
+def call_udf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A registered UDF called by name."""
     register_udf(spark, "sluice_leading_digit", leading_digit)
     orders = table(spark, sf_dir, "orders")
@@ -383,7 +383,7 @@ def call_udf(spark, sf_dir):
                          call("sluice_leading_digit", "o_orderpriority").alias("priority"))
 
 
-def explode_col(spark, sf_dir):
+def explode_col(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document, one row each, counted per language."""
     docs = table(spark, sf_dir, "documents")
     words = explode_column(docs, F.split("text", " ", -1), "word", keep=("lang",))
@@ -391,7 +391,7 @@ def explode_col(spark, sf_dir):
                                      F.count_distinct("word").alias("n_distinct_words"))
 
 
-def explode_rows_q(spark, sf_dir):
+def explode_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U4: each order row becomes two rows."""
     orders = table(spark, sf_dir, "orders")
     return explode_rows(orders, ["o_orderkey"],
@@ -402,7 +402,7 @@ def explode_rows_q(spark, sf_dir):
 
 # -- features ----------------------------------------------------------------
 
-def feature_select(spark, sf_dir):
+def feature_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1: the 8 embedding dimensions that best separate the labels."""
     emb = features.as_vectors(table(spark, sf_dir, "embeddings"), "embedding")
     out, picked = features.select_features(emb, "features", "label", 8)
@@ -414,7 +414,7 @@ def feature_select(spark, sf_dir):
                         F.element_at(dims, F.col("slot") + 1).alias("dim"), "value")
 
 
-def cluster_quality(spark, sf_dir):
+def cluster_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: bisecting k-means assignment with its cost and silhouette."""
     emb = features.as_vectors(table(spark, sf_dir, "embeddings"), "embedding")
     assigned, cost, silhouette = features.cluster_quality(emb, "features", 4)
@@ -423,7 +423,7 @@ def cluster_quality(spark, sf_dir):
                            F.lit(silhouette).alias("silhouette"))
 
 
-def label_index(spark, sf_dir):
+def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: several string columns indexed at once, most frequent first."""
     ev = table(spark, sf_dir, "events").select(
         "event_type", (F.col("user_id") % 7).cast("string").alias("user_bucket"))
@@ -437,7 +437,7 @@ def label_index(spark, sf_dir):
 
 # -- flagship ----------------------------------------------------------------
 
-def ingest_summary(spark, sf_dir):
+def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records -> decode under an Avro-declared schema -> bad-record split
     (null key or null field) with the bad rows quarantined -> per partition
     record count, bad count and end offset.
