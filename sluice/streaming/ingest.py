@@ -32,6 +32,15 @@ def run_available_now(stream: DataFrame, sink_path: str, checkpoint: str,
     return query
 
 
+def quarantine_batch(batch: DataFrame, batch_id: int, target: str,
+                     condition: str | Column | None = None) -> bool:
+    """One micro-batch of :func:`quarantine_stream`: the bad rows go to
+    ``target/batch_id=<id>``, replacing what an earlier attempt of the same
+    batch wrote.  Idempotent, so a replayed batch is never counted twice."""
+    return write_bad_records(batch, f"{target}/batch_id={batch_id}", condition,
+                             mode="overwrite")
+
+
 def quarantine_stream(stream: DataFrame, target: str, checkpoint: str,
                       condition: str | Column | None = None,
                       available_now: bool = True) -> StreamingQuery:
@@ -43,7 +52,7 @@ def quarantine_stream(stream: DataFrame, target: str, checkpoint: str,
     a micro-batch is read once for probe and write.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        write_bad_records(batch, f"{target}/batch_id={batch_id}", condition, mode="overwrite")
+        quarantine_batch(batch, batch_id, target, condition)
 
     writer = (stream.writeStream.foreachBatch(per_batch)
                     .option("checkpointLocation", checkpoint))

@@ -44,3 +44,14 @@ def test_stream_quarantine_equals_batch(spark):
     assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in expected.collect())
     # one folder per micro-batch that had bad rows
     assert got.count() == expected.count()
+
+
+def test_replayed_micro_batch_is_not_counted_twice(spark):
+    df = spark.range(0, 30).select(
+        "id", F.when(F.col("id") % 4 == 0, F.lit(None)).otherwise(F.lit("x")).alias("name"))
+    target = scratch_dir(spark, "bad")
+    assert ingest.quarantine_batch(df, 7, target)
+    assert ingest.quarantine_batch(df, 7, target)  # the same batch, replayed
+    ingest.quarantine_batch(df.where("id >= 10"), 8, target)
+    got = sorted(r["id"] for r in read_json(spark, target, schema=df.schema).collect())
+    assert got == sorted(list(range(0, 30, 4)) + list(range(12, 30, 4)))
