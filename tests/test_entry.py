@@ -93,3 +93,14 @@ def test_events_log_built_once_and_rebuilt_if_gone(spark, tmp_path):
     tables._LOGS[key] = (str(tmp_path / "missing"), schema)
     assert tables.events_log(spark, SF_SMALL).count() == 1000
     assert tables._LOGS[key][0] not in (path, str(tmp_path / "missing"))
+
+
+def test_offset_range_read_is_one_pruned_scan(spark):
+    from conftest import plan_text
+    df = E.queries()["kafka_offset_range"](spark, SF_SMALL)
+    df.collect()  # final adaptive plan
+    text = plan_text(df)
+    assert "PartitionFilters: [" in text and "partition" in text.split("PartitionFilters: [")[1]
+    pushed = text.split("PushedFilters: [")[1].split("]")[0]
+    assert "offset" in pushed
+    assert "Exchange" not in text and "Join" not in text
