@@ -112,3 +112,10 @@ def test_no_deprecated_names_in_library():
     text = "\n".join(p.read_text() for p in root.rglob("*.py"))
     for name in old:
         assert not re.search(re.escape(name), text), name
+
+
+def test_user_aggregate_keeps_null_keys(spark):
+    rows = [(None, 3.0), (None, 4.0), ("a", 1.0), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(3)
+    got = {r["k"]: r["rss"] for r in aggregate_by(df, ["k"], root_sum_squares("v")).collect()}
+    assert got == {None: 5.0, "a": 1.0}
