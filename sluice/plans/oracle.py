@@ -46,6 +46,9 @@ SELECT {_REC_TEXT} FROM rec WHERE "partition" = 2 AND "offset" >= 10 AND "offset
 
     "json_file_read": "SELECT * FROM supplier",
 
+    "json_file_infer": """
+SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier""",
+
     "json_strings": """
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
 

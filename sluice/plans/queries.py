@@ -87,6 +87,15 @@ def json_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json(spark, path, schema=sup.schema, sampling_ratio=0.5)
 
 
+def json_file_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 without a schema: types inferred from a sample of the lines
+    (integers widen to bigint, as JSON inference does)."""
+    sup = table(spark, sf_dir, "supplier")
+    path = scratch_dir(spark, "json")
+    sup.write.json(path)
+    return files.read_json(spark, path, sampling_ratio=1.0)
+
+
 def json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON documents in a string column, parsed under a schema."""
     ev = table(spark, sf_dir, "events")
@@ -469,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "kafka_available_now": kafka_available_now,
     "records_with_schema": records_with_schema,
     "json_file_read": json_file_read,
+    "json_file_infer": json_file_infer,
     "json_strings": json_strings,
     "parquet_read": parquet_read,
     "generic_load": generic_load,
