@@ -52,6 +52,9 @@ SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal
     "json_strings": """
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
 
+    "json_strings_infer": """
+SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
+
     "parquet_read": """
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01'""",
 

@@ -103,6 +103,12 @@ def json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.parse_json_strings(spark, ev, "props", schema, keep=("event_id",))
 
 
+def json_strings_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 without a schema: the JSON strings' schema inferred from a sample."""
+    ev = table(spark, sf_dir, "events")
+    return files.parse_json_strings(spark, ev, "props", sampling_ratio=1.0)
+
+
 def parquet_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parquet read with a pushed filter and a two-column projection."""
     orders = files.read_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
@@ -480,6 +486,7 @@ QUERIES: dict[str, Query] = {
     "json_file_read": json_file_read,
     "json_file_infer": json_file_infer,
     "json_strings": json_strings,
+    "json_strings_infer": json_strings_infer,
     "parquet_read": parquet_read,
     "generic_load": generic_load,
     "json_round_trip": json_round_trip,
