@@ -62,6 +62,9 @@ SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1995
 SELECT l_returnflag, l_linestatus, count(*) AS n_lines, CAST(sum(l_quantity) AS BIGINT) AS sum_qty
 FROM lineitem GROUP BY l_returnflag, l_linestatus""",
 
+    "generic_load_default": """
+SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY o_orderpriority""",
+
     "json_round_trip": f"""
 WITH {_GAPS}
 SELECT CAST(to_json({{'event_id': event_id, 'user_id': user_id, 'event_type': event_type}})

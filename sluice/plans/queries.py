@@ -127,6 +127,12 @@ def generic_load(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.sum("l_quantity").cast("long").alias("sum_qty")))
 
 
+def generic_load_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 with a path only: the session's default source (parquet)."""
+    orders = files.load(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
+    return orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"))
+
+
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S9 + K1: bad rows written as JSON lines, read back as raw text."""
     ev = events_with_gaps(spark, sf_dir).select("event_id", "user_id", "event_type")
@@ -489,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "json_strings_infer": json_strings_infer,
     "parquet_read": parquet_read,
     "generic_load": generic_load,
+    "generic_load_default": generic_load_default,
     "json_round_trip": json_round_trip,
     "preview": preview,
     "record_inspect": record_inspect,
