@@ -1,7 +1,10 @@
 """The registered queries of the operators and their SQL."""
 
+from sluice.llm.decontamination import OP10_SQL, op10_decontamination
+from sluice.llm.line_dedup import OP4_SQL, op4_line_dedup
 from sluice.llm.token_counts import op9_token_counts
 from sluice.llm.warc import OP7_SQL, op7_warc
 
-QUERIES = {"op7_warc": op7_warc, "op9_token_counts": op9_token_counts}
-ORACLE = {"op7_warc": OP7_SQL}
+QUERIES = {"op4_line_dedup": op4_line_dedup, "op7_warc": op7_warc,
+           "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination}
+ORACLE = {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op10_decontamination": OP10_SQL}
