@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Up to this many listed partitions the list is broadcast.
-MAX_BROADCAST_PARTITIONS = 1_000_000
-
 PARTITION_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType(), False),
     T.StructField("partition", T.IntegerType(), False),
@@ -23,8 +20,8 @@ def end_offsets(records: DataFrame, topic: str | None = None,
 
     From data this is ``max(offset) + 1``; ``max`` is combined map-side, so a
     partition holding a third of the log costs one partial row per task.
-    ``partitions`` lists partitions that must appear even without records
-    (end offset 0), as the broker reports them.  With a compacted or expired
+    ``partitions`` only adds partitions: those that must appear even without
+    records (end offset 0), as the broker reports them.  With a compacted or expired
     log the broker's figure can be higher than what the records show.
     """
     scoped = records if topic is None else records.where(F.col("topic") == topic)
@@ -39,17 +36,14 @@ def end_offsets(records: DataFrame, topic: str | None = None,
     listed = partitions.select("topic", "partition")
     if topic is not None:
         listed = listed.where(F.col("topic") == topic)
-    # The partition list is broadcast into a semi join (its size is counted
-    # first); listed partitions without records come in as 0 through a union,
-    # and one max per partition merges both.  No outer join, no sort-merge.
-    keep = F.broadcast(listed) if listed.count() <= MAX_BROADCAST_PARTITIONS else listed
-    found = ends.join(keep, ["topic", "partition"], "left_semi")
+    # listed partitions come in as 0; one max per partition merges both sides,
+    # so a partition with records stays whether it is listed or not
     zeros = listed.withColumn("end_offset", F.lit(0).cast("long"))
-    return (found.unionByName(zeros).groupBy("topic", "partition")
-                 .agg(F.max("end_offset").alias("end_offset")))
+    return (ends.unionByName(zeros).groupBy("topic", "partition")
+                .agg(F.max("end_offset").alias("end_offset")))
 
 
-def end_offset_map(ends: DataFrame) -> dict[int, int]:
-    """``{partition: end_offset}`` for one topic; the result is one row per
-    partition, which is what a consumer's position map holds."""
-    return {r["partition"]: r["end_offset"] for r in ends.collect()}
+def end_offset_map(ends: DataFrame) -> dict[tuple[str, int], int]:
+    """``{(topic, partition): end_offset}``; one row per log partition, which
+    is what a consumer's position map holds."""
+    return {(r["topic"], r["partition"]): r["end_offset"] for r in ends.collect()}

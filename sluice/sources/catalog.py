@@ -6,21 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def _quoted(name: str) -> str:
+    """A possibly qualified table name with every part quoted."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
 def external_table(spark: SparkSession, name: str, path: str, source: str | None = None,
-                   schema: T.StructType | None = None, replace: bool = True,
+                   schema: T.StructType | None = None, replace: bool = False,
                    **options: str) -> DataFrame:
     """K4: register files at ``path`` as an external catalog table.
 
     The catalog stores only the location; dropping the table leaves the files.
+    An existing name raises.  With ``replace`` an existing external table or
+    its entry is replaced; a managed table still raises, as dropping it would
+    delete its files.
     """
-    if replace:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    quoted = _quoted(name)
+    if spark.catalog.tableExists(quoted):
+        kind = spark.catalog.getTable(quoted).tableType
+        if not replace:
+            raise ValueError(f"table {name} exists ({kind})")
+        if kind != "EXTERNAL":
+            raise ValueError(f"table {name} is {kind}, not EXTERNAL: not replaced")
+        spark.sql(f"DROP TABLE {quoted}")
     kwargs: dict = {"path": path}
     if source:
         kwargs["source"] = source
     if schema is not None:
         kwargs["schema"] = schema
-    return spark.catalog.createTable(name, **kwargs, **options)
+    return spark.catalog.createTable(quoted, **kwargs, **options)
 
 
 def temp_view(df: DataFrame, name: str) -> str:

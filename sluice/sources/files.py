@@ -7,19 +7,28 @@ inference, partitioned JDBC reads, bounded sampling).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def rows_to_frame(spark: SparkSession, rdd, schema: T.StructType) -> DataFrame:
-    """S3: apply a schema to an RDD of tuples/Rows; values bind by position.
+def rows_to_frame(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """S3: apply a schema to rows; values bind by position.
 
-    The RDD path serialises rows through Python; on a main path prefer
-    ``select`` + ``cast`` on a DataFrame, which stays in the JVM.
+    A DataFrame is renamed and cast in the JVM.  An RDD of tuples/Rows is the
+    other form; it goes through Python row by row.
     """
-    return spark.createDataFrame(rdd, schema)
+    if not isinstance(rows, DataFrame):
+        return spark.createDataFrame(rows, schema)
+    if len(rows.columns) != len(schema.fields):
+        raise ValueError(f"{len(rows.columns)} columns for {len(schema.fields)} fields")
+    # positions as names first: neither side's names need be unique or plain
+    bare = rows.toDF(*[f"_{i}" for i in range(len(schema.fields))])
+    return bare.select(*[F.col(f"_{i}").cast(f.dataType).alias(f.name)
+                         for i, f in enumerate(schema.fields)])
 
 
 def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None,
@@ -39,25 +48,44 @@ def read_json(spark: SparkSession, path: str | Sequence[str], schema: T.StructTy
     return reader.json(path if isinstance(path, str) else list(path))
 
 
+# Quoted names stay; variant type names become those of a DDL schema.
+_VARIANT_TYPES = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\bDECIMAL\(\d+,\s*\d+\)|\bVARIANT\b|\bVOID\b")
+
+
+def infer_json_schema(strings: DataFrame, column: str,
+                      sampling_ratio: float | None = None) -> T.StructType:
+    """The schema of the JSON objects in a string column, in the JVM: one
+    partial aggregate over ``sampling_ratio`` of the rows.  Null and malformed
+    texts have no say; fractions are double, fields of mixed or no type string."""
+    rows = strings if sampling_ratio is None or sampling_ratio >= 1 \
+        else strings.sample(sampling_ratio, seed=1)
+    found = rows.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(column)))).first()[0]
+    if found is None or found == "VOID":
+        return T.StructType([])
+    if not found.startswith("OBJECT<"):
+        raise ValueError(f"column {column} holds more than JSON objects: {found}")
+
+    def ddl(part: re.Match) -> str:
+        text = part[0]
+        if text[0] == "`":
+            return text
+        return {"OBJECT<": "STRUCT<"}.get(text, "DOUBLE" if text[0] == "D" else "STRING")
+
+    return T.StructType.fromDDL("j " + _VARIANT_TYPES.sub(ddl, found))["j"].dataType
+
+
 def parse_json_strings(spark: SparkSession, strings: DataFrame, column: str,
                        schema: T.StructType | None = None,
                        sampling_ratio: float | None = None,
                        keep: Sequence[str] = ()) -> DataFrame:
-    """JSON documents held in a string column.
-
-    With a schema this is ``from_json`` -- a JVM expression, no extra pass.
-    ``keep`` columns are carried along.  Without a schema Spark infers it (a
-    pass over ``sampling_ratio`` of the rows); PySpark's reader takes an RDD
-    of strings for that, not a DataFrame, and ``keep`` does not apply.
-    """
-    from pyspark.sql import functions as F
-    if schema is not None:
-        parsed = strings.select(*keep, F.from_json(F.col(column), schema).alias("_j"))
-        return parsed.select(*keep, "_j.*")
-    reader = spark.read
-    if sampling_ratio is not None:
-        reader = reader.option("samplingRatio", str(sampling_ratio))
-    return reader.json(strings.select(column).rdd.map(lambda r: r[0]))
+    """JSON documents held in a string column, parsed by ``from_json``
+    with the ``keep`` columns carried along.  Without a schema it is inferred
+    first (:func:`infer_json_schema`).  A null or malformed text gives nulls."""
+    if schema is None:
+        schema = infer_json_schema(strings, column, sampling_ratio)
+    parsed = strings.select(*keep, F.from_json(F.col(column), schema).alias("_j"))
+    return parsed.select(*keep, *[F.col("_j").getField(f.name).alias(f.name)
+                                  for f in schema.fields])
 
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:

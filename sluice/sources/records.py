@@ -26,6 +26,16 @@ from sluice.session import scratch_dir
 RECORD_COLUMNS = ["key", "value", "topic", "partition", "offset",
                   "timestamp", "timestampType"]
 
+RECORD_SCHEMA = T.StructType([
+    T.StructField("key", T.BinaryType()),
+    T.StructField("value", T.BinaryType()),
+    T.StructField("topic", T.StringType()),
+    T.StructField("partition", T.IntegerType()),
+    T.StructField("offset", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("timestampType", T.IntegerType()),
+])
+
 RANGE_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType(), False),
     T.StructField("partition", T.IntegerType(), False),
@@ -33,14 +43,12 @@ RANGE_SCHEMA = T.StructType([
     T.StructField("until_offset", T.LongType(), False),
 ])
 
-# Above this many ranges the ranges table is no longer broadcast; the exact
-# bucketed shuffle join takes over (see read_offset_ranges).  A range row is
-# about 50 bytes, so the broadcast stays under ~10 MB.
-MAX_BROADCAST_RANGES = 200_000
-# Up to this many ranges the whole selection is also pushed to the scan as a
-# disjunction, which lets parquet skip row groups by min/max statistics.
-MAX_PUSHED_RANGES = 64
+# A log partition may hold a third of all records, so ranges and records meet on
+# stretches of this many offsets, not on whole partitions.
+RANGE_BUCKET = 1 << 20
 
+# Rows without an order key are dealt over this many buckets of a log partition.
+NULL_KEY_BUCKETS = 1 << 20
 
 # --------------------------------------------------------------------------
 # Offsets: contiguous per-partition numbering without a hot task
@@ -73,40 +81,51 @@ def assign_offsets(df: DataFrame, partition_col: str, order_col: str,
     Every step is deterministic -- no sampling and no dependence on task ids
     -- so recomputation after an executor loss gives the same offsets.  A
     null partition is a partition of its own and null order keys come first,
-    as in ``ORDER BY o``; no row is dropped.  The numbered side is
+    as in ``ORDER BY o``, dealt over many buckets by the hash of their row;
+    no row is dropped.  The numbered side is
     hash-partitioned on ``(p, bucket)`` by its window and joins on exactly
     those keys, so only the small count tables move; whether they are
     broadcast is decided from their measured size.
     """
     w, g = int(bucket_width), int(buckets_per_group)
-    # integral ``div`` (truncating, still monotone in the key): exact for any long
-    staged = df.withColumn("_bucket", F.expr(f"cast(`{order_col}` as long) div {w}"))
+    hashed = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields
+                          if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    null_key = F.col(order_col).isNull()
+    # integral ``div`` (truncating, still monotone in the key): exact for any long;
+    # null keys are dealt over buckets of their own by the row's hash
+    staged = (df.withColumn("_null", null_key)
+                .withColumn("_bucket", F.when(null_key, F.pmod(hashed, F.lit(NULL_KEY_BUCKETS)))
+                            .otherwise(F.expr(f"cast(`{order_col}` as long) div {w}"))))
     counts_path = scratch_dir(df.sparkSession, "offset-counts")
-    (staged.groupBy(partition_col, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    (staged.groupBy(partition_col, "_null", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
            .write.parquet(counts_path))
     counts = (df.sparkSession.read.parquet(counts_path)
                 .withColumn("_group", F.expr(f"_bucket div {g}")))
     before = Window.unboundedPreceding
-    in_group = (Window.partitionBy(partition_col, "_group").orderBy("_bucket")
+    in_group = (Window.partitionBy(partition_col, "_null", "_group").orderBy("_bucket")
                       .rowsBetween(before, -1))
-    group_bases = (counts.groupBy(partition_col, "_group").agg(F.sum("_n").alias("_gn"))
-                         .select(partition_col, "_group", F.coalesce(F.sum("_gn").over(
-                             Window.partitionBy(partition_col).orderBy("_group")
-                                   .rowsBetween(before, -1)), F.lit(0)).alias("_gbase")))
-    inner = counts.select(partition_col, "_bucket", "_group",
+    group_bases = (counts.groupBy(partition_col, "_null", "_group").agg(F.sum("_n").alias("_gn"))
+                         .select(F.col(partition_col).alias("_gp"), F.col("_null").alias("_gnull"),
+                                 F.col("_group").alias("_gg"),
+                                 F.coalesce(F.sum("_gn").over(
+                                     Window.partitionBy(partition_col)
+                                           .orderBy(F.col("_null").desc(), "_group")
+                                           .rowsBetween(before, -1)), F.lit(0)).alias("_gbase")))
+    inner = counts.select(partition_col, "_null", "_bucket", "_group",
                           F.coalesce(F.sum("_n").over(in_group), F.lit(0)).alias("_inner"))
-    bases = (inner.join(group_bases.withColumnRenamed(partition_col, "_gp")
-                                   .withColumnRenamed("_group", "_gg"),
-                        _same(inner[partition_col], "_gp") & _same(inner["_group"], "_gg"))
-                  .select(F.col(partition_col).alias("_bp"), F.col("_bucket").alias("_bb"),
+    bases = (inner.join(group_bases, _same(inner[partition_col], "_gp")
+                        & (inner["_null"] == F.col("_gnull")) & (inner["_group"] == F.col("_gg")))
+                  .select(F.col(partition_col).alias("_bp"), F.col("_null").alias("_bn"),
+                          F.col("_bucket").alias("_bb"),
                           (F.col("_gbase") + F.col("_inner")).alias("_base")))
-    inside = Window.partitionBy(partition_col, "_bucket").orderBy(order_col)
+    inside = Window.partitionBy(partition_col, "_null", "_bucket").orderBy(order_col, hashed)
     numbered = staged.withColumn("_local", F.row_number().over(inside) - 1)
-    # null-safe keys: a null partition or order key is numbered, never dropped
+    # null-safe: rows of a null partition are numbered, never dropped
     return (numbered.join(bases, _same(numbered[partition_col], "_bp")
-                          & _same(numbered["_bucket"], "_bb"))
+                          & (numbered["_null"] == F.col("_bn"))
+                          & (numbered["_bucket"] == F.col("_bb")))
                     .withColumn(out_col, (F.col("_base") + F.col("_local")).cast("long"))
-                    .drop("_bucket", "_local", "_base", "_bp", "_bb"))
+                    .drop("_null", "_bucket", "_local", "_base", "_bp", "_bn", "_bb"))
 
 
 def _same(left: Column, right: str) -> Column:
@@ -157,91 +176,80 @@ def _normalise_ranges(ranges: Iterable) -> list[tuple[str, int, int, int]]:
     return out
 
 
-def _range_envelope(ranges: list[tuple[str, int, int, int]]) -> Column:
-    """A superset predicate of all ranges, safe to push into the scan."""
-    if len(ranges) <= MAX_PUSHED_RANGES:
-        preds = [((F.col("topic") == t) & (F.col("partition") == p)
-                  & (F.col("offset") >= a) & (F.col("offset") < b))
-                 for t, p, a, b in ranges]
-        out = preds[0]
-        for p in preds[1:]:
-            out = out | p
-        return out
-    topics = sorted({r[0] for r in ranges})
-    lo = min(r[2] for r in ranges)
-    hi = max(r[3] for r in ranges)
-    return F.col("topic").isin(topics) & (F.col("offset") >= lo) & (F.col("offset") < hi)
+def _range_frame(spark: SparkSession, ranges: Iterable | DataFrame) -> DataFrame:
+    """The ranges as a table of ``RANGE_SCHEMA``; a range that is negative,
+    reversed or incomplete raises, from a list and from a table alike."""
+    if not isinstance(ranges, DataFrame):
+        return spark.createDataFrame(_normalise_ranges(ranges), RANGE_SCHEMA)
+    rdf = ranges.select(*[F.col(f.name).cast(f.dataType) for f in RANGE_SCHEMA.fields])
+    good = (F.col("topic").isNotNull() & F.col("partition").isNotNull()
+            & (F.col("from_offset") >= 0) & (F.col("until_offset") >= F.col("from_offset")))
+    bad = rdf.where(~F.coalesce(good, F.lit(False))).first()
+    if bad is not None:
+        raise ValueError(f"bad offset range {bad['topic']}/{bad['partition']} "
+                         f"[{bad['from_offset']}, {bad['until_offset']})")
+    return rdf
+
+
+def _any_of(predicates: list[Column]) -> Column:
+    """A balanced disjunction: its depth is the logarithm of its length."""
+    while len(predicates) > 1:
+        predicates = [a | b for a, b in zip(predicates[::2], predicates[1::2])] \
+            + predicates[len(predicates) // 2 * 2:]
+    return predicates[0]
 
 
 def read_offset_ranges(records: DataFrame, ranges: Iterable | DataFrame,
-                       bucket_width: int = 1 << 20) -> DataFrame:
+                       bucket_width: int = RANGE_BUCKET) -> DataFrame:
     """Exactly the records in each ``(topic, partition, [from, until))``.
 
     ``ranges`` is a list of tuples / dicts, or a DataFrame with the columns of
-    ``RANGE_SCHEMA`` (then counted first, and its bounds pushed to the scan).
-
-    As with one RDD partition per offset range, a record inside two
-    overlapping ranges is returned once per range.  Disjoint ranges (the
-    usual case) return each record once.
-
-    * up to ``MAX_PUSHED_RANGES`` disjoint ranges: a pushed-down filter, no join;
-    * otherwise, up to ``MAX_BROADCAST_RANGES`` ranges: broadcast hash join on
-      ``(topic, partition)`` with the offset bounds as residual condition --
-      the broadcast side has exactly ``len(ranges)`` rows;
-    * beyond that: shuffle join on ``(topic, partition, offset div w)``; each
-      range is expanded to the buckets it touches, so a hot log partition is
-      spread over many join keys.
+    ``RANGE_SCHEMA``.  As with one RDD partition per offset range, a record
+    inside two overlapping ranges is returned once per range.
+
+    One plan for any number and width of ranges:
+
+    * the log's own smallest and largest offset of each partition (one
+      aggregate, combined map-side) clamp the ranges, so an open-ended range
+      costs no more than the records it can meet;
+    * one span per ``(topic, partition)`` -- lowest to highest clamped offset
+      -- goes to the scan, which prunes folders and skips row groups.  The
+      driver sees one row per log partition, never the ranges of a table;
+    * ranges are cut into stretches of ``bucket_width`` offsets and joined on
+      ``(topic, partition, stretch)`` with the bounds as residual, so a hot
+      partition is many keys.  Whether the ranges are broadcast is decided
+      from their measured size.
     """
-    spark = records.sparkSession
-    if isinstance(ranges, DataFrame):
-        # ranges kept in a table: counted and bounded by one small aggregate,
-        # never brought to the driver row by row
-        rdf = ranges.select(*[F.col(f.name).cast(f.dataType) for f in RANGE_SCHEMA.fields])
-        stats = rdf.agg(F.count(F.lit(1)).alias("n"), F.min("from_offset").alias("lo"),
-                        F.max("until_offset").alias("hi")).first()
-        n = stats["n"]
-        if n == 0:
-            return records.limit(0)
-        scoped = records.where((F.col("offset") >= stats["lo"]) & (F.col("offset") < stats["hi"]))
-    else:
-        rs = _normalise_ranges(ranges)
-        if not rs:
-            return records.limit(0)
-        n = len(rs)
-        scoped = records.where(_range_envelope(rs))
-        if n <= MAX_PUSHED_RANGES and _disjoint(rs):
-            return scoped
-        rdf = spark.createDataFrame(rs, RANGE_SCHEMA)
-    inside = ((F.col("r.from_offset") <= F.col("k.offset"))
-              & (F.col("k.offset") < F.col("r.until_offset")))
-    k = scoped.alias("k")
-    if n <= MAX_BROADCAST_RANGES:
-        r = F.broadcast(rdf).alias("r")
-        cond = ((F.col("k.topic") == F.col("r.topic"))
-                & (F.col("k.partition") == F.col("r.partition")) & inside)
-        return k.join(r, cond, "inner").select("k.*")
-    w = int(bucket_width)
-    rb = (rdf.where(F.col("until_offset") > F.col("from_offset"))
-             .withColumn("bucket", F.explode(F.sequence(F.expr(f"from_offset div {w}"),
-                                                        F.expr(f"(until_offset - 1) div {w}"))))
-             .alias("r"))
-    kb = scoped.withColumn("bucket", F.expr(f"offset div {w}")).alias("k")
+    spark, w = records.sparkSession, int(bucket_width)
+    rdf = _range_frame(spark, ranges)
+    bounds = (records.groupBy("topic", "partition")
+                     .agg(F.min("offset").alias("_lo"), F.max("offset").alias("_hi")))
+    clamped = (rdf.join(bounds, ["topic", "partition"])
+                  .select("topic", "partition",
+                          F.greatest("from_offset", "_lo").alias("from_offset"),
+                          F.least("until_offset", F.col("_hi") + 1).alias("until_offset"))
+                  .where("from_offset < until_offset"))
+    # a table: the aggregate over the log runs once, and its size is known
+    path = scratch_dir(spark, "ranges")
+    clamped.write.parquet(path)
+    clamped = spark.read.schema(clamped.schema).parquet(path)
+    spans = (clamped.groupBy("topic", "partition")
+                    .agg(F.min("from_offset").alias("a"), F.max("until_offset").alias("b"))
+                    .orderBy("topic", "partition").collect())
+    if not spans:
+        return records.limit(0)
+    scoped = records.where(_any_of([
+        (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
+        & (F.col("offset") >= r["a"]) & (F.col("offset") < r["b"]) for r in spans]))
+    cut = clamped.withColumn("_stretch", F.explode(F.sequence(
+        F.expr(f"from_offset div {w}"), F.expr(f"(until_offset - 1) div {w}")))).alias("r")
+    k = scoped.withColumn("_stretch", F.expr(f"offset div {w}")).alias("k")
     cond = ((F.col("k.topic") == F.col("r.topic"))
             & (F.col("k.partition") == F.col("r.partition"))
-            & (F.col("k.bucket") == F.col("r.bucket")) & inside)
-    return kb.join(rb, cond, "inner").select(*[F.col(f"k.{c}") for c in records.columns])
-
-
-def _disjoint(rs: list[tuple[str, int, int, int]]) -> bool:
-    by_tp: dict[tuple[str, int], list[tuple[int, int]]] = {}
-    for t, p, a, b in rs:
-        by_tp.setdefault((t, p), []).append((a, b))
-    for spans in by_tp.values():
-        spans.sort()
-        for (a1, b1), (a2, _) in zip(spans, spans[1:]):
-            if a2 < b1:
-                return False
-    return True
+            & (F.col("k._stretch") == F.col("r._stretch"))
+            & (F.col("r.from_offset") <= F.col("k.offset"))
+            & (F.col("k.offset") < F.col("r.until_offset")))
+    return k.join(cut, cond, "inner").select(*[F.col(f"k.{c}") for c in records.columns])
 
 
 def kafka_range_options(ranges: Iterable) -> list[dict[str, str]]:
@@ -275,16 +283,21 @@ def kafka_range_options(ranges: Iterable) -> list[dict[str, str]]:
 
 
 def kafka_range_reader(spark: SparkSession, bootstrap_servers: str, ranges: Iterable,
-                       **options: str) -> DataFrame:
+                       min_partitions: int, **options: str) -> DataFrame:
     """Batch read of offset ranges straight from Kafka (needs the
-    spark-sql-kafka package on the classpath).  Nothing is committed."""
+    spark-sql-kafka package on the classpath).  Nothing is committed.
+    ``min_partitions`` splits large ranges over tasks; without it a log
+    partition is one task.  No ranges, no rows."""
     frames = []
     for opts in kafka_range_options(ranges):
         reader = (spark.read.format("kafka")
-                  .option("kafka.bootstrap.servers", bootstrap_servers))
+                  .option("kafka.bootstrap.servers", bootstrap_servers)
+                  .option("minPartitions", str(int(min_partitions))))
         for k, v in {**opts, **options}.items():
             reader = reader.option(k, v)
         frames.append(reader.load())
+    if not frames:
+        return spark.createDataFrame([], RECORD_SCHEMA)
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -292,11 +305,15 @@ def kafka_range_reader(spark: SparkSession, bootstrap_servers: str, ranges: Iter
 
 
 def kafka_stream_reader(spark: SparkSession, bootstrap_servers: str, topic: str,
-                        starting: str = "earliest", **options: str) -> DataFrame:
-    """Streaming Kafka source subscribed to one topic, from ``earliest``."""
+                        max_offsets_per_trigger: int, starting: str = "earliest",
+                        **options: str) -> DataFrame:
+    """Streaming Kafka source subscribed to one topic, from ``earliest``.
+    ``max_offsets_per_trigger`` bounds every micro-batch, so a backlog is
+    taken and committed in steps."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic)
+              .option("maxOffsetsPerTrigger", str(int(max_offsets_per_trigger)))
               .option("startingOffsets", starting))
     for k, v in options.items():
         reader = reader.option(k, v)
@@ -304,7 +321,7 @@ def kafka_stream_reader(spark: SparkSession, bootstrap_servers: str, topic: str,
 
 
 # --------------------------------------------------------------------------
-# K2 / K3: bounded previews
+# K2 / K3: preview and inspection
 # --------------------------------------------------------------------------
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame:
@@ -314,9 +331,10 @@ def preview(df: DataFrame, order_by: Sequence[str], n: int = 20) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def inspect_records(records: DataFrame, n: int = 20) -> DataFrame:
-    """Key and value of the first ``n`` records as text, in log order."""
-    return (records.select("topic", "partition", "offset",
-                           F.col("key").cast("string").alias("key"),
-                           F.col("value").cast("string").alias("value"))
-                   .orderBy("topic", "partition", "offset").limit(n))
+def inspect_records(records: DataFrame, n: int | None = None) -> DataFrame:
+    """K3: key and value text of every record; of the first ``n`` in log order
+    when ``n`` is given."""
+    text = records.select("topic", "partition", "offset",
+                          F.col("key").cast("string").alias("key"),
+                          F.col("value").cast("string").alias("value"))
+    return text if n is None else preview(text, ["topic", "partition", "offset"], n)

@@ -34,7 +34,7 @@ def test_decode_avro(spark):
 
 def test_kafka_reader(spark):
     try:
-        df = R.kafka_range_reader(spark, "localhost:1", [("t", 0, 0, 10)])
+        df = R.kafka_range_reader(spark, "localhost:1", [("t", 0, 0, 10)], min_partitions=2)
     except AnalysisException as exc:
         assert "kafka" in str(exc).lower()
         return

@@ -17,14 +17,25 @@ def test_end_offsets_fixture(spark):
     rows = [("test-topic", 0, o) for o in range(100)] + [("test-topic", 1, o) for o in range(200)]
     rows += [("other-topic", 0, o) for o in range(500)]
     ends = end_offsets(_log(spark, rows), "test-topic")
-    assert end_offset_map(ends) == {0: 100, 1: 200}
+    assert end_offset_map(ends) == {("test-topic", 0): 100, ("test-topic", 1): 200}
 
 
 def test_listed_partition_without_records_is_zero(spark):
     rows = [("test-topic", 0, o) for o in range(100)]
     ends = end_offsets(_log(spark, rows), "test-topic",
                        [("test-topic", 0), ("test-topic", 1), ("other", 5)])
-    assert end_offset_map(ends) == {0: 100, 1: 0}
+    assert end_offset_map(ends) == {("test-topic", 0): 100, ("test-topic", 1): 0}
+
+
+def test_a_list_only_adds_partitions(spark):
+    rows = [("t", p, o) for p in range(3) for o in range(10 * (p + 1))]
+    ends = end_offsets(_log(spark, rows), "t", [("t", 0), ("t", 9)])
+    assert end_offset_map(ends) == {("t", 0): 10, ("t", 1): 20, ("t", 2): 30, ("t", 9): 0}
+
+
+def test_map_keeps_topics_apart(spark):
+    rows = [("a", 0, o) for o in range(5)] + [("b", 0, o) for o in range(7)]
+    assert end_offset_map(end_offsets(_log(spark, rows))) == {("a", 0): 5, ("b", 0): 7}
 
 
 def test_end_offsets_use_partial_aggregation(spark):

@@ -67,27 +67,43 @@ def _expected(log_rows, ranges):
     return sorted(out)
 
 
-@pytest.mark.parametrize("mode", ["pushed", "broadcast", "bucketed"])
-def test_offset_range_paths_agree_with_brute_force(spark, monkeypatch, mode):
+TOP = (1 << 63) - 1
+
+
+@pytest.mark.parametrize("width", [1, 8, 1 << 20])
+def test_offset_ranges_agree_with_brute_force(spark, width):
     log_rows = [(t, p, o, str(o), "v") for t in ("a", "b") for p in range(3) for o in range(60)]
-    ranges = [("a", 0, 5, 25), ("a", 0, 20, 30), ("b", 2, 0, 60), ("a", 1, 59, 60),
-              ("b", 1, 10, 10)]
-    if mode == "pushed":
-        ranges = [("a", 0, 5, 25), ("b", 2, 0, 60)]
-    if mode == "bucketed":
-        monkeypatch.setattr(R, "MAX_BROADCAST_RANGES", 0)
-    if mode == "broadcast":
-        monkeypatch.setattr(R, "MAX_PUSHED_RANGES", 0)
-    log = _log(spark, log_rows)
-    got = R.read_offset_ranges(log, ranges, bucket_width=8)
+    # overlapping, open-ended, empty, beyond the log, of a topic that is not there
+    ranges = [("a", 0, 5, 25), ("a", 0, 20, 30), ("b", 2, 0, TOP), ("a", 1, 59, 60),
+              ("b", 1, 10, 10), ("b", 0, 70, TOP), ("c", 0, 0, TOP)]
+    got = R.read_offset_ranges(_log(spark, log_rows), ranges, bucket_width=width)
     rows = sorted(tuple(r) for r in got.select("topic", "partition", "offset").collect())
     assert rows == _expected(log_rows, ranges)
 
 
+def test_many_ranges_keep_one_span_per_partition(spark, tmp_path):
+    # 300 ranges: the scan still prunes to each partition's own span
+    log_rows = [("a", p, o, str(o), "v") for p in range(3) for o in range(400)]
+    path = str(tmp_path / "log")
+    _log(spark, log_rows).write.partitionBy("topic", "partition").parquet(path)
+    log = spark.read.parquet(path).select(*R.RECORD_COLUMNS)
+    ranges = [("a", 0, o, o + 1) for o in range(100, 250)] + [("a", 2, o, TOP) for o in range(150)]
+    got = R.read_offset_ranges(log, ranges)
+    assert got.count() == len(_expected(log_rows, ranges))
+    text = plan_text(got)
+    assert "GreaterThanOrEqual(offset,100)" in text and "LessThan(offset,250)" in text
+
+
 def test_bad_ranges_rejected(spark):
     log = _log(spark, [("t", 0, 0, "k", "v")])
     with pytest.raises(ValueError):
         R.read_offset_ranges(log, [("t", 0, 10, 5)])
+    # the same from a table, also where a bound is missing
+    for bad in [("t", 0, 10, 5), ("t", 0, -1, 5), ("t", 0, 0, None)]:
+        table = spark.createDataFrame([bad], "topic string, partition int, from_offset long, "
+                                             "until_offset long")
+        with pytest.raises(ValueError):
+            R.read_offset_ranges(log, table)
     assert R.read_offset_ranges(log, []).count() == 0
 
 
@@ -106,6 +122,7 @@ def test_preview_and_inspect(spark):
     head = R.inspect_records(log, 5).collect()
     assert [(r["partition"], r["offset"]) for r in head] == [(0, o) for o in range(5)]
     assert head[0]["key"] == "k0" and head[0]["value"] == "v0"
+    assert R.inspect_records(log).count() == 60  # every record without a limit
     plan = plan_text(R.preview(log, ["partition", "offset"], 3))
     assert "TakeOrderedAndProject" in plan
 
@@ -157,28 +174,19 @@ _LOG_ROWS = [(t, p, o, str(o), "v") for t in ("a", "b") for p in range(2) for o
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 2),
-                          st.integers(0, 45), st.integers(0, 20)), min_size=1, max_size=6),
-       st.sampled_from(["pushed", "broadcast", "bucketed"]), st.sampled_from([1, 7, 64]))
-def test_offset_ranges_property(spark, raw, mode, width):
-    import pytest as _pytest
-    ranges = [(t, p, a, a + n) for t, p, a, n in raw]
-    mp = _pytest.MonkeyPatch()
-    try:
-        if mode == "bucketed":
-            mp.setattr(R, "MAX_BROADCAST_RANGES", 0)
-        if mode == "broadcast":
-            mp.setattr(R, "MAX_PUSHED_RANGES", 0)
-        got = R.read_offset_ranges(_log(spark, _LOG_ROWS), ranges, bucket_width=width)
-        rows = sorted(tuple(r) for r in got.select("topic", "partition", "offset").collect())
-    finally:
-        mp.undo()
+                          st.integers(0, 45), st.sampled_from([0, 1, 7, 20, TOP])),
+                min_size=1, max_size=6),
+       st.booleans(), st.sampled_from([1, 7, 64]))
+def test_offset_ranges_property(spark, raw, as_table, width):
+    ranges = [(t, p, a, min(TOP, a + n)) for t, p, a, n in raw]
+    given_as = spark.createDataFrame(ranges, R.RANGE_SCHEMA) if as_table else ranges
+    got = R.read_offset_ranges(_log(spark, _LOG_ROWS), given_as, bucket_width=width)
+    rows = sorted(tuple(r) for r in got.select("topic", "partition", "offset").collect())
     assert rows == _expected(_LOG_ROWS, ranges)
 
 
-@pytest.mark.parametrize("limit", [R.MAX_BROADCAST_RANGES, 0])
-def test_offset_ranges_from_a_table(spark, monkeypatch, limit):
-    monkeypatch.setattr(R, "MAX_BROADCAST_RANGES", limit)
-    ranges = [("a", 0, 5, 25), ("a", 0, 20, 30), ("b", 1, 0, 40)]
+def test_offset_ranges_from_a_table(spark):
+    ranges = [("a", 0, 5, 25), ("a", 0, 20, 30), ("b", 1, 0, TOP)]
     table = spark.createDataFrame(ranges, "topic string, partition long, from_offset int, "
                                           "until_offset long")
     got = R.read_offset_ranges(_log(spark, _LOG_ROWS), table, bucket_width=8)
@@ -186,3 +194,29 @@ def test_offset_ranges_from_a_table(spark, monkeypatch, limit):
     assert rows == _expected(_LOG_ROWS, ranges)
     empty = spark.createDataFrame([], R.RANGE_SCHEMA)
     assert R.read_offset_ranges(_log(spark, _LOG_ROWS), empty).count() == 0
+
+
+def test_null_order_keys_are_spread(spark):
+    df = spark.createDataFrame([(1, None, f"r{i}") for i in range(200)] + [(1, 5, "x"), (2, None, "y")],
+                               "p int, id long, tag string")
+    numbered = R.assign_offsets(df, "p", "id")
+    got = {(r["p"], r["tag"]): r["offset"] for r in numbered.collect()}
+    assert sorted(v for (p, t), v in got.items() if p == 1) == list(range(201))
+    assert got[(1, "x")] == 200 and got[(2, "y")] == 0  # null keys come first
+    again = {(r["p"], r["tag"]): r["offset"]
+             for r in R.assign_offsets(df.repartition(7), "p", "id").collect()}
+    assert again == got  # whatever task a row is in
+    text = plan_text(numbered)
+    assert "_null" in text
+
+
+def test_kafka_readers_need_bounds():
+    import inspect
+    bound = inspect.signature(R.kafka_stream_reader).parameters["max_offsets_per_trigger"]
+    assert bound.default is inspect.Parameter.empty
+    split = inspect.signature(R.kafka_range_reader).parameters["min_partitions"]
+    assert split.default is inspect.Parameter.empty
+
+
+def test_no_kafka_ranges_no_rows(spark):
+    assert R.kafka_range_reader(spark, "nowhere:9092", [], min_partitions=4).count() == 0

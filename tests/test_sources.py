@@ -19,6 +19,55 @@ def test_rows_to_frame_binds_by_position(spark):
     assert df.schema == schema
 
 
+def test_rows_to_frame_binds_a_dataframe_in_the_jvm(spark):
+    from conftest import python_nodes
+    schema = T.StructType([T.StructField("b.x", T.StringType()), T.StructField("a", T.LongType())])
+    rows = spark.createDataFrame([(1, 2), (3, 4)], "a int, b int")
+    df = files.rows_to_frame(spark, rows, schema)
+    assert sorted(tuple(r) for r in df.collect()) == [("1", 2), ("3", 4)]
+    assert [f.dataType for f in df.schema.fields] == [T.StringType(), T.LongType()]
+    assert python_nodes(df) == []
+    with pytest.raises(ValueError):
+        files.rows_to_frame(spark, rows.select("a"), schema)
+
+
+def test_json_inference_ignores_nulls_and_malformed_texts(spark):
+    from conftest import python_nodes
+    docs = ['{"k": 3, "s": "a", "d": 1.5, "n": null, "o": {"p q": [1, 2]}}', None, '{"k": ',
+            '{"k": 4, "m": true}']
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, doc string")
+    out = files.parse_json_strings(spark, df, "doc", keep=("id",))
+    assert dict(out.dtypes) == {"id": "int", "k": "bigint", "s": "string", "d": "double",
+                                "n": "string", "o": "struct<p q:array<bigint>>", "m": "boolean"}
+    assert {r["id"]: r["k"] for r in out.collect()} == {0: 3, 1: None, 2: None, 3: 4}
+    assert python_nodes(out) == []
+    nothing = files.parse_json_strings(spark, df.where("doc IS NULL"), "doc", keep=("id",))
+    assert nothing.columns == ["id"] and nothing.count() == 1
+    with pytest.raises(ValueError):
+        files.parse_json_strings(spark, spark.createDataFrame([("[1]",)], "doc string"), "doc")
+
+
+def test_external_table_never_drops_a_managed_table(spark):
+    path = scratch_dir(spark, "ext")
+    table(spark, SF_SMALL, "region").write.parquet(path)
+    spark.sql("DROP TABLE IF EXISTS sluice_managed")
+    spark.range(10).write.saveAsTable("sluice_managed")
+    try:
+        for replace in (False, True):
+            with pytest.raises(ValueError):
+                catalog.external_table(spark, "sluice_managed", path, replace=replace)
+        assert spark.table("sluice_managed").count() == 10
+    finally:
+        spark.sql("DROP TABLE sluice_managed")
+    catalog.external_table(spark, "sluice_ext_again", path, source="parquet")
+    with pytest.raises(ValueError):
+        catalog.external_table(spark, "sluice_ext_again", path, source="parquet")
+    catalog.external_table(spark, "sluice_ext_again", path, source="parquet", replace=True)
+    assert spark.table("sluice_ext_again").count() == 5
+    spark.sql("DROP TABLE sluice_ext_again")
+    assert spark.read.parquet(path).count() == 5  # the files stay
+
+
 def test_json_files_with_and_without_schema(spark):
     path = scratch_dir(spark, "json")
     nation = table(spark, SF_SMALL, "nation")
@@ -66,6 +115,7 @@ def test_external_table_variants(spark):
     schema = T.StructType([T.StructField("r_regionkey", T.IntegerType()),
                            T.StructField("r_name", T.StringType())])
     catalog.external_table(spark, "sluice_ext_schema", path, source="parquet", schema=schema)
+    # each call registers a new name; see the replacement rules above
     for name in ("sluice_ext_default", "sluice_ext_src", "sluice_ext_opts", "sluice_ext_schema"):
         assert spark.table(name).count() == 5
         assert spark.catalog.getTable(name).tableType == "EXTERNAL"
