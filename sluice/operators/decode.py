@@ -7,13 +7,14 @@ optimizer can prune the decoded fields nobody selects.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.registry import avro_to_spark
+from sluice.session import scratch_dir
 
 META_COLUMNS = ("topic", "partition", "offset")
 PERMISSIVE = {"mode": "PERMISSIVE"}
@@ -79,20 +80,78 @@ def writer_schemas(framed: DataFrame, registry: DataFrame) -> dict[int, str]:
     return {r["schema_id"]: r["schema_json"] for r in found.collect()}
 
 
-def decode_avro_by_schema_id(records: DataFrame, schemas: dict[int, str], reader_schema: str,
-                             keep: Sequence[str] = META_COLUMNS) -> DataFrame:
-    """Topics written with several schema versions: one ``from_avro`` per
-    writer schema id (a handful), each on its own filtered slice, unioned by
-    name.  Records in no known id or not in wire format are dropped here and
-    belong to the quarantine (see :func:`wire_split`)."""
-    framed = wire_split(records)
-    parts = [decode_avro(framed.where(F.col("schema_id") == sid), text, reader_schema,
-                         "payload", keep)
-             for sid, text in sorted(schemas.items())]
+# Why a record is rejected.
+NULL_VALUE = "null value"
+SHORT_HEADER = "short header"
+MAGIC_BYTE = "magic byte"
+UNKNOWN_ID = "unknown schema id"
+UNPARSABLE = "unparsable payload"
+
+
+def reject_reason(split: DataFrame, registry: DataFrame, value_col: str = "value") -> DataFrame:
+    """Adds ``reason`` to the output of :func:`wire_split`: why its header or
+    schema id is bad, or null.  ``registry`` has the known ``id``s; only those
+    are joined."""
+    known = registry.select(F.col("id").cast("int").alias("_known")).where(
+        "_known IS NOT NULL").distinct()
+    v = F.col(value_col)
+    reason = (F.when(v.isNull(), NULL_VALUE).when(F.length(v) < 5, SHORT_HEADER)
+               .when(F.col("magic") != 0, MAGIC_BYTE).when(F.col("_known").isNull(), UNKNOWN_ID))
+    return (split.join(known, split["schema_id"] == known["_known"], "left")
+                 .withColumn("reason", reason).drop("_known"))
+
+
+def decode_or_reject(records: DataFrame, registry: DataFrame, schema: T.StructType | str | dict,
+                     value_col: str = "value", keep: Sequence[str] = META_COLUMNS
+                     ) -> tuple[DataFrame, DataFrame]:
+    """Wire-format JSON records -> ``(good, bad)``; every record is in one.
+
+    ``good``: ``keep``, ``schema_id`` and the fields of ``schema`` by name;
+    ``bad``: ``keep``, ``schema_id``, the raw value and a ``reason``: null
+    value, short header, wrong magic byte, an id the registry does not have,
+    or a payload that is no JSON object.  A field of the wrong type is null,
+    as in :func:`decode_json`.
+    """
+    flagged = reject_reason(wire_split(records, value_col), registry, value_col)
+    readable = F.json_object_keys(F.col("payload").cast("string")).isNotNull()
+    flagged = flagged.withColumn("reason", F.when(F.col("reason").isNotNull(), F.col("reason"))
+                                 .when(~readable, UNPARSABLE))
+    good = decode_json(flagged.where("reason IS NULL"), schema, "payload", (*keep, "schema_id"))
+    bad = flagged.where("reason IS NOT NULL").select(*keep, "schema_id", value_col, "reason")
+    return good, bad
+
+
+def decode_by_schema_id(records: DataFrame, registry: DataFrame, reader_schema: str,
+                        keep: Sequence[str] = META_COLUMNS,
+                        decode: Callable[..., DataFrame] = decode_avro
+                        ) -> tuple[DataFrame, DataFrame]:
+    """Topics written with several schema versions -> ``(good, bad)``.
+
+    The split records are written once, partitioned by schema id, to the
+    shared folder; each writer schema (``registry`` rows ``id, schema_json``
+    that occur, a handful) decodes its own partition.  ``bad`` holds every
+    record without a good header or known id, with its ``reason``; a payload
+    that ``decode`` cannot read becomes a record of nulls there (PERMISSIVE).
+    ``decode(records, writer_schema, reader_schema, value_col, keep)``.
+    """
+    spark = records.sparkSession
+    path = scratch_dir(spark, "by-schema")
+    flagged = reject_reason(wire_split(records), registry)
+    split = (flagged.withColumn("_part", F.when(F.col("reason").isNull(), F.col("schema_id"))
+                                .otherwise(F.lit(None).cast("int"))))
+    split.write.partitionBy("_part").parquet(path)
+    split = spark.read.schema(split.schema).parquet(path)
+    good = split.where("_part IS NOT NULL")
+    parts = [decode(good.where(F.col("_part") == sid), text, reader_schema, "payload", keep)
+             for sid, text in sorted(writer_schemas(good, registry).items())]
+    if not parts:
+        fields = [F.lit(None).cast(f.dataType).alias(f.name)
+                  for f in avro_to_spark(reader_schema).fields]
+        parts = [good.limit(0).select(*keep, *fields)]
     out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out, split.where("_part IS NULL").select(*keep, "schema_id", "value", "reason")
 
 
 # --------------------------------------------------------------------------

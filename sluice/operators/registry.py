@@ -37,64 +37,20 @@ def latest_schemas(registry: DataFrame, subject: str = "subject", version: str =
                     .select(subject, version, *[F.col(f"_latest.{c}").alias(c) for c in payload]))
 
 
-# Key and value layout of a registry's storage log (public format).
-_LOG_KEY = T.StructType([T.StructField("keytype", T.StringType()),
-                         T.StructField("subject", T.StringType()),
-                         T.StructField("version", T.IntegerType())])
-_LOG_VALUE = T.StructType([T.StructField("subject", T.StringType()),
-                           T.StructField("version", T.IntegerType()),
-                           T.StructField("id", T.IntegerType()),
-                           T.StructField("schema", T.StringType()),
-                           T.StructField("deleted", T.BooleanType())])
-
-
-def registry_from_log(records: DataFrame) -> DataFrame:
-    """The registry table ``(subject, version, id, schema_json)`` rebuilt from
-    the registry's own storage log (a compacted topic in record layout).
-
-    Compaction semantics: per key the record with the highest offset wins;
-    a tombstone (null value) or ``deleted: true`` removes the entry.  Keys
-    of other types (config, mode, ...) are ignored.  ``max_by`` reduces map
-    side, so a subject with many re-registrations is not gathered in one task.
-    """
-    k = F.from_json(F.col("key").cast("string"), _LOG_KEY)
-    v = F.from_json(F.col("value").cast("string"), _LOG_VALUE)
-    entries = (records.select(k.alias("k"), v.alias("v"), "offset")
-                      .where(F.col("k.keytype") == "SCHEMA"))
-    latest = (entries.groupBy(F.col("k.subject").alias("subject"),
-                              F.col("k.version").alias("version"))
-                     .agg(F.max_by(F.struct(F.col("v").isNull().alias("tombstone"),
-                                            F.col("v.id").alias("id"),
-                                            F.col("v.schema").alias("schema_json"),
-                                            F.col("v.deleted").alias("deleted")),
-                                   F.col("offset")).alias("last")))
-    return (latest.where(~F.col("last.tombstone")
-                         & ~F.coalesce(F.col("last.deleted"), F.lit(False)))
-                  .select("subject", "version", F.col("last.id").alias("id"),
-                          F.col("last.schema_json").alias("schema_json")))
-
-
-# Up to this many subjects the latest-schema table is broadcast to the records.
-MAX_BROADCAST_SUBJECTS = 100_000
-
-
 def attach_latest_schema(records: DataFrame, registry: DataFrame,
                          topic_col: str = "topic") -> DataFrame:
-    """Adds ``latest_version``, ``latest_id`` and ``latest_schema_json``: the
-    latest registry version of each record's value subject (``<topic>-value``).
-
-    All records of a topic share one join key, so a shuffle join would put
-    the whole topic in one task.  The latest-schema table (one row per
-    subject) is counted first and broadcast when within
-    ``MAX_BROADCAST_SUBJECTS``; beyond that the plain join is left to AQE's
-    skew-join splitting.
+    """Adds ``latest_version`` and ``latest_id``: the latest registry version
+    of each record's value subject (``<topic>-value``).
+
+    Only ``(subject, version, id)`` is joined, never the schema texts; how is
+    left to the optimizer and AQE, which go by measured bytes and split the
+    hot key that a topic is.
     """
-    latest = latest_schemas(registry).select(
+    latest = latest_schemas(registry, payload=("id",)).select(
         F.col("subject").alias("_subject"), F.col("version").alias("latest_version"),
-        F.col("id").alias("latest_id"), F.col("schema_json").alias("latest_schema_json"))
+        F.col("id").alias("latest_id"))
     keyed = records.withColumn("_subject", F.concat(F.col(topic_col), F.lit(VALUE_SUFFIX)))
-    side = F.broadcast(latest) if latest.count() <= MAX_BROADCAST_SUBJECTS else latest
-    return keyed.join(side, "_subject", "left").drop("_subject")
+    return keyed.join(latest, "_subject", "left").drop("_subject")
 
 
 def latest_schema_text(registry: DataFrame, subject_name: str, subject: str = "subject",
@@ -127,27 +83,47 @@ _PRIMITIVES = {
 def avro_to_spark(schema: str | dict) -> T.StructType:
     """Spark schema of an Avro record schema; the root must be a record."""
     doc = json.loads(schema) if isinstance(schema, str) else schema
-    dtype, _ = _convert(doc, {}, ())
+    dtype, _ = _convert(doc, {}, (), "")
     if not isinstance(dtype, T.StructType):
         raise TypeError("Avro schema root is not a record")
     return dtype
 
 
-def _convert(node: Any, named: dict[str, Any], stack: tuple[str, ...]) -> tuple[T.DataType, bool]:
-    """(Spark type, nullable) of one Avro schema node."""
+def _full_name(name: str, namespace: str) -> str:
+    """A dotted name is full already; others take the namespace."""
+    return name if "." in name or not namespace else f"{namespace}.{name}"
+
+
+def _convert(node: Any, named: dict[str, Any], stack: tuple[str, ...],
+             space: str) -> tuple[T.DataType, bool]:
+    """(Spark type, nullable) of one Avro schema node.  ``named``: definitions
+    by full name, with the namespace they enclose; ``space``: the enclosing
+    namespace, which names without one inherit."""
     if isinstance(node, str):
         if node in _PRIMITIVES:
             return _PRIMITIVES[node], False
         if node == "null":
             return T.NullType(), True
-        if node in named:
-            if node in stack:
-                raise TypeError(f"recursive Avro type {node!r} has no Spark equivalent")
-            return _convert(named[node], named, stack)
-        raise TypeError(f"unknown Avro type {node!r}")
+        full = _full_name(node, space)
+        if full not in named:
+            raise TypeError(f"unknown Avro type {node!r}")
+        if full in stack:
+            raise TypeError(f"recursive Avro type {node!r} has no Spark equivalent")
+        definition, inner = named[full]
+        return _convert(definition, named, stack, inner)
     if isinstance(node, list):
-        return _union(node, named, stack)
+        return _union(node, named, stack, space)
     kind = node.get("type")
+    full, inner = "", space
+    if kind in ("record", "error", "enum", "fixed"):
+        name = node.get("name", "")
+        if "." in name:
+            inner = name.rpartition(".")[0]
+        elif "namespace" in node:
+            inner = node["namespace"] or ""
+        full = _full_name(name, inner)
+        # the definition is kept with its own namespace settled
+        named[full] = ({**node, "name": full, "namespace": inner}, inner)
     logical = node.get("logicalType")
     if logical == "date" and kind == "int":
         return T.DateType(), False
@@ -157,42 +133,37 @@ def _convert(node: Any, named: dict[str, Any], stack: tuple[str, ...]) -> tuple[
         return T.TimestampNTZType(), False
     if logical == "decimal" and kind in ("bytes", "fixed"):
         return T.DecimalType(int(node["precision"]), int(node.get("scale", 0))), False
-    if kind == "record":
-        name = node.get("name", "")
-        full = f"{node['namespace']}.{name}" if node.get("namespace") else name
-        for key in {name, full}:
-            named[key] = node
+    if kind in ("record", "error"):
         fields = []
         for f in node.get("fields", []):
-            ftype, nullable = _convert(f["type"], named, stack + (name, full))
+            ftype, nullable = _convert(f["type"], named, stack + (full,), inner)
             fields.append(T.StructField(f["name"], ftype, nullable))
         return T.StructType(fields), False
     if kind == "enum":
-        named[node.get("name", "")] = node
         return T.StringType(), False
     if kind == "fixed":
-        named[node.get("name", "")] = node
         return T.BinaryType(), False
     if kind == "array":
-        elem, nullable = _convert(node["items"], named, stack)
+        elem, nullable = _convert(node["items"], named, stack, space)
         return T.ArrayType(elem, nullable), False
     if kind == "map":
-        val, nullable = _convert(node["values"], named, stack)
+        val, nullable = _convert(node["values"], named, stack, space)
         return T.MapType(T.StringType(), val, nullable), False
     if isinstance(kind, (str, list, dict)):
-        return _convert(kind, named, stack)
+        return _convert(kind, named, stack, space)
     raise TypeError(f"cannot map Avro node {node!r}")
 
 
-def _union(members: list, named: dict[str, Any], stack: tuple[str, ...]) -> tuple[T.DataType, bool]:
+def _union(members: list, named: dict[str, Any], stack: tuple[str, ...],
+           space: str) -> tuple[T.DataType, bool]:
     has_null = any(m == "null" for m in members)
     rest = [m for m in members if m != "null"]
     if not rest:
         return T.NullType(), True
     if len(rest) == 1:
-        dtype, _ = _convert(rest[0], named, stack)
+        dtype, _ = _convert(rest[0], named, stack, space)
         return dtype, has_null
-    types = [_convert(m, named, stack)[0] for m in rest]
+    types = [_convert(m, named, stack, space)[0] for m in rest]
     if all(isinstance(t, (T.IntegerType, T.LongType)) for t in types):
         return T.LongType(), has_null
     if all(isinstance(t, (T.FloatType, T.DoubleType)) for t in types):

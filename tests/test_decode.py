@@ -92,3 +92,42 @@ def test_decode_nested_avro_declared_schema(spark):
     assert (out[0]["id"], out[0]["tags"], out[0]["attrs"], out[0]["inner"]["x"]) == \
         (1, ["a", "b"], {"k": 2}, 1.5)
     assert (out[1]["tags"], out[1]["attrs"], out[1]["inner"]) == ([], {}, None)
+
+
+def _framed(spark):
+    good = bytes.fromhex("0000000007") + b'{"field1": "a", "field2": 1}'
+    values = [good, None, b"\x00\x00", b"\x01" + good[1:], b"\x00\x00\x00\x00\x63" + good[5:],
+              good[:5] + b"{not json", good[:5], good[:5] + b"5"]
+    return spark.createDataFrame([("t", 0, i, v) for i, v in enumerate(values)],
+                                 "topic string, partition int, offset long, value binary")
+
+
+def _registry(spark):
+    return spark.createDataFrame([("t-value", 1, 7, TEST_RECORD)],
+                                 "subject string, version int, id int, schema_json string")
+
+
+def test_every_record_is_decoded_or_rejected(spark):
+    good, bad = D.decode_or_reject(_framed(spark), _registry(spark), TEST_RECORD)
+    assert [(r["offset"], r["field1"], r["field2"], r["schema_id"]) for r in good.collect()] == \
+        [(0, "a", 1, 7)]
+    reasons = {r["offset"]: r["reason"] for r in bad.collect()}
+    assert reasons == {1: D.NULL_VALUE, 2: D.SHORT_HEADER, 3: D.MAGIC_BYTE, 4: D.UNKNOWN_ID,
+                       5: D.UNPARSABLE, 6: D.UNPARSABLE, 7: D.UNPARSABLE}
+
+
+def test_writer_schemas_decode_their_own_partition(spark):
+    def as_json(records, writer, reader, value_col, keep):
+        return D.decode_json(records, reader, value_col, keep)
+
+    good, bad = D.decode_by_schema_id(_framed(spark), _registry(spark), TEST_RECORD, decode=as_json)
+    assert sorted(r["offset"] for r in good.collect()) == [0, 5, 6, 7]
+    assert {r["offset"]: r["reason"] for r in bad.collect()} == {
+        1: D.NULL_VALUE, 2: D.SHORT_HEADER, 3: D.MAGIC_BYTE, 4: D.UNKNOWN_ID}
+
+
+def test_no_known_schema_all_rejected(spark):
+    nothing = _registry(spark).limit(0)
+    good, bad = D.decode_by_schema_id(_framed(spark), nothing, TEST_RECORD)
+    assert good.columns == ["topic", "partition", "offset", "field1", "field2"]
+    assert good.count() == 0 and bad.count() == 8

@@ -11,9 +11,22 @@ def test_feature_selection_and_clusters(spark):
     emb = M.as_vectors(table(spark, SF_SMALL, "embeddings"), "embedding")
     out, picked = M.select_features(emb, "features", "label", 8)
     assert len(picked) == 8 and out.count() == emb.count()
-    assigned, cost, silhouette = M.cluster_quality(emb, "features", 3)
-    assert cost > 0 and -1.0 <= silhouette <= 1.0
+    model = M.fit_clusters(emb, "features", 3)
+    assigned = model.transform(emb)
+    assert -1.0 <= M.silhouette(assigned, "features") <= 1.0
     assert assigned.select("prediction").distinct().count() <= 3
+    # the cost of any dataset; on the fitted one it is the training cost
+    cost = M.clustering_cost(model, emb, "features")
+    assert abs(cost - model.summary.trainingCost) < 1e-6 * cost
+    assert M.clustering_cost(model, emb.limit(0), "features") == 0.0
+
+
+def test_too_many_labels_raise(spark):
+    import pytest
+    df = spark.createDataFrame([(str(i), "x") for i in range(20)], "c string, d string")
+    with pytest.raises(ValueError, match="more than 10 labels"):
+        M.index_labels(df, ["c", "d"], max_labels=10)
+    assert len(M.index_labels(df, ["c", "d"], max_labels=20)[1][0]) == 20
 
 
 def test_label_index_order(spark):

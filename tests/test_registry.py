@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from sluice.operators import registry as G
 
-# FIXTURES A.1: the registry test's schema
+# The registry test's schema.
 TEST_RECORD = json.dumps({"type": "record", "name": "TestRecord",
                           "fields": [{"name": "field1", "type": "string"},
                                      {"name": "field2", "type": "int"}]})
@@ -81,45 +81,46 @@ def test_root_must_be_record_and_no_recursion():
             {"name": "next", "type": ["null", "N"]}]})
 
 
-def test_attach_latest_schema(spark, monkeypatch):
+def test_attach_latest_schema(spark):
     reg = spark.createDataFrame(
         [("a-value", 1, 10, "s1"), ("a-value", 3, 12, "s3"), ("b-value", 1, 20, "t1")],
         "subject string, version int, id int, schema_json string")
     recs = spark.createDataFrame([("a", 0), ("a", 1), ("b", 0), ("c", 0)],
                                  "topic string, offset long")
-    for limit in (G.MAX_BROADCAST_SUBJECTS, 0):
-        monkeypatch.setattr(G, "MAX_BROADCAST_SUBJECTS", limit)
-        out = G.attach_latest_schema(recs, reg)
-        got = sorted((r["topic"], r["offset"], r["latest_version"], r["latest_id"])
-                     for r in out.collect())
-        assert got == [("a", 0, 3, 12), ("a", 1, 3, 12), ("b", 0, 1, 20), ("c", 0, None, None)]
-
-
-def test_registry_from_storage_log(spark):
-    def key(subject, version, keytype="SCHEMA"):
-        return json.dumps({"keytype": keytype, "subject": subject, "version": version,
-                           "magic": 1}).encode()
-
-    def value(subject, version, sid, schema, deleted=False):
-        return json.dumps({"subject": subject, "version": version, "id": sid,
-                           "schema": schema, "deleted": deleted}).encode()
-
-    log = [
-        (key("t-value", 1), value("t-value", 1, 1, "s1")),
-        (key("t-value", 2), value("t-value", 2, 2, "s2")),
-        (key("u-value", 1), value("u-value", 1, 3, "u1")),
-        (key("u-value", 1), None),                                   # tombstone
-        (key("v-value", 1), value("v-value", 1, 4, "v1")),
-        (key("v-value", 1), value("v-value", 1, 4, "v1", True)),    # soft delete
-        (key("w-value", 1), value("w-value", 1, 5, "w0")),
-        (key("w-value", 1), value("w-value", 1, 5, "w1")),          # rewritten
-        (json.dumps({"keytype": "CONFIG", "subject": None, "magic": 0}).encode(),
-         b'{"compatibilityLevel": "BACKWARD"}'),
-    ]
-    records = spark.createDataFrame([(k, v, "_schemas", 0, i) for i, (k, v) in enumerate(log)],
-                                    "key binary, value binary, topic string, partition int, "
-                                    "offset long")
-    reg = G.registry_from_log(records)
-    rows = sorted(tuple(r) for r in reg.collect())
-    assert rows == [("t-value", 1, 1, "s1"), ("t-value", 2, 2, "s2"), ("w-value", 1, 5, "w1")]
-    assert G.latest_schema_text(reg, G.value_subject("t")) == "s2"
+    out = G.attach_latest_schema(recs, reg)
+    got = sorted((r["topic"], r["offset"], r["latest_version"], r["latest_id"])
+                 for r in out.collect())
+    assert got == [("a", 0, 3, 12), ("a", 1, 3, 12), ("b", 0, 1, 20), ("c", 0, None, None)]
+    assert out.columns == ["topic", "offset", "latest_version", "latest_id"]  # no schema texts
+
+
+def _record(name, fields, **more):
+    return {"type": "record", "name": name, "fields":
+            [{"name": n, "type": t} for n, t in fields], **more}
+
+
+def test_nested_types_inherit_the_namespace():
+    inner = _record("Inner", [("x", "int")])
+    s = G.avro_to_spark(_record("Outer", [("a", inner), ("b", "com.a.Inner"), ("c", "Inner")],
+                                namespace="com.a"))
+    assert s["a"].dataType == s["b"].dataType == s["c"].dataType
+    dotted = G.avro_to_spark(_record("com.a.Outer", [("a", inner), ("b", "com.a.Inner")]))
+    assert dotted["a"].dataType == dotted["b"].dataType
+
+
+def test_namespaced_enum_and_fixed_by_full_name():
+    s = G.avro_to_spark(_record("R", [
+        ("e", {"type": "enum", "name": "E", "namespace": "n.one", "symbols": ["A"]}),
+        ("e2", "n.one.E"),
+        ("f", {"type": "fixed", "name": "n.two.F", "size": 4}), ("f2", ["null", "n.two.F"])]))
+    assert s["e2"].dataType == T.StringType() and s["f2"].dataType == T.BinaryType()
+
+
+def test_equal_short_names_in_two_namespaces():
+    s = G.avro_to_spark(_record("R", [
+        ("a", _record("P", [("x", "int")], namespace="n.one")),
+        ("b", _record("P", [("y", "string")], namespace="n.two")),
+        ("a2", "n.one.P"), ("b2", "n.two.P")]))
+    assert s["a2"].dataType.names == ["x"] and s["b2"].dataType.names == ["y"]
+    with pytest.raises(TypeError):
+        G.avro_to_spark(_record("R", [("a", _record("P", [("x", "int")], namespace="n")), ("b", "P")]))
