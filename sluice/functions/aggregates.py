@@ -24,6 +24,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# A group of a registered series aggregate is one task's array: at most this many rows.
+MAX_GROUP_ROWS = 5_000_000
+
 # Merge operations a buffer field may use.
 _MERGES = {"sum": F.sum, "min": F.min, "max": F.max, "count": F.sum}
 
@@ -80,10 +83,15 @@ def root_sum_squares(value_col: str, name: str = "rss") -> UserAggregate:
 
 def register_series_aggregate(spark: SparkSession, name: str,
                               fn: Callable[[pd.Series], float],
-                              return_type: T.DataType = T.DoubleType()):
+                              return_type: T.DataType = T.DoubleType(),
+                              max_rows: int = MAX_GROUP_ROWS):
     """Register a series -> scalar pandas UDF for SQL (``SELECT name(x) ...
-    GROUP BY``).  No partial aggregation: only for bounded groups."""
+    GROUP BY``).  It has no partial aggregation, so a group of more than
+    ``max_rows`` rows raises; call it in two steps over salted groups where a
+    key may be hot (the function must then accept its own results)."""
     def series_to_scalar(values: pd.Series) -> float:
+        if len(values) > max_rows:
+            raise ValueError(f"{name}: a group of {len(values)} rows, at most {max_rows}")
         return fn(values)
 
     udf = F.pandas_udf(series_to_scalar, return_type)

@@ -53,3 +53,10 @@ def explode_rows(df: DataFrame, keep: Sequence[str], variants: Sequence[Sequence
     array stays a JVM generator (no Python)."""
     structs = [F.struct(*[c.alias(n) for c, n in zip(v, names)]) for v in variants]
     return df.select(*keep, F.inline(F.array(*structs)))
+
+
+def explode_rows_by(df: DataFrame, keep: Sequence[str], rows: Column) -> DataFrame:
+    """U4 with any number of rows: ``rows`` is an array of structs computed
+    from each row; every element is a row of its own, and an empty or null
+    array gives none.  A JVM generator (no Python)."""
+    return df.select(*keep, F.inline(rows))

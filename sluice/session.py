@@ -92,8 +92,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, never-reused folder below the checkpoint root."""
+    """A fresh, never-reused folder below the checkpoint root; remembered
+    until :func:`release_scratch`."""
     root = checkpoint_root(spark)
     sep = "" if root.endswith("/") else "/"
-    return f"{root}{sep}{purpose}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}{sep}{purpose}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this application, through Hadoop's file
+    system.  Call it when the frames that read them are done with (results
+    are lazy).  Returns how many were there."""
+    found = 0
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found += bool(fs.delete(path, True))
+    return found

@@ -5,13 +5,15 @@ import pathlib
 import random
 import re
 
+import pytest
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 from conftest import python_nodes
 from sluice.functions.aggregates import (UserAggregate, aggregate_by, register_series_aggregate,
                                          root_sum_squares)
-from sluice.functions.udfs import (call, count_ascii_upper, explode_column, explode_rows,
+from sluice.functions.udfs import (call, count_ascii_upper, explode_column, explode_rows, explode_rows_by,
                                    leading_digit, register_udf)
 
 
@@ -119,3 +121,25 @@ def test_user_aggregate_keeps_null_keys(spark):
     df = spark.createDataFrame(rows, "k string, v double").repartition(3)
     got = {r["k"]: r["rss"] for r in aggregate_by(df, ["k"], root_sum_squares("v")).collect()}
     assert got == {None: 5.0, "a": 1.0}
+
+
+def test_series_aggregate_in_two_steps_and_its_bound(spark):
+    rows = [("a", float(i), i) for i in range(50)] + [("b", 2.0, 0)]
+    spark.createDataFrame(rows, "k string, v double, i int").createOrReplaceTempView("sluice_rss_v")
+    register_series_aggregate(spark, "sluice_bound_rss", lambda x: float((x * x).sum() ** 0.5),
+                              max_rows=20)
+    salted = spark.sql("SELECT k, sluice_bound_rss(p) AS r FROM (SELECT k, sluice_bound_rss(v) AS p "
+                       "FROM sluice_rss_v GROUP BY k, i % 5) GROUP BY k").collect()
+    expected = math.sqrt(sum(i * i for i in range(50)))
+    assert {r["k"]: round(r["r"], 9) for r in salted} == {"a": round(expected, 9), "b": 2.0}
+    with pytest.raises(Exception, match="at most 20"):
+        spark.sql("SELECT k, sluice_bound_rss(v) FROM sluice_rss_v GROUP BY k").collect()
+
+
+def test_explode_rows_by_any_count(spark):
+    df = spark.createDataFrame([(1, 3), (2, 0), (3, None), (4, 1)], "id int, n int")
+    rows = F.when(F.col("n") > 0, F.transform(F.sequence(F.lit(1), F.col("n")),
+                                              lambda i: F.struct(i.alias("i"))))
+    out = explode_rows_by(df, ["id"], rows)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 1), (1, 2), (1, 3), (4, 1)]
+    assert python_nodes(out) == []
