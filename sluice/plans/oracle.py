@@ -1,6 +1,5 @@
 """DuckDB SQL with the same result as each registered query (the correctness
-oracle).  Only the clustering fit (iterative) has no entry and gets a rows-only
-check."""
+oracle)."""
 
 from __future__ import annotations
 
@@ -40,9 +39,18 @@ SELECT {_REC_TEXT} FROM rec WHERE "partition" = 0 AND "offset" >= 50 AND "offset
 UNION ALL
 SELECT {_REC_TEXT} FROM rec WHERE "partition" = 2 AND "offset" >= 10 AND "offset" < 20""",
 
+    "kafka_offset_range_table": f"""
+WITH {_REC},
+r AS (SELECT CAST(n_nationkey % 4 AS INTEGER) AS p, n_nationkey AS a,
+             CASE WHEN n_regionkey % 2 = 0 THEN 9223372036854775807 ELSE n_nationkey + 5 END AS b
+      FROM nation)
+SELECT {_REC_TEXT} FROM rec JOIN r ON "partition" = p AND "offset" >= a AND "offset" < b""",
+
     "kafka_available_now": f"WITH {_REC} SELECT {_REC_TEXT} FROM rec",
 
-    "records_with_schema": "SELECT s_suppkey, s_name, s_nationkey FROM supplier",
+    "records_with_schema": """
+SELECT CAST(s_suppkey AS VARCHAR) AS "key", s_name AS name, CAST(s_nationkey AS BIGINT) AS nation
+FROM supplier""",
 
     "json_file_read": "SELECT * FROM supplier",
 
@@ -53,7 +61,9 @@ SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events""",
 
     "json_strings_infer": """
-SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""",
+SELECT event_id, CASE WHEN event_id % 10 IN (3, 7) THEN NULL
+                      ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k
+FROM events""",
 
     "parquet_read": """
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01'""",
@@ -78,7 +88,7 @@ ORDER BY topic, "partition", "offset" LIMIT 20""",
 
     "record_inspect": f"""
 WITH {_REC}
-SELECT {_REC_TEXT} FROM rec ORDER BY topic, "partition", "offset" LIMIT 20""",
+SELECT {_REC_TEXT} FROM rec""",
 
     "external_table": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
 
@@ -92,7 +102,8 @@ FROM conversations GROUP BY conv_id""",
 
     "decode_dynamic": f"""
 WITH {_REC}
-SELECT topic, "partition", "offset", TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+SELECT topic, "partition", "offset", TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k2
 FROM rec""",
 
     "schema_round_trip": f"""
@@ -102,11 +113,18 @@ SELECT topic, "partition", "offset", "key",
 FROM rec""",
 
     "registry_decode": f"""
-WITH {_REC}
-SELECT topic, "partition", "offset", CAST(1 + "offset" % 3 AS INTEGER) AS schema_id,
-       3 AS latest_version, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-       CAST(NULL AS VARCHAR) AS note
-FROM rec""",
+WITH {_REC},
+own AS (SELECT *, CASE "offset" % 11 WHEN 3 THEN 'null value' WHEN 5 THEN 'short header'
+                  WHEN 7 THEN 'magic byte' WHEN 9 THEN 'unknown schema id'
+                  WHEN 10 THEN 'unparsable payload' END AS reason
+        FROM rec WHERE ("partition" = 0 AND "offset" < 120) OR ("partition" = 1 AND "offset" >= 50)
+                    OR ("partition" = 3 AND "offset" >= 10 AND "offset" < 400))
+SELECT topic, "partition", "offset", 3 AS latest_version, reason, CAST(NULL AS VARCHAR) AS note,
+       CASE WHEN reason IN ('null value', 'short header', 'magic byte') THEN NULL
+            WHEN reason = 'unknown schema id' THEN 99
+            ELSE CAST(1 + "offset" % 3 AS INTEGER) END AS schema_id,
+       CASE WHEN reason IS NULL THEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k
+FROM own""",
 
     "decode_fixed": f"""
 WITH {_REC}
@@ -117,10 +135,14 @@ FROM rec""",
     "key_to_string": f'WITH {_REC} SELECT topic, "partition", "offset", "key" FROM rec',
 
     "wire_split": f"""
-WITH {_REC}
-SELECT "partition", "offset", 0 AS magic, CAST(1 + "offset" % 3 AS INTEGER) AS schema_id,
-       props AS payload, true AS wire_ok
-FROM rec""",
+WITH {_REC},
+own AS (SELECT *, "offset" % 11 AS t FROM rec)
+SELECT "partition", "offset", t NOT IN (3, 5, 7) AS wire_ok,
+       CASE t WHEN 3 THEN NULL WHEN 7 THEN 1 ELSE 0 END AS magic,
+       CASE WHEN t IN (3, 5, 7) THEN NULL WHEN t = 9 THEN 99
+            ELSE CAST(1 + "offset" % 3 AS INTEGER) END AS schema_id,
+       CASE WHEN t IN (3, 5, 7) THEN NULL WHEN t = 10 THEN 'not json' ELSE props END AS payload
+FROM own""",
 
     "quarantine": f"WITH {_GAPS} SELECT * FROM gaps WHERE {_GAPS_BAD}",
 
@@ -138,9 +160,10 @@ WHERE value > 40.0 AND event_type IN ('click', 'view')""",
 WITH {_REC},
 ends AS (SELECT topic, "partition", max("offset") + 1 AS end_offset FROM rec
          GROUP BY topic, "partition"),
-listed AS (SELECT 'events' AS topic, CAST(range AS INTEGER) AS "partition" FROM range(6))
-SELECT l.topic, l."partition", CAST(coalesce(e.end_offset, 0) AS BIGINT) AS end_offset
-FROM listed l LEFT JOIN ends e ON l.topic = e.topic AND l."partition" = e."partition\"""",
+listed AS (SELECT 'events' AS topic, CAST(unnest([0, 1, 3, 9]) AS INTEGER) AS "partition")
+SELECT coalesce(l.topic, e.topic) AS topic, coalesce(l."partition", e."partition") AS "partition",
+       CAST(coalesce(e.end_offset, 0) AS BIGINT) AS end_offset
+FROM listed l FULL JOIN ends e ON l.topic = e.topic AND l."partition" = e."partition\"""",
 
     "approx_distinct": """
 SELECT o_orderstatus, count(DISTINCT o_custkey) AS n_customers, true AS within_bound
@@ -160,10 +183,17 @@ FROM orders GROUP BY o_orderpriority""",
 
     "user_agg": """
 SELECT event_type, CAST(round(sqrt(sum(value * value)) * 10000) AS BIGINT) AS rss_e4
+FROM events GROUP BY event_type""",
+
+    "user_agg_sql": """
+SELECT event_type, CAST(round(sqrt(sum(value * value)) * 10000) AS BIGINT) AS rss_e4
 FROM events GROUP BY event_type""",
 
     "split_tokens": """
 SELECT doc_id,
+       CASE WHEN strpos(text, '|') = 0 THEN text
+            WHEN rtrim(text, '|') = '' THEN ''
+            ELSE array_to_string(string_split(rtrim(text, '|'), '|'), chr(31)) END AS tokens,
        CAST(CASE WHEN strpos(text, '|') = 0 THEN 1
                  WHEN rtrim(text, '|') = '' THEN 0
                  ELSE len(string_split(rtrim(text, '|'), '|')) END AS INTEGER) AS n_tokens
@@ -203,6 +233,17 @@ SELECT o_orderkey, 'total' AS kind, o_totalprice AS amount FROM orders
 UNION ALL
 SELECT o_orderkey, 'customer' AS kind, CAST(o_custkey AS DOUBLE) AS amount FROM orders""",
 
+    "explode_rows_dynamic": """
+SELECT doc_id, CAST(n - 1 AS INTEGER) AS line_no, line
+FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents)
+WHERE line <> ''""",
+
+    "cluster_quality": """
+SELECT unnest(['fitted', 'mirrored']) AS dataset, count(*) AS n_rows, CAST(4 AS BIGINT) AS n_clusters,
+       true AS cost_agrees, true AS silhouette_agrees
+FROM embeddings""",
+
     # ANOVA F per embedding dimension; all dimensions share the degrees of
     # freedom, so the 8 largest F are the 8 smallest p-values
     "feature_select": """
@@ -234,8 +275,10 @@ SELECT "column", label,
 FROM counted""",
 
     "ingest_summary": """
-SELECT CAST(user_id % 4 AS INTEGER) AS "partition", count(*) AS n_records,
-       count(*) FILTER (WHERE nullif(event_type, 'error') IS NULL
+SELECT CAST(CASE WHEN event_id % 97 <> 5 THEN user_id % 4 END AS INTEGER) AS "partition",
+       count(*) AS n_records,
+       count(*) FILTER (WHERE event_id % 97 = 5 OR user_id IS NULL
+                        OR nullif(event_type, 'error') IS NULL
                         OR TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL) AS n_bad,
        count(*) AS end_offset
 FROM events GROUP BY 1""",

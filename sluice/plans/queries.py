@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +13,10 @@ from pyspark.sql import types as T
 from pyspark.ml.functions import vector_to_array
 
 from sluice.functions import text as txt
-from sluice.functions.aggregates import aggregate_by, root_sum_squares
+from sluice.functions.aggregates import (aggregate_by, register_series_aggregate,
+                                          root_sum_squares)
 from sluice.functions.udfs import (call, count_ascii_upper, explode_column, explode_rows,
+                                   explode_rows_by,
                                    leading_digit, register_udf)
 from sluice.operators import decode, features, offsets, quality, registry
 from sluice.plans.tables import (EVENTS_TOPIC, events_log, events_log_table, events_records,
@@ -29,13 +32,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 OFFSET_RANGES = [(EVENTS_TOPIC, 0, 0, 100), (EVENTS_TOPIC, 1, 50, 150)]
 OVERLAPPING_RANGES = [(EVENTS_TOPIC, 0, 0, 100), (EVENTS_TOPIC, 0, 50, 150),
                       (EVENTS_TOPIC, 2, 10, 20)]
-LISTED_PARTITIONS = 6
+LISTED_PARTITIONS = [0, 1, 3, 9]
 PROPS_AVRO_SCHEMA = ('{"type": "record", "name": "Props", '
                      '"fields": [{"name": "k", "type": "int"}]}')
+NESTED_AVRO_SCHEMA = (
+    '{"type": "record", "name": "Pair", "namespace": "com.example", "fields": ['
+    '{"name": "first", "type": {"type": "record", "name": "Props", '
+    '"fields": [{"name": "k", "type": "int"}]}}, '
+    '{"name": "second", "type": ["null", "com.example.Props"]}]}')
 SPECIAL_CHARS = ",|#|#|*|\\|$"
 SQL_CONDITION = "value > 40.0 AND event_type IN ('click', 'view')"
 NEVER_TRUE = "value < 0"
 RSD = 0.05
+CLUSTERS = 4
 
 
 def record_text():
@@ -59,6 +68,17 @@ def kafka_offset_range_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_offset_ranges(rec, OVERLAPPING_RANGES).select(*record_text())
 
 
+def kafka_offset_range_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with the ranges in a table: per nation the range that starts at its
+    key in log partition ``key % 4``, open-ended where the region key is even."""
+    ranges = table(spark, sf_dir, "nation").select(
+        F.lit(EVENTS_TOPIC).alias("topic"), (F.col("n_nationkey") % 4).alias("partition"),
+        F.col("n_nationkey").alias("from_offset"),
+        F.when(F.col("n_regionkey") % 2 == 0, F.lit((1 << 63) - 1))
+         .otherwise(F.col("n_nationkey") + 5).alias("until_offset"))
+    return records.read_offset_ranges(events_log(spark, sf_dir), ranges).select(*record_text())
+
+
 def kafka_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log read as a stream -- everything available once, then stop."""
     path, schema = events_log_table(spark, sf_dir)
@@ -70,13 +90,12 @@ def kafka_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records_with_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S3: an RDD of tuples plus a StructType -> DataFrame (by position)."""
+    """S3: rows plus a StructType -> DataFrame (by position, in the JVM)."""
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    schema = T.StructType([T.StructField("s_suppkey", T.LongType()),
-                           T.StructField("s_name", T.StringType()),
-                           T.StructField("s_nationkey", T.IntegerType())])
-    rdd = sup.rdd.map(tuple)
-    return files.rows_to_frame(spark, rdd, schema)
+    schema = T.StructType([T.StructField("key", T.StringType()),
+                           T.StructField("name", T.StringType()),
+                           T.StructField("nation", T.LongType())])
+    return files.rows_to_frame(spark, sup, schema)
 
 
 def json_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +103,7 @@ def json_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier")
     path = scratch_dir(spark, "json")
     sup.write.json(path)
-    return files.read_json(spark, path, schema=sup.schema, sampling_ratio=0.5)
+    return files.read_json(spark, path, schema=sup.schema)
 
 
 def json_file_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,7 +112,7 @@ def json_file_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier")
     path = scratch_dir(spark, "json")
     sup.write.json(path)
-    return files.read_json(spark, path, sampling_ratio=1.0)
+    return files.read_json(spark, path, sampling_ratio=0.5)
 
 
 def json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,9 +123,12 @@ def json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_strings_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S5 without a schema: the JSON strings' schema inferred from a sample."""
-    ev = table(spark, sf_dir, "events")
-    return files.parse_json_strings(spark, ev, "props", sampling_ratio=1.0)
+    """S5 without a schema: inferred from a sample of the strings; some are
+    null and some malformed, by rule."""
+    turn = F.col("event_id") % 10
+    ev = table(spark, sf_dir, "events").withColumn(
+        "props", F.when(turn == 3, None).when(turn == 7, F.lit('{"k": ')).otherwise(F.col("props")))
+    return files.parse_json_strings(spark, ev, "props", sampling_ratio=0.5, keep=("event_id",))
 
 
 def parquet_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,16 +172,20 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_inspect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K3: key and value text of the first 20 records."""
-    return records.inspect_records(events_log(spark, sf_dir), 20)
+    """K3: key and value text of every record."""
+    return records.inspect_records(events_log(spark, sf_dir))
 
 
 def external_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4: an external catalog table over the nation parquet files."""
-    path = os.path.abspath(f"{sf_dir.rstrip('/')}/nation.parquet") \
-        if "://" not in sf_dir else f"{sf_dir.rstrip('/')}/nation.parquet"
-    catalog.external_table(spark, "sluice_nation_ext", path, source="parquet")
-    return spark.table("sluice_nation_ext").select("n_nationkey", "n_name", "n_regionkey")
+    """K4: an external catalog table over the nation parquet files, under a
+    name of its own; the catalog entry is dropped again, the files stay."""
+    path = f"{sf_dir.rstrip('/')}/nation.parquet"
+    path = path if "://" in path else os.path.abspath(path)
+    name = f"sluice_nation_{uuid.uuid4().hex[:12]}"
+    catalog.external_table(spark, name, path, source="parquet")
+    nation = spark.table(name).select("n_nationkey", "n_name", "n_regionkey")
+    spark.sql(f"DROP TABLE {name}")
+    return nation
 
 
 def temp_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,9 +211,14 @@ def latest_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D2 + D4: values decoded under a Spark schema converted from Avro."""
-    rec = events_log(spark, sf_dir)
-    return decode.decode_json(rec, PROPS_AVRO_SCHEMA)
+    """D2 + D4: values decoded under a Spark schema converted from Avro, with
+    a nested record named through its enclosing namespace."""
+    rec = events_log(spark, sf_dir).withColumn("value", F.concat(
+        F.lit('{"first": ').cast("binary"), F.col("value"), F.lit(', "second": ').cast("binary"),
+        F.col("value"), F.lit("}").cast("binary")))
+    out = decode.decode_json(rec, NESTED_AVRO_SCHEMA)
+    return out.select("topic", "partition", "offset", F.col("first.k").alias("k"),
+                      F.col("second.k").alias("k2"))
 
 
 def schema_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,20 +242,40 @@ EVENTS_VALUE_VERSIONS = [
 ]
 
 
+# Offset ranges of the registry read.
+REGISTRY_RANGES = [(EVENTS_TOPIC, 0, 0, 120), (EVENTS_TOPIC, 1, 50, (1 << 63) - 1),
+                   (EVENTS_TOPIC, 3, 10, 400)]
+
+
+def damaged(framed: DataFrame) -> DataFrame:
+    """Wire-format records with some values damaged by their offset: null,
+    cut short, another magic byte, an unknown id, a payload that is no JSON."""
+    turn, v = F.col("offset") % 11, F.col("value")
+    return framed.withColumn(
+        "value", F.when(turn == 3, None).when(turn == 5, F.substring(v, 1, 3))
+        .when(turn == 7, F.concat(F.unhex(F.lit("01")), F.expr("substring(value, 2)")))
+        .when(turn == 9, F.concat(F.unhex(F.lit("0000000063")), F.expr("substring(value, 6)")))
+        .when(turn == 10, F.concat(F.substring(v, 1, 5), F.lit("not json").cast("binary")))
+        .otherwise(v))
+
+
 def registry_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D1 + D7 + D4 together, as the reference reads a topic: wire-format
-    values written with schema ids 1-3, the latest registry schema of the
-    topic's value subject attached to each record, payloads decoded by name
-    under it (fields missing from older writers are null)."""
+    """S1 + D1 + D7 + D4 + Q1 in one plan, as the reference reads a topic: a
+    bounded offset read of wire-format values, the latest registry schema of
+    the topic's value subject, payloads decoded by name under it (fields that
+    older writers lack are null), and every record that cannot be decoded on
+    the other side with its reason."""
     reg = spark.createDataFrame(
         [(registry.value_subject(EVENTS_TOPIC), v, v, text) for v, text in EVENTS_VALUE_VERSIONS],
         "subject string, version int, id int, schema_json string")
-    rec = events_log(spark, sf_dir)
+    rec = records.read_offset_ranges(events_log(spark, sf_dir), REGISTRY_RANGES)
     framed = rec.withColumn("value", decode.frame_value(F.col("value"), 1 + F.col("offset") % 3))
-    split = registry.attach_latest_schema(decode.wire_split(framed), reg)
     latest = registry.latest_schema_text(reg, registry.value_subject(EVENTS_TOPIC))
-    return decode.decode_json(split, latest, value_col="payload",
-                              keep=("topic", "partition", "offset", "schema_id", "latest_version"))
+    good, bad = decode.decode_or_reject(damaged(framed), reg, latest)
+    both = (good.withColumn("reason", F.lit(None).cast("string"))
+            .unionByName(bad.drop("value"), allowMissingColumns=True))
+    return registry.attach_latest_schema(both, reg).select(
+        "topic", "partition", "offset", "schema_id", "latest_version", "k", "note", "reason")
 
 
 def decode_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,11 +293,11 @@ def key_to_string(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wire_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Magic byte, schema id and payload of wire-format values."""
-    # the log's values in wire format, writer schema ids rotating 1, 2, 3
+    """Magic byte, schema id and payload of wire-format values, some of
+    them damaged; writer schema ids rotate 1, 2, 3."""
     rec = events_log(spark, sf_dir)
     framed = rec.withColumn("value", decode.frame_value(F.col("value"), 1 + F.col("offset") % 3))
-    return (decode.wire_split(framed)
+    return (decode.wire_split(damaged(framed))
                   .select("partition", "offset", "magic", "schema_id",
                           F.col("payload").cast("string").alias("payload"), "wire_ok"))
 
@@ -300,10 +351,10 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- aggregates ------------------------------------------------------------
 
 def end_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: next offset per log partition; listed partitions without records
-    report 0."""
+    """A1: next offset per log partition; a listed partition without records
+    reports 0, one that is not listed (2) stays."""
     rec = events_log(spark, sf_dir)
-    listed = [(EVENTS_TOPIC, p) for p in range(LISTED_PARTITIONS)]
+    listed = [(EVENTS_TOPIC, p) for p in LISTED_PARTITIONS]
     return offsets.end_offsets(rec, EVENTS_TOPIC, listed)
 
 
@@ -346,12 +397,28 @@ def user_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_type", F.round(F.col("rss") * 10_000).cast("long").alias("rss_e4"))
 
 
+def user_agg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 called by name in SQL.  A series aggregate has no partials, so the
+    rows of a key are aggregated in salted groups first; this aggregate of its
+    own results is the aggregate of all."""
+    register_series_aggregate(spark, "sluice_rss", lambda x: float((x * x).sum() ** 0.5))
+    name = catalog.temp_view(table(spark, sf_dir, "events"), "sluice_events_v")
+    return spark.sql(f"""
+        SELECT event_type, CAST(round(sluice_rss(part) * 10000) AS BIGINT) AS rss_e4
+        FROM (SELECT event_type, sluice_rss(value) AS part FROM {name} WHERE value IS NOT NULL
+              GROUP BY event_type, pmod(xxhash64(event_id), 256))
+        GROUP BY event_type""")
+
+
 # -- scalar functions --------------------------------------------------------
 
 def split_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pipe-delimited tokens with Java split semantics."""
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.size(txt.split_tokens("text", "|")).alias("n_tokens"))
+    tokens = txt.split_tokens("text", "|")
+    # unit separators between the tokens: the text of each is compared
+    return docs.select("doc_id", F.size(tokens).alias("n_tokens"),
+                       F.array_join(tokens, "\x1f").alias("tokens"))
 
 
 def replace_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,11 +448,15 @@ def degrees_radians(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monotonically increasing ids are unique and non-negative."""
+    """Monotonically increasing ids are unique and non-negative.  The high
+    bits of an id are its task's; inside a task ids are dense, so counts and
+    bounds per task settle it without shuffling the rows."""
     li = table(spark, sf_dir, "lineitem").select(F.monotonically_increasing_id().alias("rid"))
-    return li.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.count_distinct("rid").alias("n_ids"),
-                  (F.min("rid") >= 0).alias("non_negative"))
+    parts = li.groupBy(F.shiftright("rid", 33).alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("rid").alias("low"), F.max("rid").alias("high"))
+    return parts.agg(F.sum("n").alias("n_rows"),
+                     F.sum(F.col("high") - F.col("low") + 1).alias("n_ids"),
+                     (F.min("low") >= 0).alias("non_negative"))
 
 
 # -- UDFs and generators -----------------------------------------------------
@@ -421,6 +492,15 @@ def explode_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
                         ["kind", "amount"])
 
 
+def explode_rows_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4 with a data-dependent number of rows: each document becomes one row
+    per line that is not empty."""
+    docs = table(spark, sf_dir, "documents")
+    lines = F.transform(F.split("text", "\n", -1),
+                        lambda line, i: F.struct(i.alias("line_no"), line.alias("line")))
+    return explode_rows_by(docs, ["doc_id"], F.filter(lines, lambda r: r["line"] != ""))
+
+
 # -- features ----------------------------------------------------------------
 
 def feature_select(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -436,12 +516,63 @@ def feature_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2: bisecting k-means assignment with its cost and silhouette."""
+    """M2: bisecting k-means, scored on the rows it was fitted on and on a
+    second dataset (their mirror image).  The scores come from the model and
+    the evaluator; plain aggregates over the assignment must agree."""
     emb = features.as_vectors(table(spark, sf_dir, "embeddings"), "embedding")
-    assigned, cost, silhouette = features.cluster_quality(emb, "features", 4)
-    return assigned.select("vec_id", "prediction",
-                           F.lit(cost).alias("training_cost"),
-                           F.lit(silhouette).alias("silhouette"))
+    mirrored = features.as_vectors(
+        table(spark, sf_dir, "embeddings").withColumn(
+            "embedding", F.transform("embedding", lambda x: -x)), "embedding")
+    model = features.fit_clusters(emb, "features", CLUSTERS)
+    centres = model.clusterCenters()
+    out = []
+    for name, df in (("fitted", emb), ("mirrored", mirrored)):
+        assigned = model.transform(df)
+        cost = model.summary.trainingCost if name == "fitted" \
+            else features.clustering_cost(model, df, "features")
+        score = features.silhouette(assigned, "features")
+        out.append(_quality_facts(assigned, centres, cost, score).withColumn("dataset", F.lit(name)))
+    return out[0].unionByName(out[1])
+
+
+def _quality_facts(assigned: DataFrame, centres, cost: float, score: float) -> DataFrame:
+    """``n_rows``, ``n_clusters`` and whether cost and silhouette are those of
+    the assignment.  With per-cluster count, vector sum and sum of squared
+    norms, a row's mean squared distance to a cluster is ``|x|^2 + S/n - 2
+    x.Y/n``; k rows of sums are the constant of the second pass."""
+    rows = assigned.select(F.col("prediction").alias("c"), vector_to_array("features").alias("x"))
+    squares = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
+    sums = {(r["c"], r["d"]): (r["n"], r["y"]) for r in
+            rows.select("c", F.posexplode("x").alias("d", "v")).groupBy("c", "d")
+                .agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("y")).collect()}
+    norms = {r["c"]: r["s"] for r in rows.groupBy("c").agg(F.sum(squares).alias("s")).collect()}
+
+    def product(x, vector):
+        return F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in vector]),
+                                      lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
+
+    far = {}
+    for c, s in norms.items():
+        n = sums[(c, 0)][0]
+        y = [sums[(c, d)][1] / n for d in range(len(centres[0]))]
+        far[c] = (n, F.col("q") + s / n - 2 * product(F.col("x"), y))
+    own = F.lit(None).cast("double")
+    other = F.lit(None).cast("double")
+    gap = F.lit(None).cast("double")
+    for c, (n, mean) in far.items():
+        own = F.when(F.col("c") == c, mean * n / (n - 1) if n > 1 else F.lit(0.0)).otherwise(own)
+        rest = [m for d, (_, m) in far.items() if d != c]
+        other = F.when(F.col("c") == c, F.least(*rest) if len(rest) > 1 else
+                       (rest[0] if rest else F.lit(0.0))).otherwise(other)
+        centre = [float(v) for v in centres[c]]
+        gap = F.when(F.col("c") == c, F.col("q") + sum(v * v for v in centre)
+                     - 2 * product(F.col("x"), centre)).otherwise(gap)
+    parts = rows.withColumn("q", squares).select("c", own.alias("a"), other.alias("b"), gap.alias("g"))
+    shape = F.when(F.greatest("a", "b") == 0, 0.0).otherwise(
+        (F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return parts.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("c").alias("n_clusters"),
+                     (F.abs(F.sum("g") - cost) <= 1e-6 * F.lit(max(1.0, abs(cost)))).alias("cost_agrees"),
+                     (F.abs(F.avg(shape) - score) <= 1e-6).alias("silhouette_agrees"))
 
 
 def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,24 +591,27 @@ def label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records -> decode under an Avro-declared schema -> bad-record split
-    (null key or null field) with the bad rows quarantined -> per partition
-    record count, bad count and end offset.
-
-    The decoded log is written once as a table in the shared checkpoint
-    folder; quarantine and summary both read it.  The expensive part (offset
-    numbering and decoding) runs once, and the table cuts the lineage, so a
-    lost executor never sends the job back to the raw input.
+    (a null in any column: no user and hence no partition, no key, no field)
+    with the bad rows quarantined -> per partition record count, bad count and
+    end offset.
+
+    One flag decides both the count and the quarantine.  The log is numbered
+    once; the decoded log is a table in the shared folder that quarantine and
+    summary read, so a lost executor never sends the job back to the raw
+    input.  ``release_scratch`` removes it when the result is done with.
     """
-    rec = events_records(spark, sf_dir,
-                         key=F.when(F.col("event_type") != "error", F.col("event_type")))
+    ev = table(spark, sf_dir, "events").withColumn(
+        "user_id", F.when(F.col("event_id") % 97 != 5, F.col("user_id")))
+    rec = events_records(ev, key=F.when(F.col("event_type") != "error", F.col("event_type")))
     decoded = decode.decode_json(rec, PROPS_AVRO_SCHEMA,
                                  keep=("topic", "partition", "offset", "key"))
     staged = scratch_dir(spark, "decoded")
-    decoded.withColumn("is_bad", quality.null_any(["key", "k"])).write.parquet(staged)
-    flagged = spark.read.parquet(staged)
-    # default rule (Q3): a null in any column -- here a null key or field
-    quality.write_bad_records(flagged.select("partition", "offset", "key", "k"),
-                              scratch_dir(spark, "quarantine"))
+    columns = ["partition", "offset", "key", "k"]
+    decoded = decoded.withColumn("is_bad", quality.null_any(columns))
+    decoded.write.parquet(staged)
+    flagged = spark.read.schema(decoded.schema).parquet(staged)
+    quality.write_bad_records(flagged.where("is_bad").select(*columns),
+                              scratch_dir(spark, "quarantine"), "true")
     return flagged.groupBy("partition").agg(
         F.count(F.lit(1)).alias("n_records"),
         F.sum(F.col("is_bad").cast("long")).alias("n_bad"),
@@ -487,6 +621,7 @@ def ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "kafka_offset_range": kafka_offset_range,
     "kafka_offset_range_overlap": kafka_offset_range_overlap,
+    "kafka_offset_range_table": kafka_offset_range_table,
     "kafka_available_now": kafka_available_now,
     "records_with_schema": records_with_schema,
     "json_file_read": json_file_read,
@@ -518,6 +653,7 @@ QUERIES: dict[str, Query] = {
     "sum_distinct": sum_distinct,
     "builtin_aggs": builtin_aggs,
     "user_agg": user_agg,
+    "user_agg_sql": user_agg_sql,
     "split_tokens": split_tokens,
     "replace_chars": replace_chars,
     "bit_ops": bit_ops,
@@ -527,6 +663,7 @@ QUERIES: dict[str, Query] = {
     "call_udf": call_udf,
     "explode_col": explode_col,
     "explode_rows": explode_rows_q,
+    "explode_rows_dynamic": explode_rows_dynamic,
     "feature_select": feature_select,
     "cluster_quality": cluster_quality,
     "label_index": label_index,

@@ -4,7 +4,6 @@
 
 from __future__ import annotations
 
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +20,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def events_records(spark: SparkSession, sf_dir: str, value=None, key=None) -> DataFrame:
+def events_records(ev: DataFrame, value=None, key=None) -> DataFrame:
     """``events`` as a record log: key = event id text, value = ``props``
     bytes (a JSON document), timestamp = ``ts``."""
-    ev = table(spark, sf_dir, "events")
     return records_from_table(
         ev, EVENTS_TOPIC, F.col("user_id") % LOG_PARTITIONS, "event_id",
         key=key if key is not None else F.col("event_id").cast("string"),
@@ -32,7 +30,7 @@ def events_records(spark: SparkSession, sf_dir: str, value=None, key=None) -> Da
         timestamp=F.col("ts"))
 
 
-_LOGS: dict[tuple[str, str], tuple[str, object]] = {}
+_LOGS: dict[tuple, tuple[str, object]] = {}
 _LOGS_LOCK = threading.Lock()
 
 
@@ -42,24 +40,41 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*RECORD_COLUMNS)
 
 
+def _file_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files at ``path`` (a file or folder),
+    through Hadoop's file system; empty if there is none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return ()
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime())
+                        for f in fs.listStatus(where)))
+
+
+def events_log_key(spark: SparkSession, sf_dir: str) -> tuple:
+    path = f"{sf_dir.rstrip('/')}/events.parquet"
+    return spark.sparkContext.applicationId, path, _file_state(spark, path)
+
+
 def events_log_table(spark: SparkSession, sf_dir: str):
     """``(path, schema)`` of :func:`events_records`, materialised once per
-    application as a table in the shared checkpoint folder -- the way a
-    record log exists before anyone reads it (see :func:`events_log`).
+    application and state of the input files as a table in the shared
+    checkpoint folder -- the way a record log exists before anyone reads it
+    (see :func:`events_log`).
 
     The table is partitioned by ``(topic, partition)`` and sorted by offset
     inside each file, so offset-range predicates prune directories and skip
     row groups by their min/max statistics.  Reading it also cuts the lineage
     back to ``events``.
     """
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = events_log_key(spark, sf_dir)
     with _LOGS_LOCK:
         known = _LOGS.get(key)
-        if known is not None and "://" not in known[0] and not os.path.isdir(known[0]):
-            del _LOGS[key]  # local scratch folder cleared meanwhile: rebuild
+        if known is not None and not _file_state(spark, known[0]):
+            del _LOGS[key]  # scratch folder released meanwhile: rebuild
         if key not in _LOGS:
             path = scratch_dir(spark, "events-log")
-            log = events_records(spark, sf_dir)
+            log = events_records(table(spark, sf_dir, "events"))
             (log.sortWithinPartitions("topic", "partition", "offset")
                 .write.partitionBy("topic", "partition").parquet(path))
             _LOGS[key] = (path, log.schema)
