@@ -69,11 +69,16 @@ def word_set(text: str | None) -> set[str]:
     return found
 
 
+_TERMS = frozenset(term for group in IDENTITY for term in group)
+
+
 def features(words: set[str]) -> set[str]:
-    """The words and the marked beginnings of longer ones."""
+    """The words and the marked beginnings of longer ones.  Identity terms
+    have no beginnings: a swap then changes the mention as a whole."""
     found = set(words)
+    plain = words - _TERMS
     for n in BEGINNINGS:
-        found.update(["^" + w[:n] for w in words if len(w) > n])
+        found.update(["^" + w[:n] for w in plain if len(w) > n])
     return found
 
 

@@ -196,10 +196,12 @@ def read_records(index: DataFrame, with_payload: bool = True) -> DataFrame:
         if held:
             yield arrow_batch(RECORD, out)
 
-    # a file is read by as many tasks as it has stretches of 8 reads
-    stretch = F.expr(f"offset div {8 * READ_BYTES}")
+    # tasks by the bytes they will read, which the index's own size does not show
+    total = index.agg(F.sum("length")).first()[0] or 0
+    stretch = F.expr(f"offset div {2 * READ_BYTES}")
     return (index.select("path", "offset", "length")
-            .repartition("path", stretch).sortWithinPartitions("path", "offset")
+            .repartition(max(1, -(-total // (2 * READ_BYTES))), "path", stretch)
+            .sortWithinPartitions("path", "offset")
             .mapInArrow(read, RECORD_DDL))
 
 

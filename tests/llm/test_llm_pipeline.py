@@ -1,0 +1,79 @@
+"""The pipeline stage by stage against brute force, on a small corpus."""
+
+import random
+
+import corpus_pipeline as P
+from sluice.llm import toxicity as X
+from test_llm_decontamination import brute as brute_windows
+from test_llm_line_dedup import brute as brute_lines
+from test_llm_simhash import brute_components, brute_fingerprint
+
+
+def _corpus(tmp_path, spark):
+    rng = random.Random(8)
+    words = [f"word{i}" for i in range(300)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    items = [(i, text(25)) for i in range(5)]
+    block = "\n".join(text(9) for _ in range(4))
+    rows = []
+    for i in range(240):
+        t = text(rng.randrange(20, 80))
+        if i % 6 == 0:
+            t += " idiot scum"
+        if i % 11 == 0:
+            t += "\n" + block + "\n" + text(12)
+        if i % 13 == 0:
+            t += " " + " ".join(rng.choice(items)[1].split()[3:16])
+        rows.append((i, t))
+    rows += [(300 + i, rows[i * 7 + 1][1] + " tail") for i in range(8)]
+    rows += [(400, None), (401, ""), (402, rows[1][1])]
+    spark.createDataFrame([(i, t, "en", f"s{i % 3}" if i % 5 else None, len(t or "")) for i, t in rows],
+                          "doc_id long, text string, lang string, source string, n_chars long"
+                          ).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, int("idiot" in (t or ""))) for i, t in rows if i < 240],
+                          "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(items, "item_id long, text string"
+                          ).write.parquet(str(tmp_path / "benchmark.parquet"))
+    return rows, items
+
+
+def test_every_stage(spark, tmp_path):
+    rows, items = _corpus(tmp_path, spark)
+    sf = str(tmp_path)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns = docs.columns
+    model = X.train(spark, docs, spark.read.parquet(f"{sf}/labels.parquet"))
+
+    def margin(t):
+        return model["bias"] + sum(model["weights"].get(w, 0) for w in X.features(X.word_set(t)))
+
+    have = list(rows)
+    for n, (name, stage) in enumerate(P.STAGES):
+        out = stage(spark, docs, sf)
+        path = f"{sf}/stage{n}"
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        if name == "mixing":
+            break
+        assert docs.columns == columns
+        if name == "toxicity":
+            have = [(i, t) for i, t in have if margin(t) < 0]
+            assert not any("idiot" in (t or "") for _, t in have)
+        elif name == "line_dedup":
+            kept = brute_lines(have)
+            have = [(i, t if t is None else kept[(i, t)]) for i, t in have
+                    if t in (None, "") or kept[(i, t)] != "" or t.count("\n") < 2]
+        elif name == "simhash_dedup":
+            root = brute_components({i: brute_fingerprint(t) for i, t in have})
+            have = [(i, t) for i, t in have if root[i] == i]
+        else:
+            hit = {r[0] for r in brute_windows(have, items) if r[2]}
+            assert hit
+            have = [(i, t) for i, t in have if i not in hit]
+        got = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+        assert [i for i, _ in got] == sorted(i for i, _ in have), name
+        assert got == sorted(have)
+    assert sorted(r["doc_id"] for r in docs.collect()) == sorted(i for i, _ in have)
+    final = sorted((r["doc_id"], r["taken"]) for r in docs.collect())
+    again = sorted((r["doc_id"], r["taken"]) for r in P.run(spark, sf).collect())
+    assert again == final

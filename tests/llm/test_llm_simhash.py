@@ -1,0 +1,122 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from sluice.llm import components as C
+from sluice.llm import simhash as S
+
+
+def brute_fingerprint(t):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    w = re.findall("[^\x20\x09-\x0D]+", low)
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[i:i + 3]).encode(), seed=42)
+         for i in range(max(1, len(w) - 2))]
+    return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
+
+
+def brute_components(prints):
+    ids = sorted(prints)
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in ids:
+        for b in ids:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= 3:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+def test_any_five_positions_hold_a_posting():
+    from itertools import combinations
+    sets = S.position_sets()
+    assert all(any(set(s) <= set(c) for s in sets) for c in combinations(range(8), 5))
+
+
+@pytest.mark.parametrize("text", [None, "", " \t\n", "One", "One  TWO", "a b c", "É ünï a\x0bb\x1cc d" * 3,
+                                  "x " * 300 + "y"])
+def test_fingerprint(text, monkeypatch):
+    assert S.fingerprint(text) & (1 << 64) - 1 == brute_fingerprint(text)
+    monkeypatch.setattr(S, "SEGMENT_BYTES", 7)  # the same in short segments
+    assert S.fingerprint(text) & (1 << 64) - 1 == brute_fingerprint(text)
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 2])
+def test_forest_joins_what_links_join(limit):
+    rng = random.Random(3)
+    base = [rng.getrandbits(64) for _ in range(12)]
+    fps = set(base)
+    for _ in range(150):  # chains of near ones
+        x = rng.choice(sorted(fps))
+        for _ in range(rng.randrange(1, 4)):
+            x ^= 1 << rng.randrange(64)
+        fps.add(x)
+    own = np.array(sorted(fps), np.uint64)
+    got = S.forest(own, 3, limit)
+    ref = brute_components({i: int(x) for i, x in enumerate(own)})
+    assert got.tolist() == [ref[i] for i in range(len(own))]
+
+
+def test_links_lose_nothing(spark):
+    rng = random.Random(5)
+    fps = [rng.getrandbits(64) for _ in range(60)] + [0]
+    for x in list(fps):
+        for flips in (1, 2, 3, 4):
+            y = x
+            for b in rng.sample(range(64), flips):
+                y ^= 1 << b
+            fps.append(y)
+    fps = sorted(set(fps))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    df = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
+    found = {r["node"]: r["root"] for r in C.components(spark, S.links(df)).collect()}
+    ref = brute_components({signed(x): x for x in fps})
+    # ``brute_components`` orders by the signed value too
+    assert {x: found.get(x, x) for x in ref} == ref
+
+
+def test_documents(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(120))) for i in range(25)]
+    for i in range(25, 60):
+        t = rng.choice(rows)[1].split()
+        t[rng.randrange(len(t))] = rng.choice(words)
+        rows.append((i, " ".join(t)))
+    rows += [(70, None), (71, ""), (72, "a b"), (73, "A  b"), (5, rows[5][1])]
+    docs = spark.createDataFrame([(i, t, 1, "z") for i, t in rows],
+                                 "doc_id long, text string, fp int, head string")
+    got = S.near_duplicates(spark, docs).collect()
+    assert len(got) == len(rows)
+    prints = {i: brute_fingerprint(t) for i, t in rows}
+    ref = brute_components(prints)
+    assert all(r["fp"] & (1 << 64) - 1 == prints[r["doc_id"]] for r in got)
+    assert all(r["component_id"] == ref[r["doc_id"]] for r in got)
+    kept = S.one_of_each_group(spark, docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(ref.values()))
+
+
+def test_null_ids_and_no_rows(spark):
+    docs = spark.createDataFrame([(None, "same text here"), (None, "same text here"), (4, "other words now")],
+                                 "doc_id long, text string")
+    assert sorted((r["doc_id"] is None, r["component_id"]) for r in
+                  S.near_duplicates(spark, docs).where("doc_id IS NOT NULL").collect()) == [(False, 4)]
+    assert S.one_of_each_group(spark, docs).count() == 2
+    assert S.near_duplicates(spark, docs.limit(0)).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    chain = [(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)]
+    edges = spark.createDataFrame(chain, "u long, v long")
+    got = {r["node"]: r["root"] for r in C.components(spark, edges).collect()}
+    assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}

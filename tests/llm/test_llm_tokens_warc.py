@@ -1,0 +1,121 @@
+import base64
+import gzip
+import hashlib
+import random
+
+import public_tokenizers
+import pyarrow.fs as pafs
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from sluice.llm import token_counts as N
+from sluice.llm import warc as W
+from sluice.session import scratch_dir
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+TEXTS = [None, "", " ", "a", "  leading", "trailing  \n", "don't  'll\n\n x", "a\x1c b \x1d\x1dc !\x1c",
+         "tab\t\t x  y", "x<|endoftext|>y <|endoftext|> ", "é ü 漢字 🙂🙂 z", "1234 56,78.9",
+         "a" * 3000, "word " * 500, "\n" * 200, "?!" * 100, "mixed\r\n\r\nlines\x0b\x0c end "]
+
+
+@pytest.mark.parametrize("segment", [1 << 20, 5])
+def test_counts_are_the_library_s(monkeypatch, segment):
+    monkeypatch.setattr(N, "SEGMENT_CHARS", segment)
+    monkeypatch.setattr(N, "MEMO_PARTS", 50)
+    monkeypatch.setattr(N.segments, "__defaults__", (segment,))
+    rng = random.Random(2)
+    pieces = ["ab", " ", "  ", "\n", "\x1c", "'s", "!", "7", "é", " ", "<|endoftext|>", "\t"]
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(pieces) for _ in range(40)) for _ in range(300)]
+    reference = Tokenizer.from_file(PATH)
+    expected = [len(reference.encode(t, add_special_tokens=False)) for t in texts]
+    counter = N.Counter(PATH)
+    assert counter.counts(texts) == expected
+    assert counter.counts(texts) == expected  # from the table of parts
+
+
+def test_segments_and_parts_are_the_text():
+    for t in TEXTS[1:]:
+        assert "".join(N.segments(t, 3)) == t and "".join(N.parts(t)) == t
+
+
+def test_token_counts_frame(spark):
+    rows = [(i, t, 9) for i, t in enumerate(TEXTS)] + [(0, "again", 9), (None, "null id", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
+    got = N.token_counts(docs, PATH).collect()
+    reference = Tokenizer.from_file(PATH)
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in got), key=repr) == sorted(
+        ((i, len((t or "").encode()), len(reference.encode(t or "", add_special_tokens=False)))
+         for i, t, _ in rows), key=repr)
+    assert N.token_counts(docs.limit(0), PATH).count() == 0
+
+
+PAGES = [(1, "http://a/?x=1&y=é z", "<p>one</p>"), (2, None, "<p>one</p>"), (3, "u", "two\r\n\r\nWARC/1.1\r\n"),
+         (4, "u", None), (9, "u", ""), (5, "u", "é漢" * 1000), (None, "u", "two\r\n\r\nWARC/1.1\r\n"),
+         (None, "v", "alone"), (7, "u", "rep"), (7, "u", "rep"), (6, "u", "rep")]
+
+
+def _pages(spark, rows=PAGES):
+    return spark.createDataFrame([(*r, "x") for r in rows],
+                                 "page_id long, url string, html string, path string")
+
+
+def _digest(html):
+    return base64.b32encode(hashlib.sha1((html or "").encode()).digest()).decode()
+
+
+def test_round_trip(spark):
+    folder = scratch_dir(spark, "warc-test")
+    index = W.write_archives(spark, _pages(spark).repartition(3), folder)
+    rows = W.read_records(index).collect()
+    assert len(rows) == len(PAGES)
+    largest = {}
+    for i, _, html in PAGES:
+        if i is not None:
+            largest[html or ""] = max(i, largest.get(html or "", i))
+    got = sorted(((r["page_id"], r["url"], r["payload_bytes"], r["payload_digest"], r["record_type"],
+                   r["refers_to"]) for r in rows), key=repr)
+    expected = []
+    for i, url, html in PAGES:
+        of = largest.get(html or "")
+        own = of is None or i == of
+        expected.append((i, url, len((html or "").encode()), _digest(html),
+                         "response" if own else "revisit", None if own else of))
+    assert got == sorted(expected, key=repr)
+    payloads = {(r["page_id"], r["url"]): r["payload"] for r in rows if r["record_type"] == "response"}
+    assert bytes(payloads[(5, "u")]) == ("é漢" * 1000).encode()
+    assert bytes(payloads[(3, "u")]) == b"two\r\n\r\nWARC/1.1\r\n"
+
+
+def test_selected_records_and_whole_archives(spark):
+    folder = scratch_dir(spark, "warc-test")
+    index = W.write_archives(spark, _pages(spark).repartition(1), folder)
+    some = W.read_records(index.where(F.col("page_id").isin(5, 9))).collect()
+    assert sorted(r["page_id"] for r in some) == [5, 9]
+    path = index.select("path").distinct().collect()
+    assert len(path) == 1
+    fs, name = W._open(path[0]["path"])
+    whole = gzip.decompress(fs.open_input_file(name).read())  # the archive is one valid stream
+    assert whole.count(b"WARC/1.1\r\nWARC-Type") == len(PAGES)
+    assert isinstance(fs, pafs.LocalFileSystem)
+
+
+def test_archives_are_closed_at_their_size(spark, monkeypatch):
+    monkeypatch.setattr(W, "ARCHIVE_BYTES", 400)
+    index = W.write_archives(spark, _pages(spark).repartition(1), scratch_dir(spark, "warc-test"))
+    assert index.select("path").distinct().count() > 2
+    assert W.read_records(index).count() == len(PAGES)
+
+
+def test_damage_is_noticed():
+    member = W.record_bytes(1, "u", b"payload", W.sha1_base32(b"payload"), None)
+    assert W.parse_record(member)["payload"] == b"payload"
+    wrong = W.record_bytes(1, "u", b"payload", W.sha1_base32(b"other"), None)
+    with pytest.raises(ValueError):
+        W.parse_record(wrong)
+
+
+def test_no_pages(spark):
+    index = W.write_archives(spark, _pages(spark).limit(0), scratch_dir(spark, "warc-test"))
+    assert W.read_records(index).count() == 0
