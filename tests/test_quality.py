@@ -11,6 +11,7 @@ from sluice.operators import quality as Q
 from sluice.session import scratch_dir
 from sluice.sources.files import read_json_lines_text
 
+# Rows and the lines that they give.
 SCHEMA = "id int, name string"
 ROWS = [(1, "Alice"), (2, None), (3, "Charlie"), (None, "David")]
 GOLDEN = ['{"id":2,"name":null}', '{"id":null,"name":"David"}']

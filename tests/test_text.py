@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import text as X
 
+# The token list, a text and its expected result.
 REFERENCE_TOKENS = ",|#|#|*|\\|$"
 REFERENCE_INPUT = "Hello, World! Welcome to Scala #1 with *special* characters\\$"
 REFERENCE_OUTPUT = "Hello@ World! Welcome to Scala @1 with @special@ characters@@"
