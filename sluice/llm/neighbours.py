@@ -171,8 +171,8 @@ def fit_tree(found: DataFrame, sample: int = SAMPLE) -> Tree | None:
     if not first[0]:
         return None
     bound = max(1, min(sample, SAMPLE_BYTES // (8 * first[1])))
-    rows = found.orderBy(F.xxhash64("rep"), "rep").limit(bound).select("vec").collect()
-    x = np.array([r.vec for r in rows])
+    rows = found.orderBy(F.xxhash64("rep"), "rep").limit(bound).select("vec").toArrow()
+    x = _matrix(rows.column("vec").combine_chunks())
     leaves = max(LEAST_LEAVES, first[0] // LEAF_VECTORS)
     return Tree(x, max(LEAF_SAMPLE, len(x) // leaves))
 
