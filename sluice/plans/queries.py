@@ -279,8 +279,12 @@ def registry_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two named fields, the first as text, the second try-cast to int."""
-    rec = events_log(spark, sf_dir)
+    """Two named fields, the first as text, the second try-cast to int;
+    some values are no JSON or hold text in the second field, by rule."""
+    turn = F.col("offset") % 13
+    rec = events_log(spark, sf_dir).withColumn(
+        "value", F.when(turn == 4, F.lit("not json").cast("binary"))
+        .when(turn == 6, F.lit('{"k": "many"}').cast("binary")).otherwise(F.col("value")))
     loose = decode.decode_json(rec, T.StructType([T.StructField("k", T.StringType())]),
                                keep=("partition", "offset", "key"))
     return decode.typed_projection(loose, [("key", "field1", "string"), ("k", "field2", "int")],

@@ -38,8 +38,7 @@ def build_session(master: str | None = None, app: str = "sluice",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # broadcast only what the optimizer can prove small; explicit
-        # broadcasts in sluice are guarded by their own row-count checks
+        # broadcast only what the optimizer and AQE measure as small
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     }
     if shuffle_partitions is not None:
