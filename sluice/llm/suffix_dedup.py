@@ -10,8 +10,9 @@ judged on the input.
    strings with one name is a segment, about 13 strings long.  Names that two
    documents hold are found over all shards.  Only their segments go on: a
    string whose name is in one document is in no other.
-3. Segments meet by name.  Equal segments are one, with their smallest id.
-   The distinct ones are dealt into runs of ``RUN_BYTES``.  For each run the
+3. Segments meet by name.  Equal segments are one, with their smallest id; a
+   segment that alone has its name shares no string with another.  The
+   others are dealt into runs of ``RUN_BYTES``.  For each run the
    suffix array is built by Larsson-Sadakane refinement to depth ``LENGTH``
    (only groups that are still tied are sorted again), and Kasai's common
    prefixes split it into classes of equal strings.  The runs' sorted classes
@@ -41,7 +42,7 @@ from sluice.llm.common import order_id, staged, text_slices
 
 LENGTH = 50
 GRAM = 26
-GROUP_BYTES = 16 << 20   # text for which one group of names is planned
+GROUP_BYTES = 8 << 20   # text for which one group of names is planned
 RUN_BYTES = 2 << 20
 HOT_SHARDS = 512
 CHUNK = 1 << 16
@@ -400,8 +401,9 @@ def shared_segments(packed: DataFrame, marked: DataFrame, groups: int) -> DataFr
             for part, at in _by_group(value[rest], groups):
                 at = rest[at]
                 out_part.append(part)
+                tag = (value[at] >> np.uint64(32)).astype(np.uint32)
                 out.append(_pack(starts[at].astype(np.int64), lengths[at].astype(np.int64), owner[at],
-                                 data=b"".join([pieces[i] for i in at])))
+                                 tag, data=b"".join([pieces[i] for i in at])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out_part, pa.int64()), pa.array([shard] * len(out), pa.int64()),
                  pa.array(out, pa.binary())], names=["part", "shard", "found"])
@@ -416,34 +418,47 @@ def repeats(found: DataFrame, run_bytes: int) -> DataFrame:
     """``shard, gone``: starts and lengths of bytes that a smaller id holds."""
 
     def settle(group: pa.Table) -> pa.Table:
-        shard_ids = group.column("shard").to_pylist()
         rows = []
-        lowest: dict[bytes, int] = {}
-        for blob in group.column("found").to_pylist():
-            starts, lengths, ids, data = _unpack(blob, np.int64, np.int64, np.int64)
+        number: dict[bytes, int] = {}
+        lowest: list[int] = []
+        tagged: list[int] = []
+        for blob in group.column("found"):
+            starts, lengths, ids, tags, data = _unpack(blob.as_py(), np.int64, np.int64, np.int64,
+                                                       np.uint32)
             cuts = np.append(0, np.cumsum(lengths)).tolist()
-            pieces = [data[a:b] for a, b in zip(cuts, cuts[1:])]
-            rows.append((starts, lengths, ids, pieces))
-            for piece, i in zip(pieces, ids.tolist()):
-                if i < lowest.get(piece, np.iinfo(np.int64).max) or piece not in lowest:
-                    lowest[piece] = i
-        distinct = list(lowest)
-        low = smallest_ids(distinct, np.array(list(lowest.values()), np.int64), run_bytes)
-        # strings of a distinct piece that a smaller id than the piece's own holds
-        partly = {p: m for p, m in zip(distinct, low) if (m < lowest[p]).any()}
+            which = []
+            for a, b, i, tag in zip(cuts, cuts[1:], ids.tolist(), tags.tolist()):
+                n = number.setdefault(data[a:b], len(lowest))
+                if n == len(lowest):
+                    lowest.append(i)
+                    tagged.append(tag)
+                elif i < lowest[n]:
+                    lowest[n] = i
+                which.append(n)
+            rows.append((starts.copy(), lengths.copy(), ids.copy(), which))
+        # a segment that alone has its name shares no string with another
+        _, same, count = np.unique(np.array(tagged, np.uint32), return_inverse=True, return_counts=True)
+        several = np.flatnonzero(count[same] > 1) if tagged else np.empty(0, np.int64)
+        low_id = np.array(lowest, np.int64)
+        wanted = set(several.tolist())
+        pieces = [piece for piece, n in number.items() if n in wanted]
+        number.clear()
+        low = smallest_ids(pieces, low_id[several], run_bytes)
+        # strings of a segment that a smaller id than the segment's own holds
+        partly = {n: own for n, own in zip(several.tolist(), low) if (own < lowest[n]).any()}
         out = []
-        for starts, lengths, ids, pieces in rows:
-            gone_at, gone_for = [], []
-            for start, length, i, piece in zip(starts.tolist(), lengths.tolist(), ids.tolist(), pieces):
-                if i > lowest[piece]:
-                    gone_at.append(start)
-                    gone_for.append(length)
-                elif piece in partly:
-                    for j in np.flatnonzero(partly[piece] < i).tolist():
-                        gone_at.append(start + j)
-                        gone_for.append(LENGTH)
-            out.append(_pack(np.array(gone_at, np.int64), np.array(gone_for, np.int64)))
-        return pa.table({"shard": pa.array(shard_ids, pa.int64()), "gone": pa.array(out, pa.binary())})
+        for starts, lengths, ids, which in rows:
+            later = np.flatnonzero(ids > low_id[which]) if which else np.empty(0, np.int64)
+            gone_at, gone_for = [starts[later]], [lengths[later]]
+            for k, n in enumerate(which):
+                if n in partly and ids[k] == low_id[n]:
+                    at = starts[k] + np.flatnonzero(partly[n] < ids[k])
+                    gone_at.append(at)
+                    gone_for.append(np.full(len(at), LENGTH))
+            out.append(_pack(np.concatenate(gone_at).astype(np.int64),
+                             np.concatenate(gone_for).astype(np.int64)))
+        return pa.table({"shard": group.column("shard").cast(pa.int64()),
+                         "gone": pa.array(out, pa.binary())})
 
     return found.groupBy("part").applyInArrow(settle, "shard long, gone binary")
 
