@@ -351,8 +351,9 @@ def shared_names(packed: DataFrame, groups: int, hot_shards: int) -> DataFrame:
 
 
 def shared_segments(packed: DataFrame, marked: DataFrame, groups: int) -> DataFrame:
-    """``part, shard, found``: segments whose names are shared, by group; part
-    -1 has what a smaller id in the same shard holds: starts and lengths."""
+    """``part, shard, found``: segments whose names are shared, by group;
+    negative parts have what a smaller id in the same shard holds: starts and
+    lengths."""
     per_shard = marked.groupBy("shard").agg(F.collect_list(F.struct("part", "marks")).alias("marked"))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,7 +397,7 @@ def shared_segments(packed: DataFrame, marked: DataFrame, groups: int) -> DataFr
                     lowest[piece] = i
             top = np.iinfo(np.int64).max
             held = np.array([i > lowest.get(p, top) for p, i in zip(pieces, owner.tolist())], bool)
-            out_part, out = [-1], [_pack(starts[held].astype(np.int64), lengths[held].astype(np.int64))]
+            out_part, out = [-1 - shard % groups], [_pack(starts[held].astype(np.int64), lengths[held].astype(np.int64))]
             rest = np.flatnonzero(~held)
             for part, at in _by_group(value[rest], groups):
                 at = rest[at]
@@ -418,6 +419,9 @@ def repeats(found: DataFrame, run_bytes: int) -> DataFrame:
     """``shard, gone``: starts and lengths of bytes that a smaller id holds."""
 
     def settle(group: pa.Table) -> pa.Table:
+        if group.column("part")[0].as_py() < 0:  # settled in its shard
+            return pa.table({"shard": group.column("shard").cast(pa.int64()),
+                             "gone": group.column("found").cast(pa.binary())})
         rows = []
         number: dict[bytes, int] = {}
         lowest: list[int] = []
@@ -471,9 +475,8 @@ def dedup(spark: SparkSession, docs: DataFrame, run_bytes: int = RUN_BYTES,
     total = packed.agg(F.sum("size")).first()[0] or 0
     groups = max(16, -(-total // group_bytes))
     marked = staged(spark, shared_names(packed, groups, hot_shards), "suffix-names")
-    found = staged(spark, shared_segments(packed, marked, groups), "suffix-segments")
-    gone = staged(spark, found.where("part < 0").select("shard", F.col("found").alias("gone"))
-                  .union(repeats(found.where("part >= 0"), run_bytes)), "suffix-repeats")
+    found = shared_segments(packed, marked, groups)
+    gone = staged(spark, repeats(found, run_bytes), "suffix-repeats")
     per_shard = gone.groupBy("shard").agg(F.collect_list("gone").alias("gone"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
