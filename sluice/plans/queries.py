@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 
 from sluice.functions import text as txt
 from sluice.functions.aggregates import (aggregate_by, register_series_aggregate,
@@ -544,34 +545,35 @@ def _quality_facts(assigned: DataFrame, centres, cost: float, score: float) -> D
     the assignment.  With per-cluster count, vector sum and sum of squared
     norms, a row's mean squared distance to a cluster is ``|x|^2 + S/n - 2
     x.Y/n``; k rows of sums are the constant of the second pass."""
-    rows = assigned.select(F.col("prediction").alias("c"), vector_to_array("features").alias("x"))
+    rows = assigned.select(F.col("prediction").alias("c"), "features",
+                           vector_to_array("features").alias("x"))
     squares = F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v)
-    sums = {(r["c"], r["d"]): (r["n"], r["y"]) for r in
-            rows.select("c", F.posexplode("x").alias("d", "v")).groupBy("c", "d")
-                .agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("y")).collect()}
-    norms = {r["c"]: r["s"] for r in rows.groupBy("c").agg(F.sum(squares).alias("s")).collect()}
-
-    def product(x, vector):
-        return F.aggregate(F.zip_with(x, F.array(*[F.lit(float(v)) for v in vector]),
-                                      lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
-
-    far = {}
-    for c, s in norms.items():
-        n = sums[(c, 0)][0]
-        y = [sums[(c, d)][1] / n for d in range(len(centres[0]))]
-        far[c] = (n, F.col("q") + s / n - 2 * product(F.col("x"), y))
+    sums = {r["c"]: (r["n"], r["y"].toArray() / r["n"], r["s"]) for r in
+            rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.sum(squares).alias("s"),
+                                  Summarizer.sum(F.col("features")).alias("y")).collect()}
+
+    def product(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda t, v: t + v)
+
+    def constant(vector):
+        return F.array(*[F.lit(float(v)) for v in vector])
+
+    # every row's mean squared distance to each cluster, then to its centre
+    means = {c: F.col("q") + s / n - 2 * product(F.col("x"), constant(y))
+             for c, (n, y, s) in sums.items()}
+    rows = rows.withColumn("q", squares).withColumn(
+        "z", F.get(F.array(*[constant(v) for v in centres]), F.col("c")))
+    rows = rows.select("c", *[m.alias(f"m{c}") for c, m in means.items()],
+                       (F.col("q") + product(F.col("z"), F.col("z"))
+                        - 2 * product(F.col("x"), F.col("z"))).alias("g"))
     own = F.lit(None).cast("double")
     other = F.lit(None).cast("double")
-    gap = F.lit(None).cast("double")
-    for c, (n, mean) in far.items():
-        own = F.when(F.col("c") == c, mean * n / (n - 1) if n > 1 else F.lit(0.0)).otherwise(own)
-        rest = [m for d, (_, m) in far.items() if d != c]
-        other = F.when(F.col("c") == c, F.least(*rest) if len(rest) > 1 else
-                       (rest[0] if rest else F.lit(0.0))).otherwise(other)
-        centre = [float(v) for v in centres[c]]
-        gap = F.when(F.col("c") == c, F.col("q") + sum(v * v for v in centre)
-                     - 2 * product(F.col("x"), centre)).otherwise(gap)
-    parts = rows.withColumn("q", squares).select("c", own.alias("a"), other.alias("b"), gap.alias("g"))
+    for c, (n, _, _) in sums.items():
+        here = F.col("c") == c
+        rest = [F.col(f"m{d}") for d in sums if d != c] or [F.lit(0.0)]
+        own = F.when(here, F.col(f"m{c}") * n / (n - 1) if n > 1 else F.lit(0.0)).otherwise(own)
+        other = F.when(here, F.least(*rest) if len(rest) > 1 else rest[0]).otherwise(other)
+    parts = rows.select("c", own.alias("a"), other.alias("b"), "g")
     shape = F.when(F.greatest("a", "b") == 0, 0.0).otherwise(
         (F.col("b") - F.col("a")) / F.greatest("a", "b"))
     return parts.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("c").alias("n_clusters"),

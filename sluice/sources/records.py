@@ -176,11 +176,9 @@ def _normalise_ranges(ranges: Iterable) -> list[tuple[str, int, int, int]]:
     return out
 
 
-def _range_frame(spark: SparkSession, ranges: Iterable | DataFrame) -> DataFrame:
-    """The ranges as a table of ``RANGE_SCHEMA``; a range that is negative,
-    reversed or incomplete raises, from a list and from a table alike."""
-    if not isinstance(ranges, DataFrame):
-        return spark.createDataFrame(_normalise_ranges(ranges), RANGE_SCHEMA)
+def _checked_ranges(ranges: DataFrame) -> DataFrame:
+    """A table of ranges as ``RANGE_SCHEMA``; as in a list, a range that is
+    negative, reversed or incomplete raises."""
     rdf = ranges.select(*[F.col(f.name).cast(f.dataType) for f in RANGE_SCHEMA.fields])
     good = (F.col("topic").isNotNull() & F.col("partition").isNotNull()
             & (F.col("from_offset") >= 0) & (F.col("until_offset") >= F.col("from_offset")))
@@ -221,26 +219,43 @@ def read_offset_ranges(records: DataFrame, ranges: Iterable | DataFrame,
       from their measured size.
     """
     spark, w = records.sparkSession, int(bucket_width)
-    rdf = _range_frame(spark, ranges)
-    bounds = (records.groupBy("topic", "partition")
-                     .agg(F.min("offset").alias("_lo"), F.max("offset").alias("_hi")))
-    clamped = (rdf.join(bounds, ["topic", "partition"])
-                  .select("topic", "partition",
-                          F.greatest("from_offset", "_lo").alias("from_offset"),
-                          F.least("until_offset", F.col("_hi") + 1).alias("until_offset"))
-                  .where("from_offset < until_offset"))
-    # a table: the aggregate over the log runs once, and its size is known
-    path = scratch_dir(spark, "ranges")
-    clamped.write.parquet(path)
-    clamped = spark.read.schema(clamped.schema).parquet(path)
-    spans = (clamped.groupBy("topic", "partition")
-                    .agg(F.min("from_offset").alias("a"), F.max("until_offset").alias("b"))
-                    .orderBy("topic", "partition").collect())
+    if isinstance(ranges, DataFrame):
+        ranges = _checked_ranges(ranges)
+    else:
+        ranges = _normalise_ranges(ranges)
+    # one row per log partition
+    bounds = {(r["topic"], r["partition"]): (r["lo"], r["hi"] + 1) for r in
+              records.groupBy("topic", "partition")
+                     .agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()}
+    spans: dict[tuple[str, int], tuple[int, int]] = {}
+    if isinstance(ranges, DataFrame):
+        known = spark.createDataFrame([(*k, *v) for k, v in bounds.items()],
+                                      "topic string, partition int, _lo long, _end long")
+        clamped = (ranges.join(known, ["topic", "partition"])
+                         .select("topic", "partition",
+                                 F.greatest("from_offset", "_lo").alias("from_offset"),
+                                 F.least("until_offset", "_end").alias("until_offset"))
+                         .where("from_offset < until_offset"))
+        for r in (clamped.groupBy("topic", "partition")
+                         .agg(F.min("from_offset").alias("a"), F.max("until_offset").alias("b"))
+                         .collect()):
+            spans[(r["topic"], r["partition"])] = (r["a"], r["b"])
+    else:
+        rows = []
+        for t, p, a, b in ranges:
+            low, end = bounds.get((t, p), (0, 0))
+            a, b = max(a, low), min(b, end)
+            if a < b:
+                rows.append((t, p, a, b))
+                first, last = spans.get((t, p), (a, b))
+                spans[(t, p)] = (min(a, first), max(b, last))
+        clamped = spark.createDataFrame(rows, RANGE_SCHEMA)
     if not spans:
         return records.limit(0)
     scoped = records.where(_any_of([
-        (F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"])
-        & (F.col("offset") >= r["a"]) & (F.col("offset") < r["b"]) for r in spans]))
+        (F.col("topic") == t) & (F.col("partition") == p)
+        & (F.col("offset") >= a) & (F.col("offset") < b)
+        for (t, p), (a, b) in sorted(spans.items())]))
     cut = clamped.withColumn("_stretch", F.explode(F.sequence(
         F.expr(f"from_offset div {w}"), F.expr(f"(until_offset - 1) div {w}")))).alias("r")
     k = scoped.withColumn("_stretch", F.expr(f"offset div {w}")).alias("k")
