@@ -6,7 +6,8 @@ queue holds the open nodes by the distance to their centroid, the nearest is
 opened next, and leaves come out in the order in which they are visited.  How
 many leaves to visit is calibrated: the true neighbours of ``CALIBRATION``
 queries are found by brute force over all vectors, and the number of visits is
-widened until those lie in visited leaves for a share of ``TARGET``.
+widened until those lie in visited leaves for a share of ``TARGET``.  A query
+whose leaves are small goes on past that number until they hold k + 1 entries.
 
 Equal vectors are one entry that keeps its smallest ids, so copies cost
 nothing and lose nothing.  A leaf is searched in blocks of vectors against
@@ -103,17 +104,21 @@ class Tree:
                 todo += [(child, rows[own == i]) for i, child in enumerate(below)]
         return out
 
-    def visits(self, query: np.ndarray, n: int) -> list[int]:
-        """The first ``n`` leaves, best bin first."""
+    def visits(self, query: np.ndarray, n: int, entries: np.ndarray | None = None,
+               least: int = 0) -> list[int]:
+        """The first ``n`` leaves, best bin first, and further ones until they
+        hold ``least`` of the ``entries`` counted by leaf."""
         gap = ((self.centres - query) ** 2).sum(1)
-        queue, out = [(0.0, 0)], []
-        while queue and len(out) < n:
+        queue, out, held = [(0.0, 0)], [], 0
+        while queue and (len(out) < n or held < least):
             _, node = heapq.heappop(queue)
             if self.children[node]:
                 for child in self.children[node]:
                     heapq.heappush(queue, (float(gap[child]), child))
             else:
                 out.append(self.leaf[node])
+                if entries is not None:
+                    held += int(entries[out[-1]])
         return out
 
     @classmethod
@@ -232,14 +237,19 @@ def calibrate(spark: SparkSession, index: DataFrame, queries: DataFrame, tree: T
 def search(spark: SparkSession, index: DataFrame, queries: DataFrame, tree: Tree, visits: int,
            k: int, block: int = BLOCK) -> DataFrame:
     """``query`` (entry), ``vec_id, gap``: the ``k`` nearest rows by visited leaves."""
-    shared = spark.sparkContext.broadcast(vars(tree))
+    # a row per leaf: bounded by the tree
+    counted = index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()
+    entries = np.zeros(len(tree.leaf), np.int64)
+    entries[[r.leaf for r in counted]] = [r.n for r in counted]
+    shared = spark.sparkContext.broadcast((vars(tree), entries))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Tree.of(shared.value)
+        state, held = shared.value
+        own = Tree.of(state)
         for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
             x = _matrix(batch.column("vec"))
             home = own.descend(x)
-            lists = [sorted({int(h), *own.visits(q, visits)}) for q, h in zip(x, home)]
+            lists = [sorted({int(h), *own.visits(q, visits, held, k + 1)}) for q, h in zip(x, home)]
             row = np.repeat(np.arange(len(x)), [len(v) for v in lists])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(lists).astype(np.int64)),
@@ -248,10 +258,10 @@ def search(spark: SparkSession, index: DataFrame, queries: DataFrame, tree: Tree
 
     walks = staged(spark, queries.select("rep", "vec").mapInArrow(
         walk, "leaf long, query long, vec array<double>"), "ann-visits")
-    # both counts have a row per leaf: bounded by the tree
-    parts = (index.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
-             .join(walks.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).alias("chunks")), "leaf"))
-    parts = spark.createDataFrame([tuple(r) for r in parts.collect()],
+    # a row per visited leaf that holds entries
+    asked = walks.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).alias("chunks")).collect()
+    parts = spark.createDataFrame([(r.leaf, -(-int(entries[r.leaf]) // block), r.chunks)
+                                   for r in asked if entries[r.leaf]],
                                   "leaf long, blocks long, chunks long")
 
     def cell(key: str, count: str, other: str):

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -204,6 +205,29 @@ def test_a_walk_visits_all_leaves_nearest_first():
     assert order.index(int(tree.descend(x[5:6])[0])) < len(order) / 4
 
 
+def test_outliers_in_leaves_of_their_own_find_ten(spark):
+    # 64 tight clusters of 30, and 36 vectors far from them, whose leaves hold
+    # a few each; with this target one visit is enough for most
+    rng = np.random.default_rng(6)
+    x = np.repeat(100 * rng.normal(size=(64, 8)), 30, axis=0) + 1e-3 * rng.normal(size=(1920, 8))
+    x = np.concatenate([x, 1e5 + 1e4 * rng.normal(size=(36, 8))])
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(len(x))],
+                               "vec_id long, embedding array<double>")
+    got = A.neighbours(spark, df, F.expr("vec_id % 5 = 0 OR vec_id >= 1920"), target=0.5).collect()
+    assert Counter(r["query_id"] for r in got) == {
+        i: 10 for i in range(len(x)) if i % 5 == 0 or i >= 1920}
+
+
+def test_a_walk_goes_on_until_its_leaves_hold_enough():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(800, 4))
+    tree = A.Tree(x, 20)
+    order, entries = tree.visits(x[5], len(tree.leaf)), np.ones(len(tree.leaf), np.int64)
+    assert tree.visits(x[5], 2, entries, 11) == order[:11]
+    assert tree.visits(x[5], 13, entries, 11) == order[:13]
+    assert tree.visits(x[5], 2, entries, 10_000) == order
+
+
 def test_blocks_and_chunks_do_not_change_results(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(600, 6))
