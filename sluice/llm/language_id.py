@@ -12,7 +12,8 @@ bounds are parameters.  Prediction reads every whole text.
 
 Cases: ``und`` with score 0 for a null text or one without letters, or if no
 language could be learned; a null id is not held out and not learned from;
-texts without ``lang`` are not learned from.
+texts without ``lang`` are not learned from; rows that repeat an id and
+language are learned from as one.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.llm.common import text_slices
 
@@ -176,30 +178,36 @@ def train(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE, steps: int
     order = F.xxhash64("doc_id")
     # only rows whose hash is small enough for a place among the first ``sample``
     # of their language are ranked: about four times as many, at any size
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
     share = F.pmod(order, F.lit(1 << 40)) / float(1 << 40)
     likely = (usable.select("doc_id", "lang").join(counts, "lang")
-              .where(share * F.col("n") < 4 * sample))
+              .where(share * F.col("n") < 4 * sample).select("doc_id", "lang").distinct())
     turn = F.row_number().over(Window.partitionBy("lang").orderBy(share, "doc_id"))
     picked = (likely.withColumn("turn", turn).where(F.col("turn") <= sample)
-              .orderBy("turn", share, "lang").limit(sample).select("doc_id").distinct())
-    # a proven size: at most ``sample`` ids
-    own = usable.join(F.broadcast(picked), "doc_id", "left_semi").select("lang", "text")
+              .orderBy("turn", share, "lang").limit(sample).select("doc_id", "lang"))
+    # a proven size: at most ``sample`` ids with their language
+    own = usable.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi").select(
+        "doc_id", "lang", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
-            langs, windows = [], []
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            kept, windows = [], []
+            for i, text in enumerate(batch.column("text").to_pylist()):
                 if text and _LETTER.search(text):
-                    langs.append(lang)
+                    kept.append(i)
                     windows.append(b"".join(spread_windows(text.encode("utf-8", "surrogatepass"))))
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()),
+            at = pa.array(kept, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at),
+                                              batch.column("lang").take(at),
                                               pa.array(windows, pa.binary())],
-                                             names=["lang", "windows"])
-
-    # at most ``sample`` texts of ``WINDOWS`` windows each
-    rows = own.mapInArrow(cut, "lang string, windows binary").collect()
-    rows = sorted((r.lang, bytes(r.windows)) for r in rows)[:sample]
+                                             names=["doc_id", "lang", "windows"])
+
+    # repeated rows of an id and language give one text: at most ``sample`` texts
+    # of ``WINDOWS`` windows each
+    made = T.StructType([*own.schema.fields[:2], T.StructField("windows", T.BinaryType())])
+    rows = (own.mapInArrow(cut, made).groupBy("doc_id", "lang")
+            .agg(F.min("windows").alias("windows")).collect())
+    rows = sorted((r.lang, bytes(r.windows)) for r in rows)
     langs = sorted({lang for lang, _ in rows})
     if not langs:
         return {"langs": [], "weights": {}}

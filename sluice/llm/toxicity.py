@@ -14,8 +14,9 @@ of these rows hold, besides the identity terms; both bounds are parameters and
 neither grows with the corpus.  Scoring reads every whole text.
 
 Cases: a null or empty text scores as one without words; a null id is never
-held out nor learned from; rows without label are not learned from; no labels
-give every text the same score, below one half.
+held out nor learned from; rows without label are not learned from;
+documents that repeat an id are learned from as one; no labels give every text
+the same score, below one half.
 """
 
 from __future__ import annotations
@@ -130,13 +131,15 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, swaps: dict[tuple[int, int],
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` rows ``text, toxic`` that are not held out."""
+    """``doc_id, toxic, text`` of the documents of at most ``sample`` labels that
+    are not held out; a document that repeats an id is a row of its own."""
     own = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
            .select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-           .where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+           .where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0).distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample))
     # a proven size: at most ``sample`` rows of two numbers
-    return docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("text", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select(
+        "doc_id", "toxic", "text")
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE,
@@ -147,11 +150,14 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
         for batch in text_slices(batches, "text"):
             made = [sorted(features(word_set(t))) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(made, pa.list_(pa.string()))],
-                names=["toxic", "words"])
-
-    rows = staged(spark, labelled_sample(docs, labels, sample)
-                  .mapInArrow(split, "toxic int, words array<string>"), "toxic-sample")
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(made, pa.list_(pa.string()))],
+                names=["doc_id", "toxic", "words"])
+
+    # documents that repeat an id give one row a label: at most ``sample`` rows
+    own = labelled_sample(docs, labels, sample)
+    made = T.StructType([*own.schema.fields[:2], T.StructField("words", T.ArrayType(T.StringType()))])
+    rows = staged(spark, own.mapInArrow(split, made).groupBy("doc_id", "toxic")
+                  .agg(F.max("words").alias("words")).select("toxic", "words"), "toxic-sample")
     n, positive = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     terms = [t for group in IDENTITY for t in group]
     held = F.col("n") + 1.0

@@ -86,6 +86,18 @@ def test_long_texts_are_read_whole(monkeypatch):
     assert X.word_set(text) == whole and "gh" in whole and "é漢" in whole
 
 
+def test_repeated_ids_do_not_widen_the_labelled_sample(spark, monkeypatch):
+    rows = _comments(60)
+    docs, labels = _frames(spark, rows + [(i, t, y) for i, t, y in rows[:20]] * 15)
+    fitted = []
+    fit = X.fit
+    monkeypatch.setattr(X, "fit", lambda own, *a: fitted.append(len(own)) or fit(own, *a))
+    model = X.train(spark, docs, labels, sample=30)
+    assert fitted == [30]
+    # as if no row were repeated
+    assert X.train(spark, *_frames(spark, rows), sample=30) == model
+
+
 def test_stage_keeps_columns(spark):
     docs, labels = _frames(spark, _comments())
     kept = X.drop_toxic(spark, docs, labels)
@@ -132,6 +144,17 @@ def test_held_out_languages(spark):
     assert rows[4][0] == "de" and rows[None][0] in model["langs"]
 
 
+def test_repeated_ids_do_not_push_languages_out(spark, monkeypatch):
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2][:40]
+    rows = [(ids[0], f"text {i} abc", "aa") for i in range(300)]
+    rows += [(i, f"text {i} xyz", "bb") for i in ids[1:]]
+    fitted = []
+    monkeypatch.setattr(L, "fit", lambda x, y, *a: fitted.append(np.bincount(y).tolist()) or {})
+    model = L.train(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"),
+                    sample=20)
+    assert model["langs"] == ["aa", "bb"] and fitted == [[1, 19]]
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "abc", None), (None, "abc", "en")],
                                  "doc_id long, text string, lang string")
