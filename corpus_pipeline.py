@@ -12,8 +12,9 @@ of ``documents``:
    follows the text) and drops documents of which nothing else was left;
 3. ``simhash_dedup`` keeps one document of each near-duplicate group;
 4. ``decontamination`` drops documents with a window of a benchmark item;
-5. ``mixing`` returns a row per document with what the mix takes of it:
-   ``doc_id, source, size, source_size, target, taken, draws``.
+5. ``mixing`` returns the drawing plan, a row per document with what the mix
+   takes of it: ``doc_id, source, size, th, source_size, target, draws, taken``
+   (``taken`` is 0 where it takes nothing); ``mixing.drawn`` gives the words.
 """
 
 from __future__ import annotations

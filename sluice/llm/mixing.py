@@ -11,9 +11,11 @@ words of that stream are the source's quota, cut into blocks of
 splitting tree deals the quotas to 2^d output shards: each node sends half of
 its blocks to either side, and how many of each source go left is drawn from
 the multivariate hypergeometric distribution (source by source, by inversion).
-A source's blocks, permuted, fill its shares of the shards in turn, so draws
-are disjoint and none is lost; inside a shard they are shuffled by a seeded
-``place``.
+A source's blocks, in an order permuted by a seeded hash (swap-or-not, a
+bijection for any number of blocks), fill its shares of the shards in turn, so
+draws are disjoint and none is lost.  ``mix`` returns this plan, a row per
+document; ``drawn`` carries it out: the drawn words, gathered by shard and
+shuffled inside it by a seeded ``place``.
 
 Positions are two-level prefix sums, over buckets of the permuted order and
 inside each, so a source that holds a third of all rows is not one task.
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import staged
@@ -39,16 +41,23 @@ BLOCK_WORDS = 4096
 SHARD_BLOCKS = 4096      # an output shard holds about so many blocks
 BUCKET_ROWS = 16_384     # documents of one bucket of the permuted order
 SEED = "mix"
+SHUFFLE_ROUNDS = 32      # of the permutation of blocks
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def place_hash(column: str) -> Column:
+    """Where a document lies in the permuted order of its source."""
+    return F.md5(F.concat(F.lit(SEED + "|"), F.coalesce(F.col(column).cast("string"), F.lit("")))
+                 .cast("binary"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
     """``doc_id, source, size, h`` (place in the permuted order) ``, th``."""
     return docs.select(
         "doc_id", "source",
-        F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
         .cast("long").alias("size"),
-        F.md5(F.concat(F.lit(SEED + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-              .cast("binary")).alias("h"),
+        place_hash("doc_id").alias("h"),
         F.xxhash64("text").alias("th"))
 
 
@@ -129,7 +138,7 @@ def deal(sources: DataFrame, depth: int, block_words: int) -> DataFrame:
 def mix(spark: SparkSession, docs: DataFrame, block_words: int = BLOCK_WORDS,
         shard_blocks: int = SHARD_BLOCKS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per row of ``docs(doc_id, text, source)``: ``doc_id, source,
-    size, source_size, target, taken`` and ``draws``, an array of ``shard,
+    size, th`` (hash of the text) ``, source_size, target, taken`` and ``draws``, an array of ``shard,
     place`` (order inside the shard), ``first, last`` (its words, the last not
     included) and ``pass``."""
     rows = staged(spark, sized(docs), "mix-sizes")
@@ -138,7 +147,9 @@ def mix(spark: SparkSession, docs: DataFrame, block_words: int = BLOCK_WORDS,
     sources = staged(spark, targets(rows), "mix-targets")
     blocks = sources.agg(F.sum(F.expr(f"(quota + {block_words - 1}) div {block_words}"))).first()[0]
     depth = max(0, math.ceil(math.log2(max(1, (blocks or 0) / shard_blocks))))
-    sources = staged(spark, deal(sources, depth, block_words), "mix-deal")
+    keys = F.expr(f"""transform(sequence(0, {SHUFFLE_ROUNDS - 1}), r -> named_struct(
+      'r', r, 'key', pmod(xxhash64('{SEED}', 'key', rank, r), greatest(blocks, 1L))))""")
+    sources = staged(spark, deal(sources, depth, block_words).withColumn("keys", keys), "mix-deal")
 
     rows = rows.withColumn("bucket", F.substring("h", 1, digits))
     bases = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -149,17 +160,20 @@ def mix(spark: SparkSession, docs: DataFrame, block_words: int = BLOCK_WORDS,
         inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     placed = (placed.alias("p").join(bases.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source"))
                                      & (F.col("p.bucket") == F.col("b.bucket")))
-              .select("p.doc_id", "p.source", "p.size", (F.col("inner") + F.col("base")).alias("start")))
+              .select("p.doc_id", "p.source", "p.size", "p.th",
+                      (F.col("inner") + F.col("base")).alias("start")))
     placed = (placed.alias("p").join(sources.alias("s"), F.col("p.source").eqNullSafe(F.col("s.source")))
-              .select("p.*", "s.rank", "s.source_size", "s.target", "s.quota", "s.blocks", "s.bounds"))
+              .select("p.*", "s.rank", "s.source_size", "s.target", "s.quota", "s.blocks", "s.bounds", "s.keys"))
 
     steps = ",".join(map(str, range(depth)))
     shard = f"""aggregate(cast(array({steps}) as array<int>), named_struct('lo', 0, 'hi', {2 ** depth}),
         (a, _s) -> if(bounds[(a.lo + a.hi) div 2] <= k,
           named_struct('lo', cast((a.lo + a.hi) div 2 as int), 'hi', a.hi),
           named_struct('lo', a.lo, 'hi', cast((a.lo + a.hi) div 2 as int))), a -> a.lo)"""
-    # blocks are permuted by a multiplier that has no divisor in common with their number
-    permuted = "pmod(b * if(blocks % 1000003 = 0, 999983L, 1000003L), blocks)"
+    # swap-or-not: each round pairs the blocks that sum to its key and swaps a pair or not
+    permuted = f"""aggregate(keys, cast(b as bigint), (x, e) -> if(
+      pmod(xxhash64('{SEED}', 'swap', rank, e.r, greatest(x, pmod(e.key - x, blocks))), 2) = 0,
+      x, pmod(e.key - x, blocks)))"""
     w = block_words
     draws = F.expr(f"""flatten(transform(sequence(0, {MAX_PASSES - 1}), p ->
       if(size = 0 or start + p * source_size >= quota, array(),
@@ -170,11 +184,34 @@ def mix(spark: SparkSession, docs: DataFrame, block_words: int = BLOCK_WORDS,
             'first', greatest(b * {w} - start - p * source_size, 0L),
             'last', least((b + 1) * {w}, quota, start + p * source_size + size) - start - p * source_size,
             'pass', p))[0]))))""")
-    drawn = placed.select("doc_id", "source", "size", "source_size", "target", draws.alias("draws"))
-    return drawn.withColumn("taken", F.aggregate(
+    plan = placed.select("doc_id", "source", "size", "th", "source_size", "target", draws.alias("draws"))
+    return plan.withColumn("taken", F.aggregate(
         "draws", F.lit(0).cast("long"), lambda a, d: a + d["last"] - d["first"]))
 
 
+def drawn(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``shard, place, pass, doc_id, source, first, text``: the words, joined by
+    single spaces, that the plan ``mixed`` (of ``mix`` over ``docs``) draws.  A
+    shard is in one partition, its blocks ordered by ``place`` and a block's
+    draws as they lie in the stream."""
+    # rows that agree in id, source and text are alike: one text serves them all
+    texts = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("th")).dropDuplicates(
+        ["doc_id", "source", "th"])
+    plan = mixed.where(F.size("draws") > 0).select("doc_id", "source", "size", "th", "draws")
+    cut = F.expr(rf"""explode(transform(array(regexp_extract_all(text, r'{WORD}', 0)),
+      words -> transform(draws, d -> named_struct('draw', d, 'text',
+        array_join(slice(words, cast(d.first + 1 as int), cast(d.last - d.first as int)), ' '))))[0])""")
+    rows = (plan.alias("p").join(texts.alias("t"), F.col("p.doc_id").eqNullSafe(F.col("t.doc_id"))
+                                 & F.col("p.source").eqNullSafe(F.col("t.source"))
+                                 & (F.col("p.th") == F.col("t.th")))
+            .select("p.doc_id", "p.source", "p.size", "p.th", place_hash("p.doc_id").alias("h"),
+                    cut.alias("cut")))
+    rows = rows.select("cut.draw.*", "doc_id", "source", "size", "th", "h", "cut.text")
+    return (rows.repartition("shard")
+            .sortWithinPartitions("shard", "place", "pass", "h", "size", "th", "first")
+            .select("shard", "place", "pass", "doc_id", "source", "first", "text"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.plans.tables import table
 

@@ -1,3 +1,5 @@
+import hashlib
+import tempfile
 from collections import Counter, defaultdict
 
 import pytest
@@ -103,3 +105,51 @@ def test_small_tables(spark, rows):
 
 def test_native(spark):
     assert python_nodes(M.mix(spark, _docs(spark, _rows()))) == []
+
+
+def test_few_blocks_are_permuted(spark):
+    # eight sources of three, five or six blocks
+    docs = _docs(spark, [(i, "w " * 16, f"s{i % 8}") for i in range(48)])
+    rows = M.mix(spark, docs, block_words=32, shard_blocks=1).collect()
+    order = defaultdict(set)
+    for r in rows:
+        h = hashlib.md5(f"mix|{r['doc_id']}".encode()).hexdigest()
+        for d in r["draws"]:
+            order[r["source"]].add((d["pass"], h, d["first"], d["shard"], d["place"]))
+    few = [sorted(own) for own in order.values() if len({x[4] for x in own}) in (3, 6)]
+    shards = [[x[3] for x in own] for own in few]
+    assert len(few) > 3 and any(own != sorted(own) for own in shards)
+    # and it is a permutation: all places are blocks of 32 words, the last may be shorter
+    words = Counter()
+    for r in rows:
+        for d in r["draws"]:
+            words[(r["source"], d["place"])] += d["last"] - d["first"]
+    short = Counter(s for (s, _), n in words.items() if n < 32)
+    assert max(words.values()) <= 32 and max(short.values(), default=0) <= 1
+
+
+def test_drawn_words(spark):
+    docs = _docs(spark, [(i, None if t is None else " ".join(f"{w}{j}" for j, w in enumerate(t.split())), s)
+                         for i, t, s in _rows()])
+    plan = M.mix(spark, docs, block_words=16, shard_blocks=20)
+    plan.write.parquet(path := tempfile.mkdtemp(prefix="mixed-") + "/plan")
+    plan = spark.read.parquet(path)
+    text = {}
+    for r in docs.collect():
+        text.setdefault((r["doc_id"], r["source"]), (r["text"] or "").split())
+    wanted = Counter()
+    for r in plan.collect():
+        own = text[(r["doc_id"], r["source"])]
+        for d in r["draws"]:
+            wanted[(d["shard"], d["place"], " ".join(own[d["first"]:d["last"]]))] += 1
+    out = M.drawn(docs, plan)
+    assert python_nodes(out) == []
+    rows = out.withColumn("part", F.spark_partition_id()).collect()
+    assert Counter((r["shard"], r["place"], r["text"]) for r in rows) == wanted
+    parts = defaultdict(set)
+    for r in rows:
+        parts[r["shard"]].add(r["part"])
+    assert len(parts) > 4 and all(len(p) == 1 for p in parts.values())
+    for part in {r["part"] for r in rows}:
+        own = [(r["shard"], r["place"]) for r in rows if r["part"] == part]
+        assert own == sorted(own)
