@@ -21,6 +21,9 @@ beforehand (thresholds have two leading digits, so a measure has at most some
 1,600 of them); the driver sees those sums, never rows.  ``verdict`` writes the
 rules as one ordered conditional expression.
 
+Windows are compared by 64-bit hashes within one text, so a false repeat has a
+chance of about (words of the text)^2 / 2^65.
+
 Cases: a null or empty text has no words and fails the base rule; labels that
 are null, or whose id is null or in no document, teach nothing; each pair of a
 document and a label of one id counts, so repeated rows count as often as they
@@ -40,11 +43,12 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import staged
 
-WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
-MARKS = ".!?"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SPACE = r"[\x20\x09-\x0D]"
+WORD = r"[^\x20\x09-\x0D]+"
+SYMBOL = "[#*$%&|<>]"
+MARK = "[.!?]"
+CAPITAL = "[A-Z]"
 WINDOW = 5
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
@@ -79,10 +83,6 @@ class Rule(NamedTuple):
         return " AND ".join(f"{m} {op} {t}" for m, op, t in self.conditions)
 
 
-def _without(column: str, characters: str) -> Column:
-    return F.char_length(column) - F.char_length(F.translate(column, characters, ""))
-
-
 def document_stats(docs: DataFrame) -> DataFrame:
     """``row`` (the columns of ``docs(doc_id, text, ...)`` but the text) and
     ``STATS``, a row per document."""
@@ -91,30 +91,29 @@ def document_stats(docs: DataFrame) -> DataFrame:
     split = text.select(
         "row",
         F.regexp_extract_all("t", F.lit(WORD), F.lit(0)).alias("words"),
-        F.filter(F.split("t", "\n", -1),
-                 lambda s: F.char_length(F.translate(s, SPACES, "")) > 0).alias("lines"),
-        F.char_length(F.translate("t", SPACES, "")).cast("long").alias("word_chars"),
-        _without("t", SYMBOLS).cast("long").alias("n_symbols"),
-        _without("t", CAPITALS).cast("long").alias("n_capitals"),
-        _without("t", MARKS).cast("long").alias("n_marks"))
+        F.filter(F.split("t", "\n", -1), lambda s: F.btrim(s, F.lit(SPACES)) != "").alias("lines"),
+        (F.char_length("t") - F.regexp_count("t", F.lit(SPACE))).cast("long").alias("word_chars"),
+        F.regexp_count("t", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
+        (F.size(F.split("t", CAPITAL, -1)) - 1).cast("long").alias("n_capitals"),
+        F.regexp_count("t", F.lit(MARK)).cast("long").alias("n_marks"))
     counted = ["row", "word_chars", "n_symbols", "n_capitals", "n_marks"]
-
-    def window(i: Column) -> Column:
-        own = [F.get("words", i + j) for j in range(WINDOW)]
-        return F.struct(F.xxhash64(*own).alias("h"), F.hash(*own).alias("g"), i.alias("at"))
-
-    hashed = split.select(
+    split = split.select(
         *counted,
         F.size("words").cast("long").alias("n_words"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size("words") >= WINDOW, F.sort_array(F.transform(
-            F.sequence(F.lit(0), F.size("words") - WINDOW), window))).alias("sorted"))
+        F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"))
     counted += ["n_words", "n_lines", "n_dup_lines"]
 
+    def window(i: Column) -> Column:
+        own = [F.get("hashes", i + j) for j in range(WINDOW)]
+        return F.struct(F.xxhash64(*own).alias("h"), i.alias("at"))
+
+    hashed = split.select(*counted, F.when(F.col("n_words") >= WINDOW, F.sort_array(F.transform(
+        F.sequence(F.lit(0), F.size("hashes") - WINDOW), window))).alias("sorted"))
+
     # equal windows are neighbours in the sorted order
-    twice = """filter(sorted, (x, i) -> (x.h = get(sorted, i + 1).h AND x.g = get(sorted, i + 1).g)
-                                     OR (x.h = get(sorted, i - 1).h AND x.g = get(sorted, i - 1).g))"""
+    twice = "filter(sorted, (x, i) -> x.h = get(sorted, i + 1).h OR x.h = get(sorted, i - 1).h)"
     starts = hashed.select(*counted, F.expr(f"sort_array(transform({twice}, x -> x.at))").alias("starts"))
     covered = F.expr(f"""coalesce(aggregate(starts, named_struct('n', 0L, 'last', {-WINDOW}),
       (a, s) -> named_struct('n', a.n + least({WINDOW}, s - a.last), 'last', s), a -> a.n), 0L)""")
