@@ -1,5 +1,6 @@
 """The registered queries of the operators and their SQL."""
 
+from sluice.llm.conversations import op11_conversations
 from sluice.llm.decontamination import OP10_SQL, op10_decontamination
 from sluice.llm.language_id import op8_language_id
 from sluice.llm.line_dedup import OP4_SQL, op4_line_dedup
@@ -14,6 +15,6 @@ from sluice.llm.toxicity import op5_toxicity
 from sluice.llm.warc import OP7_SQL, op7_warc
 
 QUERIES = {"op1_neighbours": op1_neighbours, "op2_mixing": op2_mixing, "op3_suffix_dedup": op3_suffix_dedup, "op4_line_dedup": op4_line_dedup, "op5_toxicity": op5_toxicity, "op6_simhash": op6_simhash, "op7_warc": op7_warc,
-           "op8_language_id": op8_language_id, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination, "op12_quality_rules": op12_quality_rules,
+           "op8_language_id": op8_language_id, "op9_token_counts": op9_token_counts, "op10_decontamination": op10_decontamination, "op11_conversations": op11_conversations, "op12_quality_rules": op12_quality_rules,
            "op13_spelling_variants": op13_spelling_variants}
 ORACLE = {"op2_mixing": OP2_SQL, "op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op10_decontamination": OP10_SQL}

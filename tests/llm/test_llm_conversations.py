@@ -1,0 +1,199 @@
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from sluice.llm import conversations as C
+
+SF = "/root/testdata/sf0.01"
+DDL = "conv_id long, turn long, role string, text string, times string, fault string"
+
+
+def brute_damage(rows):
+    """``conv -> rows (turn, role, text)`` after damage, in order; all ids."""
+    out = {}
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        out.setdefault(conv, [])
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out[conv] += [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    for own in out.values():
+        own.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    return out
+
+
+def brute_faults(rows):
+    seen, faults = set(), []
+    for _, role, text in rows:
+        said = re.sub(r"[\x20\x09-\x0D]+$", "", text)
+        faults.append("blank" if not said else "duplicate" if (role, text) in seen
+                      else "truncated" if said[-1] not in ".!?" else "")
+        seen.add((role, text))
+    return faults
+
+
+def brute_repair(rows, faults):
+    """Left to right, the best (cost, audit, repaired) by last role written."""
+    order = "sua"
+    follows = {"": "su", "s": "u", "u": "a", "a": "u"}
+
+    def inserted(best):
+        for _ in range(3):  # one may be followed by another
+            for state, (cost, audit, text) in list(best.items()):
+                for c in follows[state]:
+                    if c != "s":
+                        new = (cost + 5, audit + "I", text + [{"u": "user:", "a": "assistant:"}[c]])
+                        if c not in best or new < best[c]:
+                            best[c] = new
+        return best
+    best = inserted({"": (0, "", [])})
+    for (_, role, text), fault in zip(rows, faults):
+        after = {}
+
+        def offer(state, value):
+            if state not in after or value < after[state]:
+                after[state] = value
+        for state, (cost, audit, done) in best.items():
+            offer(state, (cost + 2, audit + "D", done))
+            if fault in ("blank", "duplicate"):
+                continue
+            stay = 5 if fault == "truncated" else 0
+            if role[:1] and role[:1] in follows[state] and role[:1] in order:
+                offer(role[:1], (cost + stay, audit + "K", done + [f"{role}:{text}"]))
+            for c, name in (("u", "user"), ("a", "assistant")):
+                if c in follows[state]:
+                    offer(c, (cost + 1 + stay, audit + "R", done + [f"{name}:{text}"]))
+        best = inserted(after)
+    return min(best[q] for q in ("", "a") if q in best)
+
+
+def brute_all_edits(rows, faults, inserts=2):
+    """Every sequence of edits with a few inserts, for short conversations."""
+    found = []
+    choices = []
+    for _, fault in zip(rows, faults):
+        choices.append("D" if fault in ("blank", "duplicate") else "DKua")
+    for edits in itertools.product(*choices):
+        for gaps in itertools.product(["", *["".join(p) for n in range(1, inserts + 1)
+                                             for p in itertools.product("ua", repeat=n)]], repeat=len(rows) + 1):
+            if sum(map(len, gaps)) > inserts:
+                continue
+            cost = audit = 0
+            audit, initials, lines = "", "", []
+            for i, gap in enumerate(gaps):
+                for c in gap:
+                    cost, audit, initials = cost + 5, audit + "I", initials + c
+                    lines.append({"u": "user:", "a": "assistant:"}[c])
+                if i < len(rows):
+                    _, role, text = rows[i]
+                    e = edits[i]
+                    if e == "D":
+                        cost, audit = cost + 2, audit + "D"
+                        continue
+                    new = role if e == "K" else {"u": "user", "a": "assistant"}[e]
+                    cost += (e != "K") + (5 if faults[i] == "truncated" else 0)
+                    audit += "K" if e == "K" else "R"
+                    initials += new[:1] or "?"
+                    lines.append(f"{new}:{text}")
+            if re.fullmatch("(s?(ua)+)?", initials):
+                found.append((cost, audit, lines))
+    return min(found)
+
+
+def brute(rows):
+    out = []
+    for conv, own in brute_damage(rows).items():
+        faults = brute_faults(own)
+        turns = [t for t, _, _ in own if t is not None]
+        cost, audit, lines = brute_repair(own, faults)
+        out.append((conv, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0,
+                    faults.count("blank"), faults.count("duplicate"), faults.count("truncated"),
+                    sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(own, own[1:])),
+                    cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def _got(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_query_agrees_with_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet")
+            .select("conv_id", "turn", "role", "text").collect()]
+    df = C.op11_conversations(spark, SF)
+    assert dict(df.dtypes) == {"conv_id": "bigint", "audit": "string", "repaired_sha256": "string", **{
+        c: "bigint" for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}}
+    assert _got(df) == brute(rows)
+
+
+def _odd_rows():
+    rng = random.Random(3)
+    roles = ["system", "user", "assistant", "tool", None, "", "sys", "User"]
+    texts = ["Yes.", "no", "", None, " \t", "What? ", "é!\n", "a.b", "Yes."]
+    rows = [(c, rng.choice([None, *range(6)]), rng.choice(roles), rng.choice(texts))
+            for c in range(40) for _ in range(rng.randint(1, 7))]
+    rows += [(None, t, "user", f"x{t}.") for t in range(5)] + [(None, None, None, None)]
+    rows += [(900, t, rng.choice(roles), rng.choice(texts) if t % 3 else f"say {t}.") for t in range(400)]
+    rows += [(901, 7, "user", "same.")] * 60                     # identical rows
+    rows += [(902, t, "user", "same.") for t in range(60)]       # one text at every turn
+    rows += [(903, 1, "user", "long " * 50_000 + "."), (903, 2, "assistant", "long " * 50_000)]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [{}, {"segment": 3, "rows_a_task": 20}, {"segment": 7, "held_bytes": 500},
+                                   {"segment": 1, "held_bytes": 1, "rows_a_task": 100}])
+def test_every_size_of_piece_and_task_gives_the_same(spark, sizes):
+    rows = _odd_rows()
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], DDL)
+    found, lines = C.repair(spark, C.damaged(df), **sizes)
+    expected = brute(rows)
+    assert _got(found) == expected
+    texts = {}
+    for r in sorted(lines.collect(), key=lambda r: r["place"]):
+        texts.setdefault(r["conv_id"], []).append(f"{r['role']}:{r['text']}")
+    for conv, *_, digest in expected:
+        assert hashlib.sha256("\n".join(texts.get(conv, [])).encode()).hexdigest() == digest
+
+
+def test_agenda_agrees_with_all_edits():
+    rng = random.Random(11)
+    for _ in range(250):
+        rows = [(i, rng.choice(["system", "user", "assistant", "tool"]), f"{i}") for i in range(rng.randint(0, 4))]
+        faults = [rng.choice(["", "", "truncated", "blank", "duplicate"]) for _ in rows]
+        cost, audit, lines = brute_all_edits(rows, faults)
+        own = [(i, role, text, fault, 1) for (i, role, text), fault in zip(rows, faults)]
+        for cut in range(len(own) + 1):
+            done = C.composed([C.summed(own[:cut], False), C.summed(own[cut:], False)])
+            assert (done["cost"], done["audit"]) == (cost, audit)
+        whole = C.composed([C.summed(own, True)])
+        assert (whole["cost"], whole["audit"]) == (cost, audit)
+        replay = C.Replay(audit)
+        assert [f"{r}:{t}" for r, t in [*replay.over(own), *replay.rest()]] == lines
+        assert brute_repair(rows, faults)[:2] == (cost, audit)
+
+
+def test_a_popped_item_is_final():
+    """Values never fall along the agenda, though edits cost nothing."""
+    rows = [(r, f, 1) for r, f in zip("usaauu", ["", "truncated", "", "", "", ""])]
+    values = list(C.lightest((0, C.START), C.edits(rows)).values())
+    assert values == sorted(values)
+
+
+def test_no_rows(spark):
+    df = spark.createDataFrame([(1, 1, "user", "x.", "x", "y")], DDL)
+    found, lines = C.repair(spark, C.damaged(df.limit(0)))
+    assert found.count() == 0 and lines.count() == 0
+
+
+def test_a_conversation_without_rows_left(spark):
+    gone = next(t for t in range(1000) if zlib.crc32(f"5:{t}".encode()) % 20 == 0)
+    df = spark.createDataFrame([(5, gone, "user", "x.", "x", "y")], DDL)
+    found, _ = C.repair(spark, C.damaged(df))
+    assert _got(found) == [(5, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
