@@ -258,9 +258,8 @@ def repair(spark: SparkSession, rows: DataFrame, keep_rows: bool = True, segment
     """Of ``rows(conv_id, turn, role, text, times)``: a result per conversation
     (``conv_id`` and the columns of ``FOUND``), and the repaired rows ``conv_id,
     place, role, text`` (none unless ``keep_rows``)."""
-    own = [c for c in ("conv_id", "turn", "role", "text", "times")]
-    rows = faulted(rows.select(*own))
     tasks = max(1, math.ceil(rows.count() / rows_a_task))
+    rows = faulted(rows.select("conv_id", "turn", "role", "text", "times"))
     ranged = rows.repartitionByRange(tasks, "conv_id", "turn", "role", "text").sortWithinPartitions(
         "conv_id", "turn", "role", "text")
     conv_type = rows.schema["conv_id"].dataType
