@@ -6,32 +6,34 @@ languages.  The network is trained in numpy on windows of labelled texts.  A
 text is cut into windows of ``WINDOW`` bytes, all of them are scored in
 batches, and the probabilities are averaged by the bytes they stand for.
 
-Training uses at most ``SAMPLE`` texts, as many of each language as there are
-(chosen by a hash of the id), and ``WINDOWS`` windows spread over each; the
-bounds are parameters.  Prediction reads every whole text.
-
-Cases: ``und`` with score 0 for a null text or one without letters, or if no
-language could be learned; a null id is not held out and not learned from;
-texts without ``lang`` are not learned from; rows that repeat an id and
-language are learned from as one.
+Training uses at most ``SAMPLE`` texts, shared evenly by the languages as far as
+they have any and chosen by a hash of the id.  All windows of these texts are
+written to a table, and the ``STEPS * BATCH`` windows that training looks at are
+drawn over it in the same way; both bounds are parameters.  Prediction reads
+every whole text.
+
+Cases: ``und`` with score 0 for a null text or one without letters (characters
+of Unicode's category L), or if no language could be learned; a null id is not
+held out and not learned from; texts without ``lang`` are not learned from; rows
+that repeat an id and language are learned from as one; a very long text is one
+row, cut to windows a few at a time; a tie of two languages goes to the first by
+code point; other columns are not read; no documents, no result.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import text_slices
+from sluice.llm.common import staged, text_slices
 
 WINDOW = 256
 SAMPLE = 6_000
-WINDOWS = 4
 DIMENSIONS = 8
 FILTERS = 16
 WIDTHS = (2, 3, 4)
@@ -41,7 +43,9 @@ RATE = 0.01
 SEED = 7
 SCORE_BATCH = 256
 
-_LETTER = re.compile(r"[^\W\d_]")
+
+def has_letter(text: str | None) -> bool:
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def start_weights(classes: int, rng: np.random.Generator) -> dict[str, np.ndarray]:
@@ -163,11 +167,32 @@ class Scorer:
         return out
 
 
-def spread_windows(text: bytes, n: int = WINDOWS) -> list[bytes]:
-    """Up to ``n`` windows at even distances over the text."""
-    n = max(1, min(n, len(text) // WINDOW))
-    starts = np.linspace(0, max(0, len(text) - WINDOW), n).astype(int)
-    return [text[s:s + WINDOW].ljust(WINDOW, b"\0") for s in starts]
+def shares(counts: dict[str, int], total: int) -> dict[str, int]:
+    """``total`` shared evenly over what ``counts`` has of each key; what one
+    lacks goes to the others."""
+    out, left = {}, total
+    for i, key in enumerate(sorted(counts, key=lambda k: (counts[k], k))):
+        out[key] = min(counts[key], left // (len(counts) - i))
+        left -= out[key]
+    return out
+
+
+def drawn(spark: SparkSession, rows: DataFrame, counts: dict[str, int], total: int,
+          keys: list[str]) -> list:
+    """About evenly by ``lang``, at most ``total`` of ``rows``, those whose hash
+    of ``keys`` is smallest.  Only rows below a hash that half as many again
+    would be expected under reach the driver."""
+    own = shares(counts, total)
+    limits = spark.createDataFrame([(k, (1.5 * n + 50) / max(1, counts[k])) for k, n in own.items()],
+                                   "lang string, below double")
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) / float(1 << 40)
+    likely = rows.withColumn("place", place).join(F.broadcast(limits), "lang").where("place < below").drop("below")
+    picked, left = [], dict(own)
+    for r in sorted(likely.distinct().collect(), key=lambda r: (r["place"], r["lang"], *[r[k] for k in keys])):
+        if left[r["lang"]] > 0:
+            left[r["lang"]] -= 1
+            picked.append(r)
+    return picked
 
 
 def train(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE, steps: int = STEPS) -> dict:
@@ -175,44 +200,44 @@ def train(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE, steps: int
     ``docs(doc_id, text, lang)`` that are not held out."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
                         & (F.crc32(F.col("doc_id").cast("string")) % 4 != 2))
-    order = F.xxhash64("doc_id")
-    # only rows whose hash is small enough for a place among the first ``sample``
-    # of their language are ranked: about four times as many, at any size
-    counts = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
-    share = F.pmod(order, F.lit(1 << 40)) / float(1 << 40)
-    likely = (usable.select("doc_id", "lang").join(counts, "lang")
-              .where(share * F.col("n") < 4 * sample).select("doc_id", "lang").distinct())
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy(share, "doc_id"))
-    picked = (likely.withColumn("turn", turn).where(F.col("turn") <= sample)
-              .orderBy("turn", share, "lang").limit(sample).select("doc_id", "lang"))
+    # a row per language, as the model has
+    counts = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(
+        F.approx_count_distinct("doc_id").alias("n")).collect()}
+    if not counts:
+        return {"langs": [], "weights": {}}
+    ids = drawn(spark, usable.select("doc_id", "lang"), counts, sample, ["doc_id"])
+    picked = spark.createDataFrame([(r["doc_id"], r["lang"]) for r in ids],
+                                   T.StructType([docs.schema["doc_id"], docs.schema["lang"]]))
     # a proven size: at most ``sample`` ids with their language
     own = usable.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi").select(
         "doc_id", "lang", "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
-            kept, windows = [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
-                if text and _LETTER.search(text):
-                    kept.append(i)
-                    windows.append(b"".join(spread_windows(text.encode("utf-8", "surrogatepass"))))
-            at = pa.array(kept, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at),
-                                              batch.column("lang").take(at),
-                                              pa.array(windows, pa.binary())],
-                                             names=["doc_id", "lang", "windows"])
-
-    # repeated rows of an id and language give one text: at most ``sample`` texts
-    # of ``WINDOWS`` windows each
-    made = T.StructType([*own.schema.fields[:2], T.StructField("windows", T.BinaryType())])
-    rows = (own.mapInArrow(cut, made).groupBy("doc_id", "lang")
-            .agg(F.min("windows").alias("windows")).collect())
-    rows = sorted((r.lang, bytes(r.windows)) for r in rows)
-    langs = sorted({lang for lang, _ in rows})
-    if not langs:
+                if has_letter(text):
+                    raw = text.encode("utf-8", "surrogatepass")
+                    starts = range(0, len(raw), WINDOW)
+                    at = pa.array([i] * len(starts), pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").take(at), batch.column("lang").take(at),
+                         pa.array(starts, pa.int64()),
+                         pa.array([raw[s:s + WINDOW].ljust(WINDOW, b"\0") for s in starts], pa.binary())],
+                        names=["doc_id", "lang", "at", "bytes"])
+
+    made = T.StructType([*own.schema.fields[:2], T.StructField("at", T.LongType()),
+                         T.StructField("bytes", T.BinaryType())])
+    # repeated rows of an id and language give one window at a place
+    windows = staged(spark, own.mapInArrow(cut, made).groupBy("doc_id", "lang", "at").agg(
+        F.min("bytes").alias("bytes")), "language-windows")
+    counts = {r["lang"]: r["count"] for r in windows.groupBy("lang").count().collect()}
+    if not counts:
         return {"langs": [], "weights": {}}
+    rows = sorted((r["lang"], bytes(r["bytes"])) for r in
+                  drawn(spark, windows, counts, steps * BATCH, ["doc_id", "at"]))
+    langs = sorted({lang for lang, _ in rows})
     x = np.frombuffer(b"".join(w for _, w in rows), np.uint8).reshape(-1, WINDOW)
-    y = np.repeat([langs.index(lang) for lang, _ in rows], [len(w) // WINDOW for _, w in rows])
+    y = np.array([langs.index(lang) for lang, _ in rows])
     return {"langs": langs, "weights": fit(x, y, len(langs), steps)}
 
 
@@ -225,7 +250,7 @@ def identify(spark: SparkSession, docs: DataFrame, model: dict) -> DataFrame:
         scorer = Scorer(shared.value["weights"]) if langs else None
         for batch in text_slices(batches, "text"):
             texts = batch.column("text").to_pylist()
-            rows = [i for i, t in enumerate(texts) if langs and t and _LETTER.search(t)]
+            rows = [i for i, t in enumerate(texts) if langs and has_letter(t)]
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
             if rows:
                 p = scorer.texts([texts[i].encode("utf-8", "surrogatepass") for i in rows])
