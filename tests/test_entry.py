@@ -119,7 +119,7 @@ def test_a_changed_input_is_a_new_log(spark, tmp_path):
     from sluice.plans import tables
     folder = tmp_path / "sf"
     folder.mkdir()
-    shutil.copy(f"{SF_SMALL}/events.parquet", folder / "events.parquet")
+    shutil.copyfile(f"{SF_SMALL}/events.parquet", folder / "events.parquet")
     assert tables.events_log(spark, str(folder)).count() == 1000
     pq.write_table(pq.read_table(f"{SF_SMALL}/events.parquet").slice(0, 7), folder / "events.parquet")
     assert tables.events_log(spark, str(folder)).count() == 7
