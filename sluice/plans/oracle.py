@@ -46,6 +46,15 @@ r AS (SELECT CAST(n_nationkey % 4 AS INTEGER) AS p, n_nationkey AS a,
       FROM nation)
 SELECT {_REC_TEXT} FROM rec JOIN r ON "partition" = p AND "offset" >= a AND "offset" < b""",
 
+    "kafka_offsets_by_time": """
+WITH rec AS (SELECT user_id % 4 AS p, ts,
+                    row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS o FROM events),
+t AS (SELECT n_nationkey AS k, CAST(n_nationkey % 5 AS INTEGER) AS p,
+             TIMESTAMP '2024-01-01' + to_days(CAST(n_nationkey AS INTEGER)) AS t FROM nation)
+SELECT 'events' AS topic, t.p AS "partition", CAST(t.t AS VARCHAR) AS "time",
+       CAST(min(o) AS BIGINT) AS "offset"
+FROM t LEFT JOIN rec ON rec.p = t.p AND ts >= t.t GROUP BY k, t.p, t.t""",
+
     "kafka_available_now": f"WITH {_REC} SELECT {_REC_TEXT} FROM rec",
 
     "records_with_schema": """

@@ -21,7 +21,7 @@ from sluice.functions.udfs import (call, count_ascii_upper, explode_column, expl
                                    leading_digit, register_udf)
 from sluice.operators import decode, features, offsets, quality, registry
 from sluice.plans.tables import (EVENTS_TOPIC, events_log, events_log_table, events_records,
-                                 events_with_gaps, table, with_gaps)
+                                 events_segments, events_with_gaps, table, with_gaps)
 from sluice.session import scratch_dir
 from sluice.sources import catalog, files, records
 from sluice.sources.records import RECORD_COLUMNS
@@ -59,14 +59,12 @@ def record_text():
 
 def kafka_offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of partition 0 [0, 100) and partition 1 [50, 150)."""
-    rec = events_log(spark, sf_dir)
-    return records.read_offset_ranges(rec, OFFSET_RANGES).select(*record_text())
+    return events_segments(spark, sf_dir).read_ranges(OFFSET_RANGES).select(*record_text())
 
 
 def kafka_offset_range_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 with overlapping ranges: broadcast range join, one row per range."""
-    rec = events_log(spark, sf_dir)
-    return records.read_offset_ranges(rec, OVERLAPPING_RANGES).select(*record_text())
+    return events_segments(spark, sf_dir).read_ranges(OVERLAPPING_RANGES).select(*record_text())
 
 
 def kafka_offset_range_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,14 +75,25 @@ def kafka_offset_range_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("from_offset"),
         F.when(F.col("n_regionkey") % 2 == 0, F.lit((1 << 63) - 1))
          .otherwise(F.col("n_nationkey") + 5).alias("until_offset"))
-    return records.read_offset_ranges(events_log(spark, sf_dir), ranges).select(*record_text())
+    return events_segments(spark, sf_dir).read_ranges(ranges).select(*record_text())
+
+
+def kafka_offsets_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first offset of log partition ``n_nationkey % 5`` (4 does not
+    exist) not before ``n_nationkey`` days into 2024, from the segment index."""
+    times = table(spark, sf_dir, "nation").select(
+        F.lit(EVENTS_TOPIC).alias("topic"), (F.col("n_nationkey") % 5).alias("partition"),
+        F.expr("TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(cast(n_nationkey as int))").alias("time"))
+    found = events_segments(spark, sf_dir).offsets_for_times(times)
+    return found.select("topic", "partition", F.col("time").cast("string").alias("time"), "offset")
 
 
 def kafka_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log read as a stream -- everything available once, then stop."""
     path, schema = events_log_table(spark, sf_dir)
     # bounded micro-batches: progress is committed batch by batch
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1000").parquet(path)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1000")
+              .parquet(f"{path}/data"))
     sink = scratch_dir(spark, "sink")
     ingest.run_available_now(stream.select(*RECORD_COLUMNS), sink, scratch_dir(spark, "ckpt"))
     return spark.read.parquet(sink).select(*record_text())
@@ -269,7 +278,7 @@ def registry_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     reg = spark.createDataFrame(
         [(registry.value_subject(EVENTS_TOPIC), v, v, text) for v, text in EVENTS_VALUE_VERSIONS],
         "subject string, version int, id int, schema_json string")
-    rec = records.read_offset_ranges(events_log(spark, sf_dir), REGISTRY_RANGES)
+    rec = events_segments(spark, sf_dir).read_ranges(REGISTRY_RANGES)
     framed = rec.withColumn("value", decode.frame_value(F.col("value"), 1 + F.col("offset") % 3))
     latest = registry.latest_schema_text(reg, registry.value_subject(EVENTS_TOPIC))
     good, bad = decode.decode_or_reject(damaged(framed), reg, latest)
@@ -356,11 +365,10 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- aggregates ------------------------------------------------------------
 
 def end_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: next offset per log partition; a listed partition without records
-    reports 0, one that is not listed (2) stays."""
-    rec = events_log(spark, sf_dir)
+    """A1: next offset per log partition, from the segment index; a listed
+    partition without records reports 0, one that is not listed (2) stays."""
     listed = [(EVENTS_TOPIC, p) for p in LISTED_PARTITIONS]
-    return offsets.end_offsets(rec, EVENTS_TOPIC, listed)
+    return events_segments(spark, sf_dir).end_offsets(EVENTS_TOPIC, listed)
 
 
 def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -628,6 +636,7 @@ QUERIES: dict[str, Query] = {
     "kafka_offset_range": kafka_offset_range,
     "kafka_offset_range_overlap": kafka_offset_range_overlap,
     "kafka_offset_range_table": kafka_offset_range_table,
+    "kafka_offsets_by_time": kafka_offsets_by_time,
     "kafka_available_now": kafka_available_now,
     "records_with_schema": records_with_schema,
     "json_file_read": json_file_read,

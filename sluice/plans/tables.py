@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.session import scratch_dir
 from sluice.sources.records import RECORD_COLUMNS, records_from_table
+from sluice.sources.segments import SegmentedLog
 
 EVENTS_TOPIC = "events"
 LOG_PARTITIONS = 4
@@ -37,7 +38,11 @@ _LOGS_LOCK = threading.Lock()
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, schema = events_log_table(spark, sf_dir)
     # the schema is given, so the partition columns keep their types
-    return spark.read.schema(schema).parquet(path).select(*RECORD_COLUMNS)
+    return spark.read.schema(schema).parquet(f"{path}/data").select(*RECORD_COLUMNS)
+
+
+def events_segments(spark: SparkSession, sf_dir: str) -> SegmentedLog:
+    return SegmentedLog(spark, *events_log_table(spark, sf_dir))
 
 
 def _file_state(spark: SparkSession, path: str) -> tuple:
@@ -58,14 +63,10 @@ def events_log_key(spark: SparkSession, sf_dir: str) -> tuple:
 
 def events_log_table(spark: SparkSession, sf_dir: str):
     """``(path, schema)`` of :func:`events_records`, materialised once per
-    application and state of the input files as a table in the shared
+    application and state of the input files as a segmented log in the shared
     checkpoint folder -- the way a record log exists before anyone reads it
-    (see :func:`events_log`).
-
-    The table is partitioned by ``(topic, partition)`` and sorted by offset
-    inside each file, so offset-range predicates prune directories and skip
-    row groups by their min/max statistics.  Reading it also cuts the lineage
-    back to ``events``.
+    (see :func:`events_log` and :func:`events_segments`).  Reading it also cuts
+    the lineage back to ``events``.
     """
     key = events_log_key(spark, sf_dir)
     with _LOGS_LOCK:
@@ -75,8 +76,7 @@ def events_log_table(spark: SparkSession, sf_dir: str):
         if key not in _LOGS:
             path = scratch_dir(spark, "events-log")
             log = events_records(table(spark, sf_dir, "events"))
-            (log.sortWithinPartitions("topic", "partition", "offset")
-                .write.partitionBy("topic", "partition").parquet(path))
+            SegmentedLog(spark, path, log.schema).append(log)
             _LOGS[key] = (path, log.schema)
         return _LOGS[key]
 

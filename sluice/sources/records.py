@@ -47,6 +47,12 @@ RANGE_SCHEMA = T.StructType([
 # stretches of this many offsets, not on whole partitions.
 RANGE_BUCKET = 1 << 20
 
+# So many terms at most are pushed to a scan as one disjunction.
+MAX_TERMS = 256
+
+# Ranges of more stretches than this in all are clamped to the log first.
+MAX_STRETCHES = 1 << 16
+
 # Rows without an order key are dealt over this many buckets of a log partition.
 NULL_KEY_BUCKETS = 1 << 20
 
@@ -197,6 +203,40 @@ def _any_of(predicates: list[Column]) -> Column:
     return predicates[0]
 
 
+def _overlap(rows: Iterable[tuple[str, int, int, int]]) -> bool:
+    ordered = sorted(r for r in rows if r[2] < r[3])
+    return any(x[:2] == y[:2] and y[2] < x[3] for x, y in zip(ordered, ordered[1:]))
+
+
+def within(rows: Iterable[tuple[str, int, int, int]], low: str = "offset", high: str = "offset") -> Column:
+    """Whether ``[low, high]`` meets one of the ranges of its log partition."""
+    return _any_of([(F.col("topic") == t) & (F.col("partition") == p)
+                    & (F.col(high) >= a) & (F.col(low) < b) for t, p, a, b in rows])
+
+
+def checked(ranges: Iterable | DataFrame) -> list[tuple[str, int, int, int]] | DataFrame:
+    """``ranges`` normalised; raises for a bad one."""
+    return _checked_ranges(ranges) if isinstance(ranges, DataFrame) else _normalise_ranges(ranges)
+
+
+def clamped_ranges(ranges: DataFrame, bounds: DataFrame) -> DataFrame:
+    """``ranges`` cut to ``bounds(topic, partition, first_offset, end_offset)``;
+    those without an offset left are gone."""
+    return (ranges.join(bounds, ["topic", "partition"])
+            .select("topic", "partition", F.greatest("from_offset", "first_offset").alias("from_offset"),
+                    F.least("until_offset", "end_offset").alias("until_offset"))
+            .where("from_offset < until_offset"))
+
+
+def own_bounds(records: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``topic, partition, first_offset, end_offset`` of the log partitions that
+    ``ranges`` name, from the records themselves (combined map-side)."""
+    named = ranges.select("topic", "partition").distinct()
+    return (records.select("topic", "partition", "offset").join(named, ["topic", "partition"], "left_semi")
+            .groupBy("topic", "partition")
+            .agg(F.min("offset").alias("first_offset"), (F.max("offset") + 1).alias("end_offset")))
+
+
 def read_offset_ranges(records: DataFrame, ranges: Iterable | DataFrame,
                        bucket_width: int = RANGE_BUCKET) -> DataFrame:
     """Exactly the records in each ``(topic, partition, [from, until))``.
@@ -205,60 +245,52 @@ def read_offset_ranges(records: DataFrame, ranges: Iterable | DataFrame,
     ``RANGE_SCHEMA``.  As with one RDD partition per offset range, a record
     inside two overlapping ranges is returned once per range.
 
-    One plan for any number and width of ranges:
-
-    * the log's own smallest and largest offset of each partition (one
-      aggregate, combined map-side) clamp the ranges, so an open-ended range
-      costs no more than the records it can meet;
-    * one span per ``(topic, partition)`` -- lowest to highest clamped offset
-      -- goes to the scan, which prunes folders and skips row groups.  The
-      driver sees one row per log partition, never the ranges of a table;
-    * ranges are cut into stretches of ``bucket_width`` offsets and joined on
-      ``(topic, partition, stretch)`` with the bounds as residual, so a hot
-      partition is many keys.  Whether the ranges are broadcast is decided
-      from their measured size.
+    * Up to ``MAX_TERMS`` listed ranges that do not overlap are one pushed
+      filter: folders are pruned, row groups skipped, nothing is shuffled.
+    * Otherwise ranges are cut into stretches of ``bucket_width`` offsets and
+      joined on ``(topic, partition, stretch)`` with the bounds as residual, so a
+      hot partition is many keys; the optimizer broadcasts the ranges if they
+      measure small.  Up to ``MAX_TERMS`` spans (lowest to highest offset of a log
+      partition) are pushed to the scan; beyond that the join alone decides.
+    * Only ranges of more than ``MAX_STRETCHES`` stretches in all, open-ended ones
+      that is, are first clamped by the smallest and largest offset of the log
+      partitions they name.  A log with a segment index knows those without
+      reading records: :class:`sluice.sources.segments.SegmentedLog`.
     """
     spark, w = records.sparkSession, int(bucket_width)
-    if isinstance(ranges, DataFrame):
-        ranges = _checked_ranges(ranges)
-    else:
-        ranges = _normalise_ranges(ranges)
-    # one row per log partition
-    bounds = {(r["topic"], r["partition"]): (r["lo"], r["hi"] + 1) for r in
-              records.groupBy("topic", "partition")
-                     .agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()}
-    spans: dict[tuple[str, int], tuple[int, int]] = {}
-    if isinstance(ranges, DataFrame):
-        known = spark.createDataFrame([(*k, *v) for k, v in bounds.items()],
-                                      "topic string, partition int, _lo long, _end long")
-        clamped = (ranges.join(known, ["topic", "partition"])
-                         .select("topic", "partition",
-                                 F.greatest("from_offset", "_lo").alias("from_offset"),
-                                 F.least("until_offset", "_end").alias("until_offset"))
-                         .where("from_offset < until_offset"))
-        for r in (clamped.groupBy("topic", "partition")
-                         .agg(F.min("from_offset").alias("a"), F.max("until_offset").alias("b"))
-                         .collect()):
-            spans[(r["topic"], r["partition"])] = (r["a"], r["b"])
+    ranges = checked(ranges)
+    if isinstance(ranges, list):
+        rows = [r for r in ranges if r[2] < r[3]]
+        if not rows:
+            return records.limit(0)
+        if len(rows) <= MAX_TERMS and not _overlap(rows):
+            return records.where(within(rows))
+        wide = sum((b - 1) // w - a // w + 1 for _, _, a, b in rows) > MAX_STRETCHES
+        ranges = spark.createDataFrame(rows, RANGE_SCHEMA)
     else:
-        rows = []
-        for t, p, a, b in ranges:
-            low, end = bounds.get((t, p), (0, 0))
-            a, b = max(a, low), min(b, end)
-            if a < b:
-                rows.append((t, p, a, b))
-                first, last = spans.get((t, p), (a, b))
-                spans[(t, p)] = (min(a, first), max(b, last))
-        clamped = spark.createDataFrame(rows, RANGE_SCHEMA)
+        ranges = ranges.where("from_offset < until_offset")
+        stretches = F.expr(f"cast((until_offset - 1) div {w} - from_offset div {w} + 1 as decimal(38,0))")
+        wide = (ranges.agg(F.sum(stretches)).first()[0] or 0) > MAX_STRETCHES
+    if wide:
+        ranges = clamped_ranges(ranges, own_bounds(records, ranges))
+    return join_ranges(records, ranges, w)
+
+
+def join_ranges(records: DataFrame, ranges: DataFrame, bucket_width: int = RANGE_BUCKET) -> DataFrame:
+    """``records`` once for every one of ``ranges`` (none open-ended) that holds
+    their offset."""
+    w = int(bucket_width)
+    # a row per log partition, of at most so many
+    spans = (ranges.groupBy("topic", "partition")
+             .agg(F.min("from_offset").alias("a"), F.max("until_offset").alias("b"))
+             .limit(MAX_TERMS + 1).collect())
     if not spans:
         return records.limit(0)
-    scoped = records.where(_any_of([
-        (F.col("topic") == t) & (F.col("partition") == p)
-        & (F.col("offset") >= a) & (F.col("offset") < b)
-        for (t, p), (a, b) in sorted(spans.items())]))
-    cut = clamped.withColumn("_stretch", F.explode(F.sequence(
+    if len(spans) <= MAX_TERMS:
+        records = records.where(within(sorted(map(tuple, spans))))
+    cut = ranges.withColumn("_stretch", F.explode(F.sequence(
         F.expr(f"from_offset div {w}"), F.expr(f"(until_offset - 1) div {w}")))).alias("r")
-    k = scoped.withColumn("_stretch", F.expr(f"offset div {w}")).alias("k")
+    k = records.withColumn("_stretch", F.expr(f"offset div {w}")).alias("k")
     cond = ((F.col("k.topic") == F.col("r.topic"))
             & (F.col("k.partition") == F.col("r.partition"))
             & (F.col("k._stretch") == F.col("r._stretch"))
