@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.registry import avro_to_spark
+from sluice.operators.resolution import SchemaResolutionError, nullable, resolve
 from sluice.session import scratch_dir
 
 META_COLUMNS = ("topic", "partition", "offset")
@@ -86,6 +87,7 @@ SHORT_HEADER = "short header"
 MAGIC_BYTE = "magic byte"
 UNKNOWN_ID = "unknown schema id"
 UNPARSABLE = "unparsable payload"
+UNRESOLVED = "unresolvable schema"
 
 
 def reject_reason(split: DataFrame, registry: DataFrame, value_col: str = "value") -> DataFrame:
@@ -121,19 +123,91 @@ def decode_or_reject(records: DataFrame, registry: DataFrame, schema: T.StructTy
     return good, bad
 
 
+def json_value(payload: Column, writer_schema: str) -> tuple[Column, Column]:
+    """A JSON payload as a value of the writer's Spark type, and whether it is
+    a JSON object at all."""
+    text = payload.cast("string")
+    return F.from_json(text, avro_to_spark(writer_schema), PERMISSIVE), F.json_object_keys(text).isNotNull()
+
+
+def avro_value(payload: Column, writer_schema: str) -> tuple[Column, Column]:
+    """The same for an Avro payload (spark-avro module); a malformed one is null."""
+    from pyspark.sql.avro.functions import from_avro
+    value = from_avro(payload, writer_schema, PERMISSIVE)
+    return value, value.isNotNull()
+
+
 def decode_by_schema_id(records: DataFrame, registry: DataFrame, reader_schema: str,
                         keep: Sequence[str] = META_COLUMNS,
-                        decode: Callable[..., DataFrame] = decode_avro
+                        decode: Callable[..., DataFrame] | None = None, subject: str | None = None,
+                        value_of: Callable[[Column, str], tuple[Column, Column]] = json_value
                         ) -> tuple[DataFrame, DataFrame]:
     """Topics written with several schema versions -> ``(good, bad)``.
 
-    The split records are written once, partitioned by schema id, to the
-    shared folder; each writer schema (``registry`` rows ``id, schema_json``
-    that occur, a handful) decodes its own partition.  ``bad`` holds every
-    record without a good header or known id, with its ``reason``; a payload
-    that ``decode`` cannot read becomes a record of nulls there (PERMISSIVE).
-    ``decode(records, writer_schema, reader_schema, value_col, keep)``.
+    Every writer schema is compiled with the reader's to one expression
+    (:func:`sluice.operators.resolution.resolve`: defaults, aliases, promotion),
+    and a record's schema id picks it: one pass over the records, nothing is
+    shuffled or written.  ``registry`` has rows ``subject, id, schema_json``;
+    with ``subject`` its versions are the writers, else the ids that occur are
+    looked up first (an aggregate over the records' headers).  Ids that share a
+    schema text share an expression.
+
+    ``good``: ``keep`` and the reader's fields; ``bad``: ``keep``,
+    ``schema_id``, the raw value and why: the reasons of :func:`reject_reason`,
+    a payload that ``value_of`` cannot read, or a writer whose schema cannot be
+    resolved (no default for a field it lacks, say).
+
+    A ``decode(records, writer_schema, reader_schema, value_col, keep)`` of frames
+    takes the place of all this: see :func:`_decode_parts`.
     """
+    if decode is not None:
+        return _decode_parts(records, registry, reader_schema, keep, decode)
+    split = wire_split(records)
+    if subject is None:
+        writers = writer_schemas(split, registry)
+    else:
+        # one row per version of the subject
+        writers = {r["id"]: r["schema_json"] for r in
+                   registry.where(F.col("subject") == subject).select("id", "schema_json").collect()}
+    ids: dict[str, list[int]] = {}
+    for sid, text in sorted(writers.items()):
+        ids.setdefault(text, []).append(sid)
+    fields = avro_to_spark(reader_schema)
+    # first the writers' values, so that each payload is parsed once
+    parsed, made, unresolved = [], [], []
+    for i, (text, own) in enumerate(ids.items()):
+        mine = F.col("schema_id").isin(own)
+        try:
+            made.append((own, resolve(F.col(f"_value{i}"), text, reader_schema), i))
+        except SchemaResolutionError:
+            unresolved += own
+            continue
+        value, readable = value_of(F.when(mine, F.col("payload")), text)
+        parsed += [value.alias(f"_value{i}"), readable.alias(f"_readable{i}")]
+    staged = split.select("*", *parsed)
+    v = F.col("value")
+    reason = (F.when(v.isNull(), NULL_VALUE).when(F.length(v) < 5, SHORT_HEADER)
+               .when(F.col("magic") != 0, MAGIC_BYTE)
+               .when(~F.col("schema_id").isin(list(writers)), UNKNOWN_ID)
+               .when(F.col("schema_id").isin(unresolved), UNRESOLVED))
+    record = F.lit(None).cast(nullable(fields))
+    for own, value, i in made:
+        mine = F.col("schema_id").isin(own)
+        reason = reason.when(mine & ~F.coalesce(f"_readable{i}", F.lit(False)), UNPARSABLE)
+        record = F.when(mine, value).otherwise(record)
+    # a generator keeps the optimizer from copying the parsing into filter and fields
+    judged = staged.select(*keep, "schema_id", "value", F.inline(F.array(F.struct(
+        reason.alias("reason"), record.alias("_record")))))
+    good = judged.where("reason IS NULL").select(
+        *keep, *[F.col("_record").getField(f.name).alias(f.name) for f in fields])
+    return good, judged.where("reason IS NOT NULL").select(*keep, "schema_id", "value", "reason")
+
+
+def _decode_parts(records: DataFrame, registry: DataFrame, reader_schema: str, keep: Sequence[str],
+                  decode: Callable[..., DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The split records are written once, partitioned by schema id, to the
+    shared folder; each writer schema that occurs decodes its own partition.  A
+    payload that ``decode`` cannot read becomes a record of nulls (PERMISSIVE)."""
     spark = records.sparkSession
     path = scratch_dir(spark, "by-schema")
     flagged = reject_reason(wire_split(records), registry)

@@ -135,6 +135,25 @@ SELECT topic, "partition", "offset", 3 AS latest_version, reason, CAST(NULL AS V
        CASE WHEN reason IS NULL THEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k
 FROM own""",
 
+    "registry_resolve": f"""
+WITH {_REC},
+e AS (SELECT rec.*, events.value AS amount, event_id % 4 AS v,
+             CASE "offset" % 11 WHEN 3 THEN 'null value' WHEN 5 THEN 'short header'
+                  WHEN 7 THEN 'magic byte' WHEN 9 THEN 'unknown schema id' ELSE
+             CASE WHEN event_id % 4 = 2 THEN 'unresolvable schema'
+                  WHEN "offset" % 11 = 10 THEN 'unparsable payload' END END AS reason
+      FROM rec JOIN events USING (event_id))
+SELECT topic, "partition", "offset", CASE WHEN reason IS NULL THEN event_id END AS id,
+       CASE WHEN reason IS NULL THEN CASE v WHEN 0 THEN e.event_type WHEN 1 THEN nullif(e.event_type, 'error')
+            ELSE 'own' END END AS event_type,
+       CASE WHEN reason IS NULL THEN CASE v WHEN 1 THEN floor(amount) / 2 ELSE floor(amount) END END AS score,
+       CASE WHEN reason IS NULL THEN CASE v WHEN 0 THEN -1 ELSE e.user_id END END AS x,
+       CASE WHEN reason IS NULL THEN CAST(CASE v WHEN 0 THEN 0 WHEN 1 THEN 7 ELSE e.user_id % 3 END AS INTEGER) END AS y,
+       CASE WHEN reason IS NULL THEN CASE v WHEN 0 THEN '1,2'
+            WHEN 1 THEN e.user_id || ',' || (event_id % 10) ELSE CAST(event_id AS VARCHAR) END END AS steps,
+       CASE WHEN reason IS NULL THEN CASE v WHEN 3 THEN 'HIGH' ELSE 'LOW' END END AS level, reason
+FROM e""",
+
     "decode_fixed": f"""
 WITH {_REC}
 SELECT "partition", "offset", "key" AS field1,

@@ -288,6 +288,65 @@ def registry_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
         "topic", "partition", "offset", "schema_id", "latest_version", "k", "note", "reason")
 
 
+# Four registry versions of one subject.  The reader renames two
+# fields (aliases), widens numbers, adds fields with defaults and nests them.
+VIEW_SUBJECT = "views-value"
+VIEW_VERSIONS = [
+    (1, """{"type": "record", "name": "View", "namespace": "com.example", "fields": [
+      {"name": "id", "type": "int"}, {"name": "kind", "type": "string"},
+      {"name": "score", "type": "int"}]}"""),
+    (2, """{"type": "record", "name": "View", "namespace": "com.example", "fields": [
+      {"name": "id", "type": "long"}, {"name": "kind", "type": ["null", "string"]},
+      {"name": "score", "type": ["null", "float"]},
+      {"name": "place", "type": {"type": "record", "name": "Place", "fields": [
+        {"name": "x", "type": "int"}]}},
+      {"name": "steps", "type": {"type": "array", "items": "int"}}]}"""),
+    (3, """{"type": "record", "name": "View", "namespace": "com.example", "fields": [
+      {"name": "label", "type": "string"}]}"""),
+    (4, """{"type": "record", "name": "Event", "namespace": "com.example", "aliases": ["View"], "fields": [
+      {"name": "key", "type": "long", "aliases": ["id"]},
+      {"name": "event_type", "type": ["null", "string"], "aliases": ["kind"], "default": null},
+      {"name": "score", "type": ["null", "double"], "default": null},
+      {"name": "place", "type": {"type": "record", "name": "Place", "fields": [
+        {"name": "x", "type": "long"}, {"name": "y", "type": "int", "default": 7}]},
+        "default": {"x": -1, "y": 0}},
+      {"name": "steps", "type": {"type": "array", "items": "long"}, "default": [1, 2]},
+      {"name": "level", "type": {"type": "enum", "name": "Level", "symbols": ["LOW", "HIGH"]},
+        "default": "LOW"}]}"""),
+]
+
+
+def registry_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 + D7: a topic written under four schema versions, read under the
+    latest by Avro's resolution rules.  Version 3 has no ``id`` and cannot be
+    read; some values are damaged (see :func:`damaged`)."""
+    reg = spark.createDataFrame([(VIEW_SUBJECT, v, v, text) for v, text in VIEW_VERSIONS],
+                                "subject string, version int, id int, schema_json string")
+    rec = events_records(table(spark, sf_dir, "events").withColumn("_doc", F.when(
+        F.col("event_id") % 4 == 0, F.to_json(F.struct(
+            F.col("event_id").alias("id"), F.col("event_type").alias("kind"),
+            F.floor("value").alias("score"))))
+        .when(F.col("event_id") % 4 == 1, F.to_json(F.struct(
+            F.col("event_id").alias("id"), F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"),
+            (F.floor("value") / 2).alias("score"), F.struct(F.col("user_id").alias("x")).alias("place"),
+            F.array(F.col("user_id"), F.col("event_id") % 10).alias("steps"))))
+        .when(F.col("event_id") % 4 == 2, F.to_json(F.struct(F.col("event_type").alias("label"))))
+        .otherwise(F.to_json(F.struct(
+            F.col("event_id").alias("key"), F.lit("own").alias("event_type"), F.floor("value").alias("score"),
+            F.struct(F.col("user_id").alias("x"), (F.col("user_id") % 3).alias("y")).alias("place"),
+            F.array(F.col("event_id")).alias("steps"), F.lit("HIGH").alias("level"))))),
+        value=F.col("_doc"))
+    own = F.col("key").cast("string").cast("long")
+    framed = rec.withColumn("value", decode.frame_value(F.col("value"), 1 + own % 4))
+    latest = registry.latest_schema_text(reg, VIEW_SUBJECT)
+    good, bad = decode.decode_by_schema_id(damaged(framed), reg, latest, subject=VIEW_SUBJECT)
+    flat = good.select("topic", "partition", "offset", F.col("key").alias("id"), "event_type", "score",
+                       F.col("place.x").alias("x"), F.col("place.y").alias("y"),
+                       F.array_join(F.col("steps").cast("array<string>"), ",").alias("steps"), "level",
+                       F.lit(None).cast("string").alias("reason"))
+    return flat.unionByName(bad.select("topic", "partition", "offset", "reason"), allowMissingColumns=True)
+
+
 def decode_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two named fields, the first as text, the second try-cast to int;
     some values are no JSON or hold text in the second field, by rule."""
@@ -655,6 +714,7 @@ QUERIES: dict[str, Query] = {
     "decode_dynamic": decode_dynamic,
     "schema_round_trip": schema_round_trip,
     "registry_decode": registry_decode,
+    "registry_resolve": registry_resolve,
     "decode_fixed": decode_fixed,
     "key_to_string": key_to_string,
     "wire_split": wire_split,
