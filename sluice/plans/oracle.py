@@ -218,6 +218,11 @@ FROM events GROUP BY event_type""",
 SELECT event_type, CAST(round(sqrt(sum(value * value)) * 10000) AS BIGINT) AS rss_e4
 FROM events GROUP BY event_type""",
 
+    "user_agg_quantiles": """
+SELECT event_type, CAST(unnest([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]) AS DOUBLE) AS share,
+       count(value) AS n, true AS within_bound, true AS bound_is_small
+FROM events GROUP BY event_type""",
+
     "split_tokens": """
 SELECT doc_id,
        CASE WHEN strpos(text, '|') = 0 THEN text
@@ -268,6 +273,21 @@ FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              generate_subscripts(string_split(text, chr(10)), 1) AS n FROM documents)
 WHERE line <> ''""",
 
+    "udtf_pieces": """
+SELECT p_partkey, CAST(n - 1 AS INTEGER) AS "at", piece, CAST(length(piece) AS INTEGER) AS letters
+FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS piece,
+             generate_subscripts(string_split(p_name, ' '), 1) AS n FROM part)""",
+
+    "udtf_sessions": """
+WITH e AS (SELECT user_id, ts, event_id, CAST(round(value * 100) AS BIGINT) AS cents,
+                  CASE WHEN ts - lag(ts) OVER u <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh
+           FROM events WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                 ROWS UNBOUNDED PRECEDING) AS k FROM e)
+SELECT user_id, CAST(min(ts) AS VARCHAR) AS begun, CAST(max(ts) AS VARCHAR) AS ended, count(*) AS n,
+       CAST(sum(cents) AS BIGINT) AS cents
+FROM s GROUP BY user_id, k""",
+
     "cluster_quality": """
 SELECT unnest(['fitted', 'mirrored']) AS dataset, count(*) AS n_rows, CAST(4 AS BIGINT) AS n_clusters,
        true AS cost_agrees, true AS silhouette_agrees

@@ -16,6 +16,8 @@ from pyspark.ml.stat import Summarizer
 from sluice.functions import text as txt
 from sluice.functions.aggregates import (aggregate_by, register_series_aggregate,
                                           root_sum_squares)
+from sluice.functions.buffers import aggregate_buffers, quantile_summary
+from sluice.functions.tables import joined_sessions, register_table_functions
 from sluice.functions.udfs import (call, count_ascii_upper, explode_column, explode_rows,
                                    explode_rows_by,
                                    leading_digit, register_udf)
@@ -45,6 +47,10 @@ SPECIAL_CHARS = ",|#|#|*|\\|$"
 SQL_CONDITION = "value > 40.0 AND event_type IN ('click', 'view')"
 NEVER_TRUE = "value < 0"
 RSD = 0.05
+ROWS_A_GROUP = 1_000_000
+QUANTILES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
+QUANTILE_ERROR = 0.02
+SESSION_GAP = 6 * 3600
 CLUSTERS = 4
 
 
@@ -471,17 +477,44 @@ def user_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_agg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 called by name in SQL.  A series aggregate has no partials, so the
-    rows of a key are aggregated in salted groups first; this aggregate of its
-    own results is the aggregate of all."""
+    rows of a key are aggregated in salted groups first, of about
+    ``ROWS_A_GROUP`` rows by a count per key; this aggregate of its own results
+    is the aggregate of all."""
     register_series_aggregate(spark, "sluice_rss", lambda x: float((x * x).sum() ** 0.5))
     name = catalog.temp_view(table(spark, sf_dir, "events"), "sluice_events_v")
     return spark.sql(f"""
+        WITH sizes AS (SELECT event_type, ceil(count(value) / {ROWS_A_GROUP}) AS salts
+                       FROM {name} GROUP BY event_type)
         SELECT event_type, CAST(round(sluice_rss(part) * 10000) AS BIGINT) AS rss_e4
-        FROM (SELECT event_type, sluice_rss(value) AS part FROM {name} WHERE value IS NOT NULL
-              GROUP BY event_type, pmod(xxhash64(event_id), 256))
+        FROM (SELECT e.event_type, sluice_rss(value) AS part
+              FROM {name} e JOIN sizes s ON e.event_type <=> s.event_type WHERE value IS NOT NULL
+              GROUP BY e.event_type, pmod(xxhash64(event_id, ts, user_id, value), salts))
         GROUP BY event_type""")
 
 
+def user_agg_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 with an opaque buffer: quantiles of ``value`` per event type from a
+    mergeable summary.  Its error is checked against exact ranks of the answers."""
+    ev = table(spark, sf_dir, "events").select("event_type", "value")
+    found = aggregate_buffers(ev, ["event_type"], quantile_summary("value", QUANTILES))
+    path = scratch_dir(spark, "quantiles")
+    found.write.parquet(path)
+    found = spark.read.schema(found.schema).parquet(path)
+    asked = found.select("event_type", "quantiles.n", "quantiles.error", F.posexplode("quantiles.at").alias("i", "at"))
+    share = F.get(F.array(*[F.lit(p) for p in QUANTILES]), F.col("i"))
+    asked = asked.withColumn("share", share)
+    # one partial row per answer and task
+    ranks = (ev.join(F.broadcast(asked), "event_type")  # a row per type and quantile
+             .groupBy("event_type", "share", "n", "error")
+             .agg(F.sum((F.col("value") < F.col("at")).cast("long")).alias("below"),
+                  F.sum((F.col("value") <= F.col("at")).cast("long")).alias("upto")))
+    rank = F.greatest(F.lit(1), F.ceil(F.col("share") * F.col("n")))
+    return ranks.select(
+        "event_type", "share", "n",
+        ((F.col("upto") >= rank - F.col("error")) & (F.col("below") + 1 <= rank + F.col("error"))).alias("within_bound"),
+        (F.col("error") <= F.lit(QUANTILE_ERROR) * F.col("n")).alias("bound_is_small"))
+
+
 # -- scalar functions --------------------------------------------------------
 
 def split_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -573,6 +606,29 @@ def explode_rows_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode_rows_by(docs, ["doc_id"], F.filter(lines, lambda r: r["line"] != ""))
 
 
+def udtf_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4 as a table function in a lateral join; ``with_length`` adds a column."""
+    register_table_functions(spark)
+    name = catalog.temp_view(table(spark, sf_dir, "part"), "sluice_part_v")
+    return spark.sql(f"""SELECT p_partkey, w.* FROM {name},
+                         LATERAL sluice_pieces(p_name, ' ', with_length => true) w""")
+
+
+def udtf_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4 over a partitioned table: sessions of each user, found per user and
+    day by a table function with state and put together over midnights."""
+    register_table_functions(spark)
+    rows = table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("key"), F.col("ts").alias("time"),
+        F.round(F.col("value") * 100).cast("long").alias("amount"))
+    name = catalog.temp_view(rows, "sluice_sessions_v")
+    found = spark.sql(f"""SELECT * FROM sluice_sessions(TABLE(SELECT * FROM {name})
+        PARTITION BY (key, to_date(time)) ORDER BY time, gap_seconds => {SESSION_GAP})""")
+    return joined_sessions(found, SESSION_GAP).select(
+        F.col("key").alias("user_id"), F.col("begun").cast("string").alias("begun"),
+        F.col("ended").cast("string").alias("ended"), "n", F.col("amount").alias("cents"))
+
+
 # -- features ----------------------------------------------------------------
 
 def feature_select(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -729,6 +785,7 @@ QUERIES: dict[str, Query] = {
     "builtin_aggs": builtin_aggs,
     "user_agg": user_agg,
     "user_agg_sql": user_agg_sql,
+    "user_agg_quantiles": user_agg_quantiles,
     "split_tokens": split_tokens,
     "replace_chars": replace_chars,
     "bit_ops": bit_ops,
@@ -739,6 +796,8 @@ QUERIES: dict[str, Query] = {
     "explode_col": explode_col,
     "explode_rows": explode_rows_q,
     "explode_rows_dynamic": explode_rows_dynamic,
+    "udtf_pieces": udtf_pieces,
+    "udtf_sessions": udtf_sessions,
     "feature_select": feature_select,
     "cluster_quality": cluster_quality,
     "label_index": label_index,

@@ -1,0 +1,159 @@
+"""A5 with opaque buffers and U4 table functions."""
+
+import datetime as dt
+import math
+import random
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sluice.functions import buffers as B
+from sluice.functions import tables as U
+
+SHARES = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+
+
+def _check(values, found, shares=SHARES):
+    values = np.sort(np.array(values))
+    assert found["n"] == len(values)
+    for p, x in zip(shares, found["at"]):
+        asked = max(1, math.ceil(p * len(values)))
+        below, upto = np.searchsorted(values, x, "left"), np.searchsorted(values, x, "right")
+        assert upto >= asked - found["error"] and below + 1 <= asked + found["error"], (p, x)
+
+
+@pytest.mark.parametrize("size", [2, 7, 64])
+def test_summary_keeps_its_bound_however_it_is_merged(size):
+    rng = random.Random(size)
+    for trial in range(30):
+        values = [rng.choice([rng.random(), 0.5, rng.randrange(5)]) for _ in range(rng.randrange(1, 3000))]
+        agg = B.quantile_summary("v", SHARES, size)
+        parts, left = [], list(values)
+        while left:
+            n = rng.randrange(1, 400)
+            parts.append(agg.reduce(pd.DataFrame({"v": left[:n]})))
+            left = left[n:]
+        while len(parts) > 1:  # a random tree
+            rng.shuffle(parts)
+            k = rng.randrange(2, 5)
+            parts = [agg.merge(parts[:k])] + parts[k:]
+        found = agg.finish(parts[0])
+        _check(values, found)
+        own = B.QuantileSummary.unpack(parts[0])
+        assert all(len(v) <= size for v in own.levels)
+        assert sum(len(v) << h for h, v in enumerate(own.levels)) == len(values)
+        assert found["error"] <= len(values) / size * (math.log2(max(2, len(values) / size)) + 2)
+
+
+def _rows(n=20_000):
+    rng = random.Random(1)
+    # one key holds most rows
+    return [("hot" if i % 10 else rng.choice(["a", None, "c"]), None if i % 97 == 0 else rng.gauss(0, 1)) for i in range(n)]
+
+
+@pytest.mark.parametrize("fan_in, held, parts", [(2, 1, 13), (3, 4096, 13), (64, 4096, 4), (64, 4096, 1)])
+def test_quantiles_of_keys_with_a_hot_one(spark, fan_in, held, parts):
+    rows = _rows()
+    df = spark.createDataFrame(rows, "k string, v double").repartition(parts)
+    out = B.aggregate_buffers(df, ["k"], B.quantile_summary("v", SHARES, 128), fan_in, held)
+    assert out.columns == ["k", "quantiles"]
+    got = {r["k"]: r["quantiles"] for r in out.collect()}
+    assert set(got) == {k for k, _ in rows}
+    for k in got:
+        _check([v for kk, v in rows if kk == k and v is not None], got[k])
+        assert got[k]["error"] < 0.1 * got[k]["n"]
+
+
+def test_merge_sees_no_more_than_fan_in_buffers(spark):
+    """A merge that is no sum or extreme: the set of what was merged, with the
+    largest number of buffers any call was given."""
+    import json
+
+    def merge(buffers):
+        own = [json.loads(b) for b in buffers]
+        return json.dumps({"v": sorted(x for o in own for x in o["v"]),
+                           "most": max([len(own), *[o["most"] for o in own]])}).encode()
+    agg = B.BufferAggregate("seen", ["v"], lambda rows: json.dumps({"v": rows["v"].tolist(), "most": 0}).encode(),
+                            merge, lambda b: b.decode(), T.StringType())
+    df = spark.range(600).selectExpr("id % 2 as k", "id as v").repartition(30)
+    got = {r["k"]: json.loads(r["seen"]) for r in B.aggregate_buffers(df, ["k"], agg, fan_in=4).collect()}
+    assert {k: o["v"] for k, o in got.items()} == {k: list(range(k, 600, 2)) for k in (0, 1)}
+    assert all(1 < o["most"] <= 4 for o in got.values())
+
+
+def test_no_rows_no_keys_and_two_keys(spark):
+    agg = B.quantile_summary("v", [0.5])
+    df = spark.createDataFrame([(1, None, None), (1, dt.date(2024, 1, 1), 2.0), (None, None, 3.0)],
+                               "k0 long, part date, v double")
+    assert B.aggregate_buffers(df.limit(0), ["k0"], agg).count() == 0
+    got = {(r["k0"], r["part"]): tuple(r["quantiles"]) for r in B.aggregate_buffers(df, ["k0", "part"], agg).collect()}
+    assert got == {(1, None): (0, 0, [None]), (1, dt.date(2024, 1, 1)): (1, 0, [2.0]), (None, None): (1, 0, [3.0])}
+    assert B.aggregate_buffers(df, [], agg).first()["quantiles"]["n"] == 2
+
+
+# -- table functions -----------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def functions(spark):
+    U.register_table_functions(spark)
+
+
+def test_pieces_in_a_lateral_join(spark, functions):
+    rows = [(1, "a|b|"), (2, ""), (3, None), (4, "é|" * 3), (5, "none")]
+    spark.createDataFrame(rows, "id long, text string").createOrReplaceTempView("pieces_in")
+    expected = sorted((i, n, p) for i, t in rows if t is not None for n, p in enumerate(t.split("|")))
+    plain = spark.sql("SELECT id, p.* FROM pieces_in, LATERAL sluice_pieces(text, '|') p")
+    assert plain.columns == ["id", "at", "piece"]
+    assert sorted(map(tuple, plain.collect())) == expected
+    longer = spark.sql("SELECT id, p.* FROM pieces_in, LATERAL sluice_pieces(text, '|', with_length => true) p")
+    assert longer.columns == ["id", "at", "piece", "letters"]
+    assert sorted(map(tuple, longer.collect())) == [(*r, len(r[2])) for r in expected]
+
+
+@pytest.mark.parametrize("call", ["sluice_pieces(1, '|')", "sluice_pieces(text, text)", "sluice_pieces(text, '')"])
+def test_bad_arguments_are_refused_when_planned(spark, functions, call):
+    spark.createDataFrame([("a",)], "text string").createOrReplaceTempView("pieces_bad")
+    with pytest.raises(Exception, match="text|separator"):
+        spark.sql(f"SELECT * FROM pieces_bad, LATERAL {call}").schema
+
+
+def plain_sessions(rows, gap):
+    out, by = [], {}
+    for k, t, a in rows:
+        if t is not None:
+            by.setdefault(k, []).append((t, a or 0))
+    for k, own in by.items():
+        own.sort()
+        run = []
+        for t, a in own:
+            if run and t - run[-1][0] > dt.timedelta(seconds=gap):
+                out.append((k, run[0][0], run[-1][0], len(run), sum(x[1] for x in run)))
+                run = []
+            run.append((t, a))
+        out.append((k, run[0][0], run[-1][0], len(run), sum(x[1] for x in run)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("batch", ["7", "10000"])
+@pytest.mark.parametrize("by", ["key", "key, to_date(time)"])
+def test_sessions_agree_with_a_plain_version(spark, functions, batch, by):
+    rng = random.Random(2)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(None if i % 50 == 0 else 1 if i % 3 else i % 7, None if i % 41 == 0 else
+             t0 + dt.timedelta(minutes=rng.randrange(20_000)), None if i % 13 == 0 else i) for i in range(1500)]
+    spark.createDataFrame(rows, "key long, time timestamp_ntz, amount long").createOrReplaceTempView("sessions_in")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        made = spark.sql(f"""SELECT * FROM sluice_sessions(
+            TABLE(SELECT key, time, amount FROM sessions_in) PARTITION BY ({by}) ORDER BY time, gap_seconds => 1200)""")
+        joined = U.joined_sessions(made, 1200)
+        got = sorted((tuple(r[c] for c in ("key", "begun", "ended", "n", "amount")) for r in joined.collect()), key=repr)
+        if by == "key":
+            assert sorted(map(tuple, made.collect()), key=repr) == got
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == plain_sessions(rows, 1200)
