@@ -18,12 +18,17 @@ document; ``drawn`` carries it out: the drawn words, gathered by shard and
 shuffled inside it by a seeded ``place``.
 
 Positions are two-level prefix sums, over buckets of the permuted order and
-inside each, so a source that holds a third of all rows is not one task.
+inside each, so a source that holds a third of all rows is not one task.  A
+document's blocks find their shards by a join on (source, stretch of blocks), so
+no row grows with the number of shards.
 
 Cases: a null or empty text has 0 words and is never drawn; a null source is a
-source; a null id is ordered as an empty one; repeated rows each count; no
-rows, no result; all sizes 0, all targets 0.  The source table (a row per
-source) is what must fit one task.
+source; a null id is ordered as an empty one; rows of one id lie together in the
+permuted order, identical ones in any; repeated rows each count; a very long text
+is cut into as many draws as it has blocks, one text (with its words) per task
+slot; other columns are never read, whatever their names; no rows, no result; all
+sizes 0, all targets 0.  The source table (a row per source) is what must fit one
+task.
 """
 
 from __future__ import annotations
@@ -39,6 +44,8 @@ SHARE = 1.5
 MAX_PASSES = 2
 BLOCK_WORDS = 4096
 SHARD_BLOCKS = 4096      # an output shard holds about so many blocks
+MIN_DEPTH = 3            # and there are at least 2^3 of them
+SPREAD_LEVELS = 8        # of the tree between two shuffles of its nodes
 BUCKET_ROWS = 16_384     # documents of one bucket of the permuted order
 SEED = "mix"
 SHUFFLE_ROUNDS = 32      # of the permutation of blocks
@@ -110,46 +117,54 @@ def split(nodes: DataFrame) -> DataFrame:
         t -> named_struct('rest', t, 'draws', t div 2, 'part', cast(array() as array<bigint>)))[0],
       (a, i) -> transform(array({draw}), x -> named_struct('rest', a.rest - quotas[i],
         'draws', a.draws - x, 'part', concat(a.part, array(x))))[0], a -> a.part)"""
-    halves = nodes.select("node", "quotas", F.expr(f"""explode(transform(array({left}), l -> array(
-        named_struct('node', node * 2, 'quotas', l),
-        named_struct('node', node * 2 + 1, 'quotas', zip_with(quotas, l, (q, x) -> q - x))))[0])""")
+    # the left child's blocks of a source come first
+    begins = "starts" in nodes.columns
+    own, other = (", 'starts', starts", ", 'starts', zip_with(starts, l, (s, x) -> s + x)") if begins else ("", "")
+    halves = nodes.select(F.expr(f"""explode(transform(array({left}), l -> array(
+        named_struct('node', node * 2, 'quotas', l{own}),
+        named_struct('node', node * 2 + 1, 'quotas', zip_with(quotas, l, (q, x) -> q - x){other})))[0])""")
                           .alias("half"))
     return halves.select("half.*")
 
 
-def deal(sources: DataFrame, depth: int, block_words: int) -> DataFrame:
-    """``sources`` with ``blocks`` and ``bounds``: shard s takes the permuted
-    blocks from ``bounds[s]`` to ``bounds[s + 1]``."""
-    sources = sources.withColumn(
-        "blocks", F.expr(f"(quota + {block_words - 1}) div {block_words}"))
+def deal(sources: DataFrame, depth: int) -> DataFrame:
+    """``rank, stretch, shard, low, high``: shard s takes the permuted blocks of
+    source ``rank`` from ``low`` to ``high``.  A row per stretch of ``width`` blocks
+    that the range meets; ``width`` is the mean of a source's ranges, so a stretch
+    meets few."""
     nodes = sources.agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "blocks"))),
                                     lambda s: s["blocks"]).alias("quotas"))
-    nodes = nodes.select(F.lit(1).cast("long").alias("node"), "quotas")
-    for _ in range(depth):
+    nodes = nodes.select(F.lit(1).cast("long").alias("node"), "quotas",
+                         F.expr("transform(quotas, q -> 0L)").alias("starts")).where(F.size("quotas") > 0)
+    for level in range(depth):
         nodes = split(nodes)
-    shares = nodes.select("node", F.posexplode("quotas").alias("at", "share"))
-    shares = shares.groupBy((F.col("at") + 1).alias("rank")).agg(
-        F.array_sort(F.collect_list(F.struct("node", "share"))).alias("shares"))
-    bounds = F.aggregate("shares", F.array(F.lit(0).cast("long")),
-                         lambda a, s: F.concat(a, F.array(F.element_at(a, -1) + s["share"])))
-    return sources.join(shares.select("rank", bounds.alias("bounds")), "rank")
+        if level % SPREAD_LEVELS == SPREAD_LEVELS - 1:
+            nodes = nodes.repartition("node")
+    ranges = nodes.select((F.col("node") - (1 << depth)).alias("shard"),
+                          F.posexplode(F.arrays_zip("quotas", "starts")).alias("at", "own"))
+    ranges = ranges.select((F.col("at") + 1).cast("int").alias("rank"), "shard", F.col("own.starts").alias("low"),
+                           (F.col("own.starts") + F.col("own.quotas")).alias("high")).where("low < high")
+    return ranges.join(sources.select("rank", "width"), "rank").select(
+        "rank", F.explode(F.expr("sequence(low div width, (high - 1) div width)")).alias("stretch"),
+        "shard", "low", "high")
 
 
 def mix(spark: SparkSession, docs: DataFrame, block_words: int = BLOCK_WORDS,
         shard_blocks: int = SHARD_BLOCKS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """One row per row of ``docs(doc_id, text, source)``: ``doc_id, source,
-    size, th`` (hash of the text) ``, source_size, target, taken`` and ``draws``, an array of ``shard,
-    place`` (order inside the shard), ``first, last`` (its words, the last not
-    included) and ``pass``."""
+    size, th`` (hash of the text) ``, source_size, target, taken`` and ``draws``, an array of ``pass,
+    first, last`` (its words, the last not included) ``, shard, place`` (order
+    inside the shard)."""
+    w = block_words
     rows = staged(spark, sized(docs), "mix-sizes")
     n = rows.count()
     digits = max(0, math.ceil(math.log(max(1, n) / bucket_rows, 16)))
-    sources = staged(spark, targets(rows), "mix-targets")
-    blocks = sources.agg(F.sum(F.expr(f"(quota + {block_words - 1}) div {block_words}"))).first()[0]
-    depth = max(0, math.ceil(math.log2(max(1, (blocks or 0) / shard_blocks))))
-    keys = F.expr(f"""transform(sequence(0, {SHUFFLE_ROUNDS - 1}), r -> named_struct(
-      'r', r, 'key', pmod(xxhash64('{SEED}', 'key', rank, r), greatest(blocks, 1L))))""")
-    sources = staged(spark, deal(sources, depth, block_words).withColumn("keys", keys), "mix-deal")
+    sources = targets(rows).withColumn("blocks", F.expr(f"(quota + {w - 1}) div {w}"))
+    sources = staged(spark, sources, "mix-targets")
+    blocks = sources.agg(F.sum("blocks")).first()[0] or 0
+    depth = max(MIN_DEPTH, math.ceil(math.log2(max(1, blocks / shard_blocks))))
+    sources = sources.withColumn("width", F.greatest(F.lit(1).cast("long"), F.expr(f"blocks div {1 << depth}")))
+    ranges = staged(spark, deal(sources, depth), "mix-deal")
 
     rows = rows.withColumn("bucket", F.substring("h", 1, digits))
     bases = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
@@ -163,53 +178,62 @@ def mix(spark: SparkSession, docs: DataFrame, block_words: int = BLOCK_WORDS,
               .select("p.doc_id", "p.source", "p.size", "p.th",
                       (F.col("inner") + F.col("base")).alias("start")))
     placed = (placed.alias("p").join(sources.alias("s"), F.col("p.source").eqNullSafe(F.col("s.source")))
-              .select("p.*", "s.rank", "s.source_size", "s.target", "s.quota", "s.blocks", "s.bounds", "s.keys"))
+              .select("p.*", "s.rank", "s.source_size", "s.target", "s.quota", "s.blocks", "s.width"))
+    # a place in a source's stream is one document's, unless that has no words
+    placed = staged(spark, placed.withColumn("at", F.expr("if(size > 0, start, null)")), "mix-placed")
 
-    steps = ",".join(map(str, range(depth)))
-    shard = f"""aggregate(cast(array({steps}) as array<int>), named_struct('lo', 0, 'hi', {2 ** depth}),
-        (a, _s) -> if(bounds[(a.lo + a.hi) div 2] <= k,
-          named_struct('lo', cast((a.lo + a.hi) div 2 as int), 'hi', a.hi),
-          named_struct('lo', a.lo, 'hi', cast((a.lo + a.hi) div 2 as int))), a -> a.lo)"""
     # swap-or-not: each round pairs the blocks that sum to its key and swaps a pair or not
-    permuted = f"""aggregate(keys, cast(b as bigint), (x, e) -> if(
-      pmod(xxhash64('{SEED}', 'swap', rank, e.r, greatest(x, pmod(e.key - x, blocks))), 2) = 0,
-      x, pmod(e.key - x, blocks)))"""
-    w = block_words
-    draws = F.expr(f"""flatten(transform(sequence(0, {MAX_PASSES - 1}), p ->
-      if(size = 0 or start + p * source_size >= quota, array(),
+    permuted = f"""aggregate(sequence(0, {SHUFFLE_ROUNDS - 1}), cast(b as bigint), (x, r) ->
+      transform(array(pmod(pmod(xxhash64('{SEED}', 'key', rank, r), blocks) - x, blocks)), y ->
+        if(pmod(xxhash64('{SEED}', 'swap', rank, r, greatest(x, y)), 2) = 0, x, y))[0])"""
+    cut = F.expr(f"""inline(flatten(transform(sequence(0, {MAX_PASSES - 1}), p ->
+      if(start + p * source_size >= quota, array(),
         transform(sequence((start + p * source_size) div {w},
                            (least(quota, start + p * source_size + size) - 1) div {w}),
-          b -> transform(array({permuted}), k -> named_struct(
-            'shard', {shard}, 'place', xxhash64('{SEED}', rank, k),
+          b -> named_struct('block', {permuted}, 'pass', p,
             'first', greatest(b * {w} - start - p * source_size, 0L),
-            'last', least((b + 1) * {w}, quota, start + p * source_size + size) - start - p * source_size,
-            'pass', p))[0]))))""")
-    plan = placed.select("doc_id", "source", "size", "th", "source_size", "target", draws.alias("draws"))
+            'last', least((b + 1) * {w}, quota, start + p * source_size + size) - start - p * source_size))))))""")
+    draws = placed.where("size > 0 AND start < quota").select("rank", "at", "width", cut)
+    draws = draws.withColumn("stretch", F.expr("block div width")).alias("d").join(
+        ranges.alias("r"), (F.col("d.rank") == F.col("r.rank")) & (F.col("d.stretch") == F.col("r.stretch"))
+        & (F.col("r.low") <= F.col("d.block")) & (F.col("d.block") < F.col("r.high")))
+    # at most two passes over the blocks of one text
+    own = draws.groupBy("d.rank", "d.at").agg(F.sort_array(F.collect_list(F.struct(
+        "pass", "first", "last", "shard", F.xxhash64(F.lit(SEED), "d.rank", "block").alias("place")))).alias("draws"))
+    plan = placed.join(own, ["rank", "at"], "left").select(
+        "doc_id", "source", "size", "th", "source_size", "target",
+        F.coalesce("draws", F.lit([]).cast(own.schema["draws"].dataType)).alias("draws"))
     return plan.withColumn("taken", F.aggregate(
         "draws", F.lit(0).cast("long"), lambda a, d: a + d["last"] - d["first"]))
 
 
 def drawn(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """``shard, place, pass, doc_id, source, first, text``: the words, joined by
-    single spaces, that the plan ``mixed`` (of ``mix`` over ``docs``) draws.  A
+    """``shard, place, pass, doc_id, source, size, source_size, target, first,
+    taken, text``: the words, joined by single spaces, that the plan ``mixed`` (of
+    ``mix`` over ``docs``) draws, ``taken`` of them from word ``first`` on.  A
     shard is in one partition, its blocks ordered by ``place`` and a block's
     draws as they lie in the stream."""
     # rows that agree in id, source and text are alike: one text serves them all
-    texts = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("th")).dropDuplicates(
-        ["doc_id", "source", "th"])
-    plan = mixed.where(F.size("draws") > 0).select("doc_id", "source", "size", "th", "draws")
+    texts = docs.select("doc_id", "source", "text").distinct().withColumn("th", F.xxhash64("text"))
+    plan = mixed.where(F.size("draws") > 0).select("doc_id", "source", "size", "th", "source_size", "target", "draws")
     cut = F.expr(rf"""explode(transform(array(regexp_extract_all(text, r'{WORD}', 0)),
       words -> transform(draws, d -> named_struct('draw', d, 'text',
         array_join(slice(words, cast(d.first + 1 as int), cast(d.last - d.first as int)), ' '))))[0])""")
     rows = (plan.alias("p").join(texts.alias("t"), F.col("p.doc_id").eqNullSafe(F.col("t.doc_id"))
                                  & F.col("p.source").eqNullSafe(F.col("t.source"))
                                  & (F.col("p.th") == F.col("t.th")))
-            .select("p.doc_id", "p.source", "p.size", "p.th", place_hash("p.doc_id").alias("h"),
-                    cut.alias("cut")))
-    rows = rows.select("cut.draw.*", "doc_id", "source", "size", "th", "h", "cut.text")
+            .select("p.doc_id", "p.source", "p.size", "p.th", "p.source_size", "p.target",
+                    place_hash("p.doc_id").alias("h"), cut.alias("cut")))
+    rows = rows.select("cut.draw.*", "doc_id", "source", "size", "th", "source_size", "target", "h", "cut.text")
     return (rows.repartition("shard")
             .sortWithinPartitions("shard", "place", "pass", "h", "size", "th", "first")
-            .select("shard", "place", "pass", "doc_id", "source", "first", "text"))
+            .select("shard", "place", "pass", "doc_id", "source", "size", "source_size", "target", "first",
+                    (F.col("last") - F.col("first")).alias("taken"), "text"))
+
+
+def mixed_words(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The mix itself: the plan written once and carried out."""
+    return drawn(docs, staged(spark, mix(spark, docs), "mix-plan"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

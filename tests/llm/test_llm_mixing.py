@@ -1,8 +1,11 @@
 import hashlib
+import math
+import re
 import tempfile
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from conftest import python_nodes
@@ -153,3 +156,137 @@ def test_drawn_words(spark):
     for part in {r["part"] for r in rows}:
         own = [(r["shard"], r["place"]) for r in rows if r["part"] == part]
         assert own == sorted(own)
+
+
+# -- the tree and the permutation, plainly ----------------------------------------
+
+MASK = (1 << 64) - 1
+
+
+def spark_hash(*parts):
+    """Spark's XXH64 of texts, ints (4 bytes) marked by a tuple, and longs (8)."""
+    h = 42
+    for p in parts:
+        raw = p.encode() if isinstance(p, str) else p[0].to_bytes(4, "little", signed=True) \
+            if isinstance(p, tuple) else p.to_bytes(8, "little", signed=True)
+        h = xxhash.xxh64_intdigest(raw, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def hypergeometric(n, k, draws, u):
+    if k == 0 or draws == 0:
+        return 0
+    if draws == n:
+        return k
+    p = k / n
+    mean = draws * p
+    sd = math.sqrt(max(0.0, mean * (1 - p) * (n - draws) / max(n - 1, 1)))
+    low = max(0, draws - (n - k), math.floor(mean - 12 * sd - 12))
+    high = min(draws, k, math.ceil(mean + 12 * sd + 12))
+    weights, value = [], 1.0
+    for x in range(low, high + 1):
+        weights.append(value)
+        value = value * ((k - x) * float(draws - x)) / (float(x + 1) * (n - k - draws + x + 1))
+    total, sums = sum(weights), 0.0
+    for x, v in zip(range(low, high + 1), weights):
+        sums += v
+        if sums >= u * total:
+            return x
+    return high
+
+
+def brute_ranges(quotas, depth):
+    """``{(rank, shard): (low, high)}``."""
+    nodes = {1: (list(quotas), [0] * len(quotas))}
+    for _ in range(depth):
+        below = {}
+        for node, (own, starts) in nodes.items():
+            rest = sum(own)
+            left, draws = [], rest // 2
+            for i, q in enumerate(own):
+                u = spark_hash("tree", node, (i,)) % 9007199254740992 / 9007199254740992
+                x = hypergeometric(rest, q, draws, u)
+                left.append(x)
+                rest, draws = rest - q, draws - x
+            below[node * 2] = (left, starts)
+            below[node * 2 + 1] = ([q - x for q, x in zip(own, left)], [s + x for s, x in zip(starts, left)])
+        nodes = below
+    return {(i + 1, node - 2 ** depth): (s, s + q) for node, (own, starts) in nodes.items()
+            for i, (q, s) in enumerate(zip(own, starts)) if q}
+
+
+def permuted(b, rank, blocks):
+    for r in range(M.SHUFFLE_ROUNDS):
+        y = (spark_hash(M.SEED, "key", (rank,), (r,)) % blocks - b) % blocks
+        if spark_hash(M.SEED, "swap", (rank,), (r,), max(b, y)) % 2:
+            b = y
+    return b
+
+
+def brute_draws(docs, block_words, shard_blocks):
+    """``(doc_id, source, pass, first, last, shard, place)`` of every draw; ids
+    are unique."""
+    sizes = {(i, s): len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t, s in docs}
+    by = Counter()
+    for (_, s), n in sizes.items():
+        by[s] += n
+    order = sorted(by, key=lambda s: (s is None, s or ""))
+    target = waterfill(by, {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)})
+    quota = {s: math.floor(target[s] + 0.5) for s in order}
+    blocks = {s: -(-quota[s] // block_words) for s in order}
+    depth = max(M.MIN_DEPTH, math.ceil(math.log2(max(1, sum(blocks.values()) / shard_blocks))))
+    ranges = brute_ranges([blocks[s] for s in order], depth)
+    out = []
+    for rank, s in enumerate(order, 1):
+        stream = sorted((hashlib.md5(f"mix|{'' if i is None else i}".encode()).hexdigest(), i)
+                        for i, own in sizes if own == s)
+        start = 0
+        for _, i in stream:
+            n = sizes[i, s]
+            for p in range(M.MAX_PASSES):
+                low, high = start + p * by[s], min(quota[s], start + p * by[s] + n)
+                for b in range(low // block_words, -(-high // block_words)) if low < high else ():
+                    first, last = max(low, b * block_words), min(high, (b + 1) * block_words)
+                    k = permuted(b, rank, blocks[s])
+                    shard = next(sh for (rk, sh), (x, y) in ranges.items() if rk == rank and x <= k < y)
+                    out.append((i, s, p, first - low, last - low, shard, spark_hash(M.SEED, (rank,), k)))
+            start += n
+    return out
+
+
+def _unique_rows():
+    seen = {}
+    for i, t, s in _rows():
+        seen.setdefault(i, (i, t, s))
+    return [*seen.values(), (5000, "long " * 20_000, "hot")]
+
+
+@pytest.mark.parametrize("block_words, shard_blocks", [(16, 20), (4096, 4096), (64, 1)])
+def test_plan_agrees_with_brute_force(spark, block_words, shard_blocks):
+    docs = _unique_rows()
+    plan = M.mix(spark, _docs(spark, docs), block_words, shard_blocks, bucket_rows=40)
+    got = [(r["doc_id"], r["source"], d["pass"], d["first"], d["last"], d["shard"], d["place"])
+           for r in plan.collect() for d in r["draws"]]
+    assert sorted(got, key=repr) == sorted(brute_draws(docs, block_words, shard_blocks), key=repr)
+
+
+def test_no_row_grows_with_the_shards(spark):
+    docs = _docs(spark, _unique_rows())
+    for blocks in (1, 50):
+        df = M.mix(spark, docs, block_words=16, shard_blocks=blocks)
+        kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        assert [k for k, v in kinds.items() if v.startswith("array")] == ["draws"]
+        # draws are a text's blocks, whatever the number of shards
+        assert all(len(r["draws"]) <= 2 * (r["size"] // 16 + 2) for r in df.collect())
+    assert M.deal.__name__ and all(not f.dataType.simpleString().startswith("array") for f in M.deal(
+        spark.createDataFrame([(1, 40, 2), (2, 9, 1)], "rank int, blocks long, width long"), 5).schema.fields)
+
+
+def test_ranges_cover_every_block_once(spark):
+    sources = spark.createDataFrame([(1, 1000, 3), (2, 7, 1), (3, 0, 1), (4, 90, 1)], "rank int, blocks long, width long")
+    ranges = M.deal(sources, 10).collect()
+    found = {(r["rank"], r["shard"], r["low"], r["high"]) for r in ranges}
+    for rank, blocks in ((1, 1000), (2, 7), (3, 0), (4, 90)):
+        assert sorted(b for rk, _, a, z in found if rk == rank for b in range(a, z)) == list(range(blocks))
+    assert all(r["low"] // w <= r["stretch"] <= (r["high"] - 1) // w
+               for r in ranges for w in [{1: 3}.get(r["rank"], 1)])

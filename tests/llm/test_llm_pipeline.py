@@ -3,9 +3,11 @@
 import random
 
 import corpus_pipeline as P
+from sluice.llm import mixing as M
 from sluice.llm import toxicity as X
 from test_llm_decontamination import brute as brute_windows
 from test_llm_line_dedup import brute as brute_lines
+from test_llm_mixing import brute_draws
 from test_llm_simhash import brute_components, brute_fingerprint
 
 
@@ -73,7 +75,14 @@ def test_every_stage(spark, tmp_path):
         got = sorted((r["doc_id"], r["text"]) for r in docs.collect())
         assert [i for i, _ in got] == sorted(i for i, _ in have), name
         assert got == sorted(have)
-    assert sorted(r["doc_id"] for r in docs.collect()) == sorted(i for i, _ in have)
-    final = sorted((r["doc_id"], r["taken"]) for r in docs.collect())
-    again = sorted((r["doc_id"], r["taken"]) for r in P.run(spark, sf).collect())
-    assert again == final
+    sources = {i: f"s{i % 3}" if i % 5 else None for i, _ in rows}
+    words = {i: (t or "").split() for i, t in have}
+    plan = brute_draws([(i, t, sources[i]) for i, t in have], M.BLOCK_WORDS, M.SHARD_BLOCKS)
+    expected = sorted((i, s or "", p, a, " ".join(words[i][a:b]), shard, place) for i, s, p, a, b, shard, place in plan)
+
+    def drawn(df):
+        return sorted((r["doc_id"], r["source"] or "", r["pass"], r["first"], r["text"], r["shard"], r["place"])
+                      for r in df.collect())
+    assert expected and drawn(docs) == expected
+    assert all(r["taken"] == len(r["text"].split()) for r in docs.collect())
+    assert drawn(P.run(spark, sf)) == expected
