@@ -12,9 +12,9 @@ of ``documents``:
    follows the text) and drops documents of which nothing else was left;
 3. ``simhash_dedup`` keeps one document of each near-duplicate group;
 4. ``decontamination`` drops documents with a window of a benchmark item;
-5. ``mixing`` returns the drawing plan, a row per document with what the mix
-   takes of it: ``doc_id, source, size, th, source_size, target, draws, taken``
-   (``taken`` is 0 where it takes nothing); ``mixing.drawn`` gives the words.
+5. ``mixing`` returns the mix: a row per draw, ``shard, place, pass, doc_id,
+   source, size, source_size, target, first, taken, text`` -- the ``taken`` words
+   of a document from word ``first`` on, gathered by shard and shuffled inside it.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(spark, docs)
+    return mixing.mixed_words(spark, docs)
 
 
 STAGES = [("toxicity", toxicity), ("line_dedup", lines), ("simhash_dedup", simhash_dedup),
