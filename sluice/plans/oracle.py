@@ -74,6 +74,16 @@ SELECT event_id, CASE WHEN event_id % 10 IN (3, 7) THEN NULL
                       ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k
 FROM events""",
 
+    "json_rescued": """
+WITH e AS (SELECT *, event_id % 10 AS t, CAST(round(value * 100) AS BIGINT) AS own FROM events)
+SELECT event_id, CASE WHEN t NOT IN (3, 4, 5) THEN event_type END AS event_type,
+       CASE WHEN t = 2 THEN 5 WHEN t NOT IN (1, 3, 4, 5) THEN own END AS cents,
+       CASE WHEN t = 1 THEN 'many' END AS cents_text,
+       CASE WHEN t = 2 THEN '{"user_id":' || user_id || '}' END AS extra,
+       CAST(CASE t WHEN 1 THEN 2 WHEN 2 THEN 2 WHEN 3 THEN 0 WHEN 4 THEN 0 WHEN 5 THEN 0 ELSE 1 END AS INTEGER) AS n_rescued,
+       CASE WHEN t = 3 THEN left('{"event_id":' || event_id || ',', 12) WHEN t = 4 THEN '[1, 2]' END AS corrupt
+FROM e""",
+
     "parquet_read": """
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '1995-01-01'""",
 
@@ -90,6 +100,19 @@ SELECT CAST(to_json({{'event_id': event_id, 'user_id': user_id, 'event_type': ev
             AS VARCHAR) AS "value"
 FROM gaps WHERE event_id IS NULL OR user_id IS NULL OR event_type IS NULL""",
 
+    "compare_versions": """
+SELECT 'missing' AS status, CAST(1 AS BIGINT) AS times, event_id, value AS value_before,
+       CAST(NULL AS DOUBLE) AS value_after FROM events WHERE event_id % 97 = 3
+UNION ALL SELECT 'surplus', 1, event_id + 1000000000, NULL, value FROM events WHERE event_id % 89 = 7
+UNION ALL SELECT 'surplus', 1, event_id, NULL, value FROM events
+          WHERE event_id % 503 = 0 AND event_id % 97 <> 3 AND event_id % 101 <> 5
+UNION ALL SELECT 'changed', 1, event_id, value, value + 1 FROM events
+          WHERE event_id % 101 = 5 AND event_id % 97 <> 3 AND event_id % 503 <> 0
+UNION ALL SELECT 'missing', 1, event_id, value, NULL FROM events
+          WHERE event_id % 101 = 5 AND event_id % 97 <> 3 AND event_id % 503 = 0
+UNION ALL SELECT 'surplus', 2, event_id, NULL, value + 1 FROM events
+          WHERE event_id % 101 = 5 AND event_id % 97 <> 3 AND event_id % 503 = 0""",
+
     "preview": f"""
 WITH {_REC}
 SELECT topic, "partition", "offset", "key" FROM rec
@@ -198,6 +221,13 @@ FROM listed l FULL JOIN ends e ON l.topic = e.topic AND l."partition" = e."parti
 SELECT o_orderstatus, count(DISTINCT o_custkey) AS n_customers, true AS within_bound
 FROM orders GROUP BY o_orderstatus""",
 
+    "distinct_by_days": """
+WITH r AS (SELECT n_nationkey AS range_id, DATE '2023-12-30' + CAST(n_nationkey AS INTEGER) AS a,
+                  DATE '2023-12-30' + CAST(n_nationkey + 4 * n_regionkey AS INTEGER) AS b FROM nation)
+SELECT range_id, event_type, count(*) AS n,
+       count(DISTINCT CAST(round(value * 100) AS BIGINT)) AS n_distinct, true AS within_bound
+FROM events JOIN r ON CAST(ts AS DATE) BETWEEN a AND b GROUP BY range_id, event_type""",
+
     "sum_distinct": """
 SELECT l_returnflag, CAST(sum(DISTINCT l_quantity) AS BIGINT) AS sum_distinct_qty,
        CAST(sum(DISTINCT l_linenumber) AS BIGINT) AS sum_distinct_line
@@ -288,6 +318,19 @@ SELECT user_id, CAST(min(ts) AS VARCHAR) AS begun, CAST(max(ts) AS VARCHAR) AS e
        CAST(sum(cents) AS BIGINT) AS cents
 FROM s GROUP BY user_id, k""",
 
+    # all features have four categories, so the largest chi-squared is the smallest p
+    "feature_select_chi": """
+WITH e AS (SELECT event_id, event_type, unnest([user_id % 4, event_id % 4, CAST(floor(value) AS BIGINT) % 4,
+                  (user_id // 4) % 4, CAST(day(ts) AS BIGINT) % 4]) AS x, unnest([0, 1, 2, 3, 4]) AS f FROM events),
+o AS (SELECT f, event_type, x, count(*) AS n FROM e GROUP BY ALL),
+g AS (SELECT f, x, sum(n) AS nx FROM o GROUP BY ALL),
+l AS (SELECT f, event_type, sum(n) AS nl FROM o GROUP BY ALL),
+t AS (SELECT f, sum(n) AS total FROM o GROUP BY f),
+chi AS (SELECT f, sum((coalesce(n, 0) - nx * nl / total) ** 2 / (nx * nl / total)) AS chi
+        FROM g JOIN l USING (f) JOIN t USING (f) LEFT JOIN o USING (f, event_type, x) GROUP BY f)
+SELECT event_id, event_type, CAST(f AS INTEGER) AS feature, CAST(x AS DOUBLE) AS "value"
+FROM e WHERE f IN (SELECT f FROM chi ORDER BY chi DESC LIMIT 2)""",
+
     "cluster_quality": """
 SELECT unnest(['fitted', 'mirrored']) AS dataset, count(*) AS n_rows, CAST(4 AS BIGINT) AS n_clusters,
        true AS cost_agrees, true AS silhouette_agrees

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 
 from sluice.functions import text as txt
@@ -21,7 +21,8 @@ from sluice.functions.tables import joined_sessions, register_table_functions
 from sluice.functions.udfs import (call, count_ascii_upper, explode_column, explode_rows,
                                    explode_rows_by,
                                    leading_digit, register_udf)
-from sluice.operators import decode, features, offsets, quality, registry
+from sluice.functions import sketches
+from sluice.operators import compare, decode, features, offsets, quality, registry
 from sluice.plans.tables import (EVENTS_TOPIC, events_log, events_log_table, events_records,
                                  events_segments, events_with_gaps, table, with_gaps)
 from sluice.session import scratch_dir
@@ -147,6 +148,24 @@ def json_strings_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.parse_json_strings(spark, ev, "props", sampling_ratio=0.5, keep=("event_id",))
 
 
+def json_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 without loss: events as JSON lines, some with a field of another
+    type, a field more, a line cut short or no object at all."""
+    ev = table(spark, sf_dir, "events")
+    turn = F.col("event_id") % 10
+    good = F.to_json(F.struct("event_id", "event_type", F.round(F.col("value") * 100).cast("long").alias("cents")))
+    lines = ev.select("event_id", F.when(turn == 1, F.to_json(F.struct("event_id", "event_type", F.lit("many").alias("cents"))))
+                      .when(turn == 2, F.to_json(F.struct("event_id", "event_type", F.lit(5).alias("cents"),
+                                                          F.struct("user_id").alias("extra"))))
+                      .when(turn == 3, F.expr("left(to_json(struct(event_id, event_type)), 12)"))
+                      .when(turn == 4, F.lit("[1, 2]")).when(turn == 5, None).otherwise(good).alias("line"))
+    schema = T.StructType([T.StructField("event_type", T.StringType()), T.StructField("cents", T.LongType())])
+    out = files.rescue_json(lines, "line", schema, keep=("event_id",))
+    return out.select("event_id", "event_type", "cents", F.element_at("_rescued", "cents").alias("cents_text"),
+                      F.element_at("_rescued", "extra").alias("extra"),
+                      F.coalesce(F.size("_rescued"), F.lit(0)).alias("n_rescued"), F.col("_corrupt_record").alias("corrupt"))
+
+
 def parquet_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parquet read with a pushed filter and a two-column projection."""
     orders = files.read_parquet(spark, f"{sf_dir.rstrip('/')}/orders.parquet")
@@ -179,6 +198,19 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_json_lines_text(spark, target)
 
 
+def compare_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of ``events`` compared as multisets: rows dropped,
+    changed, added and repeated by their id."""
+    before = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    i = F.col("event_id")
+    kept = before.where(i % 97 != 3).withColumn("value", F.when(i % 101 == 5, F.col("value") + 1).otherwise(F.col("value")))
+    added = before.where(i % 89 == 7).withColumn("event_id", i + 1_000_000_000)
+    after = kept.unionByName(added).unionByName(kept.where(i % 503 == 0))
+    found = compare.difference(before, after, keys=["event_id"])
+    return found.select("status", "times", F.coalesce("before.event_id", "after.event_id").alias("event_id"),
+                        F.col("before.value").alias("value_before"), F.col("after.value").alias("value_after"))
+
+
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K2: the first 20 records in log order."""
     rec = events_log(spark, sf_dir)
@@ -448,6 +480,28 @@ def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
                        <= 3 * RSD * F.col("n_customers")).alias("within_bound"))
 
 
+def distinct_by_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 merged from daily sketches: distinct amounts of each event type over
+    25 ranges of days, checked against exact counts (3 standard errors)."""
+    ev = table(spark, sf_dir, "events").withColumn("cents", F.round(F.col("value") * 100).cast("long"))
+    daily = sketches.daily_sketches(ev, ["event_type"], "ts", F.col("cents"))
+    path = scratch_dir(spark, "daily-sketches")
+    sketches.write_days(daily, path)
+    ranges = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("range_id"),
+        F.expr("date_add(DATE'2023-12-30', cast(n_nationkey as int))").alias("first_day"),
+        F.expr("date_add(DATE'2023-12-30', cast(n_nationkey + 4 * n_regionkey as int))").alias("last_day"))
+    found = sketches.distinct_over(sketches.read_days(spark, path, daily), ["event_type"], ranges)
+    days = ranges.where("first_day <= last_day").select("range_id", F.explode(F.sequence("first_day", "last_day")).alias("day"))
+    # a value of a day counts once before the days meet the ranges
+    exact = (ev.select("event_type", F.to_date("ts").alias("day"), "cents").distinct().join(days, "day")
+             .groupBy("range_id", "event_type").agg(F.count_distinct("cents").alias("n_distinct")))
+    bound = 3 * sketches.relative_error() * F.col("n_distinct")
+    return found.join(exact, ["range_id", "event_type"]).select(
+        "range_id", "event_type", "n", "n_distinct",
+        (F.abs(F.col("distinct") - F.col("n_distinct")) <= F.greatest(F.lit(1.0), bound)).alias("within_bound"))
+
+
 def sum_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: sums of distinct values."""
     li = table(spark, sf_dir, "lineitem")
@@ -643,6 +697,20 @@ def feature_select(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.element_at(dims, F.col("slot") + 1).alias("dim"), "value")
 
 
+def feature_select_chi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 with categorical features: the two of five (four categories each)
+    that depend most on the event type, by chi-squared."""
+    ev = table(spark, sf_dir, "events")
+    cells = [F.pmod(c, F.lit(4)).cast("double") for c in (
+        F.col("user_id"), F.col("event_id"), F.floor("value"), F.floor(F.col("user_id") / 4), F.dayofmonth("ts"))]
+    types, _ = features.index_labels(ev, ["event_type"])
+    rows = types.select("event_id", "event_type", F.col("event_type_idx").alias("label"), array_to_vector(F.array(*cells)).alias("features"))
+    out, picked = features.select_features(rows, "features", "label", 2, feature_type="categorical")
+    names = F.array(*[F.lit(d) for d in sorted(picked)])
+    return out.select("event_id", "event_type", F.posexplode(vector_to_array("selected")).alias("slot", "value")).select(
+        "event_id", "event_type", F.get(names, F.col("slot")).alias("feature"), "value")
+
+
 def cluster_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M2: bisecting k-means, scored on the rows it was fitted on and on a
     second dataset (their mirror image).  The scores come from the model and
@@ -758,10 +826,12 @@ QUERIES: dict[str, Query] = {
     "json_file_infer": json_file_infer,
     "json_strings": json_strings,
     "json_strings_infer": json_strings_infer,
+    "json_rescued": json_rescued,
     "parquet_read": parquet_read,
     "generic_load": generic_load,
     "generic_load_default": generic_load_default,
     "json_round_trip": json_round_trip,
+    "compare_versions": compare_versions,
     "preview": preview,
     "record_inspect": record_inspect,
     "external_table": external_table,
@@ -781,6 +851,7 @@ QUERIES: dict[str, Query] = {
     "stream_quarantine": stream_quarantine,
     "end_offsets": end_offsets,
     "approx_distinct": approx_distinct,
+    "distinct_by_days": distinct_by_days,
     "sum_distinct": sum_distinct,
     "builtin_aggs": builtin_aggs,
     "user_agg": user_agg,
@@ -799,6 +870,7 @@ QUERIES: dict[str, Query] = {
     "udtf_pieces": udtf_pieces,
     "udtf_sessions": udtf_sessions,
     "feature_select": feature_select,
+    "feature_select_chi": feature_select_chi,
     "cluster_quality": cluster_quality,
     "label_index": label_index,
     "ingest_summary": ingest_summary,

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +88,74 @@ def parse_json_strings(spark: SparkSession, strings: DataFrame, column: str,
                                   for f in schema.fields])
 
 
+RESCUED, CORRUPT = "_rescued", "_corrupt_record"
+
+
+def rescue_json(strings: DataFrame, column: str, schema: T.StructType,
+                keep: Sequence[str] = ()) -> DataFrame:
+    """S4/S5 without loss: ``keep``, the fields of ``schema``, ``_rescued`` and
+    ``_corrupt_record``; whatever a line says is in one of them.
+
+    ``_rescued`` holds, by name, the raw text of every field that the schema does
+    not have, or whose value the field's type does not hold: of another type, out
+    of range, rounded, or nested with something left out.  It is null if there is
+    none.  ``_corrupt_record`` is the whole line where it is no JSON object, and
+    then all fields are null; a null line gives nulls throughout.  Of a field that
+    a line repeats, the last value counts and every other one is rescued under its
+    name and a number.
+
+    Two JVM parses a line, of the schema's fields and of the raw ones.
+    """
+    taken = {f.name for f in schema.fields} & {RESCUED, CORRUPT, *keep}
+    if taken:
+        raise ValueError(f"columns of these names are there already: {sorted(taken)}")
+    line = F.col(column)
+    parsed = strings.select(
+        *keep, line.alias("_line"), F.from_json(line, schema, {"mode": "PERMISSIVE"}).alias("_typed"),
+        F.map_entries(F.from_json(line, T.MapType(T.StringType(), T.StringType()))).alias("_raw"),
+        F.json_object_keys(line).isNotNull().alias("_object"))
+
+    def held(raw: Column) -> Column:
+        """Whether the typed field says all that the raw text does."""
+        out = F.lit(False)
+        for f in schema.fields:
+            own = F.col("_typed").getField(f.name)
+            out = F.when(raw["key"] == f.name, F.coalesce(_says(own, raw["value"], f.dataType), F.lit(False))
+                         ).otherwise(out)
+        return out
+
+    numbered = F.transform(F.col("_raw"), lambda e, i: F.struct(
+        e["key"].alias("key"), e["value"].alias("value"), i.alias("at")))
+    # entries of one name before this one number it
+    named = F.transform(
+        F.filter(numbered, lambda e: ~held(e)),
+        lambda e: F.struct(F.when(F.exists(numbered, lambda o: (o["key"] == e["key"]) & (o["at"] < e["at"])),
+                                  F.concat(e["key"], F.lit("#"), e["at"].cast("string"))).otherwise(e["key"]).alias("key"),
+                           e["value"].alias("value")))
+    found = parsed.withColumn("_left", F.when(F.col("_object"), named))
+    fields = [F.when(F.col("_object"), F.col("_typed").getField(f.name)).alias(f.name) for f in schema.fields]
+    return found.select(
+        *keep, *fields, F.when(F.size("_left") > 0, F.map_from_entries("_left")).alias(RESCUED),
+        F.when(F.col("_line").isNotNull() & ~F.col("_object"), F.col("_line")).alias(CORRUPT))
+
+
+def _says(typed: Column, raw: Column, kind: T.DataType) -> Column:
+    both_null = typed.isNull() & raw.isNull()
+    if isinstance(kind, T.StringType):
+        return typed.eqNullSafe(raw)
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        exact = "decimal(38,18)" if isinstance(kind, T.DecimalType) else \
+            "double" if isinstance(kind, (T.FloatType, T.DoubleType)) else kind.simpleString()
+        value = typed.cast(exact) if not isinstance(kind, T.FloatType) else typed.cast("string").cast("double")
+        return both_null | (value == raw.try_cast(exact))
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        # the same JSON once both are in one form, fields in one order
+        def form(text: Column) -> Column:
+            return F.to_json(F.try_parse_json(text))
+        return both_null | (form(F.to_json(typed)) == form(raw))
+    return both_null | typed.isNotNull()  # dates and timestamps, once they parse
+
+
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     """One or many parquet paths (column pruning and filter push-down
     reach the scan)."""
