@@ -21,7 +21,8 @@ judged on the input.
 
 All strings of a name meet in one group.  A name in more than ``HOT_SHARDS``
 shards is dealt by the hash of each whole string instead, so its strings
-spread over all groups.  Equal segments of one shard travel once.
+spread over all groups.  Equal segments of one shard travel once, with a list of
+their starts; those of a larger id than the shard's smallest stay behind.
 
 Cases: a null text is empty; a null id comes after all others, and rows with
 equal (or null) ids do not remove from each other; texts under ``LENGTH`` bytes
@@ -259,22 +260,30 @@ def smallest_ids(pieces: list[bytes], ids: np.ndarray, run_bytes: int) -> list[n
 
 # -- tables ---------------------------------------------------------------------
 
-def _pack(*arrays: np.ndarray, data: bytes = b"") -> bytes:
-    body = b"".join(a.tobytes() for a in arrays) + data
-    head = np.array([len(body), len(arrays[0])], np.int64).tobytes()
-    return head + pa.compress(body, codec="zstd", asbytes=True)
+def _raw(*arrays: np.ndarray, data: bytes = b"") -> bytes:
+    """Arrays of one length and bytes."""
+    return np.int64(len(arrays[0])).tobytes() + b"".join(a.tobytes() for a in arrays) + data
 
 
-def _unpack(blob: bytes, *kinds) -> tuple:
-    size, n = np.frombuffer(blob, np.int64, 2)
-    body = pa.decompress(blob[16:], int(size), codec="zstd", asbytes=True) if size else b""
-    out, at = [], 0
+def _unraw(body: bytes, *kinds) -> tuple:
+    n = int(np.frombuffer(body, np.int64, 1)[0])
+    out, at = [], 8
     for kind in kinds:
         out.append(np.frombuffer(body, kind, n, at))
-        at += int(n) * np.dtype(kind).itemsize
+        at += n * np.dtype(kind).itemsize
     return (*out, body[at:])
 
 
+def _pack(*arrays: np.ndarray, data: bytes = b"") -> bytes:
+    body = _raw(*arrays, data=data)
+    return np.int64(len(body)).tobytes() + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, *kinds) -> tuple:
+    size = int(np.frombuffer(blob, np.int64, 1)[0])
+    return _unraw(pa.decompress(blob[8:], size, codec="zstd", asbytes=True), *kinds)
+
+
 def shards(docs: DataFrame) -> DataFrame:
     """``shard`` and ``texts``: ids (null: the largest), whether there is one,
     ends and bytes of some megabytes of texts."""
@@ -398,13 +407,19 @@ def shared_segments(packed: DataFrame, marked: DataFrame, groups: int) -> DataFr
             top = np.iinfo(np.int64).max
             held = np.array([i > lowest.get(p, top) for p, i in zip(pieces, owner.tolist())], bool)
             out_part, out = [-1 - shard % groups], [_pack(starts[held].astype(np.int64), lengths[held].astype(np.int64))]
+            # what is left of equal pieces has one id: they travel once, with their starts
             rest = np.flatnonzero(~held)
-            for part, at in _by_group(value[rest], groups):
-                at = rest[at]
+            number: dict[bytes, int] = {}
+            of = np.array([number.setdefault(pieces[i], len(number)) for i in rest.tolist()], np.int64)
+            _, one = np.unique(of, return_index=True)
+            dealt = value[rest[one]]
+            for (part, distinct), (_, every) in zip(_by_group(dealt, groups), _by_group(dealt[of], groups)):
+                at = rest[one[distinct]]
                 out_part.append(part)
                 tag = (value[at] >> np.uint64(32)).astype(np.uint32)
-                out.append(_pack(starts[at].astype(np.int64), lengths[at].astype(np.int64), owner[at],
-                                 tag, data=b"".join([pieces[i] for i in at])))
+                own = _raw(lengths[at].astype(np.int64), owner[at], tag, data=b"".join([pieces[i] for i in at]))
+                out.append(_pack(starts[rest[every]].astype(np.int64),
+                                 np.searchsorted(distinct, of[every]).astype(np.int64), data=own))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out_part, pa.int64()), pa.array([shard] * len(out), pa.int64()),
                  pa.array(out, pa.binary())], names=["part", "shard", "found"])
@@ -427,8 +442,8 @@ def repeats(found: DataFrame, run_bytes: int) -> DataFrame:
         lowest: list[int] = []
         tagged: list[int] = []
         for blob in group.column("found"):
-            starts, lengths, ids, tags, data = _unpack(blob.as_py(), np.int64, np.int64, np.int64,
-                                                       np.uint32)
+            starts, of, own = _unpack(blob.as_py(), np.int64, np.int64)
+            lengths, ids, tags, data = _unraw(own, np.int64, np.int64, np.uint32)
             cuts = np.append(0, np.cumsum(lengths)).tolist()
             which = []
             for a, b, i, tag in zip(cuts, cuts[1:], ids.tolist(), tags.tolist()):
@@ -439,6 +454,8 @@ def repeats(found: DataFrame, run_bytes: int) -> DataFrame:
                 elif i < lowest[n]:
                     lowest[n] = i
                 which.append(n)
+            which = np.array(which, np.int64)[of].tolist()
+            lengths, ids = lengths[of], ids[of]
             rows.append((starts.copy(), lengths.copy(), ids.copy(), which))
         # a segment that alone has its name shares no string with another
         _, same, count = np.unique(np.array(tagged, np.uint32), return_inverse=True, return_counts=True)

@@ -91,3 +91,23 @@ def test_merge_by_binary_search():
     runs = [(np.array([b"a", b"c"], "S1"), np.array([5, 9])), (np.array([b"b", b"c"], "S1"), np.array([1, 3])),
             (np.array([b"a"], "S1"), np.array([2]))]
     assert [x.tolist() for x in S.merge(runs)] == [[2, 3], [1, 3], [2]]
+
+
+def test_equal_pieces_of_a_shard_travel_once(spark):
+    """A long periodic text that another document shares."""
+    line = b"the same line of a very long text, over and over again; "
+    rows = [(1, (line * 4000).decode()), (2, "x" + (line * 3).decode() + "y"), (3, "z" * 30_000), (4, "z" * 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = S.staged(spark, S.shards(docs), "suffix-shards")
+    marked = S.staged(spark, S.shared_names(packed, 16, S.HOT_SHARDS), "suffix-names")
+    sent = pieces = 0
+    for r in S.shared_segments(packed, marked, 16).where("part >= 0").collect():
+        starts, of, own = S._unpack(bytes(r["found"]), np.int64, np.int64)
+        lengths, ids, tags, data = S._unraw(own, np.int64, np.int64, np.uint32)
+        cuts = np.append(0, np.cumsum(lengths))
+        distinct = {data[a:b] for a, b in zip(cuts, cuts[1:])}
+        assert len(distinct) == len(lengths) and set(of.tolist()) == set(range(len(lengths)))
+        sent, pieces = sent + len(data), pieces + len(starts)
+    assert pieces > 4000 and sent < 20_000
+    got = sorted((r["doc_id"], r["n_removed"], bytes(r["kept"])) for r in S.dedup(spark, docs).collect())
+    assert got == sorted((i, gone, kept) for i, _, gone, _, kept in brute(rows))
