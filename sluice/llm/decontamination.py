@@ -16,7 +16,9 @@ benchmark: a larger benchmark takes more blocks, by the same code.
 
 Cases: a null or empty text has no words; an item without words has no
 windows; items with one id count once; an item without an id marks words but
-is not listed; no items, no hits.  Other columns of the documents are kept.
+is not listed; repeated documents each get their row; no items, no hits; no
+documents, no result; a very long text is scanned whole, as one row; other columns
+of the documents, whatever their names, are kept.
 """
 
 from __future__ import annotations

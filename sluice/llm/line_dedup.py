@@ -9,7 +9,9 @@ place.  Windows of three empty lines take no part.
 
 Cases: a null text has no lines and stays null; texts of fewer than three
 lines have no window; a null id comes after all others; rows that agree in id
-and text are one document and keep the same lines; other columns are kept.
+and text are one document and keep the same lines; a very long text is one row,
+with its lines in one task; other columns, whatever their names, are kept; no
+documents, no result.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ Cases: rows whose id or vector is null, or whose vector is zero, holds null or
 non-finite components or has not the most common length (the longer on ties)
 take no part; rows that agree in id and vector are one; a row of the query's
 own id is never its neighbour; ties go to the smaller id; with fewer than k
-others all are returned; no vectors, no rows.
+others all are returned; no vectors, no rows; other columns are never read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ found over the links of all postings.
 
 Cases: a null or empty text has fingerprint zero and links like any other; ids
 may repeat or be null (a null id names a component only if all ids are null);
-no documents, no rows; other columns are ignored.
+no documents, no rows; a very long text is one row, with its shingles in one
+task; other columns are ignored.
 """
 
 from __future__ import annotations

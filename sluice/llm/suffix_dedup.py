@@ -26,7 +26,8 @@ their starts; those of a larger id than the shard's smallest stay behind.
 
 Cases: a null text is empty; a null id comes after all others, and rows with
 equal (or null) ids do not remove from each other; texts under ``LENGTH`` bytes
-stay; no rows, no result; other columns are ignored.
+stay; a text of any length is in one shard and must fit a task several times
+over; no rows, no result; other columns are ignored.
 """
 
 from __future__ import annotations

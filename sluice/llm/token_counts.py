@@ -9,7 +9,8 @@ bounded table.  Very long texts are worked off in segments that end at such a
 boundary; a text without any is encoded whole.
 
 Cases: a null or empty text has 0 bytes and 0 tokens; a null id is kept;
-repeated rows each get their row; other columns are ignored.
+repeated rows each get their row; a very long text is split at safe boundaries;
+other columns are ignored; no documents, no result.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ neither grows with the corpus.  Scoring reads every whole text.
 Cases: a null or empty text scores as one without words; a null id is never
 held out nor learned from; rows without label are not learned from;
 documents that repeat an id are learned from as one; no labels give every text
-the same score, below one half.
+the same score, below one half; a very long text is read in segments that end
+between words; other columns, whatever their names, stay in ``row``; no documents,
+no result.
 """
 
 from __future__ import annotations

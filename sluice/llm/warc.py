@@ -16,6 +16,8 @@ Folders are reached through ``pyarrow.fs`` (``file``, ``hdfs``, ``s3``, ``gs``).
 Cases: a null payload is empty, a null URL or id stays null.  Rows that share
 the largest id of a payload are all responses.  A row without an id answers
 for others only if no row of its payload has one; it then answers for itself.
+A payload of any length is one record and must fit a task; repeated rows are
+records of their own; other columns are never read; no pages, no records.
 """
 
 from __future__ import annotations

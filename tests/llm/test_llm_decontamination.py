@@ -86,3 +86,11 @@ def test_stage_drops_contaminated_only(spark):
     kept = D.drop_contaminated(spark, docs, items)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
+
+
+def test_a_very_long_text(spark):
+    item = [f"w{i}" for i in range(25)]
+    long = [f"v{i % 977}" for i in range(300_000)]
+    long[150_000:150_025] = item
+    docs, items = [(1, " ".join(long)), (2, "none of it")], [(7, " ".join(item)), (8, "v1 v2 x")]
+    assert _run(spark, docs, items) == [(1, 300_000, list(range(150_000, 150_025)), ["7"]), (2, 3, [], [])]

@@ -111,3 +111,12 @@ def test_equal_pieces_of_a_shard_travel_once(spark):
     assert pieces > 4000 and sent < 20_000
     got = sorted((r["doc_id"], r["n_removed"], bytes(r["kept"])) for r in S.dedup(spark, docs).collect())
     assert got == sorted((i, gone, kept) for i, _, gone, _, kept in brute(rows))
+
+
+def test_a_very_long_text(spark):
+    rng = np.random.default_rng(5)
+    long = "".join(chr(97 + c) for c in rng.integers(0, 20, 3_000_000))
+    docs = spark.createDataFrame([(1, long[1_500_000:1_500_200] + "#" * 10), (2, long), (3, "#" + long[:90])],
+                                 "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in S.dedup(spark, docs).collect()}
+    assert got == {1: (210, 0, 0), 2: (3_000_000, 200, 1), 3: (91, 90, 1)}

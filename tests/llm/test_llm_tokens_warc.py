@@ -119,3 +119,12 @@ def test_damage_is_noticed():
 def test_no_pages(spark):
     index = W.write_archives(spark, _pages(spark).limit(0), scratch_dir(spark, "warc-test"))
     assert W.read_records(index).count() == 0
+
+
+def test_a_very_long_payload(spark):
+    long = "é line of a page\r\n" * 300_000
+    pages = _pages(spark, [(1, "u", long), (2, "v", long), (3, "w", "short")])
+    rows = {r["page_id"]: r for r in W.read_records(W.write_archives(spark, pages, scratch_dir(spark, "warc-long"))).collect()}
+    assert {i: (r["payload_bytes"], r["record_type"], r["refers_to"]) for i, r in rows.items()} == {
+        1: (len(long.encode()), "revisit", 2), 2: (len(long.encode()), "response", None), 3: (5, "response", None)}
+    assert rows[1]["payload_digest"] == rows[2]["payload_digest"] == _digest(long)
