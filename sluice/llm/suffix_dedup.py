@@ -401,18 +401,15 @@ def shared_segments(packed: DataFrame, marked: DataFrame, groups: int) -> DataFr
                 value = np.concatenate([value[~hot], hashed ^ (hashed >> np.uint64(29))])
             owner = ids[text]
             pieces = [data[s:s + n] for s, n in zip(starts.tolist(), lengths.tolist())]
-            lowest: dict[bytes, int] = {}
-            for piece, i in zip(pieces, owner.tolist()):
-                if i < lowest.get(piece, np.iinfo(np.int64).max):
-                    lowest[piece] = i
-            top = np.iinfo(np.int64).max
-            held = np.array([i > lowest.get(p, top) for p, i in zip(pieces, owner.tolist())], bool)
+            number: dict[bytes, int] = {}
+            which = np.array([number.setdefault(p, len(number)) for p in pieces], np.int64)
+            lowest = np.full(len(number), np.iinfo(np.int64).max)
+            np.minimum.at(lowest, which, owner)
+            held = owner > lowest[which]
             out_part, out = [-1 - shard % groups], [_pack(starts[held].astype(np.int64), lengths[held].astype(np.int64))]
             # what is left of equal pieces has one id: they travel once, with their starts
             rest = np.flatnonzero(~held)
-            number: dict[bytes, int] = {}
-            of = np.array([number.setdefault(pieces[i], len(number)) for i in rest.tolist()], np.int64)
-            _, one = np.unique(of, return_index=True)
+            _, one, of = np.unique(which[rest], return_index=True, return_inverse=True)
             dealt = value[rest[one]]
             for (part, distinct), (_, every) in zip(_by_group(dealt, groups), _by_group(dealt[of], groups)):
                 at = rest[one[distinct]]
