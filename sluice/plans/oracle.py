@@ -177,6 +177,15 @@ SELECT topic, "partition", "offset", CASE WHEN reason IS NULL THEN event_id END
        CASE WHEN reason IS NULL THEN CASE v WHEN 3 THEN 'HIGH' ELSE 'LOW' END END AS level, reason
 FROM e""",
 
+    "stream_registry_replay": f"""
+WITH {_REC},
+e AS (SELECT *, CASE "offset" % 11 WHEN 3 THEN 'null value' WHEN 5 THEN 'short header' WHEN 7 THEN 'magic byte'
+                WHEN 9 THEN 'unknown schema id' WHEN 10 THEN 'unparsable payload' END AS reason FROM rec)
+SELECT topic, "partition", "offset",
+       CASE WHEN reason IS NULL THEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+       CAST(NULL AS VARCHAR) AS note, reason
+FROM e""",
+
     "decode_fixed": f"""
 WITH {_REC}
 SELECT "partition", "offset", "key" AS field1,

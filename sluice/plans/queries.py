@@ -28,7 +28,7 @@ from sluice.plans.tables import (EVENTS_TOPIC, events_log, events_log_table, eve
 from sluice.session import scratch_dir
 from sluice.sources import catalog, files, records
 from sluice.sources.records import RECORD_COLUMNS
-from sluice.streaming import ingest
+from sluice.streaming import decoding, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -385,6 +385,28 @@ def registry_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.unionByName(bad.select("topic", "partition", "offset", "reason"), allowMissingColumns=True)
 
 
+def stream_registry_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 + D4 on a stream: damaged wire-format records decoded batch by batch
+    before version 2 is registered; then it is, and what was rejected for it is
+    replayed.  Decoded and still rejected records together."""
+    path, schema = events_log_table(spark, sf_dir)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", "1000").parquet(f"{path}/data")
+              .select(*RECORD_COLUMNS))
+    framed = damaged(stream.withColumn("value", decode.frame_value(F.col("value"), 1 + F.col("offset") % 3)))
+    subject = registry.value_subject(EVENTS_TOPIC)
+    versions = [(subject, v, v, text) for v, text in EVENTS_VALUE_VERSIONS]
+    ddl = "subject string, version int, id int, schema_json string"
+    before = spark.createDataFrame([r for r in versions if r[1] != 2], ddl)
+    after = spark.createDataFrame(versions, ddl)
+    reader = registry.latest_schema_text(after, subject)
+    target = scratch_dir(spark, "decoded")
+    decoding.decode_stream(framed, lambda: before, reader, target, scratch_dir(spark, "ckpt"), subject)
+    decoding.replay_rejected(spark, "version-2", after, reader, target, subject)
+    good = decoding.good_records(spark, target, reader).withColumn("reason", F.lit(None).cast("string"))
+    bad = decoding.still_rejected(spark, target, reader).drop("schema_id", "value")
+    return good.unionByName(bad, allowMissingColumns=True).select("topic", "partition", "offset", "k", "note", "reason")
+
+
 def decode_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two named fields, the first as text, the second try-cast to int;
     some values are no JSON or hold text in the second field, by rule."""
@@ -841,6 +863,7 @@ QUERIES: dict[str, Query] = {
     "schema_round_trip": schema_round_trip,
     "registry_decode": registry_decode,
     "registry_resolve": registry_resolve,
+    "stream_registry_replay": stream_registry_replay,
     "decode_fixed": decode_fixed,
     "key_to_string": key_to_string,
     "wire_split": wire_split,
