@@ -25,7 +25,8 @@ def value_subject(topic: str) -> str:
 
 def latest_schemas(registry: DataFrame, subject: str = "subject", version: str = "version",
                    payload: tuple[str, ...] = ("id", "schema_json")) -> DataFrame:
-    """One row per subject: the highest version and its payload columns.
+    """One row per subject: the highest version and its payload columns.  Of rows
+    that repeat a subject and version the largest payload (the larger id) counts.
 
     ``max_by`` is a declarative aggregate with map-side partials, so a subject
     with very many versions is still reduced per task before the shuffle.
@@ -33,7 +34,7 @@ def latest_schemas(registry: DataFrame, subject: str = "subject", version: str =
     packed = F.struct(*[F.col(c) for c in payload])
     return (registry.groupBy(subject)
                     .agg(F.max(version).alias(version),
-                         F.max_by(packed, F.col(version)).alias("_latest"))
+                         F.max_by(packed, F.struct(F.col(version), packed)).alias("_latest"))
                     .select(subject, version, *[F.col(f"_latest.{c}").alias(c) for c in payload]))
 
 

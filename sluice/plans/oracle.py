@@ -124,6 +124,11 @@ SELECT {_REC_TEXT} FROM rec""",
 
     "external_table": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
 
+    "partitioned_table": """
+SELECT n_name, event_type, count(*) AS n_events, max(event_id) AS last_event
+FROM events JOIN nation ON CAST(ts AS DATE) = DATE '2024-01-01' + CAST(n_nationkey AS INTEGER)
+WHERE n_regionkey IN (1, 3) GROUP BY n_name, event_type""",
+
     "temp_view": """
 SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY o_orderstatus""",
 

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def _quoted_part(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _quoted(name: str) -> str:
     """A possibly qualified table name with every part quoted."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+    return ".".join(map(_quoted_part, name.split(".")))
 
 
 def external_table(spark: SparkSession, name: str, path: str, source: str | None = None,
@@ -37,6 +43,39 @@ def external_table(spark: SparkSession, name: str, path: str, source: str | None
     return spark.catalog.createTable(quoted, **kwargs, **options)
 
 
+def partitioned_table(spark: SparkSession, name: str, path: str, schema: T.StructType,
+                      partitions: Sequence[str], source: str = "parquet") -> DataFrame:
+    """K4 over a partitioned folder (``<path>/<column>=<value>/...``): an external
+    table whose ``partitions``, columns of ``schema``, are found in the folder.
+
+    Filters on them prune folders when the query is planned; a join that
+    restricts them prunes folders while it runs (dynamic partition pruning), so
+    a scan reads what the other side selects.  Folders that are added later are
+    seen after :func:`recover_partitions`.  An existing name raises.
+    """
+    quoted = _quoted(name)
+    if spark.catalog.tableExists(quoted):
+        raise ValueError(f"table {name} exists")
+    missing = [p for p in partitions if p not in schema.names]
+    if missing or not partitions:
+        raise ValueError(f"no such partition columns: {missing}" if missing else "no partition columns")
+    # partition columns come last in a table, as in the folders' rows
+    ordered = [f for f in schema if f.name not in partitions] + [schema[p] for p in partitions]
+    columns = ", ".join(f"{_quoted_part(f.name)} {f.dataType.simpleString()}" for f in ordered)
+    by = ", ".join(map(_quoted_part, partitions))
+    where = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {quoted} ({columns}) USING {source} PARTITIONED BY ({by}) LOCATION '{where}'")
+    return recover_partitions(spark, name)
+
+
+def recover_partitions(spark: SparkSession, name: str) -> DataFrame:
+    """The table with all partition folders that are there now."""
+    quoted = _quoted(name)
+    spark.catalog.recoverPartitions(quoted)
+    spark.catalog.refreshTable(quoted)
+    return spark.table(quoted)
+
+
 def temp_view(df: DataFrame, name: str) -> str:
     """K5: a session-scoped view over ``df``; returns the name for SQL."""
     df.createOrReplaceTempView(name)
