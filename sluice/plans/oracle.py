@@ -280,6 +280,15 @@ FROM documents""",
     "replace_chars": r"""
 SELECT doc_id, translate(text, ',#*\$', '@@@@@') AS text FROM documents""",
 
+    "replace_token_list": """
+WITH t AS (SELECT item_id, regexp_extract_all(text, '[a-z]{4,}') AS w FROM benchmark),
+r AS (SELECT item_id, unnest(w) AS token, generate_subscripts(w, 1) AS n FROM t),
+f AS (SELECT token, min(item_id * 1048576 + n) AS rank FROM r GROUP BY token),
+p AS (SELECT string_agg(token, '|' ORDER BY rank) AS tokens FROM f)
+SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, tokens)), 0) AS INTEGER) AS n_matches,
+       sha256(coalesce(regexp_replace(text, tokens, '_', 'g'), '')) AS clean_sha256
+FROM documents, p""",
+
     "bit_ops": """
 SELECT p_partkey, ~p_size AS not_size, p_size << 3 AS shl_size, (-p_size) >> 1 AS shr_neg,
        CAST(CASE WHEN -p_size < 0 THEN (CAST(-p_size AS BIGINT) + 4294967296) >> 1

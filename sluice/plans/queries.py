@@ -16,6 +16,7 @@ from pyspark.ml.stat import Summarizer
 from sluice.functions import text as txt
 from sluice.functions.aggregates import (aggregate_by, register_series_aggregate,
                                           root_sum_squares)
+from sluice.functions.automaton import replace_token_table
 from sluice.functions.buffers import aggregate_buffers, quantile_summary
 from sluice.functions.tables import joined_sessions, register_table_functions
 from sluice.functions.udfs import (call, count_ascii_upper, explode_column, explode_rows,
@@ -622,6 +623,18 @@ def replace_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", txt.replace_tokens("text", SPECIAL_CHARS, "@").alias("text"))
 
 
+def replace_token_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 with a token table: the words of the benchmark (four letters a-z or
+    more), in the order of their first place, taken out of every document."""
+    found = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(
+        F.regexp_extract_all("text", F.lit("[a-z]{4,}"), F.lit(0))).alias("at", "token"))
+    tokens = found.select("token", (F.col("item_id") * (1 << 20) + F.col("at")).alias("rank"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = replace_token_table(docs, "text", tokens, "_", "clean")
+    return made.select("doc_id", F.col("clean_matches").alias("n_matches"),
+                       F.sha2(F.coalesce("clean", F.lit("")), 256).alias("clean_sha256"))
+
+
 def bit_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bitwise not and the three shifts."""
     part = table(spark, sf_dir, "part")
@@ -897,6 +910,7 @@ QUERIES: dict[str, Query] = {
     "user_agg_quantiles": user_agg_quantiles,
     "split_tokens": split_tokens,
     "replace_chars": replace_chars,
+    "replace_token_list": replace_token_list,
     "bit_ops": bit_ops,
     "degrees_radians": degrees_radians,
     "row_ids": row_ids,
