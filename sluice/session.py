@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -104,13 +105,24 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete the scratch folders of this application, through Hadoop's file
-    system.  Call it when the frames that read them are done with (results
-    are lazy).  Returns how many were there."""
-    found = 0
-    while _SCRATCH:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        found += bool(fs.delete(path, True))
-    return found
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete one scratch folder, through Hadoop's file system; whether it was
+    there.  For a table that nothing reads any more, such as a round of an
+    iteration whose successor is written."""
+    if path in _SCRATCH:
+        _SCRATCH.remove(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True))
+
+
+def scratch_folders() -> list[str]:
+    """The folders made so far and not deleted."""
+    return list(_SCRATCH)
+
+
+def release_scratch(spark: SparkSession, keep: Iterable[str] = ()) -> int:
+    """Delete the scratch folders of this application but for ``keep``.  Call it
+    when the frames that read them are done with (results are lazy).  Returns how
+    many were there."""
+    kept = set(keep)
+    return sum(drop_scratch(spark, path) for path in scratch_folders() if path not in kept)

@@ -42,3 +42,16 @@ def test_no_local_fallback_off_local_masters(monkeypatch, spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(FakeSession)
+
+
+def test_one_scratch_folder_can_go_before_the_others(spark):
+    from sluice import session
+    before = session.scratch_folders()
+    paths = [session.scratch_dir(spark, "gone") for _ in range(3)]
+    for p in paths:
+        spark.range(3).write.parquet(p)
+    assert session.drop_scratch(spark, paths[0]) and not session.drop_scratch(spark, paths[0])
+    assert session.scratch_folders() == [*before, *paths[1:]]
+    session.release_scratch(spark, keep=[*before, paths[2]])
+    assert spark.read.parquet(paths[2]).count() == 3 and session.scratch_folders() == [*before, paths[2]]
+    session.drop_scratch(spark, paths[2])
