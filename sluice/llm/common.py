@@ -15,12 +15,17 @@ from sluice.session import scratch_dir
 SLICE_BYTES = 4 << 20
 
 
+def staged_at(spark: SparkSession, df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """:func:`staged` and the folder, for :func:`sluice.session.drop_scratch`."""
+    path = scratch_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once as a table in the shared folder and reread: cuts the
     lineage, so that a lost executor never sends a later job back beyond it."""
-    path = scratch_dir(spark, purpose)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged_at(spark, df, purpose)[0]
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str,

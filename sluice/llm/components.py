@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import staged
+from sluice.llm.common import staged_at
+from sluice.session import drop_scratch
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -34,11 +35,13 @@ def _mark(edges: DataFrame) -> tuple:
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """``node, root`` (the smallest node of its component) of every node of
     ``edges(u, v)`` that is not itself a root.  Loops and repeats are fine."""
-    edges = staged(spark, edges.where("u <> v").select(
+    edges, path = staged_at(spark, edges.where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     mark = _mark(edges)
     while mark[0]:
-        edges = staged(spark, _small(_large(edges)), "edges")
+        last = path
+        edges, path = staged_at(spark, _small(_large(edges)), "edges")
+        drop_scratch(spark, last)  # the round after it is written
         before, mark = mark, _mark(edges)
         if mark == before:
             break

@@ -42,7 +42,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import staged
+from sluice.llm.common import staged, staged_at
+from sluice.session import drop_scratch
 
 RUN = r"[A-Za-zÀ-ÿ]+"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -281,11 +282,13 @@ def near_pairs(spark: SparkSession, words: DataFrame, groups: int = GROUPS, node
 
 def roots(spark: SparkSession, forms: DataFrame) -> DataFrame:
     """``word, root`` of ``forms(word, form)``, by pointer jumping."""
-    now = staged(spark, forms.select("word", F.col("form").alias("root")), "spelling-roots")
+    now, path = staged_at(spark, forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         after = (now.alias("a").join(now.select(F.col("word").alias("root"), F.col("root").alias("next")), "root", "left")
                  .select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
-        after = staged(spark, after, "spelling-roots")
+        last = path
+        after, path = staged_at(spark, after, "spelling-roots")
+        drop_scratch(spark, last)  # the round after it is written
         if after.where("moved").isEmpty():
             return after.select("word", "root")
         now = after.select("word", "root")
