@@ -4,7 +4,8 @@ decontamination, mixing.
 Each stage is ``(spark, docs, sf_dir) -> DataFrame`` and works on all rows that
 the one before it kept; ``run`` writes each result as Parquet in the shared
 folder and reads it back as the next stage's ``docs``, so a lost executor never
-sends the job back beyond the last stage.  All but the last return the columns
+sends the job back beyond the last stage; once it is written, the tables it was
+made from are deleted.  All but the last return the columns
 of ``documents``:
 
 1. ``toxicity`` drops documents that score one half or more;
@@ -26,9 +27,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from sluice import session  # noqa: E402
 from sluice.llm import decontamination, line_dedup, mixing, simhash  # noqa: E402
 from sluice.llm import toxicity as toxic  # noqa: E402
-from sluice.llm.common import staged  # noqa: E402
+from sluice.llm.common import staged_at  # noqa: E402
 from sluice.plans.tables import table  # noqa: E402
 
 
@@ -60,7 +62,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, path = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before = session.scratch_folders()
+        docs, own = staged_at(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # what the stage was made from is read no more
+        for folder in [*session.scratch_folders(), path]:
+            if folder and folder != own and (folder == path or folder not in before):
+                session.drop_scratch(spark, folder)
+        path = own
     return docs
