@@ -5,14 +5,20 @@ characters).  An item's windows are its runs of ``WINDOW`` words, or all its
 words if it has fewer.  For each window length m the k-gram hashes (k =
 min(K, m)) are winnowed over m - k + 1 positions: the smallest hash of every
 sliding window is kept, the rightmost on ties.  Two texts that share m words
-in a row share such a fingerprint, so no window is missed.  Document
-fingerprints are joined with the items' fingerprints, and each match is
-extended to the windows of m words around it, which are compared word by word.
+in a row share such a fingerprint, so no window is missed.
 
-The items are dealt into blocks of about ``BLOCK_BYTES`` of text.  Each block's
-index is sent to the executors and the documents are scanned against it, so
-nothing that grows with the documents moves, and no index grows with the
-benchmark: a larger benchmark takes more blocks, by the same code.
+Documents are winnowed once, whatever the size of the benchmark, and their
+fingerprints joined with the distinct ones of the items.  Only documents that
+share one are read further: around the shared fingerprints the windows are cut
+out and joined with the items' windows by their words, so a hit is a hit word
+by word.  A text is known by 128 bits of its SHA-256: copies of a text are one
+text in every join, and so are copies of an item.  No side is broadcast by
+order; the items' tables are written first, so that the optimizer goes by their
+size: with a small benchmark nothing that grows with the documents moves, with
+a large one eight bytes a fingerprint do, and AQE splits frequent ones.
+
+The documents are scanned three times (fingerprints, texts that share one,
+result): give a table, not a long plan.
 
 Cases: a null or empty text has no words; an item without words has no
 windows; items with one id count once; an item without an id marks words but
@@ -23,38 +29,51 @@ of the documents, whatever their names, are kept.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluice.llm.common import staged, text_slices
 
 WINDOW = 10
 K = 5
-BLOCK_BYTES = 16 << 20
+ROWS = 1 << 16           # windows of an Arrow batch
+KNOWN_WORDS = 1 << 20    # words whose hashes a task remembers
 
 _WORDS = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _MULTIPLIER = 0x9E3779B97F4A7C15
+_FOUND = "key binary, hits array<int>, item_ids array<string>"
 
 
 def words(text: str | None) -> list[bytes]:
     return _WORDS.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
 
 
-def gram_hashes(ids: np.ndarray, n: int, seed: int) -> np.ndarray:
-    """A 64-bit hash of each run of ``n`` ids."""
+class WordHashes(dict):
+    """64-bit hashes of words, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = own = xxhash.xxh3_64_intdigest(word)
+        return own
+
+    def of(self, found: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+
+
+def gram_hashes(ids: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``n`` word hashes; lengths differ in seed."""
     if len(ids) < n:
         return np.empty(0, np.uint64)
-    out = np.full(len(ids) - n + 1, seed, np.uint64)
+    out = np.full(len(ids) - n + 1, n, np.uint64)
     for j in range(n):
-        out ^= ids[j:len(ids) - n + 1 + j].astype(np.uint64)
+        out ^= ids[j:len(ids) - n + 1 + j]
         out *= np.uint64(_MULTIPLIER)
         out ^= out >> np.uint64(29)
     return out
@@ -75,169 +94,161 @@ def winnow(hashes: np.ndarray, w: int) -> np.ndarray:
     return np.unique(at)
 
 
-class ItemIndex:
-    """Windows and fingerprints of one block of items."""
-
-    def __init__(self, items: list[tuple[str | None, str]], window: int = WINDOW, k: int = K):
-        self.vocabulary: dict[bytes, int] = {}
-        self.names = [name for name, _ in items]
-        ids: list[int] = [0]
-        starts: dict[int, list[np.ndarray]] = {}
-        owners: dict[int, list[np.ndarray]] = {}
-        for number, (_, text) in enumerate(items):
-            found = words(text)
-            if not found:
-                continue
-            first = len(ids)
-            ids.extend(self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in found)
-            ids.append(0)
-            m = min(window, len(found))
-            at = np.arange(first, first + len(found) - m + 1)
-            starts.setdefault(m, []).append(at)
-            owners.setdefault(m, []).append(np.full(len(at), number))
-        self.ids = np.array(ids, np.int64)
-        self.by_length = {m: self._classes(m, np.concatenate(starts[m]), np.concatenate(owners[m]),
-                                           min(k, m)) for m in sorted(starts)}
-
-    @classmethod
-    def of(cls, state: dict) -> ItemIndex:
-        own = cls.__new__(cls)
-        own.__dict__.update(state)
-        return own
+def least(hashes: np.ndarray, w: int) -> np.ndarray:
+    """The smallest of each ``w`` neighbours: the fingerprint of a window."""
+    if len(hashes) < w:
+        return np.empty(0, np.uint64)
+    return np.lib.stride_tricks.sliding_window_view(hashes, w).min(axis=1)
+
+
+def grams(found: list[bytes], starts: np.ndarray, m: int) -> list[bytes]:
+    return [b" ".join(found[s:s + m]) for s in starts.tolist()]
+
+
+def text_key() -> Column:
+    """128 bits of the SHA-256 of ``text``: equal texts are one text."""
+    return F.unhex(F.substring(F.sha2(F.col("text").cast("binary"), 256), 1, 32))
 
-    def _classes(self, m: int, starts: np.ndarray, owners: np.ndarray, k: int) -> dict:
-        seed = 1
-        while True:
-            hashes = gram_hashes(self.ids, m, seed)[starts]
-            distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-            grid = np.arange(m)
-            same = self.ids[starts[:, None] + grid] == self.ids[starts[first[which]][:, None] + grid]
-            if same.all():
-                break
-            seed += 1  # two windows with one hash: take another hash
-        pairs = np.unique(np.stack([which, owners]), axis=1)
-        # the fingerprints of the windows themselves, so that items of any length share them
-        inner = gram_hashes(self.ids, k, seed)
-        rows = inner[starts[first][:, None] + np.arange(m - k + 1)]
-        prints = np.unique(rows.min(axis=1))
-        return {"k": k, "seed": seed, "hashes": distinct, "starts": starts[first],
-                "prints": prints, "ends": np.searchsorted(pairs[0], np.arange(len(distinct)), "right"),
-                "owners": pairs[1]}
-
-    def find(self, ids: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of the windows of length ``m`` in ``ids`` and their classes."""
-        index = self.by_length[m]
-        k, none = index["k"], np.empty(0, np.int64)
-        inner = gram_hashes(ids, k, index["seed"])
-        at = winnow(inner, m - k + 1)
-        prints = index["prints"]
-        at = at[prints[np.minimum(np.searchsorted(prints, inner[at]), len(prints) - 1)] == inner[at]]
-        if not len(at):
-            return none, none
-        near = np.unique((at[:, None] - np.arange(m - k + 1)).ravel())
-        near = near[(near >= 0) & (near <= len(ids) - m)]
-        grid = np.arange(m)
-        full = np.full(len(near), index["seed"], np.uint64)
-        for j in range(m):
-            full ^= ids[near + j].astype(np.uint64)
-            full *= np.uint64(_MULTIPLIER)
-            full ^= full >> np.uint64(29)
-        hashes = index["hashes"]
-        which = np.minimum(np.searchsorted(hashes, full), len(hashes) - 1)
-        hit = np.flatnonzero(hashes[which] == full)
-        near, which = near[hit], which[hit]
-        same = (ids[near[:, None] + grid] == self.ids[index["starts"][which][:, None] + grid]).all(axis=1)
-        return near[same], which[same]
-
-    def owners(self, m: int, which: int) -> np.ndarray:
-        index = self.by_length[m]
-        return index["owners"][index["ends"][which - 1] if which else 0:index["ends"][which]]
-
-    def scan(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, set]]:
-        """Of each text: number of words, positions of the hit words, items."""
-        ids: list[int] = [0]
-        bounds = []
-        get = self.vocabulary.get
-        for text in texts:
-            found = words(text)
-            bounds.append((len(ids), len(found)))
-            ids.extend(map(get, found, repeat(0)))
-            ids.append(0)  # no window has it: matches stay inside a text
-        stream = np.array(ids, np.int64)
-        marks = np.zeros(len(stream) + 1, np.int64)
-        starts = np.array([b[0] for b in bounds] or [0])
-        items: dict[int, set] = {}
-        for m in self.by_length:
-            near, which = self.find(stream, m)
-            np.add.at(marks, near, 1)
-            np.add.at(marks, near + m, -1)
-            text = np.searchsorted(starts, near, "right") - 1
-            for row, group in zip(*np.unique(np.stack([text, which]), axis=1)):
-                items.setdefault(int(row), set()).update(self.owners(m, int(group)).tolist())
-        hit = np.cumsum(marks) > 0
-        for row, (first, n) in enumerate(bounds):
-            yield n, np.flatnonzero(hit[first:first + n]), items.get(row, set())
-
-
-def item_blocks(spark: SparkSession, items: DataFrame, block_bytes: int) -> Iterator[list]:
-    """The items in blocks of about ``block_bytes`` of text, one at a time."""
-    own = staged(spark, items.where("text IS NOT NULL").select(
-        F.col("item_id").cast("string").alias("item_id"), "text"), "benchmark")
-    total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-total // block_bytes)
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, n)))
-    for i in range(n):
-        yield [tuple(r) for r in own.where(block == i).distinct().collect()]
+
+def item_windows(items: DataFrame, window: int, k: int) -> DataFrame:
+    """``key, m, print, gram`` of every window of ``items(key, text)``: its
+    item's text, its words' number, fingerprint and words."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            for key, text in zip(*(batch.column(c).to_pylist() for c in ("key", "text"))):
+                found = words(text)
+                m = min(window, len(found))
+                if not m:
+                    continue
+                prints = least(gram_hashes(hashes.of(found), min(k, m)), m - min(k, m) + 1)
+                for first in range(0, len(prints), ROWS):
+                    at = np.arange(first, min(first + ROWS, len(prints)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([key] * len(at), pa.binary()), pa.array(np.full(len(at), m)),
+                         pa.array(prints[at].view(np.int64)), pa.array(grams(found, at, m), pa.binary())],
+                        names=["key", "m", "print", "gram"])
+
+    return items.mapInArrow(cut, "key binary, m long, print long, gram binary")
+
+
+def fingerprints(texts: DataFrame, lengths: list[int], k: int) -> DataFrame:
+    """``key, prints`` of ``texts(key, text)`` for windows of the given lengths."""
+    # of all lengths with one k the shortest window keeps every print that a longer one keeps
+    spans = {min(k, m): m - min(k, m) + 1 for m in sorted(lengths, reverse=True)}
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in text_slices(batches, "text"):
+            found = [words(t) for t in batch.column("text").to_pylist()]
+            ends = np.cumsum([len(f) for f in found])
+            stream = hashes.of([w for f in found for w in f])
+            rows, prints = [], []
+            for own, w in spans.items():
+                inner = gram_hashes(stream, own)
+                at = winnow(inner, w)
+                row = np.searchsorted(ends, at, "right")
+                inside = at + own <= ends[row]  # not across two texts
+                rows.append(row[inside])
+                prints.append(inner[at[inside]])
+            row = np.concatenate(rows)
+            order = np.argsort(row, kind="stable")
+            offsets = np.searchsorted(row[order], np.arange(len(found) + 1))
+            lists = pa.ListArray.from_arrays(
+                pa.array(offsets, pa.int32()), pa.array(np.concatenate(prints)[order].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), lists], names=["key", "prints"])
+
+    return texts.mapInArrow(scan, "key binary, prints array<long>")
+
+
+def windows_around(texts: DataFrame, lengths: list[int], k: int) -> DataFrame:
+    """``key, start, m, gram`` of the windows of ``texts(key, text, prints)``
+    whose fingerprint is one of ``prints``."""
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in text_slices(batches, "text"):
+            for row in batch.to_pylist():
+                found = words(row["text"])
+                stream, shared = hashes.of(found), np.array(row["prints"], np.int64).view(np.uint64)
+                for m in lengths:
+                    prints = least(gram_hashes(stream, min(k, m)), m - min(k, m) + 1)
+                    starts = np.flatnonzero(np.isin(prints, shared))
+                    for at in (starts[i:i + ROWS] for i in range(0, len(starts), ROWS)):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([row["key"]] * len(at), pa.binary()), pa.array(at, pa.int32()),
+                             pa.array(np.full(len(at), m), pa.int32()),
+                             pa.array(grams(found, at, m), pa.binary())],
+                            names=["key", "start", "m", "gram"])
+
+    return texts.mapInArrow(extend, "key binary, start int, m int, gram binary")
+
+
+class Benchmark:
+    """Tables of the items: ``owners(key, item_id)``, ``windows(key, m, print,
+    gram)`` by distinct text, and the distinct ``prints``."""
+
+    def __init__(self, spark: SparkSession, items: DataFrame, window: int, k: int):
+        own = staged(spark, items.where("text IS NOT NULL").select(
+            text_key().alias("key"), F.col("item_id").cast("string").alias("item_id"), "text")
+            .distinct(), "benchmark")
+        self.owners = own.where("item_id IS NOT NULL").select("key", "item_id")
+        texts = own.groupBy("key").agg(F.first("text").alias("text"))
+        self.windows = staged(spark, item_windows(texts, window, k).distinct(), "benchmark-windows")
+        self.prints = staged(spark, self.windows.select("print").distinct(), "benchmark-prints")
+        # at most ``window`` values
+        self.lengths = sorted(r.m for r in self.windows.select("m").distinct().collect())
+        self.k = k
+
+    def hits(self, spark: SparkSession, texts: DataFrame) -> DataFrame:
+        """``key, start, m, gram`` of the items' windows in ``texts(key, text)``,
+        once for all copies of a text."""
+        shared = staged(spark, fingerprints(texts, self.lengths, self.k)
+                        .select("key", F.explode("prints").alias("print"))
+                        .join(self.prints, "print", "left_semi")
+                        .groupBy("key").agg(F.collect_set("print").alias("prints")),
+                        "decontamination-prints")
+        further = (texts.join(shared.select("key"), "key", "left_semi")
+                   .groupBy("key").agg(F.first("text").alias("text")).join(shared, "key"))
+        return staged(spark, windows_around(further, self.lengths, self.k)
+                      .join(self.windows.select("gram"), "gram", "left_semi"), "decontamination-hits")
+
+    def found(self, hits: DataFrame) -> DataFrame:
+        """``key, hits, item_ids`` of every text that holds a window."""
+        places = F.flatten(F.transform(
+            F.collect_set(F.struct("start", "m")),
+            lambda w: F.sequence(w["start"], w["start"] + w["m"] - 1)))
+        marked = hits.groupBy("key").agg(F.sort_array(F.array_distinct(places)).alias("hits"))
+        items = self.windows.select("gram", F.col("key").alias("item")).distinct()
+        owners = self.owners.select(F.col("key").alias("item"), "item_id")
+        named = (hits.select("key", "gram").distinct().join(items, "gram")
+                 .select("key", "item").distinct().join(owners, "item")
+                 .groupBy("key").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")))
+        return marked.join(named, "key", "left")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       text_key().alias("key"), "text")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW,
-                  k: int = K, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  k: int = K) -> DataFrame:
     """``row`` (the document's columns), ``n_words``, ``hits`` (positions of
     the words inside an occurring window) and ``item_ids`` (sorted as
     strings) of each of ``docs(text, ...)`` against ``items(item_id, text)``."""
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                      F.col("text").alias("text"))
-    # the text travels on only while blocks follow, as part of ``row``
-    found = T.StructType([out.schema["row"], T.StructField("text", T.StringType()),
-                          T.StructField("n_words", T.LongType()),
-                          T.StructField("hits", T.ArrayType(T.IntegerType())),
-                          T.StructField("item_ids", T.ArrayType(T.StringType()))])
-    out = out.select("row", "text", F.lit(None).cast("long").alias("n_words"),
-                     F.array().cast("array<int>").alias("hits"),
-                     F.array().cast("array<string>").alias("item_ids"))
-    pending = 0
-    for block in item_blocks(spark, items, block_bytes):
-        if pending:  # one index per task at a time
-            out = staged(spark, out, "decontamination")
-        out = _against(spark, out, found, ItemIndex(block, window, k))
-        pending += 1
-    if not pending:
-        out = _against(spark, out, found, ItemIndex([], window, k))
-    return out.drop("text")
-
-
-def _against(spark: SparkSession, rows: DataFrame, schema: T.StructType,
-             index: ItemIndex) -> DataFrame:
-    shared = spark.sparkContext.broadcast(vars(index))  # at most one block of items
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = ItemIndex.of(shared.value)
-        for batch in text_slices(batches, "text"):
-            counts, hits, ids = [], [], []
-            before = zip(batch.column("hits").to_pylist(), batch.column("item_ids").to_pylist())
-            texts = batch.column("text").to_pylist()
-            for (old_hits, old_ids), (n, positions, items) in zip(before, own.scan(texts)):
-                counts.append(n)
-                hits.append(np.union1d(old_hits, positions).astype(np.int32)
-                            if old_hits else positions.astype(np.int32))
-                names = {own.names[i] for i in items} - {None}
-                ids.append(sorted(names.union(old_ids)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("text"), pa.array(counts, pa.int64()),
-                 pa.array(hits, pa.list_(pa.int32())), pa.array(ids, pa.list_(pa.string()))],
-                names=["row", "text", "n_words", "hits", "item_ids"])
-
-    return rows.mapInArrow(scan, schema)
+    keyed, own = _keyed(docs), Benchmark(spark, items, window, k)
+    if own.lengths:
+        hits = own.hits(spark, keyed.where("text IS NOT NULL").select("key", "text"))
+        found = staged(spark, own.found(hits), "decontamination")
+    else:
+        found = spark.createDataFrame([], _FOUND)
+    n_words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    return (keyed.select("row", "key", F.coalesce(n_words, F.lit(0)).cast("long").alias("n_words"))
+            .join(found, "key", "left")
+            .select("row", "n_words", F.coalesce("hits", F.array().cast("array<int>")).alias("hits"),
+                    F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +265,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no window of any item."""
-    return decontaminate(spark, docs, items).where(F.size("hits") == 0).select("row.*")
+    keyed, own = _keyed(docs), Benchmark(spark, items, WINDOW, K)
+    if not own.lengths:
+        return docs
+    hits = own.hits(spark, keyed.where("text IS NOT NULL").select("key", "text"))
+    bad = staged(spark, hits.select("key").distinct(), "decontamination-texts")
+    return keyed.select("row", "key").join(bad, "key", "left_anti").select("row.*")
 
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
