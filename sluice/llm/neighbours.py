@@ -9,6 +9,13 @@ queries are found by brute force over all vectors, and the number of visits is
 widened until those lie in visited leaves for a share of ``TARGET``.  A query
 whose leaves are small goes on past that number until they hold k + 1 entries.
 
+The sample bounds the number of leaves, not the table.  A leaf of more than
+``REFIT`` entries gets a tree of its own, fitted on executors on about
+``SAMPLE`` of its entries, so that its leaves come near ``LEAF_VECTORS``: two
+levels reach some 10^9 distinct vectors.  Best bin first goes on across both:
+each visited leaf offers its own leaves by the distance to their centroid, and
+a query visits the nearest of all those offered, as many as calibration says.
+
 Equal vectors are one entry that keeps its smallest ids, so copies cost
 nothing and lose nothing.  A leaf is searched in blocks of vectors against
 blocks of the queries that visit it, so neither a full leaf nor a popular one
@@ -24,6 +31,7 @@ others all are returned; no vectors, no rows; other columns are never read.
 from __future__ import annotations
 
 import heapq
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +47,7 @@ SAMPLE = 20_000
 SAMPLE_BYTES = 64 << 20
 BRANCHES = 8
 LEAF_VECTORS = 2048      # vectors of a leaf, as far as the sample allows
+REFIT = 3 * LEAF_VECTORS # entries of a leaf that stays whole, at most
 LEAST_LEAVES = 64
 LEAF_SAMPLE = 32         # sample vectors of a leaf, at least
 CALIBRATION = 128
@@ -104,21 +113,30 @@ class Tree:
                 todo += [(child, rows[own == i]) for i, child in enumerate(below)]
         return out
 
-    def visits(self, query: np.ndarray, n: int, entries: np.ndarray | None = None,
-               least: int = 0) -> list[int]:
-        """The first ``n`` leaves, best bin first, and further ones until they
-        hold ``least`` of the ``entries`` counted by leaf."""
+    def bins(self, query: np.ndarray) -> Iterator[tuple[int, float]]:
+        """All leaves, best bin first, each with the largest distance popped so far."""
         gap = ((self.centres - query) ** 2).sum(1)
-        queue, out, held = [(0.0, 0)], [], 0
-        while queue and (len(out) < n or held < least):
-            _, node = heapq.heappop(queue)
+        queue, reached = [(0.0, 0)], 0.0
+        while queue:
+            own, node = heapq.heappop(queue)
+            reached = max(reached, own)
             if self.children[node]:
                 for child in self.children[node]:
                     heapq.heappush(queue, (float(gap[child]), child))
             else:
-                out.append(self.leaf[node])
-                if entries is not None:
-                    held += int(entries[out[-1]])
+                yield self.leaf[node], reached
+
+    def visits(self, query: np.ndarray, n: int, entries: np.ndarray | None = None,
+               least: int = 0) -> list[int]:
+        """The first ``n`` leaves, best bin first, and further ones until they
+        hold ``least`` of the ``entries`` counted by leaf."""
+        out, held = [], 0
+        for leaf, _ in self.bins(query):
+            if len(out) >= n and held >= least:
+                break
+            out.append(leaf)
+            if entries is not None:
+                held += int(entries[leaf])
         return out
 
     @classmethod
@@ -198,13 +216,72 @@ def build_index(spark: SparkSession, found: DataFrame, tree: Tree) -> DataFrame:
         place, "leaf long, rep long, ids array<long>, vec array<double>"), "ann-index")
 
 
-def calibrate(spark: SparkSession, index: DataFrame, queries: DataFrame, tree: Tree,
-              k: int, target: float, size: int = CALIBRATION) -> int:
-    """Leaves to visit so that a share ``target`` of the ``k`` nearest entries
-    of ``size`` queries (by hash) lies in them."""
+def leaf_sizes(index: DataFrame, tree: Tree) -> np.ndarray:
+    """Entries by leaf: a row per leaf, bounded by the tree."""
+    out = np.zeros(len(tree.leaf), np.int64)
+    counted = index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()
+    out[[r.leaf for r in counted]] = [r.n for r in counted]
+    return out
+
+
+def _dealt(rows: DataFrame, count: str, key: str) -> DataFrame:
+    return rows.withColumn("chunk", F.pmod(F.xxhash64(key), F.ceil(F.col(count) / (4 * BLOCK))))
+
+
+def _to_all(rows: DataFrame, count: str) -> DataFrame:
+    last = F.ceil(F.col(count) / (4 * BLOCK)) - 1
+    return rows.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+
+
+def refit(spark: SparkSession, index: DataFrame, sizes: np.ndarray, sample: int,
+          limit: int, leaf_vectors: int) -> tuple[DataFrame, DataFrame | None]:
+    """The index with ``sub`` (leaf inside a leaf, 0 where that stays whole), and
+    ``leaf, n, state, sizes`` of the trees of over-full leaves (None: there are none)."""
+    full = [(int(leaf), int(n)) for leaf, n in enumerate(sizes) if n > limit]
+    if not full:
+        return index.withColumn("sub", F.lit(0).cast("long")), None
+    large = spark.createDataFrame(full, "leaf long, n long")  # at most the tree's leaves
+    dim = index.select(F.size("vec").alias("d")).first().d
+    bound = max(LEAF_SAMPLE, min(sample, SAMPLE_BYTES // (8 * dim)))
+    share = F.pmod(F.xxhash64("rep", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("rep")
+        x, n = np.stack(group["vec"]), int(group["n"].iloc[0])
+        tree = Tree(x, max(LEAF_SAMPLE, len(x) * leaf_vectors // n))
+        return pd.DataFrame({"leaf": group["leaf"].iloc[:1], "n": n, "state": [pickle.dumps(vars(tree))]})
+
+    taken = index.join(large, "leaf").where(share * F.col("n") < bound).select("leaf", "n", "rep", "vec")
+    trees = staged(spark, taken.groupBy("leaf").applyInPandas(
+        fit, "leaf long, n long, state binary"), "ann-subtrees")
+    sizes_of = trees.select("leaf", "n")
+
+    def place(rows: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(tree):
+            return pd.DataFrame(columns=["leaf", "sub", "rep", "ids", "vec"])
+        own = Tree.of(pickle.loads(tree["state"].iloc[0]))
+        rows["sub"] = own.descend(np.stack(rows["vec"]))
+        return rows[["leaf", "sub", "rep", "ids", "vec"]]
+
+    keys = ("leaf", "chunk")
+    moved = (_dealt(index.join(sizes_of, "leaf"), "n", "rep").drop("n").groupBy(*keys)
+             .cogroup(_to_all(trees, "n").groupBy(*keys))
+             .applyInPandas(place, "leaf long, sub long, rep long, ids array<long>, vec array<double>"))
+    whole = index.join(sizes_of, "leaf", "left_anti").withColumn("sub", F.lit(0).cast("long"))
+    index = staged(spark, whole.select(*moved.columns).unionAll(moved), "ann-index")
+    held = (index.join(sizes_of, "leaf", "left_semi").groupBy("leaf", "sub").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("sub", "n"))).alias("sizes")))
+    return index, staged(spark, trees.join(held, "leaf"), "ann-subtrees")
+
+
+def true_leaves(spark: SparkSession, index: DataFrame, queries: DataFrame, k: int,
+                size: int = CALIBRATION) -> tuple[dict, list]:
+    """``size`` queries (by hash), and ``query, leaf, sub`` of their ``k``
+    nearest entries among all vectors."""
     rows = queries.orderBy(F.xxhash64("rep"), "rep").limit(size).collect()
     reps, x = np.array([r.rep for r in rows]), np.array([r.vec for r in rows])
     shared = spark.sparkContext.broadcast((reps, x))  # ``size`` vectors
+    schema = "query long, leaf long, sub long, rep long, gap double"
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_reps, own = shared.value
@@ -212,64 +289,134 @@ def calibrate(spark: SparkSession, index: DataFrame, queries: DataFrame, tree: T
             if not batch.num_rows:
                 continue
             ids, vecs = batch.column("rep").to_numpy(), _matrix(batch.column("vec"))
-            leaf = batch.column("leaf").to_numpy()
+            leaf, sub = batch.column("leaf").to_numpy(), batch.column("sub").to_numpy()
             out: list[tuple] = []
             for rep, query in zip(own_reps, own):
                 at, gap = nearest(query, vecs, ids, k + 1)
-                out += [(rep, leaf[i], ids[i], g) for i, g in zip(at, gap) if ids[i] != rep][:k]
+                out += [(rep, leaf[i], sub[i], ids[i], g) for i, g in zip(at, gap) if ids[i] != rep][:k]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c) for c in zip(*out)] if out else
-                [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64())],
-                names=["query", "leaf", "rep", "gap"])
+                [pa.array([], t) for t in (*[pa.int64()] * 4, pa.float64())],
+                names=["query", "leaf", "sub", "rep", "gap"])
 
     rank = F.row_number().over(Window.partitionBy("query").orderBy("gap", "rep"))
-    true = (index.mapInArrow(search, "query long, leaf long, rep long, gap double")
-            .withColumn("rank", rank).where(F.col("rank") <= k).select("query", "leaf").collect())
-    order = {int(rep): {leaf: i for i, leaf in enumerate(tree.visits(q, len(tree.leaf)))}
-             for rep, q in zip(reps, x)}
-    needed = np.array([order[r["query"]][r.leaf] for r in true])
+    true = (index.select("leaf", "sub", "rep", "vec").mapInArrow(search, schema)
+            .withColumn("rank", rank).where(F.col("rank") <= k).select("query", "leaf", "sub").collect())
+    return {int(r): q for r, q in zip(reps, x)}, true
+
+
+def enough(needed: np.ndarray, target: float, most: int) -> int:
+    """The least number of visits that reaches a share ``target`` of the needed ranks."""
     visits = 1
-    while visits < len(tree.leaf) and len(needed) and (needed < visits).mean() < target:
+    while visits < most and len(needed) and (needed < visits).mean() < target:
         visits += 1
     return visits
 
 
-def search(spark: SparkSession, index: DataFrame, queries: DataFrame, tree: Tree, visits: int,
-           k: int, block: int = BLOCK) -> DataFrame:
-    """``query`` (entry), ``vec_id, gap``: the ``k`` nearest rows by visited leaves."""
-    # a row per leaf: bounded by the tree
-    counted = index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()
-    entries = np.zeros(len(tree.leaf), np.int64)
-    entries[[r.leaf for r in counted]] = [r.n for r in counted]
-    shared = spark.sparkContext.broadcast((vars(tree), entries))
+def calibrate(tree: Tree, queries: dict, true: list, target: float) -> int:
+    """Leaves to visit so that a share ``target`` of the true neighbours lies in them."""
+    order = {rep: {leaf: i for i, leaf in enumerate(tree.visits(q, len(tree.leaf)))}
+             for rep, q in queries.items()}
+    return enough(np.array([order[r["query"]][r.leaf] for r in true]), target, len(tree.leaf))
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def walk(spark: SparkSession, queries: DataFrame, tree: Tree, sizes: np.ndarray, visits: int,
+         k: int) -> DataFrame:
+    """``leaf, sub`` (0), ``query, vec, gap`` of the leaves that each of
+    ``queries(rep, vec)`` visits, its home among them."""
+    shared = spark.sparkContext.broadcast((vars(tree), sizes))
+
+    def best_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, held = shared.value
         own = Tree.of(state)
+        centres = own.centres[[n for n, _ in sorted(own.leaf.items(), key=lambda p: p[1])]]
         for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
             x = _matrix(batch.column("vec"))
             home = own.descend(x)
             lists = [sorted({int(h), *own.visits(q, visits, held, k + 1)}) for q, h in zip(x, home)]
             row = np.repeat(np.arange(len(x)), [len(v) for v in lists])
+            leaf = np.concatenate(lists).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(lists).astype(np.int64)),
-                 batch.column("rep").take(pa.array(row)), batch.column("vec").take(pa.array(row))],
-                names=["leaf", "query", "vec"])
-
-    walks = staged(spark, queries.select("rep", "vec").mapInArrow(
-        walk, "leaf long, query long, vec array<double>"), "ann-visits")
-    # a row per visited leaf that holds entries
-    asked = walks.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block).alias("chunks")).collect()
-    parts = spark.createDataFrame([(r.leaf, -(-int(entries[r.leaf]) // block), r.chunks)
-                                   for r in asked if entries[r.leaf]],
-                                  "leaf long, blocks long, chunks long")
+                [pa.array(leaf), pa.array(np.zeros(len(leaf), np.int64)),
+                 batch.column("rep").take(pa.array(row)), batch.column("vec").take(pa.array(row)),
+                 pa.array(((centres[leaf] - x[row]) ** 2).sum(1))],
+                names=["leaf", "sub", "query", "vec", "gap"])
+
+    return queries.select("rep", "vec").mapInArrow(
+        best_bins, "leaf long, sub long, query long, vec array<double>, gap double")
+
+
+def walk_on(walks: DataFrame, trees: DataFrame, visits: int | None, k: int) -> DataFrame:
+    """The over-full leaves of ``walks`` replaced by their own first leaves that
+    hold entries (``visits`` of them, or all), each with its place ``at`` and its
+    entries ``held``; ``gap`` never falls along a walk."""
+    keys = ("leaf", "chunk")
+    asked = walks.join(trees.select("leaf"), "leaf", "left_semi")
+    counts = asked.groupBy("leaf").agg(F.count(F.lit(1)).alias("asked"))
+
+    def best_bins(rows: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(rows) and len(tree):
+            own, sizes = Tree.of(pickle.loads(tree["state"].iloc[0])), dict(tree["sizes"].iloc[0])
+            for leaf, query, vec in zip(rows["leaf"], rows["query"], rows["vec"]):
+                taken, held = 0, 0
+                for sub, gap in own.bins(vec):
+                    if taken >= (visits or len(own.leaf)) and held >= k + 1:
+                        break
+                    if sub in sizes:  # it holds entries
+                        out.append((leaf, sub, query, vec, gap, taken, sizes[sub]))
+                        taken, held = taken + 1, held + sizes[sub]
+        return pd.DataFrame(out, columns=["leaf", "sub", "query", "vec", "gap", "at", "held"])
+
+    schema = "leaf long, sub long, query long, vec array<double>, gap double, at long, held long"
+    dealt = _dealt(asked.join(counts, "leaf"), "asked", "query").drop("asked")
+    return dealt.groupBy(*keys).cogroup(_to_all(trees.join(counts, "leaf"), "asked").groupBy(*keys)
+                                        ).applyInPandas(best_bins, schema)
+
+
+def visited(spark: SparkSession, walks: DataFrame, trees: DataFrame, sizes: np.ndarray,
+            visits: int | None, k: int) -> DataFrame:
+    """``walks`` over both levels with ``rank``, nearest centroid first: of each
+    query ``visits`` leaves (or all), and further ones until they hold k + 1 entries."""
+    held = spark.createDataFrame([(i, int(n)) for i, n in enumerate(sizes)], "leaf long, held long")
+    whole = walks.join(trees.select("leaf"), "leaf", "left_anti").join(held, "leaf")
+    whole = whole.withColumn("at", F.lit(0).cast("long"))
+    on = walk_on(walks, trees, visits, k)
+    both = on.unionByName(whole)
+    order = Window.partitionBy("query").orderBy("gap", "leaf", "at")
+    before = F.sum("held").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    out = both.withColumn("rank", F.row_number().over(order))
+    if visits is not None:
+        out = out.withColumn("before", F.coalesce(before, F.lit(0))).where(
+            (F.col("rank") <= visits) | (F.col("before") < k + 1)).drop("before")
+    return out.drop("held", "at")
+
+
+def calibrate_on(spark: SparkSession, walks: DataFrame, trees: DataFrame, sizes: np.ndarray,
+                 queries: dict, true: list, target: float, k: int) -> int:
+    """As :func:`calibrate`, over the leaves of both levels."""
+    some = spark.createDataFrame([(q,) for q in queries], "query long")
+    wanted = spark.createDataFrame([(r["query"], r.leaf, r.sub) for r in true],
+                                   "query long, leaf long, sub long")
+    ranks = visited(spark, walks.join(some, "query", "left_semi"), trees, sizes, None, k)
+    rows = wanted.join(ranks.select("query", "leaf", "sub", "rank"), ["query", "leaf", "sub"]).collect()
+    last = max((r["rank"] for r in rows), default=1)
+    needed = np.array([r["rank"] - 1 for r in rows] + [last] * (len(true) - len(rows)))
+    return enough(needed, target, last)
+
+
+def search(index: DataFrame, walks: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
+    """``query`` (entry), ``vec_id, gap``: the ``k`` nearest rows by visited leaves."""
+    leaf = ["leaf", "sub"]
+    parts = (index.groupBy(*leaf).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+             .join(walks.groupBy(*leaf).agg(F.ceil(F.count(F.lit(1)) / block).alias("chunks")), leaf))
 
     def cell(key: str, count: str, other: str):
         return [F.pmod(F.xxhash64(key), F.col(count)).alias(count[:-1]),
                 F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)).alias(other[:-1])]
 
-    own = index.join(parts, "leaf").select("leaf", "rep", "ids", "vec", *cell("rep", "blocks", "chunks"))
-    asked = walks.join(parts, "leaf").select("leaf", "query", "vec", *cell("query", "chunks", "blocks"))
+    own = index.join(parts, leaf).select(*leaf, "rep", "ids", "vec", *cell("rep", "blocks", "chunks"))
+    asked = walks.join(parts, leaf).select(*leaf, "query", "vec", *cell("query", "chunks", "blocks"))
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -281,7 +428,7 @@ def search(spark: SparkSession, index: DataFrame, queries: DataFrame, tree: Tree
                 out += [(query, i, g) for g, i in found]
         return pd.DataFrame(out, columns=["query", "vec_id", "gap"])
 
-    keys = ("leaf", "block", "chunk")
+    keys = (*leaf, "block", "chunk")
     found = own.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
         compare, "query long, vec_id long, gap double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy("gap", "vec_id"))
@@ -289,7 +436,8 @@ def search(spark: SparkSession, index: DataFrame, queries: DataFrame, tree: Tree
 
 
 def neighbours(spark: SparkSession, vectors: DataFrame, is_query, k: int = NEIGHBOURS,
-               target: float = TARGET, sample: int = SAMPLE) -> DataFrame:
+               target: float = TARGET, sample: int = SAMPLE, refit_above: int = REFIT,
+               leaf_vectors: int = LEAF_VECTORS) -> DataFrame:
     """``query_id, rank, vec_id, score`` (distance) of the rows of
     ``vectors(vec_id, embedding)`` for which the column ``is_query`` holds."""
     rows = staged(spark, usable(vectors), "ann-rows")
@@ -301,8 +449,16 @@ def neighbours(spark: SparkSession, vectors: DataFrame, is_query, k: int = NEIGH
     if tree is None or not asked.take(1):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = build_index(spark, found, tree)
-    visits = calibrate(spark, index, own, tree, k, target)
-    near = search(spark, index, own, tree, visits, k)
+    sizes = leaf_sizes(index, tree)
+    index, trees = refit(spark, index, sizes, sample, refit_above, leaf_vectors)
+    some, true = true_leaves(spark, index, own, k)
+    # with two levels the first one keeps half of what may be missed
+    visits = calibrate(tree, some, true, target if trees is None else (1 + target) / 2)
+    walks = staged(spark, walk(spark, own, tree, sizes, visits, k), "ann-visits")
+    if trees is not None:
+        visits = calibrate_on(spark, walks, trees, sizes, some, true, target, k)
+        walks = staged(spark, visited(spark, walks, trees, sizes, visits, k), "ann-visits")
+    near = search(index, walks, k)
     pairs = (asked.select(F.col("vec_id").alias("query_id"), F.col("rep").alias("query"))
              .join(near, "query").where("query_id <> vec_id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("gap", "vec_id"))

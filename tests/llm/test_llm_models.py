@@ -259,7 +259,57 @@ def test_blocks_and_chunks_do_not_change_results(spark):
     found = A.entries(A.usable(df), 11)
     tree = A.fit_tree(found)
     index = A.build_index(spark, found, tree)
-    asked = found.where("rep % 7 = 0").select("rep", "vec")
+    sizes = A.leaf_sizes(index, tree)
+    index, _ = A.refit(spark, index, sizes, A.SAMPLE, A.REFIT, A.LEAF_VECTORS)
+    walks = A.walk(spark, found.where("rep % 7 = 0").select("rep", "vec"), tree, sizes, 5, 10)
     key = lambda d: sorted(map(tuple, d.select("query", "vec_id").collect()))
-    assert key(A.search(spark, index, asked, tree, 5, 10)) == \
-        key(A.search(spark, index, asked, tree, 5, 10, block=8))
+    assert key(A.search(index, walks, 10)) == key(A.search(index, walks, 10, block=8))
+
+
+def test_over_full_leaves_get_trees_of_their_own(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(8000, 8)) + 3 * rng.normal(size=(40, 8))[rng.integers(0, 40, 8000)]
+    # a third of all rows in one place, and far rows in leaves of their own
+    x[:2700] = 1e-2 * rng.normal(size=(2700, 8))
+    x[-5:] = 1e4 * rng.normal(size=(5, 8))
+    rows = [(i, [float(v) for v in x[i]]) for i in range(len(x))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    is_query = F.expr("vec_id % 100 = 0 OR vec_id >= 7995")
+    got = A.neighbours(spark, df, is_query, sample=640, refit_above=90, leaf_vectors=30).collect()
+    queries = [i for i in range(len(x)) if i % 100 == 0 or i >= 7995]
+    assert Counter(r["query_id"] for r in got) == {i: 10 for i in queries}
+    hits = 0
+    for q in queries:
+        gap = np.sqrt(((x - x[q]) ** 2).sum(1))
+        gap[q] = np.inf
+        mine = {r["vec_id"]: r["score"] for r in got if r["query_id"] == q}
+        assert q not in mine and all(abs(s - gap[i]) < 1e-12 for i, s in mine.items())
+        hits += len(set(np.argsort(gap, kind="stable")[:10]) & set(mine))
+    assert hits >= 0.9 * 10 * len(queries)
+
+
+def test_refitted_leaves_are_near_their_target_and_whole(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(6000, 6))
+    x[:2000] *= 1e-3
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(6000)],
+                               "vec_id long, embedding array<double>")
+    found = A.entries(A.usable(df), 11)
+    tree = A.fit_tree(found, 640)
+    before = A.build_index(spark, found, tree)
+    sizes = A.leaf_sizes(before, tree)
+    index, trees = A.refit(spark, before, sizes, 640, 120, 40)
+    assert sizes.max() > 120 and trees.count() == (sizes > 120).sum()
+    assert sorted(r.rep for r in index.select("rep").collect()) == list(range(6000))
+    held = [r["count"] for r in index.groupBy("leaf", "sub").count().collect()]
+    assert max(held) <= 200 and np.median(held) <= 80
+    # all leaves of both levels visited: the answers are exact
+    walks = A.walk(spark, found.where("rep % 500 = 0"), tree, sizes, len(tree.leaf), 10)
+    walks = A.visited(spark, walks, trees, sizes, 10 ** 6, 10)
+    near = {}
+    for r in A.search(index, walks, 10).collect():
+        near.setdefault(r["query"], set()).add(r["vec_id"])
+    for q, mine in near.items():
+        gap = ((x - x[q]) ** 2).sum(1)
+        assert mine == set(np.argsort(gap, kind="stable")[:11])
+    assert len(near) == 12
