@@ -228,17 +228,19 @@ class Benchmark:
         return marked.join(named, "key", "left")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+def _keyed(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns]).alias("row"),
                        text_key().alias("key"), "text")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW,
-                  k: int = K) -> DataFrame:
-    """``row`` (the document's columns), ``n_words``, ``hits`` (positions of
-    the words inside an occurring window) and ``item_ids`` (sorted as
-    strings) of each of ``docs(text, ...)`` against ``items(item_id, text)``."""
-    keyed, own = _keyed(docs), Benchmark(spark, items, window, k)
+                  k: int = K, carry: list[str] | None = None) -> DataFrame:
+    """``row`` (the document's columns, or those named in ``carry``),
+    ``n_words``, ``hits`` (positions of the words inside an occurring window) and
+    ``item_ids`` (sorted as strings) of each of ``docs(text, ...)`` against
+    ``items(item_id, text)``.  ``row`` moves where the texts with hits are too
+    many to be broadcast: without the text, a document is some forty bytes there."""
+    keyed, own = _keyed(docs, carry), Benchmark(spark, items, window, k)
     if own.lengths:
         hits = own.hits(spark, keyed.where("text IS NOT NULL").select("key", "text"))
         found = staged(spark, own.found(hits), "decontamination")
@@ -255,7 +257,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sluice.plans.tables import table
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate(spark, docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate(spark, docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return found.select(
         F.col("row.doc_id").alias("doc_id"), "n_words",
         F.size("hits").cast("long").alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),

@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from conftest import plan_text
 from pyspark.sql import functions as F
 
 from sluice.llm import decontamination as D
@@ -106,6 +107,22 @@ def test_documents_are_winnowed_once(spark):
     assert counts[0] == counts[1]
 
 
+def test_only_carried_columns_move(spark):
+    docs = spark.createDataFrame([(i, "a b c d e f g h i j " + str(i)) for i in range(50)],
+                                 "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c d e f g h i j k")], "item_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = D.decontaminate(spark, docs, items, carry=["doc_id"])
+        assert out.select("row.*").columns == ["doc_id"]
+        moved = re.findall(r"Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan_text(out))
+        assert moved and all("text" not in columns for columns in moved)
+        rows = out.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {(len(r["hits"]), tuple(r["item_ids"])) for r in rows} == {(10, ("1",))} and len(rows) == 50
+
+
 def test_copies_and_shared_passages(spark):
     passage = " ".join(f"p{i}" for i in range(14))
     docs = [(i, "copied " + passage) for i in range(300)]
