@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.slices import text_slices  # noqa: F401
 from sluice.session import scratch_dir
 
-SLICE_BYTES = 4 << 20
-
 
 def staged_at(spark: SparkSession, df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """:func:`staged` and the folder, for :func:`sluice.session.drop_scratch`."""
@@ -28,21 +23,6 @@ def staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return staged_at(spark, df, purpose)[0]
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str,
-                limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Arrow batches cut into runs of rows that hold about ``limit`` bytes of
-    ``column`` (one row at least)."""
-    for batch in batches:
-        size = pc.fill_null(pc.binary_length(batch.column(column)), 0)
-        ends = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))
-        start = 0
-        while start < batch.num_rows:
-            base = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, base + limit, "right")))
-            yield batch.slice(start, stop - start)
-            start = stop
-
-
 def order_id(column: str = "doc_id") -> Column:
     """An id to order by: a null id comes after all others."""
     return F.coalesce(F.col(column).cast("long"), F.lit((1 << 63) - 1))

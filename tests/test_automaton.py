@@ -1,8 +1,11 @@
 """C2 by an automaton: the same as the regular expression, for any token table."""
 
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
+from conftest import plan_text
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -64,3 +67,28 @@ def test_many_tokens_and_none(spark):
     assert (row["clean"], row["clean_matches"]) == (row["text"], 0)
     with pytest.raises(ValueError, match="already"):
         A.replace_token_table(df, "text", table, "", "id")
+
+
+def test_a_worker_holds_the_matches_of_a_slice(spark):
+    """Hundreds of thousands of matches in one batch stay flat arrays."""
+    texts = ["abcd " * 10_000] * 40
+    row = pa.StructArray.from_arrays([pa.array(texts)], names=["text"])
+    replace = A._replacer(spark, [(0, "abcd"), (1, "bcd"), (2, "cd")], 0, "_")
+    tracemalloc.start()
+    try:
+        made = list(replace(iter([pa.RecordBatch.from_arrays([row], names=["row"])])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [n for b in made for n in b.column("n").to_pylist()] == [10_000] * 40
+    assert {t for b in made for t in b.column("made").to_pylist()} == {"_ " * 10_000}
+    assert peak < 20 << 20
+
+
+def test_one_automaton_at_a_time(spark):
+    table = spark.createDataFrame([("ab", 0), ("cd", 1), ("ef", 2)], "token string, rank int")
+    df = spark.createDataFrame([(1, "abcdef"), (2, None)], "id int, text string")
+    got = A.replace_token_table(df, "text", table, "-", "clean", block_chars=2)
+    assert plan_text(got).count("MapInArrow") == plan_text(A.replace_token_table(
+        df, "text", table, "-", "clean")).count("MapInArrow")
+    assert sorted(map(tuple, got.collect())) == [(1, "abcdef", "---", 3), (2, None, None, 0)]
