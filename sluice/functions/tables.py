@@ -1,7 +1,8 @@
 """U4: table functions -- one row in, any number of rows out.
 
 * :class:`Pieces` is called per row in a lateral join.  Its ``analyze`` settles
-  the result's columns from the constant arguments, so the plan knows them.
+  the result's columns from the constant arguments, so the plan knows them.  Rows
+  travel pickled: with ``useArrow`` Spark makes a frame of every call's result.
 * :class:`Sessions` takes a whole table, ``PARTITION BY`` a key and ``ORDER BY`` a
   time.  Spark streams each partition through one instance in Arrow batches; what
   is kept between them is one open session.
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 
-@F.udtf(useArrow=True)
+@F.udtf(useArrow=False)
 class Pieces:
     """``pieces(text, separator [, with_length])``: ``at int, piece string`` and,
     if asked for, ``letters int``.  A null text gives no row; an empty text or one

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from conftest import plan_text
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,3 +158,9 @@ def test_sessions_agree_with_a_plain_version(spark, functions, batch, by):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert got == plain_sessions(rows, 1200)
+
+
+def test_pieces_travel_in_batches(spark, functions):
+    spark.createDataFrame([(1, "a|b")], "id long, text string").createOrReplaceTempView("pieces_plan")
+    text = plan_text(spark.sql("SELECT id, p.* FROM pieces_plan, LATERAL sluice_pieces(text, '|') p"))
+    assert "BatchEvalPythonUDTF" in text  # ArrowEvalPythonUDTF makes a frame of every row's result
