@@ -8,6 +8,7 @@ import re
 import pytest
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from conftest import python_nodes
@@ -143,3 +144,13 @@ def test_explode_rows_by_any_count(spark):
     out = explode_rows_by(df, ["id"], rows)
     assert sorted(tuple(r) for r in out.collect()) == [(1, 1), (1, 2), (1, 3), (4, 1)]
     assert python_nodes(out) == []
+
+
+def test_capitals_are_counted_on_arrow_data(spark):
+    texts = ["AB", "before", None, "", "éÀZ", "x" * 10, "Q" * 9_000_000, None]
+    own = pa.array(texts, pa.string())
+    expected = [None if t is None else len(re.findall("[A-Z]", t)) for t in texts]
+    assert count_ascii_upper.func(own).to_pylist() == expected
+    assert count_ascii_upper.func(own.slice(2)).to_pylist() == expected[2:]
+    assert count_ascii_upper.func(own.cast(pa.large_string())).to_pylist() == expected
+    assert count_ascii_upper.func(own.slice(0, 0)).to_pylist() == []
