@@ -7,9 +7,11 @@
   time.  Spark streams each partition through one instance in Arrow batches; what
   is kept between them is one open session.
 
-A partition is one task's work, as in any ``PARTITION BY``.  Where a key may hold
-a large share of the rows, partition by (key, stretch of time) as well and put the
-pieces together with :func:`joined_sessions`, which moves one row per piece.
+A partition is one task's work, as in any ``PARTITION BY``, and costs a call and a
+table of its own.  Where there are many small keys, partition by a hash of the key
+and order by (key, time).  Where a key may hold a large share of the rows, partition
+by a stretch of time as well and put the pieces together with
+:func:`joined_sessions`, which moves one row per piece.
 """
 
 from __future__ import annotations
@@ -58,45 +60,48 @@ SESSION = ("key long, begun timestamp_ntz, ended timestamp_ntz, n long, amount l
 @F.arrow_udtf(returnType=SESSION)
 class Sessions:
     """``sessions(TABLE(rows) PARTITION BY key ORDER BY time, gap_seconds)``
-    of rows ``key long, time timestamp_ntz, amount long``: runs of rows no more
-    than the gap apart.  Rows without a time are in no session; a null amount
-    adds nothing."""
+    of rows ``key long, time timestamp_ntz, amount long``: runs of rows of one key
+    no more than the gap apart; a partition of several keys is ordered by key and
+    time.  Rows without a time are in no session; a null amount adds nothing."""
 
     def __init__(self) -> None:
-        self.open: list | None = None  # key, begun, ended, n, amount
+        self.open: tuple | None = None  # key, begun, ended, n, amount
 
     def eval(self, rows: pa.RecordBatch, gap_seconds: pa.Array) -> Iterator[pa.Table]:
         rows = rows.filter(pc.is_valid(rows.column("time")))
         if not rows.num_rows:
             return
         gap = gap_seconds[0].as_py() * 1_000_000
-        key = rows.column("key")[0].as_py()
+        keyed = pc.is_valid(rows.column("key")).to_numpy(zero_copy_only=False)
+        key = pc.fill_null(rows.column("key"), 0).to_numpy(zero_copy_only=False)
         time = rows.column("time").cast(pa.timestamp("us")).cast(pa.int64()).to_numpy(zero_copy_only=False)
         amount = pc.fill_null(rows.column("amount"), 0).to_numpy(zero_copy_only=False)
-        starts = np.concatenate([[0], np.flatnonzero(np.diff(time) > gap) + 1])
+        apart = (np.diff(time) > gap) | (key[1:] != key[:-1]) | (keyed[1:] != keyed[:-1])
+        starts = np.concatenate([[0], np.flatnonzero(apart) + 1])
         ends = np.concatenate([starts[1:], [len(time)]])
-        found = [[key, int(time[a]), int(time[b - 1]), int(b - a), int(amount[a:b].sum())]
-                 for a, b in zip(starts, ends)]
-        if self.open and found[0][1] - self.open[2] <= gap:
-            _, begun, _, n, total = self.open
-            found[0][1] = begun
-            found[0][3] += n
-            found[0][4] += total
-        elif self.open:
-            found.insert(0, self.open)
-        self.open = found.pop()
-        yield from self._given(found)
+        begun, n, total = time[starts], ends - starts, np.add.reduceat(amount, starts)
+        own, owned, ended = key[starts], keyed[starts], time[ends - 1]
+        if self.open:
+            first = int(own[0]) if owned[0] else None
+            if first == self.open[0] and begun[0] - self.open[2] <= gap:
+                begun[0] = self.open[1]
+                n[0] += self.open[3]
+                total[0] += self.open[4]
+            else:
+                yield from self.terminate()
+        self.open = (int(own[-1]) if owned[-1] else None, int(begun[-1]), int(ended[-1]), int(n[-1]), int(total[-1]))
+        if len(own) > 1:
+            yield self._table(*[x[:-1] for x in (own, begun, ended, n, total)], mask=~owned[:-1])
 
     def terminate(self) -> Iterator[pa.Table]:
-        yield from self._given([self.open] if self.open else [])
-
-    def _given(self, sessions: list) -> Iterator[pa.Table]:
-        if sessions:
-            key, begun, ended, n, amount = zip(*sessions)
-            yield pa.table({"key": pa.array(key, pa.int64()),
-                            "begun": pa.array(begun, pa.int64()).cast(pa.timestamp("us")),
-                            "ended": pa.array(ended, pa.int64()).cast(pa.timestamp("us")),
-                            "n": pa.array(n, pa.int64()), "amount": pa.array(amount, pa.int64())})
+        if self.open:
+            yield self._table(*[[x] for x in self.open])
+
+    def _table(self, key, begun, ended, n, amount, mask: np.ndarray | None = None) -> pa.Table:
+        return pa.table({"key": pa.array(key, pa.int64(), mask=mask),
+                         "begun": pa.array(begun, pa.int64()).cast(pa.timestamp("us")),
+                         "ended": pa.array(ended, pa.int64()).cast(pa.timestamp("us")),
+                         "n": pa.array(n, pa.int64()), "amount": pa.array(amount, pa.int64())})
 
 
 def register_table_functions(spark: SparkSession) -> None:

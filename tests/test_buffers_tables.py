@@ -164,3 +164,22 @@ def test_pieces_travel_in_batches(spark, functions):
     spark.createDataFrame([(1, "a|b")], "id long, text string").createOrReplaceTempView("pieces_plan")
     text = plan_text(spark.sql("SELECT id, p.* FROM pieces_plan, LATERAL sluice_pieces(text, '|') p"))
     assert "BatchEvalPythonUDTF" in text  # ArrowEvalPythonUDTF makes a frame of every row's result
+
+
+@pytest.mark.parametrize("batch", ["7", "10000"])
+def test_sessions_of_many_keys_in_a_partition(spark, functions, batch):
+    rng = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(None if i % 50 == 0 else rng.randrange(-3, 40), None if i % 41 == 0 else
+             t0 + dt.timedelta(minutes=rng.randrange(9_000)), None if i % 13 == 0 else i) for i in range(1500)]
+    spark.createDataFrame(rows, "key long, time timestamp_ntz, amount long").createOrReplaceTempView("sessions_of_many")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        made = spark.sql("""SELECT * FROM sluice_sessions(TABLE(SELECT key, time, amount FROM sessions_of_many)
+            PARTITION BY (pmod(xxhash64(key), 3), to_date(time)) ORDER BY (key, time), gap_seconds => 1200)""")
+        got = [tuple(r[c] for c in ("key", "begun", "ended", "n", "amount"))
+               for r in U.joined_sessions(made, 1200).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(got, key=repr) == plain_sessions(rows, 1200)
