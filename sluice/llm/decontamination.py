@@ -34,19 +34,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.llm.common import staged, text_slices
 
 WINDOW = 10
 K = 5
 ROWS = 1 << 16           # windows of an Arrow batch
-KNOWN_WORDS = 1 << 20    # words whose hashes a task remembers
+SCAN_BYTES = 1 << 20     # text looked at together
+HASH_BLOCK = 1 << 18     # bytes hashed together
+LONG_WORD = 1 << 12      # a longer word is hashed alone
 
 _WORDS = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _MULTIPLIER = 0x9E3779B97F4A7C15
+_BASE = 0xD1342543DE82EF95
+_WORD_BYTE = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+_BYTE_VALUE = np.array([xxhash.xxh3_64_intdigest(bytes([b]).lower()) for b in range(256)], np.uint64)
 _FOUND = "key binary, hits array<int>, item_ids array<string>"
 
 
@@ -54,17 +61,67 @@ def words(text: str | None) -> list[bytes]:
     return _WORDS.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered."""
+def laid_out(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of ``texts``, a line feed after each, and where each one ends."""
+    texts = pc.fill_null(texts, "")
+    lines = pc.binary_join_element_wise(texts, pa.scalar("", texts.type), pa.scalar("\n", texts.type))
+    offsets = pc.cumulative_sum(pc.binary_length(lines).cast(pa.int64())).to_numpy(zero_copy_only=False)
+    return np.frombuffer(lines.buffers()[2], np.uint8, offsets[-1]) if len(texts) else np.empty(0, np.uint8), offsets
+
+
+def word_places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word in ``data``."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _WORD_BYTE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[0::2], edges[1::2]
+
+
+class WordHashes:
+    """64-bit hashes of words, A-Z lowered: of a word's bytes a polynomial, taken
+    as a difference of running sums, for whole blocks at a time.  Very long words
+    are hashed one by one."""
+
+    def __init__(self):
+        places = HASH_BLOCK + LONG_WORD
+        # powers of the base and of its inverse, modulo 2**64
+        self.up, self.down = (np.multiply.accumulate(np.concatenate(
+            [np.ones(1, np.uint64), np.full(places - 1, base, np.uint64)]))
+            for base in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+    def of(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out = np.empty(len(starts), np.uint64)
+        long = ends - starts > LONG_WORD
+        near = np.where(long, starts + 1, ends)
+        cuts = np.searchsorted(starts, np.arange(0, len(data) + HASH_BLOCK, HASH_BLOCK))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if a < b:
+                base = starts[a]
+                first, last = starts[a:b] - base, near[a:b] - base
+                sums = np.zeros(last[-1] + 1, np.uint64)
+                np.cumsum(_BYTE_VALUE[data[base:base + last[-1]]] * self.up[:last[-1]], out=sums[1:])
+                out[a:b] = (sums[last] - sums[first]) * self.down[first]
+        out ^= out >> np.uint64(32)
+        out *= np.uint64(_MULTIPLIER)
+        out ^= out >> np.uint64(29)
+        for i in np.flatnonzero(long).tolist():
+            out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes().lower())
+        return out
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        self[word] = own = xxhash.xxh3_64_intdigest(word)
-        return own
+    def of_text(self, text: str) -> np.ndarray:
+        """The hashes of the :func:`words` of ``text``."""
+        data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+        return self.of(data, *word_places(data))
 
-    def of(self, found: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, found), np.uint64, len(found))
+
+@F.arrow_udf(T.LongType())
+def count_words(text: pa.Array) -> pa.Array:
+    """Number of words of each text, 0 for a null one."""
+    counts = [np.empty(0, np.int64)]
+    for batch in text_slices(iter([pa.RecordBatch.from_arrays([text], names=["text"])]), "text", SCAN_BYTES):
+        data, bounds = laid_out(batch.column("text"))
+        counts.append(np.diff(np.searchsorted(word_places(data)[0], bounds), prepend=0))
+    return pa.array(np.concatenate(counts), pa.int64())
 
 
 def gram_hashes(ids: np.ndarray, n: int) -> np.ndarray:
@@ -91,7 +148,7 @@ def winnow(hashes: np.ndarray, w: int) -> np.ndarray:
         less = later <= best
         best[less] = later[less]
         at[less] = np.flatnonzero(less) + j
-    return np.unique(at)
+    return at[np.concatenate([[True], at[1:] != at[:-1]])]  # at never falls
 
 
 def least(hashes: np.ndarray, w: int) -> np.ndarray:
@@ -122,7 +179,7 @@ def item_windows(items: DataFrame, window: int, k: int) -> DataFrame:
                 m = min(window, len(found))
                 if not m:
                     continue
-                prints = least(gram_hashes(hashes.of(found), min(k, m)), m - min(k, m) + 1)
+                prints = least(gram_hashes(hashes.of_text(text), min(k, m)), m - min(k, m) + 1)
                 for first in range(0, len(prints), ROWS):
                     at = np.arange(first, min(first + ROWS, len(prints)))
                     yield pa.RecordBatch.from_arrays(
@@ -140,10 +197,11 @@ def fingerprints(texts: DataFrame, lengths: list[int], k: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in text_slices(batches, "text"):
-            found = [words(t) for t in batch.column("text").to_pylist()]
-            ends = np.cumsum([len(f) for f in found])
-            stream = hashes.of([w for f in found for w in f])
+        for batch in text_slices(batches, "text", SCAN_BYTES):
+            data, bounds = laid_out(batch.column("text"))
+            starts, stops = word_places(data)
+            ends = np.searchsorted(starts, bounds)
+            stream = hashes.of(data, starts, stops)
             rows, prints = [], []
             for own, w in spans.items():
                 inner = gram_hashes(stream, own)
@@ -154,7 +212,7 @@ def fingerprints(texts: DataFrame, lengths: list[int], k: int) -> DataFrame:
                 prints.append(inner[at[inside]])
             row = np.concatenate(rows)
             order = np.argsort(row, kind="stable")
-            offsets = np.searchsorted(row[order], np.arange(len(found) + 1))
+            offsets = np.searchsorted(row[order], np.arange(len(ends) + 1))
             lists = pa.ListArray.from_arrays(
                 pa.array(offsets, pa.int32()), pa.array(np.concatenate(prints)[order].view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("key"), lists], names=["key", "prints"])
@@ -171,7 +229,7 @@ def windows_around(texts: DataFrame, lengths: list[int], k: int) -> DataFrame:
         for batch in text_slices(batches, "text"):
             for row in batch.to_pylist():
                 found = words(row["text"])
-                stream, shared = hashes.of(found), np.array(row["prints"], np.int64).view(np.uint64)
+                stream, shared = hashes.of_text(row["text"]), np.array(row["prints"], np.int64).view(np.uint64)
                 for m in lengths:
                     prints = least(gram_hashes(stream, min(k, m)), m - min(k, m) + 1)
                     starts = np.flatnonzero(np.isin(prints, shared))
@@ -246,8 +304,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, window
         found = staged(spark, own.found(hits), "decontamination")
     else:
         found = spark.createDataFrame([], _FOUND)
-    n_words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
-    return (keyed.select("row", "key", F.coalesce(n_words, F.lit(0)).cast("long").alias("n_words"))
+    return (keyed.select("row", "key", count_words("text").alias("n_words"))
             .join(found, "key", "left")
             .select("row", "n_words", F.coalesce("hits", F.array().cast("array<int>")).alias("hits"),
                     F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")))

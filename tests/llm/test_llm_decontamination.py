@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
@@ -152,3 +153,25 @@ def test_a_very_long_text(spark):
     long[150_000:150_025] = item
     docs, items = [(1, " ".join(long)), (2, "none of it")], [(7, " ".join(item)), (8, "v1 v2 x")]
     assert _run(spark, docs, items) == [(1, 300_000, list(range(150_000, 150_025)), ["7"]), (2, 3, [], [])]
+
+
+def test_words_are_found_and_hashed_on_bytes():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("aB9é𝄞 .,\n\x7f") for _ in range(rng.randrange(60))) for _ in range(300)]
+    texts += [None, "", "x" * 9000 + " Y", "y" + "X" * 5000, "ab " * 200_000]
+    own = pa.array(["before", *texts], pa.string()).slice(1)
+    data, bounds = D.laid_out(own)
+    starts, ends = D.word_places(data)
+    found = [w for t in texts for w in D.words(t)]
+    assert [data[s:e].tobytes().lower() for s, e in zip(starts, ends)] == found
+    hashes = D.WordHashes().of(data, starts, ends).tolist()
+    assert len(set(hashes)) == len(set(found)) == len(set(zip(hashes, found)))
+    assert D.WordHashes().of_text(texts[-3]).tolist() == hashes[-200_003:-200_001]
+    assert D.count_words.func(own).to_pylist() == [len(D.words(t)) for t in texts]
+
+
+def test_words_are_not_counted_by_a_regular_expression(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "c d")], "item_id long, text string")
+    text = plan_text(D.decontaminate(spark, docs, items, carry=["doc_id"]))
+    assert "regexp" not in text and "ArrowEvalPython" in text
